@@ -203,7 +203,8 @@ SQL_ACCESS_LOG = f"""
 def search_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw log line per document: ``HH:mm:ss user [words] rank click host/path``.
 
-    The query words are the whole document text joined by ``+``.  Fields
+    The query words are the whole document text joined by ``+``; hosts
+    without a ``m.``/``blog.`` sub-domain are written as ``www.`` hosts.  Fields
     that have no match (no event / page with that id) are left out, which
     yields the malformed lines the parser must drop.
     """
@@ -220,7 +221,9 @@ def search_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("["), words, F.lit("]")),
         (F.col("k") % 5 + 1).cast("string"),
         (F.col("k") % 3 + 1).cast("string"),
-        F.regexp_replace("url", r"^[a-z]+://", ""),
+        F.when(F.regexp_replace("url", r"^[a-z]+://", "").rlike(r"^(m|blog)\."),
+               F.regexp_replace("url", r"^[a-z]+://", ""))
+         .otherwise(F.concat(F.lit("www."), F.regexp_replace("url", r"^[a-z]+://", ""))),
     )
     return j.select(F.col("doc_id").alias("line_id"), line.alias("value"))
 
@@ -233,7 +236,9 @@ SQL_SEARCH_LINES = f"""
            '[' || regexp_replace(d.text, '{WHITESPACE}', '+', 'g') || ']',
            CAST(e.k % 5 + 1 AS VARCHAR),
            CAST(e.k % 3 + 1 AS VARCHAR),
-           regexp_replace(p.url, '^[a-z]+://', '')) AS value
+           CASE WHEN regexp_matches(regexp_replace(p.url, '^[a-z]+://', ''), '^(m|blog)\\.')
+                THEN regexp_replace(p.url, '^[a-z]+://', '')
+                ELSE 'www.' || regexp_replace(p.url, '^[a-z]+://', '') END) AS value
   FROM documents d
   LEFT JOIN (SELECT event_id, ts, user_id, {SQL_K} AS k FROM events) e ON d.doc_id = e.event_id
   LEFT JOIN pages p ON d.doc_id = p.page_id
