@@ -1 +1,270 @@
-"""Registered queries."""
+"""Registered queries: layout and materialisation (§2.14), scalar functions
+and the UDF surface (§2.11), wide-column cells."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
+
+from tessera.functions import text as tx
+from tessera.functions import timefmt as tf
+from tessera.functions import udf as fu
+from tessera.operators import cells as cl
+from tessera.operators import layout as lay
+from tessera.plans.registry import register
+from tessera.sources import fixtures as fx
+from tessera.sources.tables import Tables
+
+# ------------------------------------------------------------------ index and slices
+
+
+@register("slice_assign", """
+  SELECT o_orderkey, idx, CAST(((idx + 1) * 5 - 1) // n AS BIGINT) AS slice FROM (
+    SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS idx, count(*) OVER () AS n FROM orders) x
+""")
+def q_slice_assign(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders.select("o_orderkey")
+    return lay.slice_assign(o, ["o_orderkey"], 5).select("o_orderkey", "idx", "slice")
+
+
+@register("row_index", "SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS idx FROM events")
+def q_row_index(spark, sf_dir):
+    e = Tables(spark, sf_dir).events.select("event_id", "ts")
+    return lay.row_index(e, ["ts", "event_id"]).select("event_id", "idx")
+
+
+@register("repartition", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+def q_repartition(spark, sf_dir):
+    li = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
+    return li.repartition(16)
+
+
+@register("coalesce", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+def q_coalesce(spark, sf_dir):
+    li = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
+    return li.coalesce(2)
+
+
+@register("partition_by_hash", "SELECT o_orderkey, o_custkey % 8 AS slot FROM orders")
+def q_partition_by_hash(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey")
+    slot = F.pmod(F.col("o_custkey"), F.lit(8)).cast("int")
+    # rows land in partition ``slot``; the visible column is the partitioner's answer
+    placed = lay.partition_by_id(o.withColumn("slot", slot), 8, F.col("slot"))
+    return placed.select("o_orderkey", F.col("slot").cast("bigint").alias("slot"))
+
+
+_SEGMENT_PARTITION = ("CASE c_mktsegment WHEN 'BUILDING' THEN 0 WHEN 'AUTOMOBILE' THEN 1 ELSE 2 END")
+
+
+@register("partition_by_custom", f"SELECT c_custkey, CAST({_SEGMENT_PARTITION} AS BIGINT) AS part FROM customer")
+def q_partition_by_custom(spark, sf_dir):
+    """Custom partitioner (two named keys, everything else in a third
+    partition); ``part`` is the partition each row actually landed in."""
+    c = Tables(spark, sf_dir).customer.select("c_custkey", "c_mktsegment")
+    pid = (F.when(F.col("c_mktsegment") == "BUILDING", 0)
+            .when(F.col("c_mktsegment") == "AUTOMOBILE", 1).otherwise(2))
+    placed = lay.partition_by_id(c, 3, pid)
+    return placed.select("c_custkey", F.spark_partition_id().cast("bigint").alias("part"))
+
+
+@register("persist_reuse", """
+  SELECT 'flag' AS dim, l_returnflag AS val, count(*) AS n FROM lineitem GROUP BY 2
+  UNION ALL SELECT 'status', l_linestatus, count(*) FROM lineitem GROUP BY 2
+""")
+def q_persist_reuse(spark, sf_dir):
+    """One persisted input feeding two aggregations."""
+    li = lay.persist(Tables(spark, sf_dir).lineitem.select("l_returnflag", "l_linestatus"),
+                     StorageLevel.MEMORY_AND_DISK)
+    a = li.groupBy(F.col("l_returnflag").alias("val")).agg(F.count(F.lit(1)).alias("n"))
+    b = li.groupBy(F.col("l_linestatus").alias("val")).agg(F.count(F.lit(1)).alias("n"))
+    return (a.select(F.lit("flag").alias("dim"), "val", "n")
+             .unionByName(b.select(F.lit("status").alias("dim"), "val", "n")))
+
+
+@register("checkpoint_cut", """
+  SELECT o_custkey, count(*) AS orders, round(sum(o_totalprice), 4) AS total FROM orders GROUP BY 1
+""")
+def q_checkpoint_cut(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    per = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"),
+                                     F.round(F.sum("o_totalprice"), 4).alias("total"))
+    return lay.cut_lineage(per)
+
+
+@register("rdd_df_convert", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def q_rdd_df_convert(spark, sf_dir):
+    """DataFrame -> RDD of Rows -> DataFrame with the same schema."""
+    c = Tables(spark, sf_dir).customer.select("c_custkey", "c_name", "c_acctbal")
+    return spark.createDataFrame(c.rdd, c.schema)
+
+
+@register("src_collection",
+          "SELECT count(*) AS n, CAST(count(*) * (count(*) - 1) // 2 AS BIGINT) AS total FROM lineitem")
+def q_src_collection(spark, sf_dir):
+    """``spark.range(n, numPartitions)`` -- the distributed form of
+    ``parallelize(1..n, slices)`` -- sized by a table's row count."""
+    n = Tables(spark, sf_dir).lineitem.count()
+    r = spark.range(0, n, numPartitions=5)
+    return r.agg(F.count(F.lit(1)).alias("n"), F.sum("id").cast("bigint").alias("total"))
+
+
+# ------------------------------------------------------------------ scalar functions
+
+
+@register("fn_string", """
+  SELECT page_id, right(url, 5) AS r5, left(url, 5) AS l5, substring(url, 3, 4) AS mid,
+         trim('  ' || CAST(page_id AS VARCHAR) || '  ') AS trimmed,
+         string_split(url, '/')[-1] AS last_seg,
+         regexp_replace('[' || CAST(page_id AS VARCHAR) || ']', '\\[|\\]', '', 'g') AS unbracketed,
+         starts_with(url, 'https') AS secure, contains(url, 'blog') AS blog
+  FROM pages
+""")
+def q_fn_string(spark, sf_dir):
+    p = Tables(spark, sf_dir).pages
+    return p.select("page_id",
+                    F.expr("right(url, 5)").alias("r5"), F.expr("left(url, 5)").alias("l5"),
+                    F.substring("url", 3, 4).alias("mid"),
+                    F.trim(F.concat(F.lit("  "), F.col("page_id").cast("string"), F.lit("  "))).alias("trimmed"),
+                    tx.last_segment("url").alias("last_seg"),
+                    tx.strip_brackets(F.concat(F.lit("["), F.col("page_id").cast("string"), F.lit("]")))
+                    .alias("unbracketed"),
+                    F.col("url").startswith("https").alias("secure"),
+                    F.col("url").contains("blog").alias("blog"))
+
+
+@register("fn_parse_time", fx.with_views("""
+  SELECT line_id, strftime(strptime(string_split(value, ' ')[4], '%d/%m/%Y:%H:%M:%S'), '%H') AS hour,
+         strftime(strptime(string_split(value, ' ')[4], '%d/%m/%Y:%H:%M:%S'), '%Y/%-m/%-d') AS day
+  FROM access_log
+""", "access_log"))
+def q_fn_parse_time(spark, sf_dir):
+    a = fx.access_log(spark, sf_dir)
+    t = tf.parse_access_time(F.split("value", " ").getItem(3))
+    return a.select("line_id", F.date_format(t, "HH").alias("hour"), tf.day_unpadded(t).alias("day"))
+
+
+@register("fn_epoch", fx.with_views("""
+  SELECT event_id, strftime(make_timestamp(CAST(ts_ms // 1000 AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') AS datetime,
+         strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d') AS day,
+         CAST(ts_ms // 10000 * 10000 AS BIGINT) AS bucket_ms
+  FROM ad_clicks
+""", "ad_clicks"))
+def q_fn_epoch(spark, sf_dir):
+    a = fx.ad_clicks(spark, sf_dir)
+    return a.select("event_id",
+                    tf.epoch_seconds_text(F.floor(F.col("ts_ms") / 1000)).alias("datetime"),
+                    tf.epoch_ms_day("ts_ms").alias("day"),
+                    tf.floor_ms("ts_ms", 10_000).alias("bucket_ms"))
+
+
+@register("fn_json_build", fx.with_views("""
+  SELECT day, CAST(to_json(list_sort(list({'xtime': hh, 'yval': CAST(n AS VARCHAR)}))) AS VARCHAR) AS chart FROM (
+    SELECT day, strftime(ts, '%H') AS hh, count(*) AS n FROM ad_clicks GROUP BY 1, 2) c
+  GROUP BY day
+""", "ad_clicks"))
+def q_fn_json_build(spark, sf_dir):
+    """Per day: JSON array of {xtime: hour, yval: clicks}.  A day has at most
+    24 hours, so the collected list has a fixed bound."""
+    a = fx.ad_clicks(spark, sf_dir)
+    per = a.groupBy("day", F.date_format("ts", "HH").alias("hh")).agg(F.count(F.lit(1)).alias("n"))
+    item = F.struct(F.col("hh").alias("xtime"), F.col("n").cast("string").alias("yval"))
+    return per.groupBy("day").agg(F.to_json(F.sort_array(F.collect_list(item))).alias("chart"))
+
+
+@register("udf_scalar", fx.with_views("SELECT id, 'Name: ' || username AS named FROM users", "users"))
+def q_udf_scalar(spark, sf_dir):
+    """Registered (Arrow-batched) UDF called from SQL text."""
+    fu.register_all(spark)
+    fx.users(spark, sf_dir).createOrReplaceTempView("user_t")
+    return spark.sql("SELECT id, prefixName(username) AS named FROM user_t")
+
+
+@register("udf_date_part", fx.with_views(
+    "SELECT record_id, split_part(create_time, ' ', 1) AS day, split_part(apply_time, ' ', 1) AS day2 FROM reviews",
+    "reviews"))
+def q_udf_date_part(spark, sf_dir):
+    r = fx.reviews(spark, sf_dir)
+    return r.select("record_id", fu.text_before_space_udf("create_time").alias("day"),
+                    tx.text_before("apply_time", " ").alias("day2"))
+
+
+@register("udaf_avg_long", """
+  SELECT o_orderpriority, CAST(sum(o_custkey) // count(o_custkey) AS BIGINT) AS avg_cust,
+         CAST(sum(o_custkey) // count(o_custkey) AS BIGINT) AS avg_cust_udaf
+  FROM orders GROUP BY 1
+""")
+def q_udaf_avg_long(spark, sf_dir):
+    """Built-in (partial aggregation) and pandas grouped-agg forms side by side."""
+    o = Tables(spark, sf_dir).orders
+    builtin = o.groupBy("o_orderpriority").agg(F.expr("sum(o_custkey) div count(o_custkey)").alias("avg_cust"))
+    pudaf = o.groupBy("o_orderpriority").agg(fu.avg_long_udaf("o_custkey").alias("avg_cust_udaf"))
+    return builtin.join(pudaf, "o_orderpriority")
+
+
+# ------------------------------------------------------------------ wide-column cells
+
+def _cells(spark, sf_dir, event_type: str):
+    """Click cells (row day_page, info:click) versioned by hour, from events."""
+    e = Tables(spark, sf_dir).events.where(F.col("event_type") == event_type)
+    k = fx.prop_k()
+    per = e.groupBy(F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit("_"), (k % 7 + 1).cast("string"))
+                    .alias("row_key"), F.hour("ts").cast("bigint").alias("version")) \
+           .agg(F.count(F.lit(1)).alias("n"))
+    return per.select("row_key", F.lit("info").alias("family"), F.lit("click").alias("qualifier"),
+                      "version", F.col("n").cast("string").alias("value"))
+
+
+def _sql_cells(event_type: str) -> str:
+    return f"""
+    SELECT strftime(ts, '%Y-%m-%d') || '_' || CAST({fx.SQL_K} % 7 + 1 AS VARCHAR) AS row_key,
+           'info' AS family, 'click' AS qualifier, CAST(hour(ts) AS BIGINT) AS version,
+           CAST(count(*) AS VARCHAR) AS value
+    FROM events WHERE event_type = '{event_type}' GROUP BY 1, 4"""
+
+
+_SQL_CELLS = f"SELECT * FROM ({_sql_cells('click')}) a UNION ALL SELECT * FROM ({_sql_cells('view')}) b"
+_SQL_LATEST = f"""
+  SELECT row_key, family, qualifier, version, value FROM (
+    SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY version DESC, value DESC) AS rn
+    FROM ({_SQL_CELLS}) c) r WHERE rn = 1
+"""
+
+
+def _all_cells(spark, sf_dir):
+    return cl.put(_cells(spark, sf_dir, "click"), _cells(spark, sf_dir, "view"))
+
+
+@register("cell_upsert", _SQL_LATEST)
+def q_cell_upsert(spark, sf_dir):
+    return cl.latest(_all_cells(spark, sf_dir))
+
+
+@register("cell_versions", f"""
+  SELECT row_key, family, qualifier, version, value FROM (
+    SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY version DESC, value DESC) AS rn
+    FROM ({_SQL_CELLS}) c) r WHERE rn <= 2
+""")
+def q_cell_versions(spark, sf_dir):
+    return cl.versions(_all_cells(spark, sf_dir), 2)
+
+
+@register("cell_scan_range", f"""
+  SELECT * FROM ({_SQL_LATEST}) l WHERE row_key >= '2024-01-10' AND row_key < '2024-01-20'
+""")
+def q_cell_scan_range(spark, sf_dir):
+    return cl.scan_range(_all_cells(spark, sf_dir), "2024-01-10", "2024-01-20", "info", "click")
+
+
+@register("cell_delete", f"""
+  SELECT * FROM ({_SQL_CELLS}) c
+  WHERE NOT ends_with(row_key, '_3') AND NOT (starts_with(row_key, '2024-01-05') AND qualifier = 'click')
+""")
+def q_cell_delete(spark, sf_dir):
+    cells = _all_cells(spark, sf_dir)
+    keys = cells.select("row_key").distinct()
+    whole = keys.where(F.col("row_key").endswith("_3")).select(
+        "row_key", F.lit(None).cast("string").alias("family"), F.lit(None).cast("string").alias("qualifier"))
+    single = keys.where(F.col("row_key").startswith("2024-01-05")).select(
+        "row_key", F.lit("info").alias("family"), F.lit("click").alias("qualifier"))
+    return cl.delete(cells, whole.unionByName(single))

@@ -147,7 +147,7 @@ def ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_AD_CLICKS = f"""
-  SELECT event_id, ts, epoch_ms(ts) AS ts_ms, strftime(ts, '%Y-%m-%d') AS day,
+  SELECT event_id, ts, epoch_us(ts) // 1000 AS ts_ms, strftime(ts, '%Y-%m-%d') AS day,
          'area' || CAST(user_id % 3 AS VARCHAR) AS area,
          'city' || CAST((user_id // 3) % 3 AS VARCHAR) AS city,
          user_id AS "user", {SQL_K} % 6 + 1 AS ad
