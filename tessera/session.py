@@ -7,7 +7,6 @@ which is the case in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -65,7 +64,7 @@ def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def work_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder.
+    """A fresh (not yet created) path under the shared checkpoint folder.
 
     Reads ``spark.checkpoint.dir`` from the session; only when it is unset
     (tests, laptops) a private folder under /tmp is made and registered as
@@ -77,7 +76,5 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
         spark.sparkContext.setCheckpointDir(base)
         base = _configured_checkpoint_dir(spark) or base
     name = "-".join(parts) if parts else "work"
-    path = base.rstrip("/") + "/tessera/" + name + "-" + uuid.uuid4().hex[:12]
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    # a unique, not yet existing path: writers create it
+    return base.rstrip("/") + "/tessera/" + name + "-" + uuid.uuid4().hex[:12]

@@ -113,8 +113,9 @@ def check(spark, sf_dir, names=None, verbose=True):
         if not rec["types_ok"]:
             rec["types"] = {"spark": dict(zip(s_names, s_types)), "duck": dict(zip(d_names, d_types))}
         if rec["status"] != "ok":
-            only_s = [x for x in sl if x not in set(dl)][:3]
-            only_d = [x for x in dl if x not in set(sl)][:3]
+            ds, ss = set(dl), set(sl)
+            only_s = [x[:300] for x in sl if x not in ds][:3]
+            only_d = [x[:300] for x in dl if x not in ss][:3]
             rec["diff"] = {"spark_only": only_s, "duck_only": only_d,
                            "spark_cols": s_names, "duck_cols": d_names}
         results[name] = rec
