@@ -1 +1,333 @@
-"""Registered queries."""
+"""Registered streaming queries.
+
+Each stream replays a test table in ``N_BATCHES`` event-time batches (see
+``tessera.streaming.replay``), restarting from its checkpoint for every
+batch, and returns the final table.  The SQL twin is the batch answer on
+the same input: a stream is right when its final table equals it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.plans.registry import register
+from tessera.sources import fixtures as fx
+from tessera.sources.tables import Tables
+from tessera.streaming import blacklist as bl
+from tessera.streaming import operators as so
+from tessera.streaming.replay import Replay, assign_batches, latest, sql_batches, window_bounds
+
+N_BATCHES = 3
+
+
+def _events(spark, sf_dir):
+    return assign_batches(Tables(spark, sf_dir).events, "ts", N_BATCHES)
+
+
+def _clicks(spark, sf_dir):
+    return assign_batches(fx.ad_clicks(spark, sf_dir), "ts", N_BATCHES)
+
+
+_SQL_EVENTS = f"SELECT *, {sql_batches('ts', N_BATCHES, 'events')} AS batch FROM events"
+_SQL_CLICKS = (f"SELECT *, {sql_batches('ts', N_BATCHES, 'events')} AS batch FROM ({fx.SQL_AD_CLICKS}) a")
+
+
+def _update_sink(rp: Replay, stream_df):
+    return stream_df.writeStream.outputMode("update").foreachBatch(rp.batch_sink())
+
+
+def _append_sink(rp: Replay, stream_df):
+    return stream_df.writeStream.outputMode("append").foreachBatch(rp.batch_sink())
+
+
+# ------------------------------------------------------------------ stateless / per batch
+
+
+@register("st_word_count", f"""
+  SELECT doc_id % {N_BATCHES} AS batch, word, CAST(count(*) AS BIGINT) AS cnt
+  FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents) w GROUP BY ALL
+""")
+def q_st_word_count(spark, sf_dir):
+    """Stateless count per micro-batch, done inside ``foreachBatch``."""
+    docs = Tables(spark, sf_dir).documents.select(
+        (F.col("doc_id") % N_BATCHES).cast("bigint").alias("batch"), "text")
+    rp = Replay(spark, "word-count")
+    sink = rp.batch_sink()
+
+    def per_batch(df, batch_id):
+        words = df.select("batch", F.explode(F.split("text", " ")).alias("word"))
+        sink(words.groupBy("batch", "word").agg(F.count(F.lit(1)).alias("cnt")), batch_id)
+
+    rp.run(docs, "batch", N_BATCHES, lambda s: s.writeStream.foreachBatch(per_batch))
+    return rp.read_out().drop("batch_id")
+
+
+@register("st_queue_source", f"""
+  SELECT batch, count(*) AS n, round(sum(value), 4) AS value_sum FROM ({_SQL_EVENTS}) e GROUP BY batch
+""")
+def q_st_queue_source(spark, sf_dir):
+    """A queue of prepared batches consumed one per trigger."""
+    rp = Replay(spark, "queue")
+    sink = rp.batch_sink()
+
+    def per_batch(df, batch_id):
+        sink(df.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("value_sum")),
+             batch_id)
+
+    rp.run(_events(spark, sf_dir), "batch", N_BATCHES, lambda s: s.writeStream.foreachBatch(per_batch))
+    return rp.read_out().drop("batch_id")
+
+
+@register("st_parse", fx.with_views(
+    'SELECT ts_ms, area, city, "user", ad FROM ad_clicks', "ad_clicks"))
+def q_st_parse(spark, sf_dir):
+    """Parse the click message text on the stream (append mode)."""
+    lines = _clicks(spark, sf_dir).select(
+        "batch", F.concat_ws(" ", F.col("ts_ms").cast("string"), "area", "city", F.col("user").cast("string"),
+                             F.col("ad").cast("string")).alias("value"))
+    rp = Replay(spark, "parse")
+    rp.run(lines, "batch", N_BATCHES,
+           lambda s: _append_sink(rp, so.parse_clicks(s).select("ts_ms", "area", "city", "user", "ad")))
+    return rp.read_out().drop("batch_id")
+
+
+@register("st_transform", f"""
+  SELECT batch, c_mktsegment, CAST(count(*) AS BIGINT) AS n
+  FROM ({_SQL_EVENTS}) e JOIN customer ON e.user_id = c_custkey GROUP BY ALL
+""")
+def q_st_transform(spark, sf_dir):
+    """Per-batch DataFrame code: each micro-batch is joined to a static table."""
+    cust = Tables(spark, sf_dir).customer.select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
+    rp = Replay(spark, "transform")
+    sink = rp.batch_sink()
+
+    def per_batch(df, batch_id):
+        sink(df.join(cust, "user_id").groupBy("batch", "c_mktsegment").agg(F.count(F.lit(1)).alias("n")),
+             batch_id)
+
+    rp.run(_events(spark, sf_dir), "batch", N_BATCHES, lambda s: s.writeStream.foreachBatch(per_batch))
+    return rp.read_out().drop("batch_id")
+
+
+@register("st_foreach_batch", f"""
+  SELECT batch, event_type, CAST(count(*) AS BIGINT) AS n FROM ({_SQL_EVENTS}) e GROUP BY ALL
+""")
+def q_st_foreach_batch(spark, sf_dir):
+    rp = Replay(spark, "foreach")
+    sink = rp.batch_sink()
+    rp.run(_events(spark, sf_dir), "batch", N_BATCHES,
+           lambda s: s.writeStream.foreachBatch(
+               lambda df, i: sink(df.groupBy("batch", "event_type").agg(F.count(F.lit(1)).alias("n")), i)))
+    return rp.read_out().drop("batch_id")
+
+
+# ------------------------------------------------------------------ running state
+
+
+@register("st_running_state", "SELECT user_id, count(*) AS n FROM events GROUP BY 1")
+def q_st_running_state(spark, sf_dir):
+    rp = Replay(spark, "running")
+    rp.run(_events(spark, sf_dir), "batch", N_BATCHES,
+           lambda s: _update_sink(rp, so.running_count(s, ["user_id"])))
+    return latest(rp.read_out(), ["user_id"])
+
+
+@register("st_resume", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def q_st_resume(spark, sf_dir):
+    """Running count carried across restarts by the checkpoint alone."""
+    rp = Replay(spark, "resume")
+    rp.run(_events(spark, sf_dir), "batch", N_BATCHES,
+           lambda s: _update_sink(rp, so.running_count(s, ["event_type"])))
+    return latest(rp.read_out(), ["event_type"])
+
+
+@register("st_graceful_stop", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def q_st_graceful_stop(spark, sf_dir):
+    """All input present: ``availableNow`` drains it and stops by itself."""
+    rp = Replay(spark, "drain")
+    ev = _events(spark, sf_dir)
+    for b in range(N_BATCHES):
+        ev.where(F.col("batch") == b).write.parquet(f"{rp.src}/part{b:05d}")
+    q = (so.running_count(rp.stream(ev.schema), ["event_type"]).writeStream.outputMode("complete")
+         .foreachBatch(rp.batch_sink()).option("checkpointLocation", rp.ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return latest(rp.read_out(), ["event_type"])
+
+
+_SQL_AREA_CITY = """
+  SELECT day, area, city, ad, count(*) AS n FROM ad_clicks GROUP BY ALL
+"""
+
+
+def _area_city(spark, sf_dir, name):
+    rp = Replay(spark, name)
+    rp.run(_clicks(spark, sf_dir), "batch", N_BATCHES,
+           lambda s: _update_sink(rp, so.running_count(s, ["day", "area", "city", "ad"])))
+    return latest(rp.read_out(), ["day", "area", "city", "ad"])
+
+
+@register("st_upsert_add", fx.with_views(_SQL_AREA_CITY, "ad_clicks"))
+def q_st_upsert_add(spark, sf_dir):
+    """Running counts written as values per key (replace, never add)."""
+    return _area_city(spark, sf_dir, "upsert")
+
+
+@register("q_ad_area_city", fx.with_views(_SQL_AREA_CITY, "ad_clicks"))
+def q_ad_area_city(spark, sf_dir):
+    return _area_city(spark, sf_dir, "area-city")
+
+
+@register("st_keyed_cells", f"""
+  SELECT strftime(ts, '%Y-%m-%d') || '_' || CAST({fx.SQL_K} % 7 + 1 AS VARCHAR) AS row_key,
+         'info' AS family, 'click' AS qualifier, CAST(max(batch) AS BIGINT) AS version,
+         CAST(count(*) AS VARCHAR) AS value
+  FROM ({_SQL_EVENTS}) e GROUP BY 1
+""")
+def q_st_keyed_cells(spark, sf_dir):
+    """Running page count per (day, page) kept as wide-column cells."""
+    ev = _events(spark, sf_dir).withColumn(
+        "row_key", F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit("_"), (fx.prop_k() % 7 + 1).cast("string")))
+    rp = Replay(spark, "cells")
+    counts = lambda s: s.groupBy("row_key").agg(F.count(F.lit(1)).alias("n"),
+                                                F.max("batch").cast("bigint").alias("version"))
+    rp.run(ev, "batch", N_BATCHES, lambda s: _update_sink(rp, counts(s)))
+    cur = latest(rp.read_out(), ["row_key"])
+    return cur.select("row_key", F.lit("info").alias("family"), F.lit("click").alias("qualifier"),
+                      "version", F.col("n").cast("string").alias("value"))
+
+
+# ------------------------------------------------------------------ event-time windows
+
+
+def _sql_windows(length_s: int, slide_s: int, keys: str, table: str) -> str:
+    k = length_s // slide_s
+    return f"""
+  SELECT strftime(make_timestamp(ws), '%Y-%m-%d %H:%M:%S') AS window_start,
+         strftime(make_timestamp(ws + {length_s} * 1000000), '%Y-%m-%d %H:%M:%S') AS window_end,
+         {keys}, count(*) AS n
+  FROM (SELECT *, (epoch_us(ts) // {slide_s * 1000000}) * {slide_s * 1000000} - j * {slide_s * 1000000} AS ws
+        FROM {table}, range({k}) r(j)) x
+  GROUP BY ALL
+"""
+
+
+@register("st_window_tumbling", f"WITH e AS (SELECT * FROM events) {_sql_windows(360, 360, 'event_type', 'e')}")
+def q_st_window_tumbling(spark, sf_dir):
+    rp = Replay(spark, "tumbling")
+    rp.run(_events(spark, sf_dir), "batch", N_BATCHES,
+           lambda s: _update_sink(rp, so.windowed_count(s, "ts", "6 minutes", None, ["event_type"], "6 minutes")
+                                  .select(*window_bounds(), "event_type", "n")))
+    return latest(rp.read_out(), ["window_start", "window_end", "event_type"])
+
+
+@register("st_window_sliding", f"WITH e AS (SELECT * FROM events) {_sql_windows(540, 180, 'event_type', 'e')}")
+def q_st_window_sliding(spark, sf_dir):
+    rp = Replay(spark, "sliding")
+    rp.run(_events(spark, sf_dir), "batch", N_BATCHES,
+           lambda s: _update_sink(rp, so.windowed_count(s, "ts", "9 minutes", "3 minutes", ["event_type"],
+                                                        "9 minutes")
+                                  .select(*window_bounds(), "event_type", "n")))
+    return latest(rp.read_out(), ["window_start", "window_end", "event_type"])
+
+
+_SQL_ADCLICK = f"""
+  WITH b AS (SELECT make_timestamp((epoch_us(ts) // 600000000) * 600000000) AS bucket, ts FROM events)
+  SELECT window_start, window_end, strftime(bucket, '%H:%M') AS xtime, count(*) AS clicks FROM (
+    SELECT strftime(make_timestamp(ws), '%Y-%m-%d %H:%M:%S') AS window_start,
+           strftime(make_timestamp(ws + 3600000000), '%Y-%m-%d %H:%M:%S') AS window_end, bucket
+    FROM (SELECT bucket, (epoch_us(bucket) // 600000000) * 600000000 - j * 600000000 AS ws
+          FROM b, range(6) r(j)) x) y
+  GROUP BY ALL
+"""
+
+
+def _adclick_windows(spark, sf_dir, name):
+    """Clicks pre-bucketed to 10 minutes, counted over the last hour every 10 minutes."""
+    rp = Replay(spark, name)
+
+    def build(s):
+        b = s.select(so.bucket_time("ts", 600, "bucket"))
+        b = b.withWatermark("bucket", "1 hour").withColumn("xtime", F.date_format("bucket", "HH:mm"))
+        # one event-time grouping column (the window); the bucket rides along as text
+        agg = (b.groupBy(F.window("bucket", "1 hour", "10 minutes").alias("window"), "xtime")
+                .agg(F.count(F.lit(1)).alias("clicks")))
+        return _update_sink(rp, agg.select(*window_bounds(), "xtime", "clicks"))
+    rp.run(_events(spark, sf_dir), "batch", N_BATCHES, build)
+    return latest(rp.read_out(), ["window_start", "window_end", "xtime"])
+
+
+@register("st_window_adclick", _SQL_ADCLICK)
+def q_st_window_adclick(spark, sf_dir):
+    return _adclick_windows(spark, sf_dir, "adclick")
+
+
+@register("q_ad_last_minute", f"""
+  SELECT window_start, CAST(to_json(list_sort(list({{'xtime': xtime, 'yval': CAST(clicks AS VARCHAR)}}))) AS VARCHAR) AS chart
+  FROM ({_SQL_ADCLICK}) w GROUP BY window_start
+""")
+def q_ad_last_minute(spark, sf_dir):
+    """Chart JSON per window, sorted by time; a window holds at most 6 buckets."""
+    w = _adclick_windows(spark, sf_dir, "last-minute")
+    item = F.struct("xtime", F.col("clicks").cast("string").alias("yval"))
+    return w.groupBy("window_start").agg(F.to_json(F.sort_array(F.collect_list(item))).alias("chart"))
+
+
+# ------------------------------------------------------------------ stream-stream join
+
+
+@register("st_batch_join", """
+  SELECT c.user_id, strftime(make_timestamp((epoch_us(c.ts) // 3600000000) * 3600000000), '%Y-%m-%d %H:%M:%S') AS window_start,
+         c.event_id AS click_id, p.event_id AS purchase_id
+  FROM events c JOIN events p
+    ON c.user_id = p.user_id AND epoch_us(c.ts) // 3600000000 = epoch_us(p.ts) // 3600000000
+  WHERE c.event_type = 'click' AND p.event_type = 'purchase'
+""")
+def q_st_batch_join(spark, sf_dir):
+    """Clicks and purchases of a user in the same hour window (inner
+    stream-stream join with watermarks on both sides)."""
+    rp = Replay(spark, "join")
+
+    def build(s):
+        def side(kind, id_alias):
+            x = s.where(F.col("event_type") == kind).withWatermark("ts", "1 hour")
+            return x.select(F.col("user_id").alias(f"{id_alias}_user"), F.col("event_id").alias(id_alias),
+                            F.window("ts", "1 hour").alias(f"{id_alias}_w"))
+        c, p = side("click", "click_id"), side("purchase", "purchase_id")
+        j = c.join(p, (F.col("click_id_user") == F.col("purchase_id_user")) &
+                   (F.col("click_id_w") == F.col("purchase_id_w")))
+        out = j.select(F.col("click_id_user").alias("user_id"),
+                       F.date_format(F.col("click_id_w").start, "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                       "click_id", "purchase_id")
+        return _append_sink(rp, out)
+    rp.run(_events(spark, sf_dir), "batch", N_BATCHES, build)
+    return rp.read_out().drop("batch_id")
+
+
+# ------------------------------------------------------------------ black list
+
+
+def _blacklist_log(spark, sf_dir, name, threshold=bl.THRESHOLD):
+    so.use_rocksdb(spark)
+    rp = Replay(spark, name)
+    rp.run(_clicks(spark, sf_dir), "batch", N_BATCHES,
+           lambda s: _update_sink(rp, bl.blacklist_stream(s, threshold)))
+    return rp.read_out()
+
+
+def _sql_bl(final: str) -> str:
+    parts = bl.sql_blacklist("clicks")
+    ctes = {"clicks": _SQL_CLICKS, **parts}
+    return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items()) + "\n" + final
+
+
+@register("st_blacklist", _sql_bl("SELECT * FROM counts"))
+def q_st_blacklist(spark, sf_dir):
+    """user_ad_count(dt, userid, adid, count) after the last batch."""
+    return bl.final_tables(_blacklist_log(spark, sf_dir, "blacklist-counts"))[0]
+
+
+@register("q_ad_blacklist", _sql_bl('SELECT DISTINCT "user" AS userid FROM trig'))
+def q_ad_blacklist(spark, sf_dir):
+    """black_list(userid) after the last batch."""
+    return bl.final_tables(_blacklist_log(spark, sf_dir, "blacklist-users"))[1]
