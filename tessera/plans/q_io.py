@@ -55,17 +55,19 @@ def q_src_whole_text(spark, sf_dir):
                  F.sum(F.length("content")).cast("bigint").alias("chars"))
 
 
-@register("sink_single_file", fx.with_views(
-    "SELECT word, CAST(count(*) AS BIGINT) AS cnt FROM (SELECT unnest(string_split(value, ' ')) AS word FROM document_lines) w GROUP BY word",
-    "document_lines"))
+@register("sink_single_file", """
+  SELECT substring(strftime(ts, '%H:%M:%S'), 1, 2) AS hour, CAST(count(*) AS BIGINT) AS searches
+  FROM documents d JOIN events e ON d.doc_id = e.event_id JOIN pages p ON d.doc_id = p.page_id
+  GROUP BY 1
+""")
 def q_sink_single_file(spark, sf_dir):
-    """Sorted word counts written as exactly one CSV file."""
-    from tessera.plans.analyses import word_count
+    """Searches per hour (at most 24 rows), sorted, written as exactly one
+    CSV file.  ``coalesce(1)`` is kept for results with such a fixed bound."""
+    from tessera.plans.analyses import parse_search, search_hourly
     d = work_dir(spark, "single")
-    wc = word_count(fx.document_lines(spark, sf_dir)).orderBy(F.desc("cnt"), "word")
-    io.write_single_file(wc, d, "csv", header="true", escape='"', quoteAll="true")
-    # words may hold line breaks: quoted fields span lines
-    return io.read_csv(spark, d, schema="word string, cnt long", header=True, escape='"', multiLine="true")
+    hourly = search_hourly(parse_search(fx.search_lines(spark, sf_dir))).orderBy("hour")
+    io.write_single_file(hourly, d, "csv", header="true")
+    return io.read_csv(spark, d, schema="hour string, searches long", header=True)
 
 
 # ---------------------------------------------------------------- json / csv

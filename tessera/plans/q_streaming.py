@@ -331,3 +331,20 @@ def q_st_blacklist(spark, sf_dir):
 def q_ad_blacklist(spark, sf_dir):
     """black_list(userid) after the last batch."""
     return bl.final_tables(_blacklist_log(spark, sf_dir, "blacklist-users"))[1]
+
+
+# ------------------------------------------------------------------ custom source
+
+
+@register("st_custom_source", "SELECT event_type, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS users_sum FROM events GROUP BY 1")
+def q_st_custom_source(spark, sf_dir):
+    """A custom Python streaming source feeding a running aggregate."""
+    from tessera.sources.tables import table_path
+    from tessera.streaming.sources import table_feed
+    rp = Replay(spark, "custom")
+    s = table_feed(spark, table_path(sf_dir, "events"), "event_id long, user_id long, event_type string")
+    agg = s.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("user_id").alias("users_sum"))
+    q = (agg.writeStream.outputMode("complete").foreachBatch(rp.batch_sink())
+         .option("checkpointLocation", rp.ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return latest(rp.read_out(), ["event_type"])

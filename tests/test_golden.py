@@ -150,3 +150,15 @@ def test_sla_rule_boundaries(spark):
     ], "create_time string, apply_time string")
     r = an.sla_overdue(df).first()
     assert (r["overdue_before_18"], r["overdue_after_18"]) == (1, 1)
+
+
+def test_pandas_udaf_surface(spark):
+    """The grouped-agg pandas UDAF gives the same long-division average."""
+    from tessera.functions import udf as fu
+    data = [("a", 1), ("a", 2), ("b", 3), ("b", 4), ("b", 5), ("a", 6)]
+    df = _pairs(spark, data)
+    assert rows(df.groupBy("k").agg(fu.avg_long_udaf("v"))) == [("a", 3), ("b", 4)]
+    fu.register_all(spark)
+    df.createOrReplaceTempView("pairs_t")
+    assert rows(spark.sql("SELECT k, avgLong(v), prefixName(k) FROM pairs_t GROUP BY k")) == \
+        [("a", 3, "Name: a"), ("b", 4, "Name: b")]
