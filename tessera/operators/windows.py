@@ -19,21 +19,25 @@ from pyspark.sql import functions as F
 def next_in_group(df: DataFrame, keys: Sequence[str], time_col: str, tie_col: str, value: str,
                   alias: str, bucket_seconds: int = 3600) -> DataFrame:
     """Append ``alias`` = value of the next row of the same group in
-    (time_col, tie_col) order, NULL for the last row."""
+    (time_col, tie_col) order, NULL for the last row.
+
+    One shuffle on (keys, bucket) feeds a single sorted window that yields
+    the in-piece ``lead`` and marks each piece's first and last row.  The
+    first rows (one per piece) get their successor piece's first value with
+    a window per group, and are joined back on (keys, bucket), which the
+    big side already satisfies (same partitioning and sort order)."""
     bucket = F.floor(F.unix_micros(F.col(time_col)) / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
-    d = b = df.withColumn("__b", bucket)
     inner = Window.partitionBy(*keys, "__b").orderBy(time_col, tie_col)
-    d = (d.withColumn(alias, F.lead(value).over(inner))
-          .withColumn("__last", F.lead(tie_col).over(inner).isNull()))
-    # first row of every piece, as a struct ordered by (time, tie)
-    firsts = (b.groupBy(*keys, "__b")
-               .agg(F.min(F.struct(F.col(time_col), F.col(tie_col), F.col(value).alias("v"))).alias("__first")))
+    d = (df.withColumn("__b", bucket)
+           .withColumn(alias, F.lead(value).over(inner))
+           .withColumn("__last", F.lead(tie_col).over(inner).isNull())
+           .withColumn("__first", F.lag(tie_col).over(inner).isNull()))
     per_group = Window.partitionBy(*keys).orderBy("__b")
-    links = firsts.select(*keys, "__b", F.lead(F.col("__first.v")).over(per_group).alias("__next_piece"))
-    # the last row of a piece (no in-piece successor) links to the next piece
+    links = (d.where(F.col("__first"))
+              .select(*keys, "__b", F.lead(F.col(value)).over(per_group).alias("__next_piece")))
     out = d.join(links, [*keys, "__b"], "left")
     out = out.withColumn(alias, F.when(F.col("__last"), F.col("__next_piece")).otherwise(F.col(alias)))
-    return out.drop("__b", "__last", "__next_piece")
+    return out.drop("__b", "__last", "__first", "__next_piece")
 
 
 def lead_simple(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str,

@@ -72,24 +72,24 @@ def page_flow(visits: DataFrame, pages: Sequence[int] = (1, 2, 3, 4, 5, 6, 7),
     a directly followed by b, for the consecutive pairs of ``pages``;
     visits(a) counts all visits of a for every page but the last.  Pairs
     that never occur give no row.  The successor is found with the
-    two-level ``next_in_group`` so a huge session is not one task.
+    two-level ``next_in_group`` so a huge session is not one task; the
+    rest is one partial aggregation over at most len(pages) keys.
     """
     pages = list(pages)
     expected = F.create_map(*[F.lit(x) for a, b in zip(pages, pages[1:]) for x in (a, b)])
     v = visits.select("session_id", "action_time", "action_id", "page_id")
     nxt = next_in_group(v, ["session_id"], "action_time", "action_id", "page_id", "next_page",
                         bucket_seconds=bucket_seconds)
-    jumps = (nxt.where(F.col("next_page") == expected[F.col("page_id")])
-                .groupBy(F.col("page_id").alias("from_page"), F.col("next_page").alias("to_page"))
-                .agg(F.count(F.lit(1)).alias("jumps")))
-    # one row per page of the list: a bounded, broadcastable side
-    denom = (visits.where(F.col("page_id").isin(pages[:-1]))
-                   .groupBy(F.col("page_id").alias("from_page"))
-                   .agg(F.count(F.lit(1)).alias("visits")))
-    out = jumps.join(F.broadcast(denom), "from_page", "left")
-    return out.select("from_page", "to_page", "jumps",
-                      F.coalesce("visits", F.lit(0)).alias("visits"),
-                      F.round(F.col("jumps").cast("double") / F.col("visits"), 4).alias("rate"))
+    # every page but the last has exactly one allowed successor, so one
+    # grouped pass gives both the visits of a and the jumps a -> next(a)
+    g = (nxt.where(F.col("page_id").isin(pages[:-1]))
+            .groupBy(F.col("page_id").alias("from_page"))
+            .agg(F.count(F.lit(1)).alias("visits"),
+                 F.sum(F.when(F.col("next_page") == expected[F.col("page_id")], 1).otherwise(0))
+                  .cast("bigint").alias("jumps")))
+    return g.where(F.col("jumps") > 0).select(
+        "from_page", expected[F.col("from_page")].cast("bigint").alias("to_page"), "jumps", "visits",
+        F.round(F.col("jumps").cast("double") / F.col("visits"), 4).alias("rate"))
 
 
 # ----------------------------------------------------------------------------- area top 3
