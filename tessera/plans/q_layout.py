@@ -35,23 +35,27 @@ def q_row_index(spark, sf_dir):
 
 @register("repartition", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
 def q_repartition(spark, sf_dir):
+    """Grow the partition count (a full shuffle): twice the input's."""
     li = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
-    return li.repartition(16)
+    return li.repartition(2 * li.rdd.getNumPartitions())
 
 
 @register("coalesce", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
 def q_coalesce(spark, sf_dir):
+    """Shrink the partition count without a shuffle: a quarter of the input's."""
     li = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
-    return li.coalesce(2)
+    return li.coalesce(max(1, li.rdd.getNumPartitions() // 4))
 
 
-@register("partition_by_hash", "SELECT o_orderkey, o_custkey % 8 AS slot FROM orders")
+@register("partition_by_hash", "SELECT o_orderkey, o_custkey, TRUE AS placed FROM orders")
 def q_partition_by_hash(spark, sf_dir):
+    """Key-partitioned into the session's shuffle-partition count; ``placed``
+    checks that every row sits in partition ``pmod(key, n)``."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey")
-    slot = F.pmod(F.col("o_custkey"), F.lit(8)).cast("int")
-    # rows land in partition ``slot``; the visible column is the partitioner's answer
-    placed = lay.partition_by_id(o.withColumn("slot", slot), 8, F.col("slot"))
-    return placed.select("o_orderkey", F.col("slot").cast("bigint").alias("slot"))
+    slot = F.pmod(F.col("o_custkey"), F.lit(n)).cast("int")
+    placed = lay.partition_by_id(o.withColumn("slot", slot), n, F.col("slot"))
+    return placed.select("o_orderkey", "o_custkey", (F.col("slot") == F.spark_partition_id()).alias("placed"))
 
 
 _SEGMENT_PARTITION = ("CASE c_mktsegment WHEN 'BUILDING' THEN 0 WHEN 'AUTOMOBILE' THEN 1 ELSE 2 END")
@@ -105,7 +109,8 @@ def q_src_collection(spark, sf_dir):
     """``spark.range(n, numPartitions)`` -- the distributed form of
     ``parallelize(1..n, slices)`` -- sized by a table's row count."""
     n = Tables(spark, sf_dir).lineitem.count()
-    r = spark.range(0, n, numPartitions=5)
+    # about 50M ids per slice, never fewer than 5 slices
+    r = spark.range(0, n, numPartitions=max(5, n // 50_000_000 + 1))
     return r.agg(F.count(F.lit(1)).alias("n"), F.sum("id").cast("bigint").alias("total"))
 
 

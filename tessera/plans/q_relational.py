@@ -510,7 +510,11 @@ def q_act_first_take(spark, sf_dir):
     return topk.top_k(Tables(spark, sf_dir).orders.select("o_orderkey", "o_totalprice"), ["o_orderkey"], 5)
 
 
-@register("acc_counters")
+@register("acc_counters", """
+  SELECT count(*) AS rows, round(sum(value), 4) AS value_sum,
+         CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS errors
+  FROM events
+""")
 def q_acc_counters(spark, sf_dir):
     """Counters gathered as side metrics of one job over events."""
     from pyspark.sql import Observation
@@ -520,7 +524,7 @@ def q_acc_counters(spark, sf_dir):
         F.sum(F.when(F.col("event_type") == "error", 1).otherwise(0)).alias("errors"))
     e.write.format("noop").mode("overwrite").save()
     m = obs.get
-    return spark.createDataFrame([(int(m["rows"]), float(m["value_sum"]), int(m["errors"]))],
+    return spark.createDataFrame([(int(m["rows"]), round(float(m["value_sum"]), 4), int(m["errors"]))],
                                  "rows long, value_sum double, errors long")
 
 
@@ -626,3 +630,31 @@ def q_set_except_incremental(spark, sf_dir):
         "o_orderkey", F.when(F.col("o_orderkey") % 11 == 0, F.lit(None)).otherwise(F.year("o_orderdate"))
         .cast("bigint").alias("year"))
     return rel.except_distinct(o, o.where(F.col("year") < 1996))
+
+
+@register("win_rank_top3", """
+  SELECT c_mktsegment, nation, orders, rank FROM (
+    SELECT *, rank() OVER (PARTITION BY c_mktsegment ORDER BY orders DESC) AS rank FROM (
+      SELECT c_mktsegment, CAST(c_nationkey AS BIGINT) AS nation, count(*) AS orders
+      FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL) c) r
+  WHERE rank <= 3
+""")
+def q_win_rank_top3(spark, sf_dir):
+    """``rank() <= 3`` per group, ties kept (WindowGroupLimit before the shuffle)."""
+    t = Tables(spark, sf_dir)
+    c = (t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+         .groupBy("c_mktsegment", F.col("c_nationkey").cast("bigint").alias("nation"))
+         .agg(F.count(F.lit(1)).alias("orders")))
+    return topk.rank_top(c, ["c_mktsegment"], [F.desc("orders")], 3, rank_col="rank")
+
+
+@register("win_group_topn", fx.with_views("""
+  SELECT "user", ad, clicks, rn FROM (
+    SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY clicks DESC, ad) AS rn
+    FROM (SELECT "user", ad, count(*) AS clicks FROM ad_clicks GROUP BY ALL) c) r
+  WHERE rn <= 3
+""", "ad_clicks"))
+def q_win_group_topn(spark, sf_dir):
+    """Sort inside each group and keep 3 (ties cut by the ad id)."""
+    c = fx.ad_clicks(spark, sf_dir).groupBy("user", "ad").agg(F.count(F.lit(1)).alias("clicks"))
+    return topk.top_n_per_group(c, ["user"], [F.desc("clicks"), F.asc("ad")], 3, rank_col="rn")

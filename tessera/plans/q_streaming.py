@@ -348,3 +348,14 @@ def q_st_custom_source(spark, sf_dir):
          .option("checkpointLocation", rp.ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     return latest(rp.read_out(), ["event_type"])
+
+
+@register("st_foreach_partition_sink", "SELECT event_id, user_id, event_type FROM events")
+def q_st_foreach_partition_sink(spark, sf_dir):
+    """Every micro-batch written by its tasks, one output stream per task."""
+    from tessera.streaming.replay import per_partition_sink
+    rp = Replay(spark, "per-partition")
+    sink = per_partition_sink(rp.out)
+    rp.run(_events(spark, sf_dir), "batch", N_BATCHES,
+           lambda s: s.select("event_id", "user_id", "event_type").writeStream.foreachBatch(sink))
+    return rp.read_out().drop("batch_id")
