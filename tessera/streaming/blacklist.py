@@ -10,8 +10,10 @@ the batch start.  Rows of users already black-listed are dropped.
 State lives in the state store, keyed by user: a flag and a map
 (day, ad) -> running count.  The processor emits the new running count of
 every (day, ad) it changed and one ``black`` row when the user is listed.
-A batch's rows for one user arrive as several pandas chunks; they are
-summed first, so memory holds only one row per (day, ad).
+Clicks are pre-counted per (user, day, ad) in every input partition before
+the shuffle; a batch's rows for one user then arrive as several pandas
+chunks of such partial counts, summed first, so memory holds only one row
+per (day, ad).
 """
 
 from __future__ import annotations
@@ -44,7 +46,7 @@ class BlackListProcessor(StatefulProcessor):
         for chunk in rows:  # consume every chunk even when the user is listed
             if listed or chunk.empty:
                 continue
-            part = chunk.groupby(["day", "ad"], sort=False).size()
+            part = chunk.groupby(["day", "ad"], sort=False)["n"].sum()
             batch = part if batch is None else batch.add(part, fill_value=0)
         if listed or batch is None:
             return
@@ -75,12 +77,31 @@ class BlackListProcessor(StatefulProcessor):
         pass
 
 
+def _combine(batches):
+    """Map-side combine inside one input partition: one (user, day, ad, n)
+    row per key instead of one row per click (memory: distinct keys)."""
+    import pyarrow as pa
+    parts = []
+    for b in batches:
+        if b.num_rows:
+            t = pa.Table.from_batches([b]).group_by(["user", "day", "ad"]).aggregate([("user", "count")])
+            parts.append(t.rename_columns(["user", "day", "ad", "n"]))
+    if parts:
+        t = pa.concat_tables(parts).group_by(["user", "day", "ad"]).aggregate([("n", "sum")])
+        t = t.rename_columns(["user", "day", "ad", "n"]).cast(
+            pa.schema([("user", pa.int64()), ("day", pa.string()), ("ad", pa.int64()), ("n", pa.int64())]))
+        yield from t.to_batches()
+
+
 def blacklist_stream(clicks: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """clicks: stream with (user, day, ad).  Output rows per OUTPUT_SCHEMA."""
-    return (clicks.select("user", "day", "ad")
-                  .groupBy("user")
-                  .transformWithStateInPandas(BlackListProcessor(threshold), OUTPUT_SCHEMA,
-                                              "Update", "None"))
+    """clicks: stream with (user, day, ad).  Output rows per OUTPUT_SCHEMA.
+
+    Clicks are pre-counted per (user, day, ad) inside every input partition
+    (a stateless Arrow step) before the shuffle by user, so a user with a
+    huge share of the clicks ships one row per (day, ad) and task."""
+    pre = clicks.select("user", "day", "ad").mapInArrow(_combine, "user long, day string, ad long, n long")
+    return (pre.groupBy("user")
+               .transformWithStateInPandas(BlackListProcessor(threshold), OUTPUT_SCHEMA, "Update", "None"))
 
 
 def sql_blacklist(clicks_with_batch: str, threshold: int = THRESHOLD) -> dict[str, str]:
