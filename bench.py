@@ -46,7 +46,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     from tessera.session import get_session
-    spark = get_session(f"local[{cpus}]", int(cpus) * 2,
+    spark = get_session(f"local[{cpus}]", int(cpus),
                         extra={"spark.driver.memory": "16g"})
     from tessera.plans.registry import queries
     qs = queries()
