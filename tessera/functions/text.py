@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 # Fixed patterns (must agree with the oracle's RE2 engine).
 WHITESPACE = r"[ \t\n\r\f\x0B]+"
-EDGE_WHITESPACE = r"^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$"
+# Java's String.trim() drops every char up to U+0020 at both ends (NUL excluded here).
+TRIM_CHARS = "".join(chr(c) for c in range(1, 33))
 NON_WORD = r"[^\p{L}\p{N}]+"
 SQUARE_BRACKETS = r"\[|\]"
 
@@ -17,8 +18,8 @@ def _c(c) -> Column:
 
 
 def java_trim(c) -> Column:
-    """Trim every kind of ASCII whitespace, not only spaces."""
-    return F.regexp_replace(_c(c), EDGE_WHITESPACE, "")
+    """Trim control characters and spaces at both ends, not only spaces."""
+    return F.btrim(_c(c), F.lit(TRIM_CHARS))
 
 
 def fields(c, sep: str = WHITESPACE) -> Column:

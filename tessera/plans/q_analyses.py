@@ -196,10 +196,12 @@ def q_join_star_sql(spark, sf_dir):
 
 # ---------------------------------------------------------------- search log
 
-_SQL_SEARCH_RECORDS = """
+_TRIM = "trim(value, chr(1)||chr(2)||chr(3)||chr(4)||chr(5)||chr(6)||chr(7)||chr(8)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(14)||chr(15)||chr(16)||chr(17)||chr(18)||chr(19)||chr(20)||chr(21)||chr(22)||chr(23)||chr(24)||chr(25)||chr(26)||chr(27)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32))"
+
+_SQL_SEARCH_RECORDS = f"""
   SELECT f[1] AS query_time, f[2] AS user_id, regexp_replace(f[3], '\\[|\\]', '', 'g') AS query_words,
          CAST(f[4] AS INTEGER) AS result_rank, CAST(f[5] AS INTEGER) AS click_rank, f[6] AS click_url
-  FROM (SELECT regexp_split_to_array(regexp_replace(value, '^[ \\t\\n\\r\\f\\x0B]+|[ \\t\\n\\r\\f\\x0B]+$', '', 'g'),
+  FROM (SELECT regexp_split_to_array({_TRIM},
                                      '[ \\t\\n\\r\\f\\x0B]+') AS f
         FROM search_lines WHERE value IS NOT NULL) s
   WHERE len(f) = 6
@@ -265,14 +267,14 @@ def q_search_user_query(spark, sf_dir):
     return an.search_user_query(_search_records(spark, sf_dir))
 
 
-@register("q_search_best_rank", _search_sql("""
+@register("q_search_best_rank", _search_sql(f"""
   SELECT CAST(sum(CASE WHEN ok AND len(f) = 6 AND TRY_CAST(f[5] AS INTEGER) = 1 AND TRY_CAST(f[4] AS INTEGER) = 1
                   THEN 1 ELSE 0 END) AS BIGINT) AS best,
          count(*) AS lines,
          round(sum(CASE WHEN ok AND len(f) = 6 AND TRY_CAST(f[5] AS INTEGER) = 1 AND TRY_CAST(f[4] AS INTEGER) = 1
                    THEN 1 ELSE 0 END) * 100.0 / count(*), 4) AS rate
   FROM (SELECT value IS NOT NULL AS ok,
-               regexp_split_to_array(regexp_replace(value, '^[ \\t\\n\\r\\f\\x0B]+|[ \\t\\n\\r\\f\\x0B]+$', '', 'g'),
+               regexp_split_to_array({_TRIM},
                                      '[ \\t\\n\\r\\f\\x0B]+') AS f FROM search_lines) s
 """))
 def q_search_best_rank(spark, sf_dir):
