@@ -15,7 +15,8 @@ from tessera.sources import fixtures as fx
 from tessera.sources.tables import Tables
 from tessera.streaming import blacklist as bl
 from tessera.streaming import operators as so
-from tessera.streaming.replay import Replay, assign_batches, latest, sql_batches, window_bounds
+from tessera.streaming.replay import (Replay, assign_batches, latest, shuffle_partitions, sql_batches,
+                                     state_partitions, window_bounds)
 
 N_BATCHES = 3
 
@@ -148,10 +149,11 @@ def q_st_graceful_stop(spark, sf_dir):
     ev = _events(spark, sf_dir)
     for b in range(N_BATCHES):
         ev.where(F.col("batch") == b).write.parquet(f"{rp.src}/part{b:05d}")
-    q = (so.running_count(rp.stream(ev.schema), ["event_type"]).writeStream.outputMode("complete")
-         .foreachBatch(rp.batch_sink()).option("checkpointLocation", rp.ckpt)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    with shuffle_partitions(spark, state_partitions(spark, ev.count())):
+        q = (so.running_count(rp.stream(ev.schema), ["event_type"]).writeStream.outputMode("complete")
+             .foreachBatch(rp.batch_sink()).option("checkpointLocation", rp.ckpt)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
     return latest(rp.read_out(), ["event_type"])
 
 
@@ -344,9 +346,11 @@ def q_st_custom_source(spark, sf_dir):
     rp = Replay(spark, "custom")
     s = table_feed(spark, table_path(sf_dir, "events"), "event_id long, user_id long, event_type string")
     agg = s.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("user_id").alias("users_sum"))
-    q = (agg.writeStream.outputMode("complete").foreachBatch(rp.batch_sink())
-         .option("checkpointLocation", rp.ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
+    n = Tables(spark, sf_dir).events.count()
+    with shuffle_partitions(spark, state_partitions(spark, n)):
+        q = (agg.writeStream.outputMode("complete").foreachBatch(rp.batch_sink())
+             .option("checkpointLocation", rp.ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
     return latest(rp.read_out(), ["event_type"])
 
 

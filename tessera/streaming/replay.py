@@ -15,6 +15,7 @@ the current table (newest row per key).
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,23 @@ def sql_batches(ts_col: str, n: int, table: str) -> str:
             f"((SELECT max(epoch_us({ts_col})) - min(epoch_us({ts_col})) FROM {table}) + 1) AS INTEGER)")
 
 
+def state_partitions(spark: SparkSession, rows: int, rows_per_partition: int = 1_000_000) -> int:
+    """Partitions for a stream's state: by input size, capped by the session."""
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(cap, rows // rows_per_partition + 1))
+
+
+@contextmanager
+def shuffle_partitions(spark: SparkSession, n: int):
+    """Temporarily set the shuffle partitions (read when a query starts)."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 class Replay:
     """Feed ``source`` (with an int batch column) through a streaming query."""
 
@@ -54,14 +72,22 @@ class Replay:
         return self.spark.readStream.schema(schema).parquet(self.src + "/*")
 
     def run(self, source: DataFrame, batch_col: str, n_batches: int,
-            build: Callable[[DataFrame], DataStreamWriter]) -> None:
-        """Write batch b, then (re)start the query until it has consumed it."""
+            build: Callable[[DataFrame], DataStreamWriter], rows_per_partition: int = 1_000_000) -> None:
+        """Write batch b, then (re)start the query until it has consumed it.
+
+        The state-store partition count of a stream is fixed by its first
+        start (the checkpoint keeps it); it is sized here from the input
+        (about ``rows_per_partition`` rows each, at most the session's
+        shuffle partitions) instead of blindly taking the session value.
+        """
         schema = source.schema
+        parts = state_partitions(self.spark, source.count(), rows_per_partition)
         for b in range(n_batches):
             source.where(F.col(batch_col) == b).write.mode("overwrite").parquet(f"{self.src}/part{b:05d}")
             writer = build(self.stream(schema)).option("checkpointLocation", self.ckpt)
-            q = writer.trigger(availableNow=True).start()
-            q.awaitTermination()
+            with shuffle_partitions(self.spark, parts):
+                q = writer.trigger(availableNow=True).start()
+                q.awaitTermination()
             if q.exception() is not None:  # pragma: no cover - surfaced to caller
                 raise RuntimeError(str(q.exception()))
 
