@@ -36,7 +36,8 @@ def row_index(df: DataFrame, order: Sequence[str | Column], alias: str = "idx",
     from tessera.session import work_dir
     spark = df.sparkSession
     work_dir(spark, "index")  # ensures a checkpoint folder exists
-    n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # at least one range per input split (file splits follow maxPartitionBytes)
+    n = n_ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
               .withColumn("__mid", F.monotonically_increasing_id()))

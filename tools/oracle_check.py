@@ -128,10 +128,17 @@ def check(spark, sf_dir, names=None, verbose=True):
 
 
 def main():
-    from tessera.session import get_session
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or None
-    spark = get_session("local[8]", 8)
+    args = [a for a in sys.argv[1:] if a != "--plain"]
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    names = args[1:] or None
+    if "--plain" in sys.argv:
+        # a session with Spark's defaults, as an outside caller would build it
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from tessera.session import get_session
+        spark = get_session("local[8]", 8)
     res = check(spark, sf_dir, names)
     bad = {k: v for k, v in res.items() if v.get("status") not in ("ok", "rows-only") or not v.get("types_ok", True)}
     print(json.dumps({"total": len(res), "bad": sorted(bad)}))
