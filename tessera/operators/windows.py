@@ -2,10 +2,16 @@
 
 ``next_in_group`` is ``lead(value)`` over (group ordered by time, id), but
 computed in two levels so that a session holding a third of all rows is
-not one window task: rows are first cut into (group, time bucket) pieces,
-``lead`` runs inside each piece, and the last row of each piece takes the
-first row of the next non-empty piece of the same group, found with a
-window over the per-piece summaries (one row per piece).
+not one window task: rows are first cut into pieces, ``lead`` runs inside
+each (piece, group), and the last row of each piece takes the first row of
+the next piece of the same group, found with a window over the pieces'
+first rows (one row per piece and group).
+
+Pieces are either ranges of a global sort on (group, time, id)
+(``split="range"``, the default: balanced by row count whatever the skew;
+the sorted copy is checkpointed once so piece ids are stable) or event-time
+buckets (``split="time"``: cheaper, one shuffle, but a group whose rows
+crowd into one bucket stays in one task).
 """
 
 from __future__ import annotations
@@ -17,21 +23,38 @@ from pyspark.sql import functions as F
 
 
 def next_in_group(df: DataFrame, keys: Sequence[str], time_col: str, tie_col: str, value: str,
-                  alias: str, bucket_seconds: int = 3600) -> DataFrame:
+                  alias: str, split: str = "range", bucket_seconds: int = 3600,
+                  n_ranges: int | None = None) -> DataFrame:
     """Append ``alias`` = value of the next row of the same group in
-    (time_col, tie_col) order, NULL for the last row.
+    (time_col, tie_col) order, NULL for the last row."""
+    if split == "range":
+        from tessera.session import work_dir
+        spark = df.sparkSession
+        work_dir(spark, "lead")  # ensures a checkpoint folder exists
+        n = n_ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+        order = [*keys, time_col, tie_col]
+        pieces = (df.repartitionByRange(n, *order)
+                    .withColumn("__b", F.spark_partition_id().cast("bigint"))
+                    .checkpoint(eager=True))
+    else:
+        bucket = F.floor(F.unix_micros(F.col(time_col)) / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
+        pieces = df.withColumn("__b", bucket)
+    return _stitch(pieces, keys, time_col, tie_col, value, alias)
+
+
+def _stitch(pieces: DataFrame, keys: Sequence[str], time_col: str, tie_col: str, value: str,
+            alias: str) -> DataFrame:
+    """lead inside (group, piece) + the next piece's first value at piece ends.
 
-    One shuffle on (keys, bucket) feeds a single sorted window that yields
+    One shuffle on (keys, piece) feeds a single sorted window that yields
     the in-piece ``lead`` and marks each piece's first and last row.  The
-    first rows (one per piece) get their successor piece's first value with
-    a window per group, and are joined back on (keys, bucket), which the
-    big side already satisfies (same partitioning and sort order)."""
-    bucket = F.floor(F.unix_micros(F.col(time_col)) / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
+    first rows (one per piece and group) get their successor piece's first
+    value with a window per group, and are joined back on (keys, piece),
+    which the big side already satisfies (same partitioning and order)."""
     inner = Window.partitionBy(*keys, "__b").orderBy(time_col, tie_col)
-    d = (df.withColumn("__b", bucket)
-           .withColumn(alias, F.lead(value).over(inner))
-           .withColumn("__last", F.lead(tie_col).over(inner).isNull())
-           .withColumn("__first", F.lag(tie_col).over(inner).isNull()))
+    d = (pieces.withColumn(alias, F.lead(value).over(inner))
+               .withColumn("__last", F.lead(tie_col).over(inner).isNull())
+               .withColumn("__first", F.lag(tie_col).over(inner).isNull()))
     per_group = Window.partitionBy(*keys).orderBy("__b")
     links = (d.where(F.col("__first"))
               .select(*keys, "__b", F.lead(F.col(value)).over(per_group).alias("__next_piece")))

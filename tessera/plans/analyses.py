@@ -65,7 +65,7 @@ def log_day_paths(log: DataFrame, day_prefix: str) -> DataFrame:
 
 
 def page_flow(visits: DataFrame, pages: Sequence[int] = (1, 2, 3, 4, 5, 6, 7),
-              bucket_seconds: int = 3600) -> DataFrame:
+              split: str = "range") -> DataFrame:
     """Single-jump conversion rates along ``pages``.
 
     jumps(a -> b) counts, within a session ordered by (time, id), a visit of
@@ -78,8 +78,7 @@ def page_flow(visits: DataFrame, pages: Sequence[int] = (1, 2, 3, 4, 5, 6, 7),
     pages = list(pages)
     expected = F.create_map(*[F.lit(x) for a, b in zip(pages, pages[1:]) for x in (a, b)])
     v = visits.select("session_id", "action_time", "action_id", "page_id")
-    nxt = next_in_group(v, ["session_id"], "action_time", "action_id", "page_id", "next_page",
-                        bucket_seconds=bucket_seconds)
+    nxt = next_in_group(v, ["session_id"], "action_time", "action_id", "page_id", "next_page", split=split)
     # every page but the last has exactly one allowed successor, so one
     # grouped pass gives both the visits of a and the jumps a -> next(a)
     g = (nxt.where(F.col("page_id").isin(pages[:-1]))

@@ -11,12 +11,14 @@ from tessera.plans.registry import queries
 from tessera.sources import fixtures as fx
 
 
-@pytest.mark.parametrize("bucket", [60, 3600, 86400 * 40])
-def test_next_in_group_equals_lead(spark, bucket):
+@pytest.mark.parametrize("split,bucket,ranges", [("time", 60, None), ("time", 3600, None),
+                                                 ("time", 86400 * 40, None), ("range", 0, 3), ("range", 0, 29)])
+def test_next_in_group_equals_lead(spark, split, bucket, ranges):
     v = fx.visits(spark, SF_MID).select("session_id", "action_time", "action_id", "page_id")
     # coarse sessions (per user) so that groups span many time buckets
     v = v.withColumn("session_id", F.substring_index("session_id", "_", 1))
-    got = next_in_group(v, ["session_id"], "action_time", "action_id", "page_id", "nxt", bucket_seconds=bucket)
+    got = next_in_group(v, ["session_id"], "action_time", "action_id", "page_id", "nxt", split=split,
+                        bucket_seconds=bucket or 3600, n_ranges=ranges)
     w = Window.partitionBy("session_id").orderBy("action_time", "action_id")
     exp = v.withColumn("nxt", F.lead("page_id").over(w))
     assert rows(got, "action_id", "nxt") == rows(exp, "action_id", "nxt")
@@ -71,3 +73,12 @@ def test_filters_reach_the_scan(spark):
 def test_top_parts_semi_join_is_broadcast(spark):
     plan = _explain(queries()["filter_in_list"](spark, SF_MID))
     assert "BroadcastHashJoin LeftSemi" in plan or "BroadcastHashJoin" in plan
+
+
+def test_next_in_group_splits_one_hot_group(spark):
+    """All rows in one group and one instant: ranges still cut it apart."""
+    df = spark.range(0, 5000).select(F.lit("hot").alias("g"), F.lit("2024-01-01 00:00:00").cast("timestamp")
+                                     .alias("ts"), F.col("id"), (F.col("id") * 7 % 11).alias("v"))
+    got = next_in_group(df, ["g"], "ts", "id", "v", "nxt", n_ranges=16)
+    exp = {r["id"]: (r["id"] + 1) * 7 % 11 if r["id"] < 4999 else None for r in df.select("id").collect()}
+    assert {r["id"]: r["nxt"] for r in got.select("id", "nxt").collect()} == exp
