@@ -184,13 +184,13 @@ def q_area_top3_remark(spark, sf_dir):
                                          extra={"t2": _SQL_AREA_T2}))
 def q_join_star_sql(spark, sf_dir):
     """The star join written as Spark SQL over temp views."""
-    fx.product_clicks(spark, sf_dir).createOrReplaceTempView("product_clicks")
-    fx.city_info(spark, sf_dir).createOrReplaceTempView("city_info")
-    Tables(spark, sf_dir).part.createOrReplaceTempView("part")
+    fx.product_clicks(spark, sf_dir).createOrReplaceTempView("tessera_product_clicks")
+    fx.city_info(spark, sf_dir).createOrReplaceTempView("tessera_city_info")
+    Tables(spark, sf_dir).part.createOrReplaceTempView("tessera_part")
     return spark.sql("""
       SELECT area, p_name AS product_name, count(*) AS click_cnt
-      FROM product_clicks c JOIN part ON c.click_product_id = p_partkey
-                           JOIN city_info ci ON c.city_id = ci.city_id
+      FROM tessera_product_clicks c JOIN tessera_part ON c.click_product_id = p_partkey
+                                   JOIN tessera_city_info ci ON c.city_id = ci.city_id
       GROUP BY area, p_name""")
 
 
@@ -373,9 +373,9 @@ def q_item_top10(spark, sf_dir):
 """))
 def q_topk_sql(spark, sf_dir):
     """The SQL-text form: one parameterised statement per behaviour."""
-    _clean(spark, sf_dir).createOrReplaceTempView("userbehavior")
+    _clean(spark, sf_dir).createOrReplaceTempView("tessera_userbehavior")
     return spark.sql("""
-      SELECT ItemID, count(BehaviorType) AS times FROM userbehavior WHERE BehaviorType = :b
+      SELECT ItemID, count(BehaviorType) AS times FROM tessera_userbehavior WHERE BehaviorType = :b
       GROUP BY ItemID ORDER BY count(BehaviorType) DESC, ItemID LIMIT 10""", args={"b": "buy"})
 
 
@@ -391,13 +391,13 @@ def q_repurchase_histogram(spark, sf_dir):
 @register("temp_view", _behaviour_sql("SELECT Hours, CAST(count(*) AS BIGINT) AS n FROM clean GROUP BY Hours"))
 def q_temp_view(spark, sf_dir):
     """Chained named views, as the cleaning job builds them."""
-    fx.behaviour_raw(spark, sf_dir).createOrReplaceTempView("userbehavior_raw")
+    fx.behaviour_raw(spark, sf_dir).createOrReplaceTempView("tessera_ub0")
     spark.sql("SELECT UserID, ItemID, CategoryID, BehaviorType, RIGHT(TimeStamp, 10) AS TimeStamp "
-              "FROM userbehavior_raw").createOrReplaceTempView("ub1")
-    spark.sql("SELECT *, FROM_UNIXTIME(TimeStamp) AS DateTime FROM ub1").createOrReplaceTempView("ub2")
-    spark.sql(f"SELECT * FROM ub2 WHERE DateTime BETWEEN '{CLEAN_RANGE[0]}' AND '{CLEAN_RANGE[1]}'") \
-        .createOrReplaceTempView("ub3")
-    return spark.sql("SELECT SUBSTRING(DateTime, 12, 2) AS Hours, count(*) AS n FROM ub3 GROUP BY 1")
+              "FROM tessera_ub0").createOrReplaceTempView("tessera_ub1")
+    spark.sql("SELECT *, FROM_UNIXTIME(TimeStamp) AS DateTime FROM tessera_ub1").createOrReplaceTempView("tessera_ub2")
+    spark.sql(f"SELECT * FROM tessera_ub2 WHERE DateTime BETWEEN '{CLEAN_RANGE[0]}' AND '{CLEAN_RANGE[1]}'") \
+        .createOrReplaceTempView("tessera_ub3")
+    return spark.sql("SELECT SUBSTRING(DateTime, 12, 2) AS Hours, count(*) AS n FROM tessera_ub3 GROUP BY 1")
 
 
 # ---------------------------------------------------------------- review records

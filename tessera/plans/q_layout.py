@@ -181,8 +181,8 @@ def q_fn_json_build(spark, sf_dir):
 def q_udf_scalar(spark, sf_dir):
     """Registered (Arrow-batched) UDF called from SQL text."""
     fu.register_all(spark)
-    fx.users(spark, sf_dir).createOrReplaceTempView("user_t")
-    return spark.sql("SELECT id, prefixName(username) AS named FROM user_t")
+    fx.users(spark, sf_dir).createOrReplaceTempView("tessera_users")
+    return spark.sql("SELECT id, prefixName(username) AS named FROM tessera_users")
 
 
 @register("udf_date_part", fx.with_views(
@@ -206,9 +206,9 @@ def q_udaf_avg_long(spark, sf_dir):
     Python worker, so it is only the registration surface (see tests)."""
     o = Tables(spark, sf_dir).orders
     builtin = o.groupBy("o_orderpriority").agg(F.expr("sum(o_custkey) div count(o_custkey)").alias("avg_cust"))
-    o.createOrReplaceTempView("orders_t")
+    o.createOrReplaceTempView("tessera_orders")
     sql = spark.sql("SELECT o_orderpriority, sum(o_custkey) div count(o_custkey) AS avg_cust_sql "
-                    "FROM orders_t GROUP BY o_orderpriority")
+                    "FROM tessera_orders GROUP BY o_orderpriority")
     return builtin.join(sql, "o_orderpriority")
 
 

@@ -474,8 +474,8 @@ def q_agg_ratio(spark, sf_dir):
 
 @register("agg_avg_sql", fx.with_views("SELECT round(avg(age), 4) AS avg_age FROM users", "users"))
 def q_agg_avg_sql(spark, sf_dir):
-    fx.users(spark, sf_dir).createOrReplaceTempView("users")
-    return spark.sql("SELECT round(avg(age), 4) AS avg_age FROM users")
+    fx.users(spark, sf_dir).createOrReplaceTempView("tessera_users")
+    return spark.sql("SELECT round(avg(age), 4) AS avg_age FROM tessera_users")
 
 
 # ------------------------------------------------------------------ §2.7 global aggregates / actions

@@ -32,7 +32,9 @@ def test_row_index_dense_and_ordered(spark):
     assert got == [r["event_id"] for r in e.orderBy("ts", "event_id").collect()]
 
 
-@pytest.mark.parametrize("name", ["q_hot_categories", "q_page_flow", "agg_by_slice", "q_area_top3_remark"])
+@pytest.mark.parametrize("name", ["q_hot_categories", "q_page_flow", "q_area_top3_remark", "agg_by_slice",
+                                  "agg_fold_by_key", "act_aggregate_fold", "partition_glom", "partition_max",
+                                  "partition_pick", "slice_assign", "row_index", "join_zip", "win_next_page"])
 def test_partition_count_does_not_change_answers(spark, name):
     q = queries()[name]
     old = spark.conf.get("spark.sql.shuffle.partitions")
