@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Time formats of the original logs.
 ACCESS_LOG_TIME = "dd/MM/yyyy:HH:mm:ss"
 DATETIME = "yyyy-MM-dd HH:mm:ss"
 

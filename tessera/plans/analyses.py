@@ -64,7 +64,11 @@ def log_day_paths(log: DataFrame, day_prefix: str) -> DataFrame:
 # ----------------------------------------------------------------------------- page flow
 
 
-def page_flow(visits: DataFrame, pages: Sequence[int] = (1, 2, 3, 4, 5, 6, 7),
+# The page list whose consecutive jumps are measured.
+PAGE_LIST = (1, 2, 3, 4, 5, 6, 7)
+
+
+def page_flow(visits: DataFrame, pages: Sequence[int] = PAGE_LIST,
               split: str = "range") -> DataFrame:
     """Single-jump conversion rates along ``pages``.
 
@@ -209,6 +213,7 @@ def search_hourly(records: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------------------- shopping behaviour
 
+# Behaviour types of the shopping log, in their original order.
 BEHAVIOURS = ("pv", "cart", "fav", "buy")
 
 
