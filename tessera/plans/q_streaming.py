@@ -285,9 +285,13 @@ def q_ad_last_minute(spark, sf_dir):
     ON c.user_id = p.user_id AND epoch_us(c.ts) // 3600000000 = epoch_us(p.ts) // 3600000000
   WHERE c.event_type = 'click' AND p.event_type = 'purchase'
 """)
-def q_st_batch_join(spark, sf_dir):
+def q_st_batch_join(spark, sf_dir, salts: int = 8):
     """Clicks and purchases of a user in the same hour window (inner
-    stream-stream join with watermarks on both sides)."""
+    stream-stream join with watermarks on both sides).
+
+    Salted against a hot user: each click carries ``pmod(hash(id), salts)``
+    and each purchase is replicated once per salt, so every pair still
+    meets exactly once while one user's clicks spread over ``salts`` tasks."""
     rp = Replay(spark, "join")
 
     def build(s):
@@ -295,9 +299,12 @@ def q_st_batch_join(spark, sf_dir):
             x = s.where(F.col("event_type") == kind).withWatermark("ts", "1 hour")
             return x.select(F.col("user_id").alias(f"{id_alias}_user"), F.col("event_id").alias(id_alias),
                             F.window("ts", "1 hour").alias(f"{id_alias}_w"))
-        c, p = side("click", "click_id"), side("purchase", "purchase_id")
+        c = side("click", "click_id").withColumn("click_salt", F.pmod(F.hash("click_id"), F.lit(salts)))
+        p = side("purchase", "purchase_id").withColumn(
+            "purchase_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         j = c.join(p, (F.col("click_id_user") == F.col("purchase_id_user")) &
-                   (F.col("click_id_w") == F.col("purchase_id_w")))
+                   (F.col("click_id_w") == F.col("purchase_id_w")) &
+                   (F.col("click_salt") == F.col("purchase_salt")))
         out = j.select(F.col("click_id_user").alias("user_id"),
                        F.date_format(F.col("click_id_w").start, "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                        "click_id", "purchase_id")
