@@ -42,9 +42,12 @@ def sql_batches(ts_col: str, n: int, table: str) -> str:
 
 
 def state_partitions(spark: SparkSession, rows: int, rows_per_partition: int = 1_000_000) -> int:
-    """Partitions for a stream's state: by input size, capped by the session."""
+    """Partitions for a stream's state: by input size, but never fewer than
+    the cores available (every core busy) nor more than the session's
+    shuffle partitions."""
     cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(cap, rows // rows_per_partition + 1))
+    floor = spark.sparkContext.defaultParallelism
+    return max(1, min(cap, max(floor, rows // rows_per_partition + 1)))
 
 
 @contextmanager
