@@ -58,7 +58,8 @@ class BlackListProcessor(StatefulProcessor):
                 black = True
                 continue
             k = (str(day), int(ad))
-            old = int(self.counts.getValue(k)[0]) if self.counts.containsKey(k) else 0
+            cur = self.counts.getValue(k)  # None when the key is new (one state call)
+            old = int(cur[0]) if cur is not None else 0
             new = old + n
             self.counts.updateValue(k, (new,))
             out.append(("count", user, str(day), int(ad), new))
