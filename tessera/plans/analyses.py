@@ -164,14 +164,15 @@ def area_top3_remark(clicks: DataFrame, city_info: DataFrame, products: DataFram
 
 
 def parse_search(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Lines with exactly 6 whitespace-separated fields -> typed records."""
+    """Lines with exactly 6 whitespace-separated fields -> typed records
+    (ranks that are not numbers become NULL instead of failing the job)."""
     f = lines.where(F.col(col).isNotNull()).select(tx.fields(F.col(col)).alias("f"))
     f = f.where(F.size("f") == 6)
     return f.select(F.col("f").getItem(0).alias("query_time"),
                     F.col("f").getItem(1).alias("user_id"),
                     tx.strip_brackets(F.col("f").getItem(2)).alias("query_words"),
-                    F.col("f").getItem(3).cast("int").alias("result_rank"),
-                    F.col("f").getItem(4).cast("int").alias("click_rank"),
+                    F.col("f").getItem(3).try_cast("int").alias("result_rank"),
+                    F.col("f").getItem(4).try_cast("int").alias("click_rank"),
                     F.col("f").getItem(5).alias("click_url"))
 
 
@@ -200,10 +201,10 @@ def search_best_rank(lines: DataFrame, col: str = "value") -> DataFrame:
     """100 * (records with click and result rank 1) / (all raw lines)."""
     f = lines.select(F.col(col).isNotNull().alias("ok"), tx.fields(F.col(col)).alias("f"))
     parsed = F.col("ok") & (F.size("f") == 6)
-    best = parsed & (F.col("f").getItem(4).cast("int") == 1) & (F.col("f").getItem(3).cast("int") == 1)
+    best = parsed & (F.col("f").getItem(4).try_cast("int") == 1) & (F.col("f").getItem(3).try_cast("int") == 1)
     a = f.agg(F.sum(F.when(best, 1).otherwise(0)).cast("bigint").alias("best"),
               F.count(F.lit(1)).alias("lines"))
-    return a.select("best", "lines", F.round(F.col("best") * 100.0 / F.col("lines"), 4).alias("rate"))
+    return a.select("best", "lines", F.round(F.try_divide(F.col("best") * 100.0, F.col("lines")), 4).alias("rate"))
 
 
 def search_hourly(records: DataFrame) -> DataFrame:

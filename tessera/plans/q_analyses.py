@@ -200,7 +200,7 @@ _TRIM = "trim(value, chr(1)||chr(2)||chr(3)||chr(4)||chr(5)||chr(6)||chr(7)||chr
 
 _SQL_SEARCH_RECORDS = f"""
   SELECT f[1] AS query_time, f[2] AS user_id, regexp_replace(f[3], '\\[|\\]', '', 'g') AS query_words,
-         CAST(f[4] AS INTEGER) AS result_rank, CAST(f[5] AS INTEGER) AS click_rank, f[6] AS click_url
+         TRY_CAST(f[4] AS INTEGER) AS result_rank, TRY_CAST(f[5] AS INTEGER) AS click_rank, f[6] AS click_url
   FROM (SELECT regexp_split_to_array({_TRIM},
                                      '[ \\t\\n\\r\\f\\x0B]+') AS f
         FROM search_lines WHERE value IS NOT NULL) s

@@ -77,13 +77,14 @@ def parse_delimited(lines: DataFrame, schema: T.StructType, sep: str | None = No
     """Positional parse of delimited lines into typed columns.
 
     ``sep`` is a regex (default: any whitespace run, after trimming).  With
-    ``exact`` lines whose field count differs from the schema are dropped.
+    ``exact`` lines whose field count differs from the schema are dropped;
+    fields that do not parse as their type become NULL (``try_cast``).
     """
     f = fields(F.col(col)) if sep is None else F.split(F.col(col), sep)
     d = lines.where(F.col(col).isNotNull()).select(f.alias("__f"))
     if exact:
         d = d.where(F.size("__f") == len(schema.fields))
-    return d.select(*[F.col("__f").getItem(i).cast(fld.dataType).alias(fld.name)
+    return d.select(*[F.col("__f").getItem(i).try_cast(fld.dataType).alias(fld.name)
                       for i, fld in enumerate(schema.fields)])
 
 

@@ -23,9 +23,9 @@ def use_rocksdb(spark: SparkSession) -> None:
 def parse_clicks(lines: DataFrame, col: str = "value") -> DataFrame:
     """``epoch_ms area city user ad`` text -> typed columns (+ ts, day)."""
     f = F.split(F.col(col), " ")
-    p = lines.select(f.getItem(0).cast("bigint").alias("ts_ms"), f.getItem(1).alias("area"),
-                     f.getItem(2).alias("city"), f.getItem(3).cast("bigint").alias("user"),
-                     f.getItem(4).cast("bigint").alias("ad"))
+    p = lines.select(f.getItem(0).try_cast("bigint").alias("ts_ms"), f.getItem(1).alias("area"),
+                     f.getItem(2).alias("city"), f.getItem(3).try_cast("bigint").alias("user"),
+                     f.getItem(4).try_cast("bigint").alias("ad"))
     ts = F.timestamp_millis("ts_ms")
     return p.withColumn("ts", ts).withColumn("day", F.date_format(ts, "yyyy-MM-dd"))
 

@@ -38,3 +38,14 @@ def test_parse_delimited_drops_wrong_field_counts(spark):
     schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("x", T.IntegerType()),
                            T.StructField("y", T.IntegerType())])
     assert rows(io.parse_delimited(lines, schema)) == [("a", 1, 2), ("b", 3, 4)]
+
+
+def test_parsers_survive_ansi_mode_on_bad_numbers(spark):
+    """Spark 4 runs with ANSI casts; a non-numeric rank must give NULL, not an error."""
+    from tessera.plans import analyses as an
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    lines = spark.createDataFrame([("00:00:01 u1 [a+b] 1 1 www.x.com/a",), ("00:00:02 u2 [c] x 2 www.y.com/",)],
+                                  "value string")
+    got = rows(an.parse_search(lines), "user_id", "result_rank", "click_rank")
+    assert got == [("u1", 1, 1), ("u2", None, 2)]
+    assert an.search_best_rank(lines).first()["best"] == 1
