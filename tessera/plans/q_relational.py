@@ -18,7 +18,7 @@ from tessera.operators import topk
 from tessera.operators.windows import next_in_group
 from tessera.plans.registry import register
 from tessera.sources import fixtures as fx
-from tessera.sources.tables import Tables
+from tessera.sources.tables import Tables, spread
 
 SLICES = 8  # logical slices for the partition-sensitive operators
 
@@ -64,7 +64,7 @@ def q_rename_columns(spark, sf_dir):
 
 @register("flat_map", "SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents")
 def q_flat_map(spark, sf_dir):
-    d = Tables(spark, sf_dir).documents
+    d = spread(Tables(spark, sf_dir).documents.select("doc_id", "text"))
     return rel.flat_map_split(d, "text", " ", "word", keep=["doc_id"])
 
 
@@ -411,7 +411,7 @@ def q_agg_avg_sum_count(spark, sf_dir):
   FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) w GROUP BY word
 """)
 def q_agg_combine_equiv(spark, sf_dir):
-    w = rel.flat_map_split(Tables(spark, sf_dir).documents, "text", " ", "word")
+    w = rel.flat_map_split(spread(Tables(spark, sf_dir).documents.select("text")), "text", " ", "word")
     return w.groupBy("word").agg(F.count(F.lit(1)).alias("by_reduce"),
                                  F.sum(F.lit(1)).cast("bigint").alias("by_fold"),
                                  F.count("word").alias("by_combine"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.sources.tables import load
+from tessera.sources.tables import load, spread
 
 # ---------------------------------------------------------------------------
 # shared column helpers
@@ -208,7 +208,7 @@ def search_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     that have no match (no event / page with that id) are left out, which
     yields the malformed lines the parser must drop.
     """
-    d = load(spark, sf_dir, "documents").select("doc_id", "text")
+    d = spread(load(spark, sf_dir, "documents").select("doc_id", "text"))
     e = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", prop_k().alias("k"))
     p = load(spark, sf_dir, "pages").select("page_id", "url")
     j = (d.join(e, d.doc_id == e.event_id, "left")
@@ -343,8 +343,8 @@ SQL_USERS = "SELECT c_custkey AS id, c_name AS username, c_custkey % 60 + 18 AS
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents as the text to count words in."""
-    return load(spark, sf_dir, "documents").select(F.col("doc_id").alias("line_id"),
-                                                   F.col("text").alias("value"))
+    return spread(load(spark, sf_dir, "documents").select(F.col("doc_id").alias("line_id"),
+                                                          F.col("text").alias("value")))
 
 
 SQL_DOCUMENT_LINES = "SELECT doc_id AS line_id, text AS value FROM documents"

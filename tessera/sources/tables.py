@@ -42,6 +42,18 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Make sure CPU-heavy per-row work (text) can use every core.
+
+    A scan has one task per file split; when an input has fewer splits than
+    the cluster has cores (a small table, one row group), the rows are
+    spread round-robin first.  Large inputs already scan in many splits and
+    are returned untouched, so at scale this adds no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 class Tables:
     """Lazy accessor: ``Tables(spark, sf_dir).lineitem``."""
 
