@@ -58,3 +58,20 @@ def test_replay_restart_is_idempotent(spark):
     sink(spark.createDataFrame([("a", 2)], "k string, n long"), 1)
     assert rows(latest(rp.read_out(), ["k"])) == [("a", 2)]
     assert rp.read_out().count() == 2
+
+
+def test_watermark_drops_late_events(spark):
+    """Event-time windows with a watermark: an event older than the
+    watermark (max event time seen minus the delay) no longer counts."""
+    from tessera.streaming import operators as so
+    from tessera.streaming.replay import window_bounds
+    rows_in = [(0, "2024-01-01 10:00:00", "a"), (0, "2024-01-01 10:07:00", "a"),
+               (1, "2024-01-01 09:00:00", "a"),   # 67 min behind: late, dropped
+               (1, "2024-01-01 10:08:00", "a")]
+    df = spark.createDataFrame(rows_in, "batch int, ts string, k string").withColumn("ts", F.col("ts").cast("timestamp"))
+    rp = Replay(spark, "late")
+    rp.run(df, "batch", 2, lambda s: s.transform(
+        lambda x: so.windowed_count(x, "ts", "6 minutes", None, ["k"], "6 minutes")
+        .select(*window_bounds(), "k", "n")).writeStream.outputMode("update").foreachBatch(rp.batch_sink()))
+    got = rows(latest(rp.read_out(), ["window_start", "window_end", "k"]), "window_start", "n")
+    assert got == [("2024-01-01 10:00:00", 1), ("2024-01-01 10:06:00", 2)]  # 09:00 dropped
