@@ -71,11 +71,6 @@ def slice_assign(df: DataFrame, order: Sequence[str | Column], p: int, alias: st
     return ix.withColumn(alias, slice_of(F.col(index_alias), F.col("__n"), p)).drop("__n")
 
 
-def hash_slot(col: str, n: int) -> Column:
-    """Visible slot of a hash partitioner with n partitions."""
-    return F.pmod(F.hash(F.col(col)), F.lit(n))
-
-
 def partition_by_hash(df: DataFrame, n: int, *keys: str) -> DataFrame:
     return df.repartition(n, *keys)
 

@@ -61,10 +61,3 @@ def _stitch(pieces: DataFrame, keys: Sequence[str], time_col: str, tie_col: str,
     out = d.join(links, [*keys, "__b"], "left")
     out = out.withColumn(alias, F.when(F.col("__last"), F.col("__next_piece")).otherwise(F.col(alias)))
     return out.drop("__b", "__last", "__first", "__next_piece")
-
-
-def lead_simple(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str,
-                alias: str) -> DataFrame:
-    """Plain ``lead`` (one window per group) for groups with a known bound."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(alias, F.lead(value).over(w))

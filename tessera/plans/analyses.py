@@ -271,7 +271,8 @@ def repurchase_histogram(clean: DataFrame) -> DataFrame:
 
 def sparse_summary(records: DataFrame, max_missing: int = 3) -> DataFrame:
     """Rows in, rows kept (at most ``max_missing`` nulls), rows dropped."""
-    nulls = sum((F.col(c).isNull().cast("int") for c in records.columns), F.lit(0))
+    from tessera.operators.relational import null_count
+    nulls = null_count(records.columns)
     a = records.agg(F.count(F.lit(1)).alias("rows_in"),
                     F.sum(F.when(nulls <= max_missing, 1).otherwise(0)).cast("bigint").alias("rows_kept"))
     return a.withColumn("rows_dropped", F.col("rows_in") - F.col("rows_kept"))

@@ -177,12 +177,15 @@ def q_fn_json_build(spark, sf_dir):
     return per.groupBy("day").agg(F.to_json(F.sort_array(F.collect_list(item))).alias("chart"))
 
 
-@register("udf_scalar", fx.with_views("SELECT id, 'Name: ' || username AS named FROM users", "users"))
+@register("udf_scalar", fx.with_views(
+    "SELECT id, 'Name: ' || username AS named, 'Name: ' || username AS named_builtin FROM users", "users"))
 def q_udf_scalar(spark, sf_dir):
-    """Registered (Arrow-batched) UDF called from SQL text."""
+    """Registered (Arrow-batched) UDF called from SQL text, next to the
+    built-in expression that the analyses use."""
     fu.register_all(spark)
     fx.users(spark, sf_dir).createOrReplaceTempView("tessera_users")
-    return spark.sql("SELECT id, prefixName(username) AS named FROM tessera_users")
+    named = spark.sql("SELECT id, username, prefixName(username) AS named FROM tessera_users")
+    return named.select("id", "named", tx.prefix_name("username").alias("named_builtin"))
 
 
 @register("udf_date_part", fx.with_views(

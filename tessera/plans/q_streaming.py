@@ -83,9 +83,7 @@ def q_st_queue_source(spark, sf_dir):
     'SELECT ts_ms, area, city, "user", ad FROM ad_clicks', "ad_clicks"))
 def q_st_parse(spark, sf_dir):
     """Parse the click message text on the stream (append mode)."""
-    lines = _clicks(spark, sf_dir).select(
-        "batch", F.concat_ws(" ", F.col("ts_ms").cast("string"), "area", "city", F.col("user").cast("string"),
-                             F.col("ad").cast("string")).alias("value"))
+    lines = assign_batches(fx.ad_click_lines(spark, sf_dir), "ts", N_BATCHES).select("batch", "value")
     rp = Replay(spark, "parse")
     rp.run(lines, "batch", N_BATCHES,
            lambda s: _append_sink(rp, so.parse_clicks(s).select("ts_ms", "area", "city", "user", "ad")))

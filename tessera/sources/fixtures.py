@@ -156,10 +156,11 @@ SQL_AD_CLICKS = f"""
 
 
 def ad_click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The message text of the click stream: ``epoch_ms area city user ad``."""
+    """The message text of the click stream: ``epoch_ms area city user ad``
+    (with the event time alongside, for replay batching)."""
     a = ad_clicks(spark, sf_dir)
-    return a.select(F.concat_ws(" ", F.col("ts_ms").cast("string"), "area", "city",
-                                F.col("user").cast("string"), F.col("ad").cast("string"))
+    return a.select("ts", F.concat_ws(" ", F.col("ts_ms").cast("string"), "area", "city",
+                                      F.col("user").cast("string"), F.col("ad").cast("string"))
                     .alias("value"))
 
 

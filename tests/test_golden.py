@@ -162,3 +162,13 @@ def test_pandas_udaf_surface(spark):
     df.createOrReplaceTempView("pairs_t")
     assert rows(spark.sql("SELECT k, avgLong(v), prefixName(k) FROM pairs_t GROUP BY k")) == \
         [("a", 3, "Name: a"), ("b", 4, "Name: b")]
+
+
+def test_redundant_pair_is_dropped_only_above_share(spark):
+    recs = spark.createDataFrame(
+        [("2024-01-01 10:00:00", "2024-01-01 11:00:00", "2024-01-01 09:00:00", "2024-01-01 12:00:00")] * 9 +
+        [("2024-01-01 10:00:00", "2024-01-02 11:00:00", "2024-01-01 09:00:00", "2024-01-01 12:00:00")],
+        "apply_time string, create_time string, created_at string, updated_at string")
+    assert an.redundant_pairs(recs).first()["matching"] == 9
+    assert an.drop_if_redundant(recs, share=0.85).columns == ["apply_time", "create_time"]
+    assert len(an.drop_if_redundant(recs, share=0.95).columns) == 4
