@@ -69,6 +69,15 @@ def count_by(df: DataFrame, *keys: str, alias: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(alias))
 
 
+def distinct_count(df: DataFrame, keys: Sequence[str], col: str, alias: str, approx: bool = False,
+                   rsd: float = 0.05) -> DataFrame:
+    """``count(DISTINCT col)`` per group.  The exact form runs as two hash
+    aggregates (group + value, then group); ``approx`` uses a HyperLogLog++
+    sketch per group (fixed size, one partial/final aggregate)."""
+    f = F.approx_count_distinct(col, rsd) if approx else F.countDistinct(col)
+    return df.groupBy(*keys).agg(f.alias(alias))
+
+
 def conditional_counts(df: DataFrame, keys: Sequence[str], col: str, values: dict[str, str]) -> DataFrame:
     """``sum(case when col = v then 1 else 0 end)`` per alias -> value."""
     return df.groupBy(*keys).agg(*[

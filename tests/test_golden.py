@@ -172,3 +172,11 @@ def test_redundant_pair_is_dropped_only_above_share(spark):
     assert an.redundant_pairs(recs).first()["matching"] == 9
     assert an.drop_if_redundant(recs, share=0.85).columns == ["apply_time", "create_time"]
     assert len(an.drop_if_redundant(recs, share=0.95).columns) == 4
+
+
+def test_distinct_count_exact_and_approximate(spark):
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    exact = dict(rows(ag.distinct_count(li, ["l_returnflag"], "l_partkey", "n")))
+    approx = dict(rows(ag.distinct_count(li, ["l_returnflag"], "l_partkey", "n", approx=True, rsd=0.02)))
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= 0.06 * exact[k] for k in exact)
