@@ -57,13 +57,24 @@ def main() -> None:
         qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
-    run(names[0])  # warm-up: JVM, Python workers, file listing caches
-    timings = {}
+    try:
+        run(names[0])  # warm-up: JVM, Python workers, file listing caches
+    except Exception as e:  # noqa: BLE001 - reported per query below
+        print(f"warm-up failed: {e}", file=sys.stderr)
+    timings, failed = {}, []
     for n in names:
-        timings[n] = round(run(n), 3)
+        try:
+            timings[n] = round(run(n), 3)
+        except Exception as e:  # noqa: BLE001 - one failure must not lose the other timings
+            print(f"{n} failed: {e}", file=sys.stderr)
+            timings[n] = None
+            failed.append(n)
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "total_sec", "value": round(sum(timings.values()), 3), "unit": "sec",
-                      "queries": timings, "sf": float(m.group(1)) if m else sf_dir}))
+    out = {"metric": "total_sec", "value": round(sum(t for t in timings.values() if t is not None), 3),
+           "unit": "sec", "queries": timings, "sf": float(m.group(1)) if m else sf_dir}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
