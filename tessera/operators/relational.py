@@ -14,10 +14,6 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 # ---------------------------------------------------------------- projections
 
 def map_expr(df: DataFrame, fn: Callable[[Column], Column], col: str, alias: str | None = None) -> DataFrame:
