@@ -180,3 +180,32 @@ def test_distinct_count_exact_and_approximate(spark):
     approx = dict(rows(ag.distinct_count(li, ["l_returnflag"], "l_partkey", "n", approx=True, rsd=0.02)))
     assert exact.keys() == approx.keys()
     assert all(abs(approx[k] - exact[k]) <= 0.06 * exact[k] for k in exact)
+
+
+def test_wide_column_cells(spark):
+    from tessera.operators import cells as cl
+    c = spark.createDataFrame([
+        ("r1", "info", "click", 1, "3"), ("r1", "info", "click", 2, "5"), ("r1", "info", "view", 1, "7"),
+        ("r2", "info", "click", 1, "1"), ("r3", "info", "click", 4, "9")], cl.CELL_SCHEMA)
+    c = cl.put(c, spark.createDataFrame([("r2", "info", "click", 3, "2")], cl.CELL_SCHEMA))
+    assert rows(cl.get(c, "r1"), "qualifier", "version", "value") == [("click", 2, "5"), ("view", 1, "7")]
+    assert rows(cl.scan_range(c, "r1", "r3", "info", "click"), "row_key", "value") == [("r1", "5"), ("r2", "2")]
+    assert rows(cl.versions(c, 2).where("row_key = 'r1' AND qualifier = 'click'"), "version") == [(1,), (2,)]
+    tomb = spark.createDataFrame([("r1", None, None), ("r2", "info", "click")],
+                                 "row_key string, family string, qualifier string")
+    assert rows(cl.delete(c, tomb), "row_key") == [("r3",)]
+
+
+def test_read_text_glob_and_recursive(spark):
+    import os
+    from tessera.session import work_dir
+    from tessera.sources import io
+    d = work_dir(spark, "txt").replace("file:", "")
+    os.makedirs(d + "/sub", exist_ok=True)
+    open(d + "/a.txt", "w").write("x\ny\n")
+    open(d + "/b.log", "w").write("z\n")
+    open(d + "/sub/c.txt", "w").write("w\n")
+    assert rows(io.read_text(spark, d, glob="*.txt")) == [("x",), ("y",)]
+    assert rows(io.read_text(spark, d, glob="*.txt", recursive=True)) == [("w",), ("x",), ("y",)]
+    whole = io.read_whole_text(spark, d + "/a.txt").collect()
+    assert len(whole) == 1 and whole[0]["content"] == "x\ny\n"
