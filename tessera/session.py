@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoints written by row_index / next_in_group are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
 }
 
