@@ -84,3 +84,19 @@ def test_next_in_group_splits_one_hot_group(spark):
     got = next_in_group(df, ["g"], "ts", "id", "v", "nxt", n_ranges=16)
     exp = {r["id"]: (r["id"] + 1) * 7 % 11 if r["id"] < 4999 else None for r in df.select("id").collect()}
     assert {r["id"]: r["nxt"] for r in got.select("id", "nxt").collect()} == exp
+
+
+@pytest.mark.parametrize("name", ["q_hot_category_sessions", "q_area_top3", "q_item_top10", "win_group_topn"])
+def test_per_group_top_n_is_cut_before_the_shuffle(spark, name):
+    """A hot group sends at most n rows per task: WindowGroupLimit runs on
+    both sides of the exchange."""
+    plan = _explain(queries()[name](spark, SF_MID))
+    tree = plan.split("\n\n")[0]
+    assert tree.count("WindowGroupLimit") >= 2
+
+
+def test_streaming_count_is_partially_aggregated(spark):
+    from tessera.streaming import operators as so
+    s = spark.readStream.schema("k string, v long").parquet("/root/testdata/sf0.001/events.parquet")
+    plan = _explain(so.running_count(s, ["k"]))
+    assert "partial_count" in plan
