@@ -136,7 +136,8 @@ def per_partition_sink(out: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch sink with one output stream per task (the
     connection-per-partition pattern).  Each task writes its Arrow batches
     to ``out/batch_id=N/part-P.parquet`` through pyarrow's filesystem layer
-    (local, HDFS or object stores); a retry rewrites the same file."""
+    (local, HDFS or object stores): written under an attempt-specific hidden
+    name, then moved into place, so a retry replaces the same file."""
 
     def write(df: DataFrame, batch_id: int) -> None:
         target = f"{out}/batch_id={batch_id}"
@@ -145,18 +146,23 @@ def per_partition_sink(out: str) -> Callable[[DataFrame, int], None]:
             import pyarrow as pa
             import pyarrow.parquet as pq
             from pyspark import TaskContext
-            part = TaskContext.get().partitionId()
+            ctx = TaskContext.get()
+            part, attempt = ctx.partitionId(), ctx.attemptNumber()
             filesystem, root = _arrow_fs(target)
             filesystem.create_dir(root, recursive=True)
+            # each attempt writes its own hidden file and then moves it into
+            # place, so a retried or speculative attempt never interleaves
+            tmp = f"{root}/_attempt-{part:05d}-{attempt}.parquet"
             n = 0
             writer = None
             for b in batches:
                 if writer is None:
-                    writer = pq.ParquetWriter(f"{root}/part-{part:05d}.parquet", b.schema, filesystem=filesystem)
+                    writer = pq.ParquetWriter(tmp, b.schema, filesystem=filesystem)
                 writer.write_batch(b)
                 n += b.num_rows
             if writer is not None:
                 writer.close()
+                filesystem.move(tmp, f"{root}/part-{part:05d}.parquet")
             yield pa.RecordBatch.from_pydict({"rows": [n]})
 
         df.mapInArrow(task, "rows long").agg(F.sum("rows")).collect()  # one small row back
