@@ -75,3 +75,14 @@ def test_watermark_drops_late_events(spark):
         .select(*window_bounds(), "k", "n")).writeStream.outputMode("update").foreachBatch(rp.batch_sink()))
     got = rows(latest(rp.read_out(), ["window_start", "window_end", "k"]), "window_start", "n")
     assert got == [("2024-01-01 10:00:00", 1), ("2024-01-01 10:06:00", 2)]  # 09:00 dropped
+
+
+def test_processing_time_windows_conserve_counts(spark):
+    from tessera.streaming import operators as so
+    df = spark.range(0, 300).select((F.col("id") % 3).cast("int").alias("batch"), (F.col("id") % 5).alias("k"))
+    rp = Replay(spark, "ptime")
+    rp.run(df, "batch", 3, lambda s: so.processing_time_count(s, "6 seconds", None, ["k"])
+           .select(F.col("window.start").cast("string").alias("ws"), "k", "n")
+           .writeStream.outputMode("update").foreachBatch(rp.batch_sink()))
+    out = latest(rp.read_out(), ["ws", "k"])
+    assert rows(out.groupBy("k").agg(F.sum("n"))) == [(k, 60) for k in range(5)]
