@@ -58,3 +58,29 @@ def processing_time_count(stream: DataFrame, length: str, slide: str | None, key
     t = F.current_timestamp()
     w = F.window(t, length, slide) if slide else F.window(t, length)
     return stream.groupBy(w.alias("window"), *keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def stop_gracefully(query, should_stop, poll_seconds: float = 0.5, timeout_seconds: float = 600.0) -> bool:
+    """Stop ``query`` once ``should_stop()`` is true (e.g. a marker file was
+    written), waiting for the running micro-batch to finish first.  Returns
+    True when the query was stopped by the flag, False on timeout."""
+    import time
+    deadline = time.monotonic() + timeout_seconds
+    while query.isActive and time.monotonic() < deadline:
+        if should_stop():
+            while query.isActive and query.status.get("isTriggerActive"):
+                time.sleep(poll_seconds / 5)
+            query.stop()
+            return True
+        time.sleep(poll_seconds)
+    return False
+
+
+def marker_exists(path: str):
+    """Predicate for ``stop_gracefully``: a marker file on any pyarrow filesystem."""
+    def check() -> bool:
+        from tessera.streaming.replay import _arrow_fs
+        from pyarrow import fs as pafs
+        filesystem, p = _arrow_fs(path)
+        return filesystem.get_file_info(p).type != pafs.FileType.NotFound
+    return check

@@ -86,3 +86,20 @@ def test_processing_time_windows_conserve_counts(spark):
            .writeStream.outputMode("update").foreachBatch(rp.batch_sink()))
     out = latest(rp.read_out(), ["ws", "k"])
     assert rows(out.groupBy("k").agg(F.sum("n"))) == [(k, 60) for k in range(5)]
+
+
+def test_stop_on_marker_after_current_batch(spark):
+    import os
+    import threading
+    from tessera.streaming import operators as so
+    rp = Replay(spark, "stopflag")
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "event_type")
+    ev.write.parquet(rp.src + "/part00000")
+    q = (so.running_count(rp.stream(ev.schema), ["event_type"]).writeStream.outputMode("update")
+         .foreachBatch(rp.batch_sink()).option("checkpointLocation", rp.ckpt)
+         .trigger(processingTime="1 second").start())
+    marker = rp.root.replace("file:", "") + "/STOP"
+    threading.Timer(3.0, lambda: open(marker, "w").close()).start()
+    assert so.stop_gracefully(q, so.marker_exists(marker), poll_seconds=0.2, timeout_seconds=120)
+    assert not q.isActive and os.path.exists(marker)
+    assert rows(latest(rp.read_out(), ["event_type"])) == rows(ev.groupBy("event_type").count())
