@@ -178,20 +178,42 @@ def q_ad_area_city(spark, sf_dir):
     return _area_city(spark, sf_dir, "area-city")
 
 
+# Stand-in for the original path prefix of the counted pages.
+CELL_PATH_PREFIX = "/en"
+
+_SQL_LOG_PARSED = f"""
+  SELECT strptime(string_split(value, ' ')[4], '%d/%m/%Y:%H:%M:%S') AS t,
+         string_split(value, ' ')[7] AS path
+  FROM ({fx.SQL_ACCESS_LOG}) a
+"""
+
+
 @register("st_keyed_cells", f"""
-  SELECT strftime(ts, '%Y-%m-%d') || '_' || CAST({fx.SQL_K} % 7 + 1 AS VARCHAR) AS row_key,
+  WITH parsed AS ({_SQL_LOG_PARSED}),
+       b AS (SELECT *, {sql_batches('t', N_BATCHES, 'parsed')} AS batch FROM parsed)
+  SELECT strftime(t, '%Y/%-m/%-d') || '_' || string_split(regexp_replace(path, '/+$', ''), '/')[-1] AS row_key,
          'info' AS family, 'click' AS qualifier, CAST(max(batch) AS BIGINT) AS version,
          CAST(count(*) AS VARCHAR) AS value
-  FROM ({_SQL_EVENTS}) e GROUP BY 1
+  FROM b WHERE starts_with(path, '{CELL_PATH_PREFIX}') GROUP BY 1
 """)
 def q_st_keyed_cells(spark, sf_dir):
-    """Running page count per (day, page) kept as wide-column cells."""
-    ev = _events(spark, sf_dir).withColumn(
-        "row_key", F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit("_"), (fx.prop_k() % 7 + 1).cast("string")))
+    """Running page count per (day, page) of an access-log stream, kept as
+    wide-column cells (row ``y/M/d_page``, column info:click)."""
+    from tessera.functions import text as tx
+    from tessera.functions import timefmt as tf
+    f = F.split(F.col("value"), " ")
+    log = fx.access_log(spark, sf_dir).select(
+        tf.parse_access_time(f.getItem(3)).alias("t"), f.getItem(6).alias("path"))
     rp = Replay(spark, "cells")
-    counts = lambda s: s.groupBy("row_key").agg(F.count(F.lit(1)).alias("n"),
-                                                F.max("batch").cast("bigint").alias("version"))
-    rp.run(ev, "batch", N_BATCHES, lambda s: _update_sink(rp, counts(s)))
+
+    def build(s):
+        hits = s.where(F.col("path").startswith(CELL_PATH_PREFIX)).select(
+            F.concat(tf.day_unpadded("t"), F.lit("_"),
+                     tx.last_segment(F.regexp_replace("path", "/+$", ""))).alias("row_key"), "batch")
+        counts = hits.groupBy("row_key").agg(F.count(F.lit(1)).alias("n"),
+                                             F.max("batch").cast("bigint").alias("version"))
+        return _update_sink(rp, counts)
+    rp.run(assign_batches(log, "t", N_BATCHES), "batch", N_BATCHES, build)
     cur = latest(rp.read_out(), ["row_key"])
     return cur.select("row_key", F.lit("info").alias("family"), F.lit("click").alias("qualifier"),
                       "version", F.col("n").cast("string").alias("value"))
