@@ -123,12 +123,19 @@ def q_st_foreach_batch(spark, sf_dir):
 # ------------------------------------------------------------------ running state
 
 
-@register("st_running_state", "SELECT user_id, count(*) AS n FROM events GROUP BY 1")
+@register("st_running_state", """
+  SELECT word, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) w GROUP BY word
+""")
 def q_st_running_state(spark, sf_dir):
+    """Running word count across batches (state keyed by word)."""
+    from tessera.sources.tables import spread
+    docs = spread(Tables(spark, sf_dir).documents.select(
+        (F.col("doc_id") % N_BATCHES).cast("int").alias("batch"), "text"))
     rp = Replay(spark, "running")
-    rp.run(_events(spark, sf_dir), "batch", N_BATCHES,
-           lambda s: _update_sink(rp, so.running_count(s, ["user_id"])))
-    return latest(rp.read_out(), ["user_id"])
+    rp.run(docs, "batch", N_BATCHES,
+           lambda s: _update_sink(rp, so.running_count(
+               s.select(F.explode(F.split("text", " ")).alias("word")), ["word"])))
+    return latest(rp.read_out(), ["word"])
 
 
 @register("st_resume", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
