@@ -103,3 +103,34 @@ def test_stop_on_marker_after_current_batch(spark):
     assert so.stop_gracefully(q, so.marker_exists(marker), poll_seconds=0.2, timeout_seconds=120)
     assert not q.isActive and os.path.exists(marker)
     assert rows(latest(rp.read_out(), ["event_type"])) == rows(ev.groupBy("event_type").count())
+
+
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_blacklist_random_inputs_stream_brute_and_sql_agree(spark, seed):
+    import random
+    from tessera.streaming.replay import Replay
+    rnd = random.Random(seed)
+    users = rnd.choices([1, 2, 3, 4], weights=[50, 30, 15, 5], k=400)  # skewed: some get listed, some not
+    data = [(rnd.randrange(4), f"2024-01-0{rnd.randrange(1, 3)}", u, rnd.randrange(1, 4)) for u in users]
+    clicks = spark.createDataFrame(data, "batch int, day string, user long, ad long")
+    threshold = 8
+    rp = Replay(spark, f"bl-rand-{seed}")
+    from tessera.streaming import operators as so
+    so.use_rocksdb(spark)
+    rp.run(clicks, "batch", 4, lambda s: bl.blacklist_stream(s, threshold)
+           .writeStream.outputMode("update").foreachBatch(rp.batch_sink()))
+    cnt, black = bl.final_tables(rp.read_out())
+    exp_black, exp_counts = _brute_blacklist(pd.DataFrame(data, columns=["batch", "day", "user", "ad"]), threshold)
+    assert exp_black and len(exp_black) < 4, "inputs should list some users but not all"
+    assert {r[0] for r in black.collect()} == exp_black
+    assert {(r["dt"], r["userid"], r["adid"]): r["count"] for r in cnt.collect()} == exp_counts
+    con = duckdb.connect()
+    con.register("clicks_df", pd.DataFrame(data, columns=["batch", "day", "user", "ad"]))
+    parts = bl.sql_blacklist("clicks_df", threshold)
+    sql = "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in parts.items())
+    assert {r[0] for r in con.execute(sql + ' SELECT DISTINCT "user" FROM trig').fetchall()} == exp_black
+    got_sql = {(d, u, a): c for d, u, a, c in con.execute(sql + " SELECT * FROM counts").fetchall()}
+    assert got_sql == exp_counts
