@@ -31,13 +31,16 @@ def duck(sf_dir):
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"  # compare doubles bit for bit
+
+
 def canon(v):
     if v is None:
         return "NULL"
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return repr(round(v, 6))
+        return repr(v) if EXACT else repr(round(v, 6))
     if isinstance(v, decimal.Decimal):
         return repr(round(float(v), 6))
     if isinstance(v, (datetime.datetime, datetime.date)):
