@@ -50,8 +50,9 @@ def _append_sink(rp: Replay, stream_df):
 """)
 def q_st_word_count(spark, sf_dir):
     """Stateless count per micro-batch, done inside ``foreachBatch``."""
-    docs = Tables(spark, sf_dir).documents.select(
-        (F.col("doc_id") % N_BATCHES).cast("bigint").alias("batch"), "text")
+    from tessera.sources.tables import spread
+    docs = spread(Tables(spark, sf_dir).documents.select(
+        (F.col("doc_id") % N_BATCHES).cast("bigint").alias("batch"), "text"))
     rp = Replay(spark, "word-count")
     sink = rp.batch_sink()
 
