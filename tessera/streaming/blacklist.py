@@ -132,3 +132,31 @@ def final_tables(log: DataFrame) -> tuple[DataFrame, DataFrame]:
                  ["dt", "userid", "adid"])
     black = log.where(F.col("kind") == "black").select("userid").distinct()
     return cnt, black
+
+
+def blacklist_batch(clicks: DataFrame, batch_col: str = "batch",
+                    threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """The same rule as one batch job over clicks tagged with their batch
+    (a backfill, or a cross-check of the stream).
+
+    Clicks are counted per (batch, day, user, ad) with a partial aggregate;
+    a running sum of admitted counts per (user, day, ad) over batches (a
+    window whose groups hold one row per batch) finds each user's first
+    listing batch b0, and only batches up to b0 count.  Returns
+    (user_ad_count, black_list) like ``final_tables``."""
+    from pyspark.sql import Window
+    t = threshold
+    bc = clicks.groupBy(batch_col, "day", "user", "ad").agg(F.count(F.lit(1)).alias("c"))
+    admitted = F.when(F.col("c") < t, F.col("c")).otherwise(F.lit(0))
+    w = Window.partitionBy("user", "day", "ad").orderBy(batch_col).rowsBetween(Window.unboundedPreceding, 0)
+    cum = bc.withColumn("run", F.sum(admitted).over(w))
+    trig = (cum.where((F.col("c") >= t) | (F.col("run") >= t))
+               .groupBy("user").agg(F.min(batch_col).alias("b0")))
+    kept = (cum.join(trig, "user", "left")
+               .where(F.col("b0").isNull() | (F.col(batch_col) <= F.col("b0"))))
+    counts = (kept.groupBy(F.col("day").alias("dt"), F.col("user").alias("userid"), F.col("ad").alias("adid"))
+                  .agg(F.sum(admitted).cast("bigint").alias("count"),
+                       F.sum(F.when(F.col("c") < t, 1).otherwise(0)).alias("__admitted"))
+                  .where(F.col("__admitted") > 0).drop("__admitted"))
+    black = trig.select(F.col("user").alias("userid"))
+    return counts, black

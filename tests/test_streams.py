@@ -134,3 +134,12 @@ def test_blacklist_random_inputs_stream_brute_and_sql_agree(spark, seed):
     assert {r[0] for r in con.execute(sql + ' SELECT DISTINCT "user" FROM trig').fetchall()} == exp_black
     got_sql = {(d, u, a): c for d, u, a, c in con.execute(sql + " SELECT * FROM counts").fetchall()}
     assert got_sql == exp_counts
+
+
+def test_blacklist_batch_form_equals_stream(spark):
+    threshold = 3
+    log = qs._blacklist_log(spark, SF_MID, "bl-batch-vs-stream", threshold)
+    s_cnt, s_black = bl.final_tables(log)
+    b_cnt, b_black = bl.blacklist_batch(qs._clicks(spark, SF_MID), "batch", threshold)
+    assert rows(b_black) == rows(s_black) and rows(b_black)
+    assert rows(b_cnt, "dt", "userid", "adid", "count") == rows(s_cnt, "dt", "userid", "adid", "count")
