@@ -209,3 +209,22 @@ def test_read_text_glob_and_recursive(spark):
     assert rows(io.read_text(spark, d, glob="*.txt", recursive=True)) == [("w",), ("x",), ("y",)]
     whole = io.read_whole_text(spark, d + "/a.txt").collect()
     assert len(whole) == 1 and whole[0]["content"] == "x\ny\n"
+
+
+def test_scalar_helpers_edge_cases(spark):
+    from tessera.functions import text as tx
+    from tessera.functions import timefmt as tf
+    df = spark.createDataFrame([("nospace", "/a/b/c.png", "\t\x01 x y \n", "Été, déjà-vu! 42")],
+                               "a string, p string, t string, u string")
+    r = df.select(tx.text_before("a", " ").alias("before"), tx.last_segment("p").alias("last"),
+                  tx.java_trim("t").alias("trimmed"), tx.strip_brackets(F.lit("[q]")).alias("q")).first()
+    assert (r["before"], r["last"], r["trimmed"], r["q"]) == ("nospace", "c.png", "x y", "q")
+    toks = [x["word"] for x in tx.explode_tokens(df, "u").collect()]
+    assert toks == ["été", "déjà", "vu", "42"]
+    t = spark.createDataFrame([("07/01/2024:23:59:30", "2024-01-01 23:58:59", "2024-01-02 00:01:00")],
+                              "a string, s string, e string")
+    r = t.select(tf.day_unpadded(tf.parse_access_time("a")).alias("d"),
+                 tf.minutes_between_truncated("s", "e").alias("m"),
+                 tf.epoch_seconds_text(F.lit(0)).alias("epoch0"),
+                 tf.epoch_ms_day(F.lit(86_400_000)).alias("day1")).first()
+    assert (r["d"], r["m"], r["epoch0"], r["day1"]) == ("2024/1/7", 3, "1970-01-01 00:00:00", "1970-01-02")
