@@ -28,20 +28,29 @@ def next_in_group(df: DataFrame, keys: Sequence[str], time_col: str, tie_col: st
     """Append ``alias`` = value of the next row of the same group in
     (time_col, tie_col) order, NULL for the last row."""
     if split == "range":
-        from tessera.session import work_dir
-        spark = df.sparkSession
-        work_dir(spark, "lead")  # ensures a checkpoint folder exists
-        n = n_ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
-        order = [*keys, time_col, tie_col]
-        pieces = (df.repartitionByRange(n, *order)
-                    .withColumn("__b", F.spark_partition_id().cast("bigint"))
-                    .checkpoint(eager=True))
+        pieces = range_pieces(df, [*keys, time_col, tie_col], n_ranges)
     else:
         bucket = F.floor(F.unix_micros(F.col(time_col)) / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
         pieces = df.withColumn("__b", bucket)
     return _stitch(pieces, keys, time_col, tie_col, value, alias)
 
 
+def range_pieces(df: DataFrame, order: Sequence[str], n_ranges: int | None = None,
+                 alias: str = "__b") -> DataFrame:
+    """Tag rows with the range (of a global sort on ``order``) they fall in.
+
+    Ranges are balanced by row count whatever the key skew; the tagged copy
+    is checkpointed once (reliable storage) so the tags stay stable when
+    work is recomputed."""
+    from tessera.session import work_dir
+    spark = df.sparkSession
+    work_dir(spark, "ranges")  # ensures a checkpoint folder exists
+    n = n_ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    return (df.repartitionByRange(n, *order)
+              .withColumn(alias, F.spark_partition_id().cast("bigint"))
+              .checkpoint(eager=True))
+
+
 def _stitch(pieces: DataFrame, keys: Sequence[str], time_col: str, tie_col: str, value: str,
             alias: str) -> DataFrame:
     """lead inside (group, piece) + the next piece's first value at piece ends.

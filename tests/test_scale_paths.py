@@ -100,3 +100,10 @@ def test_streaming_count_is_partially_aggregated(spark):
     s = spark.readStream.schema("k string, v long").parquet("/root/testdata/sf0.001/events.parquet")
     plan = _explain(so.running_count(s, ["k"]))
     assert "partial_count" in plan
+
+
+def test_range_pieces_balance_a_single_hot_group(spark):
+    from tessera.operators.windows import range_pieces
+    df = spark.range(0, 8000).select(F.lit("hot").alias("g"), F.col("id"))
+    sizes = [r["count"] for r in range_pieces(df, ["g", "id"], 16, "piece").groupBy("piece").count().collect()]
+    assert len(sizes) == 16 and max(sizes) <= 2 * 8000 / 16
