@@ -97,17 +97,21 @@ class Replay:
     # ------------------------------------------------------------------ sinks
 
     def batch_sink(self) -> Callable[[DataFrame, int], None]:
-        out = self.out
-
-        def write(df: DataFrame, batch_id: int) -> None:
-            # overwrite of this batch's own folder: a retried batch is idempotent
-            df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-        return write
+        return batch_sink(self.out)
 
     def read_out(self) -> DataFrame:
         return self.spark.read.parquet(self.out)
 
 
+def batch_sink(out: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer: each micro-batch overwrites its own
+    ``out/batch_id=N`` folder, so a retried batch is idempotent."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    return write
+
+
 def latest(log: DataFrame, keys: Sequence[str], order_col: str = "batch_id") -> DataFrame:
     """Newest row per key of an update-mode output log."""
     values = [c for c in log.columns if c not in keys and c != order_col]

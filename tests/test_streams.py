@@ -143,3 +143,28 @@ def test_blacklist_batch_form_equals_stream(spark):
     b_cnt, b_black = bl.blacklist_batch(qs._clicks(spark, SF_MID), "batch", threshold)
     assert rows(b_black) == rows(s_black) and rows(b_black)
     assert rows(b_cnt, "dt", "userid", "adid", "count") == rows(s_cnt, "dt", "userid", "adid", "count")
+
+
+def test_ad_jobs_on_message_files(spark):
+    from tessera.session import work_dir
+    from tessera.streaming import jobs
+    from tessera.streaming.sources import file_drop_stream
+    base = work_dir(spark, "jobs")
+    msgs = [f"{1704103200000 + i * 4000} area{i % 2} city{i % 3} {i % 2} {1 + i % 3}" for i in range(40)]
+    spark.createDataFrame([(m,) for m in msgs], "value string").coalesce(1).write.text(base + "/in")
+    once = {"availableNow": True}
+    q = jobs.start_blacklist(file_drop_stream(spark, base + "/in", "value string", "text"),
+                             base + "/bl", base + "/bl_ck", threshold=5, trigger=once)
+    q.awaitTermination()
+    counts, black = jobs.blacklist_tables(spark, base + "/bl")
+    assert rows(black) == [(0,), (1,)]          # each user clicks each of its ads more than 5 times
+    assert counts.count() == 0                   # all batch counts were >= 5: nothing admitted
+    q = jobs.start_area_city_counts(file_drop_stream(spark, base + "/in", "value string", "text"),
+                                    base + "/ac", base + "/ac_ck", trigger=once)
+    q.awaitTermination()
+    assert jobs.area_city_table(spark, base + "/ac").agg(F.sum("n")).first()[0] == 40
+    q = jobs.start_last_window_chart(file_drop_stream(spark, base + "/in", "value string", "text"),
+                                     base + "/ch", base + "/ch_ck", trigger=once)
+    q.awaitTermination()
+    charts = jobs.chart_table(spark, base + "/ch").collect()
+    assert charts and all(c["chart"].startswith('[{"xtime":') for c in charts)
