@@ -31,11 +31,28 @@ THRESHOLD = 30
 OUTPUT_SCHEMA = "kind string, userid long, dt string, adid long, count long"
 
 
+_DAY_MS = 86_400_000
+
+
+def _day_end_ms(day: str) -> int:
+    """Epoch ms of the end of a ``yyyy-MM-dd`` UTC day."""
+    import datetime as _dt
+    d = _dt.datetime.strptime(day, "%Y-%m-%d").replace(tzinfo=_dt.timezone.utc)
+    return int(d.timestamp() * 1000) + _DAY_MS
+
+
 class BlackListProcessor(StatefulProcessor):
-    def __init__(self, threshold: int = THRESHOLD):
+    """``lateness_ms``: when set (event-time mode), a day's counts leave the
+    state once the watermark is ``lateness_ms`` past the day's end; rows of
+    that day are older than the watermark by then, so the counts are final
+    (and already emitted).  The black-list flag itself never expires."""
+
+    def __init__(self, threshold: int = THRESHOLD, lateness_ms: int | None = None):
         self.threshold = threshold
+        self.lateness_ms = lateness_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.flag = handle.getValueState("black", "black boolean")
         self.counts = handle.getMapState("counts", "dt string, adid long", "count long")
 
@@ -60,6 +77,9 @@ class BlackListProcessor(StatefulProcessor):
             k = (str(day), int(ad))
             cur = self.counts.getValue(k)  # None when the key is new (one state call)
             old = int(cur[0]) if cur is not None else 0
+            if cur is None and self.lateness_ms is not None:
+                # one timer per user and day (registering it again is a no-op)
+                self.handle.registerTimer(_day_end_ms(k[0]) + self.lateness_ms)
             new = old + n
             self.counts.updateValue(k, (new,))
             out.append(("count", user, str(day), int(ad), new))
@@ -74,6 +94,14 @@ class BlackListProcessor(StatefulProcessor):
                 df[c] = df[c].astype("Int64")  # nullable: the 'black' row has no ad
             yield df
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """Drop the counts of days that can no longer change."""
+        cutoff = expiredTimerInfo.getExpiryTimeInMs() - (self.lateness_ms or 0)
+        for k in list(self.counts.keys()):
+            if _day_end_ms(k[0]) <= cutoff:
+                self.counts.removeKey(k)
+        return iter(())
+
     def close(self) -> None:
         pass
 
@@ -82,27 +110,48 @@ def _combine(batches):
     """Map-side combine inside one input partition: one (user, day, ad, n)
     row per key instead of one row per click (memory: distinct keys)."""
     import pyarrow as pa
+    keys = ["user", "day", "ad"]
     parts = []
     for b in batches:
         if b.num_rows:
-            t = pa.Table.from_batches([b]).group_by(["user", "day", "ad"]).aggregate([("user", "count")])
-            parts.append(t.rename_columns(["user", "day", "ad", "n"]))
+            t = pa.Table.from_batches([b]).group_by(keys).aggregate([("user", "count"), ("ts", "max")])
+            # select by the generated names: the column order differs across pyarrow versions
+            parts.append(t.select([*keys, "user_count", "ts_max"]).rename_columns([*keys, "n", "ts"]))
     if parts:
-        t = pa.concat_tables(parts).group_by(["user", "day", "ad"]).aggregate([("n", "sum")])
-        t = t.rename_columns(["user", "day", "ad", "n"]).cast(
-            pa.schema([("user", pa.int64()), ("day", pa.string()), ("ad", pa.int64()), ("n", pa.int64())]))
+        t = pa.concat_tables(parts).group_by(keys).aggregate([("n", "sum"), ("ts", "max")])
+        t = t.select([*keys, "n_sum", "ts_max"]).rename_columns([*keys, "n", "ts"])
+        t = t.cast(pa.schema([("user", pa.int64()), ("day", pa.string()), ("ad", pa.int64()),
+                              ("n", pa.int64()), ("ts", t.schema.field("ts").type)]))
         yield from t.to_batches()
 
 
-def blacklist_stream(clicks: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """clicks: stream with (user, day, ad).  Output rows per OUTPUT_SCHEMA.
+def blacklist_stream(clicks: DataFrame, threshold: int = THRESHOLD, lateness: str | None = "1 day") -> DataFrame:
+    """clicks: stream with (ts, user, day, ad).  Output rows per OUTPUT_SCHEMA.
 
     Clicks are pre-counted per (user, day, ad) inside every input partition
     (a stateless Arrow step) before the shuffle by user, so a user with a
-    huge share of the clicks ships one row per (day, ad) and task."""
-    pre = clicks.select("user", "day", "ad").mapInArrow(_combine, "user long, day string, ad long, n long")
-    return (pre.groupBy("user")
-               .transformWithStateInPandas(BlackListProcessor(threshold), OUTPUT_SCHEMA, "Update", "None"))
+    huge share of the clicks ships one row per (day, ad) and task.
+
+    With ``lateness`` (default one day) the stream runs in event time: a
+    watermark of that delay drops clicks older than it, and each day's
+    counts leave the state ``lateness`` after the day ended, so the state
+    holds the active days only.  ``None`` keeps every day forever."""
+    pre = clicks.select("ts", "user", "day", "ad").mapInArrow(
+        _combine, "user long, day string, ad long, n long, ts timestamp")
+    if lateness is None:
+        return (pre.groupBy("user")
+                   .transformWithStateInPandas(BlackListProcessor(threshold), OUTPUT_SCHEMA, "Update", "None"))
+    lateness_ms = _interval_ms(lateness)
+    return (pre.withWatermark("ts", lateness).groupBy("user")
+               .transformWithStateInPandas(BlackListProcessor(threshold, lateness_ms), OUTPUT_SCHEMA,
+                                           "Update", "EventTime"))
+
+
+def _interval_ms(text: str) -> int:
+    """``"1 day"`` / ``"6 hours"`` / ``"30 minutes"`` -> milliseconds."""
+    n, unit = text.split()
+    scale = {"second": 1_000, "minute": 60_000, "hour": 3_600_000, "day": _DAY_MS}[unit.rstrip("s")]
+    return int(n) * scale
 
 
 def sql_blacklist(clicks_with_batch: str, threshold: int = THRESHOLD) -> dict[str, str]:

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tessera.streaming import blacklist as bl
 from tessera.streaming import operators as so
-from tessera.streaming.replay import batch_sink, latest, window_bounds
+from tessera.streaming.replay import batch_sink, latest, session_conf, window_bounds
 
 # Batch interval, chart bucket / window / slide of the original jobs.
 TRIGGER = "3 seconds"
@@ -33,9 +33,12 @@ def _start(df: DataFrame, mode: str, out: str, checkpoint: str, trigger: dict |
 def start_blacklist(lines: DataFrame, out: str, checkpoint: str, threshold: int = bl.THRESHOLD,
                     trigger: dict | None = None) -> StreamingQuery:
     """Black list + per (day, user, ad) counts (keyed state by user)."""
-    so.use_rocksdb(lines.sparkSession)
+    spark = lines.sparkSession
+    so.use_rocksdb(spark)
     clicks = so.parse_clicks(lines)
-    return _start(bl.blacklist_stream(clicks, threshold), "update", out, checkpoint, trigger)
+    # day-eviction timers fire with the next data batch: no extra empty batches
+    with session_conf(spark, "spark.sql.streaming.noDataMicroBatches.enabled", "false"):
+        return _start(bl.blacklist_stream(clicks, threshold), "update", out, checkpoint, trigger)
 
 
 def blacklist_tables(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:

@@ -51,14 +51,22 @@ def state_partitions(spark: SparkSession, rows: int, rows_per_partition: int = 1
 
 
 @contextmanager
-def shuffle_partitions(spark: SparkSession, n: int):
-    """Temporarily set the shuffle partitions (read when a query starts)."""
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+def session_conf(spark: SparkSession, key: str, value: str):
+    """Temporarily set a SQL conf (streaming settings are read when a query starts)."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
+def shuffle_partitions(spark: SparkSession, n: int):
+    """Temporarily set the shuffle partitions (read when a query starts)."""
+    return session_conf(spark, "spark.sql.shuffle.partitions", str(n))
 
 
 class Replay:

@@ -115,12 +115,14 @@ def test_blacklist_random_inputs_stream_brute_and_sql_agree(spark, seed):
     rnd = random.Random(seed)
     users = rnd.choices([1, 2, 3, 4], weights=[50, 30, 15, 5], k=400)  # skewed: some get listed, some not
     data = [(rnd.randrange(4), f"2024-01-0{rnd.randrange(1, 3)}", u, rnd.randrange(1, 4)) for u in users]
-    clicks = spark.createDataFrame(data, "batch int, day string, user long, ad long")
+    clicks = spark.createDataFrame(data, "batch int, day string, user long, ad long").withColumn(
+        "ts", F.to_timestamp(F.concat("day", F.lit(" 12:00:00"))))
     threshold = 8
     rp = Replay(spark, f"bl-rand-{seed}")
     from tessera.streaming import operators as so
     so.use_rocksdb(spark)
-    rp.run(clicks, "batch", 4, lambda s: bl.blacklist_stream(s, threshold)
+    # batches here mix days in any order, so run without event-time eviction
+    rp.run(clicks, "batch", 4, lambda s: bl.blacklist_stream(s, threshold, lateness=None)
            .writeStream.outputMode("update").foreachBatch(rp.batch_sink()))
     cnt, black = bl.final_tables(rp.read_out())
     exp_black, exp_counts = _brute_blacklist(pd.DataFrame(data, columns=["batch", "day", "user", "ad"]), threshold)
@@ -168,3 +170,21 @@ def test_ad_jobs_on_message_files(spark):
     q.awaitTermination()
     charts = jobs.chart_table(spark, base + "/ch").collect()
     assert charts and all(c["chart"].startswith('[{"xtime":') for c in charts)
+
+
+def test_blacklist_state_keeps_only_recent_days(spark):
+    """Day counts leave the state once the watermark has passed the day by
+    the lateness; read back with the state data source."""
+    from tessera.streaming import operators as so
+    from tessera.streaming.replay import session_conf
+    so.use_rocksdb(spark)
+    rp = Replay(spark, "state-evict")
+    clicks = qs._clicks(spark, SF_MID)
+    with session_conf(spark, "spark.sql.streaming.noDataMicroBatches.enabled", "false"):
+        rp.run(clicks, "batch", 3, lambda s: bl.blacklist_stream(s, 30, lateness="1 day")
+               .writeStream.outputMode("update").foreachBatch(rp.batch_sink()))
+    state = spark.read.format("statestore").option("stateVarName", "counts").load(rp.ckpt)
+    kept = sorted(r[0] for r in state.select("user_map_key.dt").distinct().collect())
+    all_days = sorted(r[0] for r in clicks.select("day").distinct().collect())
+    assert kept and kept == all_days[-len(kept):]          # a suffix: only the latest days
+    assert len(kept) < len(all_days) // 2                   # the older days were evicted
