@@ -77,9 +77,11 @@ def q_partition_by_custom(spark, sf_dir):
   UNION ALL SELECT 'status', l_linestatus, count(*) FROM lineitem GROUP BY 2
 """)
 def q_persist_reuse(spark, sf_dir):
-    """One persisted input feeding two aggregations."""
+    """One persisted input feeding two aggregations.  DISK_ONLY: the cached
+    blocks outlive this call in the caller's session, so they hold no
+    executor memory."""
     li = lay.persist(Tables(spark, sf_dir).lineitem.select("l_returnflag", "l_linestatus"),
-                     StorageLevel.MEMORY_AND_DISK)
+                     StorageLevel.DISK_ONLY)
     a = li.groupBy(F.col("l_returnflag").alias("val")).agg(F.count(F.lit(1)).alias("n"))
     b = li.groupBy(F.col("l_linestatus").alias("val")).agg(F.count(F.lit(1)).alias("n"))
     return (a.select(F.lit("flag").alias("dim"), "val", "n")
