@@ -33,3 +33,31 @@ def test_row_index_is_dense_rank(spark, values, ranges):
     df = spark.createDataFrame([(v,) for v in values], "v long")
     got = {r["v"]: r["idx"] for r in lay.row_index(df, ["v"], n_ranges=ranges).collect()}
     assert got == {v: k for k, v in enumerate(sorted(values))}
+
+
+def _rdd_aggregate_by_key(pairs, p, zero, seq, comb):
+    """Direct simulation: slice s holds positions [s*n//p, (s+1)*n//p); fold
+    each key inside a slice from ``zero`` with ``seq``, then ``comb`` across."""
+    n = len(pairs)
+    result = {}
+    for s in range(p):
+        acc = {}
+        for k, v in pairs[s * n // p:(s + 1) * n // p]:
+            acc[k] = seq(acc.get(k, zero), v)
+        for k, v in acc.items():
+            result[k] = comb(result[k], v) if k in result else v
+    return result
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(min_value=-50, max_value=50)),
+                min_size=1, max_size=40),
+       st.integers(min_value=1, max_value=6), st.integers(min_value=0, max_value=20))
+def test_aggregate_by_slice_equals_rdd_semantics(spark, pairs, p, zero):
+    from tessera.operators import aggregates as ag
+    df = spark.createDataFrame([(i, k, v) for i, (k, v) in enumerate(pairs)], "pos long, k string, v long")
+    sliced = lay.slice_assign(df, ["pos"], p)
+    got = {r["k"]: r["value"] for r in ag.aggregate_by_slice(sliced, ["k"], "v", "slice", zero).collect()}
+    assert got == _rdd_aggregate_by_key(pairs, p, zero, max, lambda a, b: a + b)
+    got_fold = {r["k"]: r["value"] for r in ag.fold_by_key(sliced, ["k"], "v", "slice", zero).collect()}
+    assert got_fold == _rdd_aggregate_by_key(pairs, p, zero, lambda a, b: a + b, lambda a, b: a + b)
