@@ -61,3 +61,18 @@ def test_aggregate_by_slice_equals_rdd_semantics(spark, pairs, p, zero):
     assert got == _rdd_aggregate_by_key(pairs, p, zero, max, lambda a, b: a + b)
     got_fold = {r["k"]: r["value"] for r in ag.fold_by_key(sliced, ["k"], "v", "slice", zero).collect()}
     assert got_fold == _rdd_aggregate_by_key(pairs, p, zero, lambda a, b: a + b, lambda a, b: a + b)
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=25),
+       st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=25))
+def test_set_operations_follow_rdd_semantics(spark, left, right):
+    from tessera.operators import relational as rel
+    a = spark.createDataFrame([(x,) for x in left], "x long")
+    b = spark.createDataFrame([(x,) for x in right], "x long")
+    key = lambda v: (v is None, v if v is not None else 0)
+    got_sub = sorted((r[0] for r in rel.subtract_all_matches(a, b).collect()), key=key)
+    assert got_sub == sorted((x for x in left if x not in set(right)), key=key)
+    got_int = sorted((r[0] for r in rel.intersect_distinct(a, b).collect()), key=key)
+    assert got_int == sorted(set(left) & set(right), key=key)
+    assert rel.union_all(a, b).count() == len(left) + len(right)
