@@ -42,16 +42,25 @@ def q_sink_text(spark, sf_dir):
     return spark.read.text(d)
 
 
-@register("src_whole_text", fx.with_views("""
-  SELECT 8 AS files, count(*) AS lines, CAST(sum(length(value) + 1) AS BIGINT) AS chars FROM access_log
+# Lines per written file: whole files are read back as single rows, so
+# their size must stay bounded as the table grows.
+LINES_PER_FILE = 2000
+
+
+@register("src_whole_text", fx.with_views(f"""
+  SELECT CAST(greatest(8, count(*) // {LINES_PER_FILE}) AS BIGINT) AS files, count(*) AS lines,
+         CAST(sum(length(value) + 1) AS BIGINT) AS chars FROM access_log
 """, "access_log"))
 def q_src_whole_text(spark, sf_dir):
-    """Lines written as 8 text files, read back one row per file (path, content)."""
+    """Lines written round-robin into about LINES_PER_FILE-line files (at
+    least 8), read back one row per file (path, content)."""
     d = work_dir(spark, "whole")
-    io.write_text(fx.access_log(spark, sf_dir).select("value").repartition(8), d)
+    lines = fx.access_log(spark, sf_dir).select("value")
+    n_files = max(8, lines.count() // LINES_PER_FILE)
+    io.write_text(lines.repartition(n_files), d)
     w = io.read_whole_text(spark, d)
-    n_lines = F.size(F.split("content", "\n")) - 1
-    return w.agg(F.count(F.lit(1)).cast("int").alias("files"), F.sum(n_lines).cast("bigint").alias("lines"),
+    n_lines = F.size(F.split("content", "\\n")) - 1
+    return w.agg(F.count(F.lit(1)).alias("files"), F.sum(n_lines).cast("bigint").alias("lines"),
                  F.sum(F.length("content")).cast("bigint").alias("chars"))
 
 
