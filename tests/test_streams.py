@@ -188,3 +188,21 @@ def test_blacklist_state_keeps_only_recent_days(spark):
     all_days = sorted(r[0] for r in clicks.select("day").distinct().collect())
     assert kept and kept == all_days[-len(kept):]          # a suffix: only the latest days
     assert len(kept) < len(all_days) // 2                   # the older days were evicted
+
+
+def test_queue_of_files_one_per_trigger(spark):
+    """Queue semantics: with maxFilesPerTrigger=1 each dropped file is its own micro-batch."""
+    from tessera.session import work_dir
+    from tessera.streaming.sources import file_drop_stream
+    base = work_dir(spark, "queue-files")
+    for i in range(3):
+        spark.createDataFrame([(i, j) for j in range(i + 1)], "f long, v long").coalesce(1) \
+            .write.parquet(f"{base}/in/part{i}")
+    sink_dir = base + "/out"
+    q = (file_drop_stream(spark, base + "/in/*", "f long, v long", "parquet", max_files_per_trigger=1)
+         .groupBy("f").count().writeStream.outputMode("update")
+         .foreachBatch(lambda df, i: df.withColumn("batch_id", F.lit(i)).write.mode("append").parquet(sink_dir))
+         .option("checkpointLocation", base + "/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = rows(spark.read.parquet(sink_dir), "batch_id", "f", "count")
+    assert len({b for b, _, _ in got}) == 3 and sorted((f, c) for _, f, c in got) == [(0, 1), (1, 2), (2, 3)]
