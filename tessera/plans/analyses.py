@@ -22,10 +22,13 @@ from tessera.operators.windows import next_in_group
 # ----------------------------------------------------------------------------- words
 
 
-def word_count(lines: DataFrame, col: str = "value", sep: str = " ") -> DataFrame:
-    """Split on ``sep``, count every piece."""
+def word_count(lines: DataFrame, col: str = "value", sep: str = " ", ordered: bool = False) -> DataFrame:
+    """Split on ``sep``, count every piece.  ``ordered`` sorts by count
+    (descending) as the original output was; it is a global sort over the
+    whole vocabulary, so it is left to callers that need it."""
     w = lines.select(F.explode(F.split(F.col(col), sep)).alias("word"))
-    return w.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    counts = w.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    return counts.orderBy(F.desc("cnt"), "word") if ordered else counts
 
 
 # ----------------------------------------------------------------------------- ads (batch)
@@ -179,15 +182,19 @@ def parse_search(lines: DataFrame, col: str = "value") -> DataFrame:
 def search_url(records: DataFrame) -> DataFrame:
     """Hits per host for URLs beginning with ``www``."""
     r = records.where(F.substring("click_url", 1, 3) == "www")
-    return r.groupBy(tx.text_before("click_url", "/").alias("host")).agg(F.count(F.lit(1)).alias("hits"))
+    return (r.groupBy(tx.text_before("click_url", "/").alias("host")).agg(F.count(F.lit(1)).alias("hits"))
+             .orderBy(F.desc("hits"), "host"))
 
 
 def search_rank(records: DataFrame) -> DataFrame:
-    return records.groupBy("result_rank").agg(F.count(F.lit(1)).alias("clicks"))
+    return (records.groupBy("result_rank").agg(F.count(F.lit(1)).alias("clicks"))
+                   .orderBy(F.desc("clicks"), "result_rank"))
 
 
-def search_keywords(records: DataFrame) -> DataFrame:
-    return tx.explode_tokens(records, "query_words").groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+def search_keywords(records: DataFrame, ordered: bool = False) -> DataFrame:
+    """Word frequency of the queries; ``ordered`` as in ``word_count``."""
+    counts = tx.explode_tokens(records, "query_words").groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    return counts.orderBy(F.desc("cnt"), "word") if ordered else counts
 
 
 def search_user_query(records: DataFrame) -> DataFrame:
@@ -209,7 +216,7 @@ def search_best_rank(lines: DataFrame, col: str = "value") -> DataFrame:
 
 def search_hourly(records: DataFrame) -> DataFrame:
     return records.groupBy(F.substring("query_time", 1, 2).alias("hour")).agg(
-        F.count(F.lit(1)).alias("searches"))
+        F.count(F.lit(1)).alias("searches")).orderBy("hour")
 
 
 # ----------------------------------------------------------------------------- shopping behaviour
@@ -243,7 +250,7 @@ def daily_conversion(clean: DataFrame) -> DataFrame:
         F.countDistinct("UserID").alias("uv"),
         F.sum(F.when(F.col("BehaviorType") == "pv", 1).otherwise(0)).cast("bigint").alias("pv"),
         F.sum(F.when(F.col("BehaviorType") == "buy", 1).otherwise(0)).cast("bigint").alias("buy"))
-    return g.withColumn("conversion", F.round(F.col("buy") / F.col("uv"), 4))
+    return g.withColumn("conversion", F.round(F.col("buy") / F.col("uv"), 4)).orderBy("Dates")
 
 
 def funnel_total(clean: DataFrame) -> DataFrame:
@@ -251,7 +258,7 @@ def funnel_total(clean: DataFrame) -> DataFrame:
 
 
 def funnel_by(clean: DataFrame, key: str) -> DataFrame:
-    return clean.groupBy(key).agg(F.countDistinct("UserID").alias("users"), *_behaviour_sums())
+    return clean.groupBy(key).agg(F.countDistinct("UserID").alias("users"), *_behaviour_sums()).orderBy(key)
 
 
 def item_top10(clean: DataFrame, n: int = 10) -> DataFrame:
@@ -263,7 +270,7 @@ def item_top10(clean: DataFrame, n: int = 10) -> DataFrame:
 def repurchase_histogram(clean: DataFrame) -> DataFrame:
     per_item = clean.where(F.col("BehaviorType") == "buy").groupBy("ItemID").agg(
         F.count("BehaviorType").alias("buys"))
-    return per_item.groupBy("buys").agg(F.count("ItemID").alias("items"))
+    return per_item.groupBy("buys").agg(F.count("ItemID").alias("items")).orderBy(F.desc("items"), "buys")
 
 
 # ----------------------------------------------------------------------------- review records
