@@ -49,3 +49,28 @@ def test_parsers_survive_ansi_mode_on_bad_numbers(spark):
     got = rows(an.parse_search(lines), "user_id", "result_rank", "click_rank")
     assert got == [("u1", 1, 1), ("u2", None, 2)]
     assert an.search_best_rank(lines).first()["best"] == 1
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    import contextlib
+    import io as _io
+    import uuid
+    from tessera.sources.io import write_bucketed
+    t = Tables(spark, SF_SMALL)
+    tag = uuid.uuid4().hex[:8]
+    o = write_bucketed(t.orders.select("o_orderkey", "o_custkey"), f"orders_b_{tag}", ["o_orderkey"], 8,
+                       work_dir(spark, "ob"))
+    li = write_bucketed(t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity"),
+                        f"lineitem_b_{tag}", ["o_orderkey"], 8, work_dir(spark, "lb"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force the shuffle-join path
+    try:
+        j = li.join(o, "o_orderkey")
+        buf = _io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            j.explain()
+        plan = buf.getvalue()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == t.lineitem.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
