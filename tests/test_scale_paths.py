@@ -107,3 +107,31 @@ def test_range_pieces_balance_a_single_hot_group(spark):
     df = spark.range(0, 8000).select(F.lit("hot").alias("g"), F.col("id"))
     sizes = [r["count"] for r in range_pieces(df, ["g", "id"], 16, "piece").groupBy("piece").count().collect()]
     assert len(sizes) == 16 and max(sizes) <= 2 * 8000 / 16
+
+
+def test_hot_join_key_is_split_by_aqe(spark):
+    """A key holding a third of the rows: AQE marks the shuffle join as skewed
+    and splits that partition (thresholds lowered to test size)."""
+    big = spark.range(0, 300_000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
+                                         .alias("k"), F.col("id").alias("v"))
+    dim = spark.range(0, 300_000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("w"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        j = big.join(dim, "k")
+        assert len(j.collect()) == 300_000                      # every row finds its key (hot rows: key 0)
+        plan = j._jdf.queryExecution().executedPlan().toString()  # final adaptive plan of that run
+        assert "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
