@@ -58,7 +58,8 @@ class BlackListProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         user = int(key[0])
-        listed = self.flag.exists() and bool(self.flag.get()[0])
+        flag = self.flag.get()  # None when unset (one state call)
+        listed = flag is not None and bool(flag[0])
         batch = None
         for chunk in rows:  # consume every chunk even when the user is listed
             if listed or chunk.empty:
