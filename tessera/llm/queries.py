@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import quality, rendezvous, simhash, token_store
+from tessera.llm import quality, rendezvous, repeats, simhash, token_store
 from tessera.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +29,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.linked(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removals(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_token_store, op3_rendezvous_shards, op4_quality, op7_simhash)}
+    op1_token_store, op3_rendezvous_shards, op4_quality, op7_simhash, op10_suffix_array)}
 
 ORACLE: dict[str, str] = {}
