@@ -76,13 +76,13 @@ _BY_LENGTH = sorted(URL_RULES, key=lambda r: (-r[0].count("."), -len(r[1])))
 ORACLE: dict[str, str] = {
     "op6_no_random_access": f"""
   WITH good AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor({topk.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    SELECT vec_id, [floor({topk.SCALE} * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
   scores AS (
     SELECT q.vec_id AS query_id, c.vec_id,
-           CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+           CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
     FROM good q JOIN good c ON q.vec_id % {topk.EVERY} = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v))
   SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
   FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
