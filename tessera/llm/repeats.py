@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +37,10 @@ from tessera.llm.common import slices, stored, text_bytes
 
 MATCH = 200
 GRAM = 100                 # anchor window; every match holds MATCH - GRAM + 1 of them
+PER_PARTITION = 4          # buckets that a shuffle partition solves one after the other
 HOT = 4096                 # occurrences of an anchor from which its strings are counted by hash
 SLICE_BYTES = 16 << 20     # text whose anchors are packed together
-ARRAY_BYTES = 1 << 20      # text of one suffix array (whole anchor groups)
+ARRAY_BYTES = 1 << 19      # text of one suffix array (whole anchor groups)
 
 _TABLE = np.random.default_rng(20).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
@@ -96,13 +98,14 @@ def suffix_ranks(data: np.ndarray, ends: np.ndarray) -> list[tuple[int, np.ndarr
         word <<= np.uint64(9)
         m = max(0, n - k)
         word[:m] |= np.where(left[:m] > k, symbol[n - m:], 0)
-    rank = np.unique(word, return_inverse=True)[1]
+    rank = np.unique(word, return_inverse=True)[1].astype(np.int32)
+    del word, symbol
     levels, length = [(7, rank)], 7
     while length < left.max(initial=0):
-        after = np.zeros(n, np.int64)
+        pair = rank.astype(np.int64) * (n + 2)
         keep = np.flatnonzero(left > length)
-        after[keep] = rank[keep + length] + 1
-        rank = np.unique(rank * (n + 2) + after, return_inverse=True)[1]
+        pair[keep] += rank[keep + length] + 1
+        rank = np.unique(pair, return_inverse=True)[1].astype(np.int32)
         length *= 2
         levels.append((length, rank))
     return levels
@@ -124,32 +127,68 @@ def common_prefix(levels: list[tuple[int, np.ndarray]], data: np.ndarray, ends:
     return np.minimum(got, most)
 
 
-def maximal_repeats(texts: list[bytes], least: int = MATCH) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(length, text numbers, starts) of every maximal repeat of ``least`` bytes or more.
+class Repeats(NamedTuple):
+    """Maximal repeats as intervals of a suffix array, which keeps nested groups in linear space:
+    repeat k is ``length[k]`` bytes long and occurs at (text, start)[first[k]: last[k] + 1]."""
+
+    text: np.ndarray
+    start: np.ndarray
+    length: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+
+    def groups(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(length, text numbers, starts) of each repeat, with all its occurrences."""
+        for n, lo, hi in zip(self.length.tolist(), self.first.tolist(), self.last.tolist()):
+            yield n, self.text[lo: hi + 1], self.start[lo: hi + 1]
+
+    def longest(self) -> np.ndarray:
+        """The longest repeat that each suffix opens, 0 if none; repeats come inner before outer."""
+        out = np.zeros(len(self.text), np.int64)
+        free = list(range(len(self.text) + 1))       # the next suffix not set yet
+
+        def unset(k: int) -> int:
+            while free[k] != k:
+                free[k] = free[free[k]]
+                k = free[k]
+            return k
+
+        for n, lo, hi in zip(self.length.tolist(), self.first.tolist(), self.last.tolist()):
+            k = unset(lo)
+            while k <= hi:
+                out[k] = n
+                free[k] = k + 1
+                k = unset(k + 1)
+        return out
+
+
+def maximal_repeats(texts: list[bytes], least: int = MATCH) -> Repeats:
+    """Every maximal repeat of ``least`` bytes or more.
 
     Maximal: not all occurrences go on alike to the right (an interval of the common
     prefix tree) nor to the left.  A text's start differs from anything, and so does its end.
     """
     sizes = np.array([len(t) for t in texts], np.int64)
     data = np.frombuffer(b"".join(texts), np.uint8)
-    if not len(data):
-        return
     owner = np.repeat(np.arange(len(texts)), sizes)
     stop = np.cumsum(sizes)
     ends, begins = stop[owner], (stop - sizes)[owner]
-    levels = suffix_ranks(data, ends)
     spots = np.flatnonzero(ends - np.arange(len(data)) >= least)
-    spots = spots[np.argsort(levels[-1][1][spots], kind="stable")]
+    none = np.zeros(0, np.int64)
     if len(spots) < 2:
-        return
+        return Repeats(none, none, none, none, none)
+    levels = suffix_ranks(data, ends)
+    spots = spots[np.argsort(levels[-1][1][spots], kind="stable")]
     lcp = common_prefix(levels, data, ends, spots[:-1], spots[1:])
+    del levels
     # runs of neighbours that share ``least`` bytes; uniform to the left: no maximal repeat inside
     cut = np.flatnonzero(np.r_[True, lcp < least])
     before = np.where(spots > begins[spots], data[spots - 1].astype(np.int64), -1)
     low, high = np.minimum.reduceat(before, cut), np.maximum.reduceat(before, cut)
     size = np.diff(np.r_[cut, len(spots)])
-    for lo, n in zip(cut[(size > 1) & ((low != high) | (low < 0))].tolist(),
-                     size[(size > 1) & ((low != high) | (low < 0))].tolist()):
+    diverse = (size > 1) & ((low != high) | (low < 0))
+    found: list[tuple[int, int, int]] = []
+    for lo, n in zip(cut[diverse].tolist(), size[diverse].tolist()):
         inner = lcp[lo: lo + n - 1].tolist()
         left = before[lo: lo + n].tolist()
         # the stack holds (prefix length, left border, the common left byte, -1 if diverse)
@@ -161,14 +200,15 @@ def maximal_repeats(texts: list[bytes], least: int = MATCH) -> Iterator[tuple[in
                 length, start, own = stack.pop()
                 byte = own if own == byte else -1
                 if byte < 0:
-                    some = spots[lo + start: lo + k + 1]
-                    yield length, owner[some], some - begins[some]
+                    found.append((length, lo + start, lo + k))
             if not here:
                 break
             if stack and stack[-1][0] == here:
                 stack[-1][2] = stack[-1][2] if stack[-1][2] == byte else -1
             else:
                 stack.append([here, start, byte])
+    length, first, last = np.array(found, np.int64).reshape(-1, 3).T
+    return Repeats(owner[spots], spots - begins[spots], length, first, last)
 
 
 # ------------------------------------------------------------------ the distributed steps
@@ -279,7 +319,7 @@ def _repeated_anchors(docs: DataFrame, buckets: int) -> DataFrame:
             rows += [(None, value[i].tobytes(), int(total[i])) for i in np.flatnonzero(total > HOT)]
             yield _batch(rows, kinds)
 
-    return (_source(docs).mapInArrow(ask, PACKED).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return (_source(docs).mapInArrow(ask, PACKED).repartition(buckets // PER_PARTITION, "bucket").sortWithinPartitions("bucket")
             .mapInArrow(answer, "key long, anchors binary, count long"))
 
 
@@ -367,7 +407,7 @@ def _warm_spans(found: DataFrame, hot: set[int], buckets: int) -> DataFrame:
             out["stop"] = places["start"][which] + spans["stop"][pick]
             yield _batch(_by_key(places["key"][which], out), {"key": pa.int64(), "spans": pa.binary()})
 
-    return (found.mapInArrow(send, STRETCHES).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return (found.mapInArrow(send, STRETCHES).repartition(buckets // PER_PARTITION, "bucket").sortWithinPartitions("bucket")
             .mapInArrow(solve, "key long, spans binary"))
 
 
@@ -384,10 +424,13 @@ def _stretch_spans(texts: list[bytes], values: np.ndarray, repeated: np.ndarray)
     runs = [r for r in runs if len(r) > 1 or (len(r) and not repeated[r[0]])]
     for lo, hi in slices((sum(len(texts[i]) for i in r.tolist()) for r in runs), ARRAY_BYTES):
         some = np.concatenate(runs[lo:hi])
-        for length, number, start in maximal_repeats([texts[i] for i in some.tolist()]):
-            got = np.zeros(len(number), TEXT_SPAN)
-            got["text"], got["start"], got["stop"] = some[number], start, start + length
-            out.append(got)
+        repeats = maximal_repeats([texts[i] for i in some.tolist()])
+        longest = repeats.longest()
+        opens = np.flatnonzero(longest)
+        got = np.zeros(len(opens), TEXT_SPAN)
+        got["text"], got["start"] = some[repeats.text[opens]], repeats.start[opens]
+        got["stop"] = got["start"] + longest[opens]
+        out.append(got)
     return np.concatenate(out)
 
 
@@ -424,7 +467,7 @@ def _hot_spans(found: DataFrame, hot: set[int], buckets: int) -> DataFrame:
             out["stop"] = refs["start"][np.r_[new[1:], len(refs)] - 1] + MATCH if len(new) else 0
             yield _batch(_by_key(refs["key"][new], out), {"key": pa.int64(), "spans": pa.binary()})
 
-    return (found.mapInArrow(send, PACKED).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return (found.mapInArrow(send, PACKED).repartition(buckets // PER_PARTITION, "bucket").sortWithinPartitions("bucket")
             .mapInArrow(solve, "key long, spans binary"))
 
 
@@ -434,7 +477,7 @@ HOT_LIST = 10_000_000      # proven bound of the list of hot anchors that every
 def repeat_spans(docs: DataFrame) -> DataFrame:
     """(key, spans): of each row with a repeat, the covered byte ranges, as a list of packed parts."""
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     again = stored(_repeated_anchors(docs, buckets), "anchors")
     hot = {int.from_bytes(r.anchors, "little") for r in
            again.where("key is null").orderBy(F.desc("count"), "anchors").limit(HOT_LIST).collect()}
