@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,11 +52,15 @@ def tokens(c) -> Column:
     return F.filter(F.split(F.lower(_c(c)), NON_WORD), lambda t: t != "")
 
 
-def explode_tokens(df: DataFrame, col: str, alias: str = "word", keep=()) -> DataFrame:
-    """One row per token.  Empty pieces are dropped after the explode with a
-    plain (code-generated) filter, not with a lambda over the array, which
-    would run outside whole-stage codegen (about twice as slow)."""
-    pieces = df.select(*keep, F.explode(F.split(F.lower(_c(col)), NON_WORD)).alias(alias))
+def explode_tokens(df: DataFrame, col: str, alias: str = "word", keep=(),
+                   tokenizer: Callable[[Column], Column] | None = None) -> DataFrame:
+    """One row per token.  ``tokenizer`` maps the text column to an array of
+    words (built-ins, or a pandas UDF that wraps a segmenter); the default
+    takes runs of letters and digits.  Empty pieces are dropped after the
+    explode with a plain (code-generated) filter, not with a lambda over the
+    array, which would run outside whole-stage codegen (about twice as slow)."""
+    words = tokenizer(_c(col)) if tokenizer else F.split(F.lower(_c(col)), NON_WORD)
+    pieces = df.select(*keep, F.explode(words).alias(alias))
     return pieces.where(F.col(alias) != "")
 
 

@@ -1,7 +1,8 @@
 """Time parsing and formatting helpers.
 
 All times are handled as UTC wall clock (the loaders pin the session
-zone), and every helper is a Catalyst expression.
+zone), and every helper is a Catalyst expression.  Text that is no time
+or number becomes NULL, in ANSI mode too.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ def _c(c) -> Column:
 
 
 def parse_access_time(c) -> Column:
-    return F.to_timestamp(_c(c), ACCESS_LOG_TIME)
+    return F.try_to_timestamp(_c(c), F.lit(ACCESS_LOG_TIME))
 
 
 def day_unpadded(ts) -> Column:
@@ -28,13 +29,13 @@ def day_unpadded(ts) -> Column:
 
 
 def epoch_seconds_text(c) -> Column:
-    """Epoch seconds (text or number) -> ``yyyy-MM-dd HH:mm:ss``."""
-    return F.from_unixtime(_c(c).cast("bigint"), DATETIME)
+    """Epoch seconds (text or number) -> ``yyyy-MM-dd HH:mm:ss``; other text gives NULL."""
+    return F.from_unixtime(_c(c).try_cast("bigint"), DATETIME)
 
 
 def epoch_ms_day(c) -> Column:
     """Epoch milliseconds -> ``yyyy-MM-dd``."""
-    return F.date_format(F.timestamp_millis(_c(c).cast("bigint")), "yyyy-MM-dd")
+    return F.date_format(F.timestamp_millis(_c(c).try_cast("bigint")), "yyyy-MM-dd")
 
 
 def floor_ms(c, step_ms: int) -> Column:
@@ -44,6 +45,6 @@ def floor_ms(c, step_ms: int) -> Column:
 
 def minutes_between_truncated(start_text, end_text) -> Column:
     """Whole minutes from start to end, both cut to the minute first."""
-    s = F.date_trunc("minute", F.to_timestamp(_c(start_text), DATETIME))
-    e = F.date_trunc("minute", F.to_timestamp(_c(end_text), DATETIME))
+    s = F.date_trunc("minute", F.try_to_timestamp(_c(start_text), F.lit(DATETIME)))
+    e = F.date_trunc("minute", F.try_to_timestamp(_c(end_text), F.lit(DATETIME)))
     return F.floor((F.unix_seconds(e) - F.unix_seconds(s)) / 60).cast("bigint")

@@ -112,7 +112,8 @@ def stats(df: DataFrame, col: str) -> DataFrame:
                   F.avg(col).alias("mean_" + col))
 
 
-def aggregate_with_zero(df: DataFrame, value: str, slice_col: str, n_slices: int, zero) -> DataFrame:
-    """RDD ``aggregate(zero)(_+_, _+_)`` / ``fold``: zero enters once per
-    slice (empty ones too) and once more at the final merge."""
+def aggregate_with_zero(df: DataFrame, value: str, n_slices: int, zero) -> DataFrame:
+    """RDD ``aggregate(zero)(_+_, _+_)`` / ``fold`` over ``n_slices`` slices:
+    zero enters once per slice (empty ones too) and once more at the final
+    merge.  A sum does not depend on where the slices are cut, so none is made."""
     return df.agg((F.sum(value) + F.lit(zero) * (n_slices + 1)).alias("result"))

@@ -19,6 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 _LOW_BITS = (1 << 33) - 1
+RANGE_BYTES = 1 << 30      # estimated size of one range
+
+
+def range_count(df: DataFrame) -> int:
+    """Ranges to cut ``df`` into: by its estimated size after column pruning,
+    one per core at least; the number of input splits plays no part."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(df.sparkSession.sparkContext.defaultParallelism, min(-(-size // RANGE_BYTES), 1_000_000))
 
 
 def row_index(df: DataFrame, order: Sequence[str | Column], alias: str = "idx",
@@ -36,8 +44,7 @@ def row_index(df: DataFrame, order: Sequence[str | Column], alias: str = "idx",
     from tessera.session import work_dir
     spark = df.sparkSession
     work_dir(spark, "index")  # ensures a checkpoint folder exists
-    # at least one range per input split (file splits follow maxPartitionBytes)
-    n = n_ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    n = n_ranges or range_count(df)
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
               .withColumn("__mid", F.monotonically_increasing_id()))

@@ -189,3 +189,14 @@ def distinct(df: DataFrame) -> DataFrame:
 def except_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
     """SQL ``EXCEPT`` (distinct rows of a not in b, nulls equal)."""
     return a.subtract(b)
+
+
+def outer_join_split(kept: DataFrame, other: DataFrame, on: Column) -> DataFrame:
+    """``kept LEFT JOIN other ON on``, as an inner join and the rows of ``kept``
+    without a match.
+
+    An outer join may not split a hot key on its optional side; the inner
+    join may split either side, so a key that many rows of ``other`` share
+    is spread over several tasks (AQE skew join)."""
+    alone = kept.join(other, on, "left_anti")
+    return kept.join(other, on).unionByName(alone, allowMissingColumns=True)

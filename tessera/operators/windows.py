@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.layout import range_count
+
 
 def next_in_group(df: DataFrame, keys: Sequence[str], time_col: str, tie_col: str, value: str,
                   alias: str, split: str = "range", bucket_seconds: int = 3600,
@@ -45,7 +47,7 @@ def range_pieces(df: DataFrame, order: Sequence[str], n_ranges: int | None = Non
     from tessera.session import work_dir
     spark = df.sparkSession
     work_dir(spark, "ranges")  # ensures a checkpoint folder exists
-    n = n_ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    n = n_ranges or range_count(df)
     return (df.repartitionByRange(n, *order)
               .withColumn(alias, F.spark_partition_id().cast("bigint"))
               .checkpoint(eager=True))
@@ -62,11 +64,16 @@ def _stitch(pieces: DataFrame, keys: Sequence[str], time_col: str, tie_col: str,
     which the big side already satisfies (same partitioning and order)."""
     inner = Window.partitionBy(*keys, "__b").orderBy(time_col, tie_col)
     d = (pieces.withColumn(alias, F.lead(value).over(inner))
-               .withColumn("__last", F.lead(tie_col).over(inner).isNull())
-               .withColumn("__first", F.lag(tie_col).over(inner).isNull()))
+               .withColumn("__last", F.lead(F.lit(1)).over(inner).isNull())
+               .withColumn("__first", F.lag(F.lit(1)).over(inner).isNull()))
     per_group = Window.partitionBy(*keys).orderBy("__b")
     links = (d.where(F.col("__first"))
-              .select(*keys, "__b", F.lead(F.col(value)).over(per_group).alias("__next_piece")))
-    out = d.join(links, [*keys, "__b"], "left")
+              .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__b").alias("__piece"),
+                      F.lead(F.col(value)).over(per_group).alias("__next_piece")))
+    # null-safe: rows without a key are a group like any other
+    on = d["__b"] == links["__piece"]
+    for i, k in enumerate(keys):
+        on = on & d[k].eqNullSafe(links[f"__k{i}"])
+    out = d.join(links, on, "left").drop("__piece", *[f"__k{i}" for i in range(len(keys))])
     out = out.withColumn(alias, F.when(F.col("__last"), F.col("__next_piece")).otherwise(F.col(alias)))
     return out.drop("__b", "__last", "__first", "__next_piece")

@@ -44,17 +44,16 @@ def province_top_ads(clicks: DataFrame, n: int = 3) -> DataFrame:
 
 
 def access_records(log: DataFrame) -> DataFrame:
-    f = log.select("line_id", F.split("value", " ").alias("f"))
-    return f.select("line_id",
-                    F.col("f").getItem(0).alias("ip"),
-                    F.col("f").getItem(3).alias("time_text"),
-                    F.col("f").getItem(6).alias("path"))
+    """(line_id, ip, time_text, path) of the lines with all fields; others are dropped."""
+    f = log.select("line_id", F.split("value", " ").alias("f")).where(F.size("f") >= 7)
+    return f.select("line_id", F.get("f", F.lit(0)).alias("ip"), F.get("f", F.lit(3)).alias("time_text"),
+                    F.get("f", F.lit(6)).alias("path"))
 
 
 def log_hourly(log: DataFrame) -> DataFrame:
-    """Requests per hour of the day."""
+    """Requests per hour of the day; lines without a real time are dropped."""
     r = access_records(log).select(
-        F.date_format(tf.parse_access_time("time_text"), "HH").alias("hour"))
+        F.date_format(tf.parse_access_time("time_text"), "HH").alias("hour")).where("hour is not null")
     return r.groupBy("hour").agg(F.count(F.lit(1)).alias("requests"))
 
 
@@ -106,10 +105,10 @@ def area_product_city_counts(clicks: DataFrame, city_info: DataFrame, products:
 
     Counts are pre-aggregated per (city_id, product_id) before any join, so
     the joins see at most one row per city and product instead of one per
-    click; city_info (nation x region) is a fixed 25-row broadcast.
+    click.  AQE picks the joins' strategy by the dimensions' sizes.
     """
     pre = clicks.groupBy("city_id", "click_product_id").agg(F.count(F.lit(1)).alias("cnt"))
-    with_city = pre.join(F.broadcast(city_info), "city_id")
+    with_city = pre.join(city_info, "city_id")
     named = with_city.join(products, with_city.click_product_id == products.product_id)
     return named.groupBy("area", "product_name", "city_name").agg(F.sum("cnt").cast("bigint").alias("cnt"))
 
@@ -117,7 +116,7 @@ def area_product_city_counts(clicks: DataFrame, city_info: DataFrame, products:
 def area_top3(clicks: DataFrame, city_info: DataFrame, products: DataFrame, n: int = 3) -> DataFrame:
     """``rank() over (partition by area order by clickCnt desc) <= n`` (ties kept)."""
     pre = clicks.groupBy("city_id", "click_product_id").agg(F.count(F.lit(1)).alias("cnt"))
-    with_area = pre.join(F.broadcast(city_info.select("city_id", "area")), "city_id")
+    with_area = pre.join(city_info.select("city_id", "area"), "city_id")
     per_product = with_area.groupBy("area", "click_product_id").agg(F.sum("cnt").alias("cnt"))
     named = per_product.join(products, per_product.click_product_id == products.product_id)
     t2 = named.groupBy("area", "product_name").agg(F.sum("cnt").cast("bigint").alias("click_cnt"))
@@ -158,9 +157,12 @@ def city_remark(city_counts: DataFrame, keys: Sequence[str], city: str = "city_n
 
 
 def area_top3_remark(clicks: DataFrame, city_info: DataFrame, products: DataFrame, n: int = 3) -> DataFrame:
+    """The areas' top products with their city remark, which is built for those only."""
     counts = area_product_city_counts(clicks, city_info, products)
-    t2 = city_remark(counts, ["area", "product_name"])
-    return topk.rank_top(t2, ["area"], [F.desc("click_cnt")], n, rank_col="rank")
+    totals = counts.groupBy("area", "product_name").agg(F.sum("cnt").cast("bigint").alias("total"))
+    top = topk.rank_top(totals, ["area"], [F.desc("total")], n, rank_col="rank").select("area", "product_name", "rank")
+    remark = city_remark(counts.join(top, ["area", "product_name"]), ["area", "product_name", "rank"])
+    return remark.select("area", "product_name", "click_cnt", "city_remark", "rank")
 
 
 # ----------------------------------------------------------------------------- search log
@@ -179,11 +181,11 @@ def parse_search(lines: DataFrame, col: str = "value") -> DataFrame:
                     F.col("f").getItem(5).alias("click_url"))
 
 
-def search_url(records: DataFrame) -> DataFrame:
-    """Hits per host for URLs beginning with ``www``."""
+def search_url(records: DataFrame, ordered: bool = False) -> DataFrame:
+    """Hits per host for URLs beginning with ``www``; ``ordered`` as in ``word_count``."""
     r = records.where(F.substring("click_url", 1, 3) == "www")
-    return (r.groupBy(tx.text_before("click_url", "/").alias("host")).agg(F.count(F.lit(1)).alias("hits"))
-             .orderBy(F.desc("hits"), "host"))
+    counts = r.groupBy(tx.text_before("click_url", "/").alias("host")).agg(F.count(F.lit(1)).alias("hits"))
+    return counts.orderBy(F.desc("hits"), "host") if ordered else counts
 
 
 def search_rank(records: DataFrame) -> DataFrame:
@@ -191,15 +193,25 @@ def search_rank(records: DataFrame) -> DataFrame:
                    .orderBy(F.desc("clicks"), "result_rank"))
 
 
-def search_keywords(records: DataFrame, ordered: bool = False) -> DataFrame:
-    """Word frequency of the queries; ``ordered`` as in ``word_count``."""
-    counts = tx.explode_tokens(records, "query_words").groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+def search_keywords(records: DataFrame, ordered: bool = False, tokenizer=None) -> DataFrame:
+    """Word frequency of the queries; ``ordered`` as in ``word_count``, ``tokenizer``
+    as in ``explode_tokens``."""
+    counts = tx.explode_tokens(records, "query_words", tokenizer=tokenizer).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
     return counts.orderBy(F.desc("cnt"), "word") if ordered else counts
 
 
+def search_user_query_pairs(records: DataFrame, ordered: bool = False) -> DataFrame:
+    """Visits per (user, query).  Queries are grouped by their 256-bit digest, so a
+    task sends each text once; ``ordered`` sorts by count, descending."""
+    per = (records.groupBy("user_id", F.sha2("query_words", 256).alias("digest"))
+           .agg(F.count(F.lit(1)).alias("n"), F.any_value("query_words").alias("query_words"))
+           .select("user_id", "query_words", "n"))
+    return per.orderBy(F.desc("n"), "user_id", "query_words") if ordered else per
+
+
 def search_user_query(records: DataFrame) -> DataFrame:
     """Visits per (user, query) summarised as max / min / mean and #pairs."""
-    per = records.groupBy("user_id", "query_words").agg(F.count(F.lit(1)).alias("n"))
+    per = records.groupBy("user_id", F.sha2("query_words", 256).alias("digest")).agg(F.count(F.lit(1)).alias("n"))
     return per.agg(F.max("n").alias("max_count"), F.min("n").alias("min_count"),
                    F.round(F.avg("n"), 4).alias("mean_count"), F.count(F.lit(1)).alias("pairs"))
 
@@ -310,8 +322,8 @@ def avg_processing_minutes(records: DataFrame, start="create_time", end="apply_t
 def sla_overdue(records: DataFrame, start="create_time", end="apply_time") -> DataFrame:
     """Filed before 18:00: overdue when processing takes more than 12 h.
     Filed at/after 18:00: overdue when reviewed at or after 12:00 next day."""
-    c = F.to_timestamp(F.col(start), tf.DATETIME)
-    e = F.to_timestamp(F.col(end), tf.DATETIME)
+    c = F.try_to_timestamp(F.col(start), F.lit(tf.DATETIME))
+    e = F.try_to_timestamp(F.col(end), F.lit(tf.DATETIME))
     early = F.hour(c) < 18
     late_overdue = e >= F.date_trunc("day", c) + F.expr("INTERVAL 36 HOURS")
     early_overdue = (F.unix_seconds(e) - F.unix_seconds(c)) > 12 * 3600

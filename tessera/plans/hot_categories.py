@@ -25,7 +25,8 @@ def tag_actions(visits: DataFrame) -> DataFrame:
     return (visits.select(kind.alias("kind"), ids.alias("ids"))
             .where(F.col("kind").isNotNull())
             .select("kind", F.explode("ids").alias("cid"))
-            .select(F.col("cid").cast("bigint").alias("category_id"), "kind"))
+            .select(F.col("cid").try_cast("bigint").alias("category_id"), "kind")
+            .where("category_id is not null"))  # empty or no number: not a category
 
 
 def category_counts(visits: DataFrame) -> DataFrame:

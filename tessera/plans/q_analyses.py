@@ -92,7 +92,7 @@ def q_province_top_ads(spark, sf_dir):
 
 @register("q_log_hourly", fx.with_views("""
   SELECT substring(string_split(value, ' ')[4], 12, 2) AS hour, CAST(count(*) AS BIGINT) AS requests
-  FROM access_log GROUP BY 1
+  FROM access_log WHERE try_strptime(string_split(value, ' ')[4], '%d/%m/%Y:%H:%M:%S') IS NOT NULL GROUP BY 1
 """, "access_log"))
 def q_log_hourly(spark, sf_dir):
     return an.log_hourly(fx.access_log(spark, sf_dir))
@@ -267,6 +267,12 @@ def q_search_user_query(spark, sf_dir):
     return an.search_user_query(_search_records(spark, sf_dir))
 
 
+@register("q_search_user_query_pairs", _search_sql(
+    "SELECT user_id, query_words, count(*) AS n FROM records GROUP BY 1, 2"))
+def q_search_user_query_pairs(spark, sf_dir):
+    return an.search_user_query_pairs(_search_records(spark, sf_dir))
+
+
 @register("q_search_best_rank", _search_sql(f"""
   SELECT CAST(sum(CASE WHEN ok AND len(f) = 6 AND TRY_CAST(f[5] AS INTEGER) = 1 AND TRY_CAST(f[4] AS INTEGER) = 1
                   THEN 1 ELSE 0 END) AS BIGINT) AS best,
@@ -294,7 +300,7 @@ CLEAN_RANGE = ("2024-01-03 00:00:00", "2024-01-28 00:00:00")
 _SQL_CLEAN = f"""
   SELECT *, substring(DateTime, 1, 10) AS Dates, substring(DateTime, 12, 2) AS Hours FROM (
     SELECT UserID, ItemID, CategoryID, BehaviorType, right(TimeStamp, 10) AS TimeStamp,
-           strftime(make_timestamp(CAST(right(TimeStamp, 10) AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') AS DateTime
+           strftime(make_timestamp(TRY_CAST(right(TimeStamp, 10) AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') AS DateTime
     FROM behaviour_raw) t
   WHERE DateTime BETWEEN '{CLEAN_RANGE[0]}' AND '{CLEAN_RANGE[1]}'
 """
@@ -320,6 +326,12 @@ def q_behaviour_clean(spark, sf_dir):
     return an.behaviour_totals(_clean(spark, sf_dir))
 
 
+@register("q_behaviour_rows", _behaviour_sql("SELECT * FROM clean"))
+def q_behaviour_rows(spark, sf_dir):
+    """The cleaned rows themselves."""
+    return _clean(spark, sf_dir)
+
+
 @register("q_daily_conversion", _behaviour_sql("""
   SELECT Dates, count(DISTINCT UserID) AS uv,
          CAST(sum(CASE WHEN BehaviorType = 'pv' THEN 1 ELSE 0 END) AS BIGINT) AS pv,
@@ -394,7 +406,7 @@ def q_temp_view(spark, sf_dir):
     fx.behaviour_raw(spark, sf_dir).createOrReplaceTempView("tessera_ub0")
     spark.sql("SELECT UserID, ItemID, CategoryID, BehaviorType, RIGHT(TimeStamp, 10) AS TimeStamp "
               "FROM tessera_ub0").createOrReplaceTempView("tessera_ub1")
-    spark.sql("SELECT *, FROM_UNIXTIME(TimeStamp) AS DateTime FROM tessera_ub1").createOrReplaceTempView("tessera_ub2")
+    spark.sql("SELECT *, FROM_UNIXTIME(TRY_CAST(TimeStamp AS BIGINT)) AS DateTime FROM tessera_ub1").createOrReplaceTempView("tessera_ub2")
     spark.sql(f"SELECT * FROM tessera_ub2 WHERE DateTime BETWEEN '{CLEAN_RANGE[0]}' AND '{CLEAN_RANGE[1]}'") \
         .createOrReplaceTempView("tessera_ub3")
     return spark.sql("SELECT SUBSTRING(DateTime, 12, 2) AS Hours, count(*) AS n FROM tessera_ub3 GROUP BY 1")
@@ -433,6 +445,20 @@ def q_redundant_columns(spark, sf_dir):
     return an.redundant_pairs(fx.reviews(spark, sf_dir))
 
 
+@register("q_drop_redundant", _review_sql("""
+  SELECT record_id, create_time, apply_time, shop_name FROM reviews
+  WHERE (SELECT sum(CASE WHEN split_part(apply_time, ' ', 1) = split_part(create_time, ' ', 1)
+                          AND split_part(created_at, ' ', 1) = split_part(updated_at, ' ', 1)
+                     THEN 1 ELSE 0 END) > count(*) * 0.5 FROM reviews)
+"""))
+def q_drop_redundant(spark, sf_dir):
+    """The records after the conditional drop of a redundant column pair (share 0.5)."""
+    kept = an.drop_if_redundant(fx.reviews(spark, sf_dir), share=0.5)
+    if {"created_at", "updated_at"} & set(kept.columns):  # not redundant: the twin is empty then
+        kept = kept.limit(0)
+    return kept.select("record_id", "create_time", "apply_time", "shop_name")
+
+
 _SQL_MINUTES = ("CAST(floor((epoch(date_trunc('minute', strptime(apply_time, '%Y-%m-%d %H:%M:%S'))) - "
                 "epoch(date_trunc('minute', strptime(create_time, '%Y-%m-%d %H:%M:%S')))) / 60) AS BIGINT)")
 

@@ -42,21 +42,21 @@ def q_sink_text(spark, sf_dir):
     return spark.read.text(d)
 
 
-# Lines per written file: whole files are read back as single rows, so
+# Size of a written file: whole files are read back as single rows, so
 # their size must stay bounded as the table grows.
-LINES_PER_FILE = 2000
+FILE_BYTES = 64 << 20
 
 
 @register("src_whole_text", fx.with_views(f"""
-  SELECT CAST(greatest(8, count(*) // {LINES_PER_FILE}) AS BIGINT) AS files, count(*) AS lines,
+  SELECT CAST(sum(strlen(value) + 1) // {FILE_BYTES} + 1 AS BIGINT) AS files, count(*) AS lines,
          CAST(sum(length(value) + 1) AS BIGINT) AS chars FROM access_log
 """, "access_log"))
 def q_src_whole_text(spark, sf_dir):
-    """Lines written round-robin into about LINES_PER_FILE-line files (at
-    least 8), read back one row per file (path, content)."""
+    """Lines written round-robin into files of about FILE_BYTES, read back one
+    row per file (path, content)."""
     d = work_dir(spark, "whole")
     lines = fx.access_log(spark, sf_dir).select("value")
-    n_files = max(8, lines.count() // LINES_PER_FILE)
+    n_files = (lines.agg(F.sum(F.octet_length("value") + 1)).first()[0] or 0) // FILE_BYTES + 1
     io.write_text(lines.repartition(n_files), d)
     w = io.read_whole_text(spark, d)
     n_lines = F.size(F.split("content", "\\n")) - 1
@@ -66,7 +66,7 @@ def q_src_whole_text(spark, sf_dir):
 
 @register("sink_single_file", """
   SELECT substring(strftime(ts, '%H:%M:%S'), 1, 2) AS hour, CAST(count(*) AS BIGINT) AS searches
-  FROM documents d JOIN events e ON d.doc_id = e.event_id JOIN pages p ON d.doc_id = p.page_id
+  FROM documents d JOIN events e ON d.doc_id % (SELECT count(*) FROM events) = e.event_id
   GROUP BY 1
 """)
 def q_sink_single_file(spark, sf_dir):

@@ -77,15 +77,16 @@ def q_partition_by_custom(spark, sf_dir):
   UNION ALL SELECT 'status', l_linestatus, count(*) FROM lineitem GROUP BY 2
 """)
 def q_persist_reuse(spark, sf_dir):
-    """One persisted input feeding two aggregations.  DISK_ONLY: the cached
-    blocks outlive this call in the caller's session, so they hold no
-    executor memory."""
+    """One persisted input feeding two aggregations; the small result is
+    checkpointed and the persisted blocks are released."""
     li = lay.persist(Tables(spark, sf_dir).lineitem.select("l_returnflag", "l_linestatus"),
                      StorageLevel.DISK_ONLY)
     a = li.groupBy(F.col("l_returnflag").alias("val")).agg(F.count(F.lit(1)).alias("n"))
     b = li.groupBy(F.col("l_linestatus").alias("val")).agg(F.count(F.lit(1)).alias("n"))
-    return (a.select(F.lit("flag").alias("dim"), "val", "n")
-             .unionByName(b.select(F.lit("status").alias("dim"), "val", "n")))
+    out = lay.cut_lineage(a.select(F.lit("flag").alias("dim"), "val", "n")
+                          .unionByName(b.select(F.lit("status").alias("dim"), "val", "n")))
+    li.unpersist()
+    return out
 
 
 @register("checkpoint_cut", """
@@ -105,15 +106,21 @@ def q_rdd_df_convert(spark, sf_dir):
     return spark.createDataFrame(c.rdd, c.schema)
 
 
-@register("src_collection",
-          "SELECT count(*) AS n, CAST(count(*) * (count(*) - 1) // 2 AS BIGINT) AS total FROM lineitem")
+# Fixed values of the demonstration: names of the return flags.
+FLAG_NAMES = [("R", "returned"), ("A", "accepted"), ("N", "none")]
+
+
+@register("src_collection", f"""
+  SELECT flag_name, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS quantity
+  FROM lineitem JOIN (VALUES {", ".join(f"('{a}', '{b}')" for a, b in FLAG_NAMES)}) f(flag, flag_name)
+    ON l_returnflag = flag GROUP BY 1
+""")
 def q_src_collection(spark, sf_dir):
-    """``spark.range(n, numPartitions)`` -- the distributed form of
-    ``parallelize(1..n, slices)`` -- sized by a table's row count."""
-    n = Tables(spark, sf_dir).lineitem.count()
-    # about 50M ids per slice, never fewer than 5 slices
-    r = spark.range(0, n, numPartitions=max(5, n // 50_000_000 + 1))
-    return r.agg(F.count(F.lit(1)).alias("n"), F.sum("id").cast("bigint").alias("total"))
+    """A collection of the driver program made into a table and joined."""
+    flags = spark.createDataFrame(FLAG_NAMES, "flag string, flag_name string")
+    li = Tables(spark, sf_dir).lineitem.select("l_returnflag", "l_quantity")
+    return (li.join(flags, li.l_returnflag == flags.flag).groupBy("flag_name")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").cast("bigint").alias("quantity")))
 
 
 # ------------------------------------------------------------------ scalar functions
@@ -141,13 +148,14 @@ def q_fn_string(spark, sf_dir):
 
 
 @register("fn_parse_time", fx.with_views("""
-  SELECT line_id, strftime(strptime(string_split(value, ' ')[4], '%d/%m/%Y:%H:%M:%S'), '%H') AS hour,
-         strftime(strptime(string_split(value, ' ')[4], '%d/%m/%Y:%H:%M:%S'), '%Y/%-m/%-d') AS day
+  SELECT line_id, strftime(try_strptime(string_split(value, ' ')[4], '%d/%m/%Y:%H:%M:%S'), '%H') AS hour,
+         strftime(try_strptime(string_split(value, ' ')[4], '%d/%m/%Y:%H:%M:%S'), '%Y/%-m/%-d') AS day
   FROM access_log
 """, "access_log"))
 def q_fn_parse_time(spark, sf_dir):
     a = fx.access_log(spark, sf_dir)
-    t = tf.parse_access_time(F.split("value", " ").getItem(3))
+    """Hour and day of each line; NULL where the line has no real time."""
+    t = tf.parse_access_time(F.get(F.split("value", " "), F.lit(3)))
     return a.select("line_id", F.date_format(t, "HH").alias("hour"), tf.day_unpadded(t).alias("day"))
 
 

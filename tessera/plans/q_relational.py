@@ -46,7 +46,7 @@ def q_map_expr(spark, sf_dir):
     "SELECT line_id, string_split(value, ' ')[7] AS path FROM access_log", "access_log"))
 def q_project_field(spark, sf_dir):
     a = fx.access_log(spark, sf_dir)
-    return a.select("line_id", F.split("value", " ").getItem(6).alias("path"))
+    return a.select("line_id", F.get(F.split("value", " "), F.lit(6)).alias("path"))
 
 
 @register("project_columns", fx.with_views(
@@ -88,7 +88,7 @@ def q_flat_map_mixed(spark, sf_dir):
 def q_flat_map_csv_ids(spark, sf_dir):
     v = fx.visits(spark, sf_dir).where(F.col("pay_product_ids").isNotNull())
     return v.select("action_id", F.explode(F.split("pay_product_ids", ",")).alias("p")) \
-            .select("action_id", F.col("p").cast("bigint").alias("product_id"))
+            .select("action_id", F.col("p").try_cast("bigint").alias("product_id")).where("product_id is not null")
 
 
 @register("map_values", "SELECT event_id, event_type, round(value * 10, 4) AS value FROM events")
@@ -170,8 +170,8 @@ def q_filter_expr(spark, sf_dir):
 """, "access_log"))
 def q_filter_prefix(spark, sf_dir):
     a = fx.access_log(spark, sf_dir).select("line_id", F.split("value", " ").alias("f"))
-    return (a.where(F.col("f").getItem(3).startswith("17/01/2024"))
-             .select("line_id", F.col("f").getItem(6).alias("path")))
+    return (a.where(F.get("f", F.lit(3)).startswith("17/01/2024"))
+             .select("line_id", F.get("f", F.lit(6)).alias("path")))
 
 
 @register("filter_contains", "SELECT doc_id FROM documents WHERE contains(text, 'ion')")
@@ -261,8 +261,8 @@ def q_join_inner(spark, sf_dir):
 """)
 def q_join_left(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return t.customer.join(t.orders, F.col("o_custkey") == F.col("c_custkey"), "left") \
-                     .select("c_custkey", "o_orderkey")
+    return rel.outer_join_split(t.customer.select("c_custkey"), t.orders.select("o_orderkey", "o_custkey"),
+                                F.col("o_custkey") == F.col("c_custkey")).select("c_custkey", "o_orderkey")
 
 
 @register("join_right", """
@@ -272,7 +272,8 @@ def q_join_left(spark, sf_dir):
 def q_join_right(spark, sf_dir):
     t = Tables(spark, sf_dir)
     l = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_suppkey").distinct()
-    return l.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"), "right").select("o_orderkey", "s_suppkey")
+    return rel.outer_join_split(t.supplier.select("s_suppkey"), l,
+                                F.col("l_suppkey") == F.col("s_suppkey")).select("o_orderkey", "s_suppkey")
 
 
 @register("join_cogroup", """
@@ -304,12 +305,15 @@ _SQL_COGROUP3 = """
 
 
 def _three_sides(spark, sf_dir):
+    """Category mentions by click, order and pay; what is no category id is dropped."""
     v = fx.visits(spark, sf_dir)
     clicks = v.where(F.col("click_category_id").isNotNull()).select(F.col("click_category_id").alias("category_id"))
     orders = v.where(F.col("order_category_ids").isNotNull()).select(
-        F.explode(F.split("order_category_ids", ",")).alias("c")).select(F.col("c").cast("bigint").alias("category_id"))
+        F.explode(F.split("order_category_ids", ",")).alias("c")).select(
+            F.col("c").try_cast("bigint").alias("category_id")).where("category_id is not null")
     pays = v.where(F.col("pay_category_ids").isNotNull()).select(
-        F.explode(F.split("pay_category_ids", ",")).alias("c")).select(F.col("c").cast("bigint").alias("category_id"))
+        F.explode(F.split("pay_category_ids", ",")).alias("c")).select(
+            F.col("c").try_cast("bigint").alias("category_id")).where("category_id is not null")
     return {"click": clicks, "order": orders, "pay": pays}
 
 
@@ -488,7 +492,7 @@ def q_act_reduce(spark, sf_dir):
 
 @register("act_aggregate_fold", f"SELECT CAST(sum(o_orderkey) + 10 * ({SLICES} + 1) AS BIGINT) AS result FROM orders")
 def q_act_aggregate_fold(spark, sf_dir):
-    r = ag.aggregate_with_zero(order_slices(spark, sf_dir), "o_orderkey", "slice", SLICES, 10)
+    r = ag.aggregate_with_zero(Tables(spark, sf_dir).orders, "o_orderkey", SLICES, 10)
     return r.select(F.col("result").cast("bigint").alias("result"))
 
 
@@ -551,17 +555,19 @@ def q_win_next_page(spark, sf_dir):
 # ------------------------------------------------------------------ §2.9 sort / top-k
 
 @register("sort_by", """
-  SELECT key_text FROM (SELECT CAST(o_orderkey AS VARCHAR) AS key_text FROM orders)
-  ORDER BY CAST(key_text AS BIGINT) DESC
+  SELECT CAST(o_orderkey AS VARCHAR) AS key_text, row_number() OVER (ORDER BY o_orderkey DESC) - 1 AS pos FROM orders
 """)
 def q_sort_by(spark, sf_dir):
+    """Texts in descending order of their number, each with its position."""
     o = Tables(spark, sf_dir).orders.select(F.col("o_orderkey").cast("string").alias("key_text"))
-    return topk.sort_numeric_text(o, "key_text", ascending=False)
+    return lay.row_index(o, [F.col("key_text").try_cast("bigint").desc()], "pos")
 
 
-@register("sort_by_key", "SELECT c_name, c_acctbal FROM customer ORDER BY c_acctbal, c_name")
+@register("sort_by_key", """
+  SELECT c_name, c_acctbal, row_number() OVER (ORDER BY c_acctbal, c_name) - 1 AS pos FROM customer
+""")
 def q_sort_by_key(spark, sf_dir):
-    return topk.sort_by(Tables(spark, sf_dir).customer.select("c_name", "c_acctbal"), "c_acctbal", "c_name")
+    return lay.row_index(Tables(spark, sf_dir).customer.select("c_name", "c_acctbal"), ["c_acctbal", "c_name"], "pos")
 
 
 @register("topk_global", """

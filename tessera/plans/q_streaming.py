@@ -15,8 +15,8 @@ from tessera.sources import fixtures as fx
 from tessera.sources.tables import Tables
 from tessera.streaming import blacklist as bl
 from tessera.streaming import operators as so
-from tessera.streaming.replay import (Replay, assign_batches, latest, session_conf, shuffle_partitions,
-                                     sql_batches, state_partitions, window_bounds)
+from tessera.streaming.replay import (Replay, assign_batches, latest, shuffle_partitions, sql_batches,
+                                     window_bounds)
 
 N_BATCHES = 3
 
@@ -30,7 +30,7 @@ def _clicks(spark, sf_dir):
 
 
 _SQL_EVENTS = f"SELECT *, {sql_batches('ts', N_BATCHES, 'events')} AS batch FROM events"
-_SQL_CLICKS = (f"SELECT *, {sql_batches('ts', N_BATCHES, 'events')} AS batch FROM ({fx.SQL_AD_CLICKS}) a")
+
 
 
 def _update_sink(rp: Replay, stream_df):
@@ -60,7 +60,7 @@ def q_st_word_count(spark, sf_dir):
         words = df.select("batch", F.explode(F.split("text", " ")).alias("word"))
         sink(words.groupBy("batch", "word").agg(F.count(F.lit(1)).alias("cnt")), batch_id)
 
-    rp.run(docs, "batch", N_BATCHES, lambda s: s.writeStream.foreachBatch(per_batch))
+    rp.run(docs, "batch", lambda s: s.writeStream.foreachBatch(per_batch))
     return rp.read_out().drop("batch_id")
 
 
@@ -76,7 +76,7 @@ def q_st_queue_source(spark, sf_dir):
         sink(df.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("value_sum")),
              batch_id)
 
-    rp.run(_events(spark, sf_dir), "batch", N_BATCHES, lambda s: s.writeStream.foreachBatch(per_batch))
+    rp.run(_events(spark, sf_dir), "batch", lambda s: s.writeStream.foreachBatch(per_batch))
     return rp.read_out().drop("batch_id")
 
 
@@ -86,7 +86,7 @@ def q_st_parse(spark, sf_dir):
     """Parse the click message text on the stream (append mode)."""
     lines = assign_batches(fx.ad_click_lines(spark, sf_dir), "ts", N_BATCHES).select("batch", "value")
     rp = Replay(spark, "parse")
-    rp.run(lines, "batch", N_BATCHES,
+    rp.run(lines, "batch",
            lambda s: _append_sink(rp, so.parse_clicks(s).select("ts_ms", "area", "city", "user", "ad")))
     return rp.read_out().drop("batch_id")
 
@@ -105,7 +105,7 @@ def q_st_transform(spark, sf_dir):
         sink(df.join(cust, "user_id").groupBy("batch", "c_mktsegment").agg(F.count(F.lit(1)).alias("n")),
              batch_id)
 
-    rp.run(_events(spark, sf_dir), "batch", N_BATCHES, lambda s: s.writeStream.foreachBatch(per_batch))
+    rp.run(_events(spark, sf_dir), "batch", lambda s: s.writeStream.foreachBatch(per_batch))
     return rp.read_out().drop("batch_id")
 
 
@@ -115,7 +115,7 @@ def q_st_transform(spark, sf_dir):
 def q_st_foreach_batch(spark, sf_dir):
     rp = Replay(spark, "foreach")
     sink = rp.batch_sink()
-    rp.run(_events(spark, sf_dir), "batch", N_BATCHES,
+    rp.run(_events(spark, sf_dir), "batch",
            lambda s: s.writeStream.foreachBatch(
                lambda df, i: sink(df.groupBy("batch", "event_type").agg(F.count(F.lit(1)).alias("n")), i)))
     return rp.read_out().drop("batch_id")
@@ -133,7 +133,7 @@ def q_st_running_state(spark, sf_dir):
     docs = spread(Tables(spark, sf_dir).documents.select(
         (F.col("doc_id") % N_BATCHES).cast("int").alias("batch"), "text"))
     rp = Replay(spark, "running")
-    rp.run(docs, "batch", N_BATCHES,
+    rp.run(docs, "batch",
            lambda s: _update_sink(rp, so.running_count(
                s.select(F.explode(F.split("text", " ")).alias("word")), ["word"])))
     return latest(rp.read_out(), ["word"])
@@ -143,7 +143,7 @@ def q_st_running_state(spark, sf_dir):
 def q_st_resume(spark, sf_dir):
     """Running count carried across restarts by the checkpoint alone."""
     rp = Replay(spark, "resume")
-    rp.run(_events(spark, sf_dir), "batch", N_BATCHES,
+    rp.run(_events(spark, sf_dir), "batch",
            lambda s: _update_sink(rp, so.running_count(s, ["event_type"])))
     return latest(rp.read_out(), ["event_type"])
 
@@ -153,9 +153,9 @@ def q_st_graceful_stop(spark, sf_dir):
     """All input present: ``availableNow`` drains it and stops by itself."""
     rp = Replay(spark, "drain")
     ev = _events(spark, sf_dir)
-    for b in range(N_BATCHES):
-        ev.where(F.col("batch") == b).write.parquet(f"{rp.src}/part{b:05d}")
-    with shuffle_partitions(spark, state_partitions(spark, ev.count())):
+    for b in rp.stage(ev, "batch"):
+        rp.feed(b)
+    with shuffle_partitions(spark, spark.sparkContext.defaultParallelism):
         q = (so.running_count(rp.stream(ev.schema), ["event_type"]).writeStream.outputMode("complete")
              .foreachBatch(rp.batch_sink()).option("checkpointLocation", rp.ckpt)
              .trigger(availableNow=True).start())
@@ -170,8 +170,8 @@ _SQL_AREA_CITY = """
 
 def _area_city(spark, sf_dir, name):
     rp = Replay(spark, name)
-    rp.run(_clicks(spark, sf_dir), "batch", N_BATCHES,
-           lambda s: _update_sink(rp, so.running_count(s, ["day", "area", "city", "ad"])))
+    rp.run(_clicks(spark, sf_dir), "batch",
+           lambda s: _update_sink(rp, so.running_count(s, ["day", "area", "city", "ad"], ts="ts", lateness="2 days")))
     return latest(rp.read_out(), ["day", "area", "city", "ad"])
 
 
@@ -190,9 +190,9 @@ def q_ad_area_city(spark, sf_dir):
 CELL_PATH_PREFIX = "/en"
 
 _SQL_LOG_PARSED = f"""
-  SELECT strptime(string_split(value, ' ')[4], '%d/%m/%Y:%H:%M:%S') AS t,
+  SELECT try_strptime(string_split(value, ' ')[4], '%d/%m/%Y:%H:%M:%S') AS t,
          string_split(value, ' ')[7] AS path
-  FROM ({fx.SQL_ACCESS_LOG}) a
+  FROM ({fx.SQL_ACCESS_LOG}) a WHERE try_strptime(string_split(value, ' ')[4], '%d/%m/%Y:%H:%M:%S') IS NOT NULL
 """
 
 
@@ -209,9 +209,9 @@ def q_st_keyed_cells(spark, sf_dir):
     wide-column cells (row ``y/M/d_page``, column info:click)."""
     from tessera.functions import text as tx
     from tessera.functions import timefmt as tf
-    f = F.split(F.col("value"), " ")
-    log = fx.access_log(spark, sf_dir).select(
-        tf.parse_access_time(f.getItem(3)).alias("t"), f.getItem(6).alias("path"))
+    from tessera.plans.analyses import access_records
+    log = access_records(fx.access_log(spark, sf_dir)).select(
+        tf.parse_access_time("time_text").alias("t"), "path").where("t is not null")
     rp = Replay(spark, "cells")
 
     def build(s):
@@ -221,7 +221,7 @@ def q_st_keyed_cells(spark, sf_dir):
         counts = hits.groupBy("row_key").agg(F.count(F.lit(1)).alias("n"),
                                              F.max("batch").cast("bigint").alias("version"))
         return _update_sink(rp, counts)
-    rp.run(assign_batches(log, "t", N_BATCHES), "batch", N_BATCHES, build)
+    rp.run(assign_batches(log, "t", N_BATCHES), "batch", build)
     cur = latest(rp.read_out(), ["row_key"])
     return cur.select("row_key", F.lit("info").alias("family"), F.lit("click").alias("qualifier"),
                       "version", F.col("n").cast("string").alias("value"))
@@ -245,7 +245,7 @@ def _sql_windows(length_s: int, slide_s: int, keys: str, table: str) -> str:
 @register("st_window_tumbling", f"WITH e AS (SELECT * FROM events) {_sql_windows(360, 360, 'event_type', 'e')}")
 def q_st_window_tumbling(spark, sf_dir):
     rp = Replay(spark, "tumbling")
-    rp.run(_events(spark, sf_dir), "batch", N_BATCHES,
+    rp.run(_events(spark, sf_dir), "batch",
            lambda s: _update_sink(rp, so.windowed_count(s, "ts", "6 minutes", None, ["event_type"], "6 minutes")
                                   .select(*window_bounds(), "event_type", "n")))
     return latest(rp.read_out(), ["window_start", "window_end", "event_type"])
@@ -254,7 +254,7 @@ def q_st_window_tumbling(spark, sf_dir):
 @register("st_window_sliding", f"WITH e AS (SELECT * FROM events) {_sql_windows(540, 180, 'event_type', 'e')}")
 def q_st_window_sliding(spark, sf_dir):
     rp = Replay(spark, "sliding")
-    rp.run(_events(spark, sf_dir), "batch", N_BATCHES,
+    rp.run(_events(spark, sf_dir), "batch",
            lambda s: _update_sink(rp, so.windowed_count(s, "ts", "9 minutes", "3 minutes", ["event_type"],
                                                         "9 minutes")
                                   .select(*window_bounds(), "event_type", "n")))
@@ -283,7 +283,7 @@ def _adclick_windows(spark, sf_dir, name):
         agg = (b.groupBy(F.window("bucket", "1 hour", "10 minutes").alias("window"), "xtime")
                 .agg(F.count(F.lit(1)).alias("clicks")))
         return _update_sink(rp, agg.select(*window_bounds(), "xtime", "clicks"))
-    rp.run(_events(spark, sf_dir), "batch", N_BATCHES, build)
+    rp.run(_events(spark, sf_dir), "batch", build)
     return latest(rp.read_out(), ["window_start", "window_end", "xtime"])
 
 
@@ -313,13 +313,17 @@ def q_ad_last_minute(spark, sf_dir):
     ON c.user_id = p.user_id AND epoch_us(c.ts) // 3600000000 = epoch_us(p.ts) // 3600000000
   WHERE c.event_type = 'click' AND p.event_type = 'purchase'
 """)
-def q_st_batch_join(spark, sf_dir, salts: int = 8):
+def q_st_batch_join(spark, sf_dir, salts: int = 8, share: float = 0.05):
     """Clicks and purchases of a user in the same hour window (inner
     stream-stream join with watermarks on both sides).
 
-    Salted against a hot user: each click carries ``pmod(hash(id), salts)``
-    and each purchase is replicated once per salt, so every pair still
-    meets exactly once while one user's clicks spread over ``salts`` tasks."""
+    Users with more than ``share`` of the clicks (1/share of them at most)
+    are salted: each of their clicks carries ``pmod(hash(id), salts)`` and
+    their purchases are copied once per salt, so every pair still meets
+    exactly once while a hot user's clicks spread over ``salts`` tasks."""
+    clicks = Tables(spark, sf_dir).events.where(F.col("event_type") == "click")
+    hot = [r.user_id for r in clicks.groupBy("user_id").count().where(
+        F.col("count") > clicks.agg(F.count("*")).scalar() * share).collect()]
     rp = Replay(spark, "join")
 
     def build(s):
@@ -327,9 +331,10 @@ def q_st_batch_join(spark, sf_dir, salts: int = 8):
             x = s.where(F.col("event_type") == kind).withWatermark("ts", "1 hour")
             return x.select(F.col("user_id").alias(f"{id_alias}_user"), F.col("event_id").alias(id_alias),
                             F.window("ts", "1 hour").alias(f"{id_alias}_w"))
-        c = side("click", "click_id").withColumn("click_salt", F.pmod(F.hash("click_id"), F.lit(salts)))
-        p = side("purchase", "purchase_id").withColumn(
-            "purchase_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        c = side("click", "click_id").withColumn("click_salt", F.when(
+            F.col("click_id_user").isin(hot), F.pmod(F.hash("click_id"), F.lit(salts))).otherwise(0))
+        p = side("purchase", "purchase_id").withColumn("purchase_salt", F.explode(F.when(
+            F.col("purchase_id_user").isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
         j = c.join(p, (F.col("click_id_user") == F.col("purchase_id_user")) &
                    (F.col("click_id_w") == F.col("purchase_id_w")) &
                    (F.col("click_salt") == F.col("purchase_salt")))
@@ -337,54 +342,59 @@ def q_st_batch_join(spark, sf_dir, salts: int = 8):
                        F.date_format(F.col("click_id_w").start, "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                        "click_id", "purchase_id")
         return _append_sink(rp, out)
-    rp.run(_events(spark, sf_dir), "batch", N_BATCHES, build)
+    rp.run(_events(spark, sf_dir), "batch", build)
     return rp.read_out().drop("batch_id")
 
 
 # ------------------------------------------------------------------ black list
 
 
-def _blacklist_log(spark, sf_dir, name, threshold=bl.THRESHOLD):
-    so.use_rocksdb(spark)
+def _shuffled_clicks(spark, sf_dir):
+    """Clicks dealt to batches by id, so that a day's clicks come in several batches."""
+    c = fx.ad_clicks(spark, sf_dir)
+    return c.withColumn("batch", (F.col("event_id") % N_BATCHES).cast("int"))
+
+
+_SQL_SHUFFLED = f"SELECT *, CAST(event_id % {N_BATCHES} AS INTEGER) AS batch FROM ({fx.SQL_AD_CLICKS}) a"
+
+
+def _blacklist(spark, sf_dir, name, threshold=bl.THRESHOLD):
+    """(user_ad_count, black_list) after the last batch."""
     rp = Replay(spark, name)
-    # day-eviction timers fire with the next data batch: no extra empty batches
-    with session_conf(spark, "spark.sql.streaming.noDataMicroBatches.enabled", "false"):
-        rp.run(_clicks(spark, sf_dir), "batch", N_BATCHES,
-               lambda s: _update_sink(rp, bl.blacklist_stream(s, threshold)))
-    return rp.read_out()
+    rp.run(_shuffled_clicks(spark, sf_dir), "batch",
+           lambda s: s.writeStream.foreachBatch(bl.blacklist_sink(rp.out, threshold)))
+    return bl.final_tables(spark, rp.out)
 
 
 def _sql_bl(final: str) -> str:
     parts = bl.sql_blacklist("clicks")
-    ctes = {"clicks": _SQL_CLICKS, **parts}
+    ctes = {"clicks": _SQL_SHUFFLED, **parts}
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items()) + "\n" + final
 
 
 @register("st_blacklist", _sql_bl("SELECT * FROM counts"))
 def q_st_blacklist(spark, sf_dir):
     """user_ad_count(dt, userid, adid, count) after the last batch."""
-    return bl.final_tables(_blacklist_log(spark, sf_dir, "blacklist-counts"))[0]
+    return _blacklist(spark, sf_dir, "blacklist-counts")[0]
 
 
 @register("q_ad_blacklist", _sql_bl('SELECT DISTINCT "user" AS userid FROM trig'))
 def q_ad_blacklist(spark, sf_dir):
     """black_list(userid) after the last batch."""
-    return bl.final_tables(_blacklist_log(spark, sf_dir, "blacklist-users"))[1]
+    return _blacklist(spark, sf_dir, "blacklist-users")[1]
 
 
-# ------------------------------------------------------------------ custom source
+# ------------------------------------------------------------------ table as a stream, task-side sink
 
 
 @register("st_custom_source", "SELECT event_type, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS users_sum FROM events GROUP BY 1")
 def q_st_custom_source(spark, sf_dir):
-    """A custom Python streaming source feeding a running aggregate."""
-    from tessera.sources.tables import table_path
-    from tessera.streaming.sources import table_feed
+    """A table's files as the source of a running aggregate."""
+    from tessera.streaming.sources import table_stream
     rp = Replay(spark, "custom")
-    s = table_feed(spark, table_path(sf_dir, "events"), "event_id long, user_id long, event_type string")
+    s = table_stream(spark, sf_dir, "events.parquet", "event_id long, user_id long, event_type string")
     agg = s.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("user_id").alias("users_sum"))
-    n = Tables(spark, sf_dir).events.count()
-    with shuffle_partitions(spark, state_partitions(spark, n)):
+    with shuffle_partitions(spark, spark.sparkContext.defaultParallelism):
         q = (agg.writeStream.outputMode("complete").foreachBatch(rp.batch_sink())
              .option("checkpointLocation", rp.ckpt).trigger(availableNow=True).start())
         q.awaitTermination()
@@ -393,10 +403,9 @@ def q_st_custom_source(spark, sf_dir):
 
 @register("st_foreach_partition_sink", "SELECT event_id, user_id, event_type FROM events")
 def q_st_foreach_partition_sink(spark, sf_dir):
-    """Every micro-batch written by its tasks, one output stream per task."""
-    from tessera.streaming.replay import per_partition_sink
+    """Every micro-batch written by its tasks: Spark's writer opens one stream
+    per task and its committer publishes a task's file once."""
     rp = Replay(spark, "per-partition")
-    sink = per_partition_sink(rp.out)
-    rp.run(_events(spark, sf_dir), "batch", N_BATCHES,
-           lambda s: s.select("event_id", "user_id", "event_type").writeStream.foreachBatch(sink))
+    rp.run(_events(spark, sf_dir), "batch",
+           lambda s: s.select("event_id", "user_id", "event_type").writeStream.foreachBatch(rp.batch_sink()))
     return rp.read_out().drop("batch_id")

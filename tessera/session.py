@@ -1,8 +1,8 @@
 """Session construction and the shared work folder.
 
 On a cluster the work folder is the shared ``spark.checkpoint.dir`` the
-cluster names; it is only invented (under /tmp) when the session has none,
-which is the case in local tests.
+cluster names.  A folder under /tmp is made up only for a local master; any
+other session without the setting gets an error.
 """
 
 from __future__ import annotations
@@ -69,12 +69,15 @@ def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
 def work_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh (not yet created) path under the shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (tests, laptops) a private folder under /tmp is made and registered as
-    the checkpoint folder, so ``DataFrame.checkpoint()`` works too.
+    Reads ``spark.checkpoint.dir`` from the session; where it is unset and the
+    master is local (tests, laptops) a private folder under /tmp is made and
+    registered as the checkpoint folder, so ``DataFrame.checkpoint()`` works too.
     """
     base = _configured_checkpoint_dir(spark)
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         base = tempfile.mkdtemp(prefix="tessera-ckpt-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(base)
         base = _configured_checkpoint_dir(spark) or base

@@ -30,7 +30,10 @@ SQL_K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 WHITESPACE = r"[ \t\n\r\f\x0B]+"
 
 # Mapping of event types to shopping behaviours (fixed stand-in rule).
-BEHAVIOUR_OF_EVENT = {"view": "pv", "signup": "cart", "error": "fav", "purchase": "buy"}
+BEHAVIOUR_OF_EVENT = {"view": "pv", "click": "pv", "signup": "cart", "error": "fav", "purchase": "buy"}
+
+# Malformed records mixed into the views on purpose, by id: one in so many.
+BAD_ACCESS, BAD_CLICK, BAD_SEARCH, BAD_BEHAVIOUR = 97, 83, 50, 89
 
 
 # ---------------------------------------------------------------------------
@@ -131,9 +134,13 @@ SQL_PRODUCT_CLICKS = """
 
 
 def ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(ts, ts_ms, day, area, city, user, ad) from ``events``."""
+    """(ts, ts_ms, day, area, city, user, ad) from ``events``.
+
+    Two users get half of the clicks, all on one ad (a tenth and four tenths
+    of the events), so that the black-list threshold is reached."""
     e = load(spark, sf_dir, "events")
     u = F.col("user_id")
+    busy = F.when(u % 10 == 0, 1).when(u % 10 < 5, 2)
     return e.select(
         "event_id",
         "ts",
@@ -141,8 +148,8 @@ def ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd").alias("day"),
         F.concat(F.lit("area"), (u % 3).cast("string")).alias("area"),
         F.concat(F.lit("city"), (F.floor(u / 3) % 3).cast("string")).alias("city"),
-        u.alias("user"),
-        (prop_k() % 6 + 1).alias("ad"),
+        F.coalesce(busy.cast("bigint"), u).alias("user"),
+        F.when(busy.isNotNull(), F.lit(1).cast("bigint")).otherwise(prop_k() % 6 + 1).alias("ad"),
     )
 
 
@@ -150,18 +157,21 @@ SQL_AD_CLICKS = f"""
   SELECT event_id, ts, epoch_us(ts) // 1000 AS ts_ms, strftime(ts, '%Y-%m-%d') AS day,
          'area' || CAST(user_id % 3 AS VARCHAR) AS area,
          'city' || CAST((user_id // 3) % 3 AS VARCHAR) AS city,
-         user_id AS "user", {SQL_K} % 6 + 1 AS ad
+         CASE WHEN user_id % 10 = 0 THEN 1 WHEN user_id % 10 < 5 THEN 2 ELSE user_id END AS "user",
+         CASE WHEN user_id % 10 < 5 THEN 1 ELSE {SQL_K} % 6 + 1 END AS ad
   FROM events
 """
 
 
 def ad_click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The message text of the click stream: ``epoch_ms area city user ad``
-    (with the event time alongside, for replay batching)."""
+    (with the event time alongside, for replay batching).  One click in
+    BAD_CLICK comes with a malformed message beside it."""
     a = ad_clicks(spark, sf_dir)
-    return a.select("ts", F.concat_ws(" ", F.col("ts_ms").cast("string"), "area", "city",
-                                      F.col("user").cast("string"), F.col("ad").cast("string"))
-                    .alias("value"))
+    text = F.concat_ws(" ", F.col("ts_ms").cast("string"), "area", "city",
+                       F.col("user").cast("string"), F.col("ad").cast("string"))
+    lines = F.when(F.col("event_id") % BAD_CLICK == 11, F.array(text, F.lit("short message"))).otherwise(F.array(text))
+    return a.select("ts", F.explode(lines).alias("value"))
 
 
 # ---------------------------------------------------------------------------
@@ -170,7 +180,8 @@ def ad_click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``ip - - dd/MM/yyyy:HH:mm:ss +0000 GET path`` lines, one per event."""
+    """``ip - - dd/MM/yyyy:HH:mm:ss +0000 GET path`` lines, one per event; one
+    event in BAD_ACCESS brings a short line and a line with no real time too."""
     e = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", prop_k().alias("k"))
     p = load(spark, sf_dir, "pages").select(
         "page_id", F.regexp_extract("url", r"^[a-z]+://[^/]+(/[^?#]*)", 1).alias("path"))
@@ -182,17 +193,23 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                  (F.col("event_id") % 256).cast("string")),
         F.lit("-"), F.lit("-"),
         F.date_format("ts", "dd/MM/yyyy:HH:mm:ss"), F.lit("+0000"), F.lit("GET"), path)
-    return j.select(F.col("event_id").alias("line_id"), line.alias("value"))
+    bad = F.array(line, F.lit(BAD_LINES[0]), F.lit(BAD_LINES[1]))
+    return j.select(F.col("event_id").alias("line_id"), F.explode(
+        F.when(F.col("event_id") % BAD_ACCESS == 5, bad).otherwise(F.array(line))).alias("value"))
 
 
+BAD_LINES = ("short line", "10.0.0.1 - - 99/99/2024:10:00:00 +0000 GET /en/bad")
+
 SQL_ACCESS_LOG = f"""
+  SELECT line_id, unnest(CASE WHEN line_id % {BAD_ACCESS} = 5 THEN [value, '{BAD_LINES[0]}', '{BAD_LINES[1]}']
+                              ELSE [value] END) AS value FROM (
   SELECT event_id AS line_id,
          '10.0.' || CAST(user_id % 256 AS VARCHAR) || '.' || CAST(event_id % 256 AS VARCHAR)
          || ' - - ' || strftime(ts, '%d/%m/%Y:%H:%M:%S') || ' +0000 GET '
          || CASE WHEN p.path IS NULL OR p.path = '' THEN '/' ELSE p.path END AS value
   FROM events e
   LEFT JOIN (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]+(/[^?#]*)', 1) AS path FROM pages) p
-    ON {SQL_K.replace('props', 'e.props')} = p.page_id
+    ON {SQL_K.replace('props', 'e.props')} = p.page_id) lines
 """
 
 
@@ -205,15 +222,18 @@ def search_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw log line per document: ``HH:mm:ss user [words] rank click host/path``.
 
     The query words are the whole document text joined by ``+``; hosts
-    without a ``m.``/``blog.`` sub-domain are written as ``www.`` hosts.  Fields
-    that have no match (no event / page with that id) are left out, which
-    yields the malformed lines the parser must drop.
+    without a ``m.``/``blog.`` sub-domain are written as ``www.`` hosts.  Every
+    document meets an event and a page (its id modulo their number).  One
+    document in BAD_SEARCH brings a second, malformed line that the parser
+    must drop.
     """
     d = spread(load(spark, sf_dir, "documents").select("doc_id", "text"))
     e = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", prop_k().alias("k"))
     p = load(spark, sf_dir, "pages").select("page_id", "url")
-    j = (d.join(e, d.doc_id == e.event_id, "left")
-          .join(p, d.doc_id == p.page_id, "left"))
+    n_events, n_pages = e.agg(F.count("*")).scalar(), p.agg(F.count("*")).scalar()
+    d = d.withColumn("of_event", F.col("doc_id") % n_events).withColumn("of_page", F.col("doc_id") % n_pages)
+    j = (d.join(e, d.of_event == e.event_id, "left")
+          .join(p, d.of_page == p.page_id, "left"))
     words = F.regexp_replace(F.col("text"), WHITESPACE, "+")
     line = F.concat_ws(
         " ",
@@ -226,10 +246,12 @@ def search_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                F.regexp_replace("url", r"^[a-z]+://", ""))
          .otherwise(F.concat(F.lit("www."), F.regexp_replace("url", r"^[a-z]+://", ""))),
     )
-    return j.select(F.col("doc_id").alias("line_id"), line.alias("value"))
+    return j.select(F.col("doc_id").alias("line_id"), F.explode(F.when(
+        F.col("doc_id") % BAD_SEARCH == 13, F.array(line, F.lit("bad line"))).otherwise(F.array(line))).alias("value"))
 
 
 SQL_SEARCH_LINES = f"""
+  SELECT line_id, unnest(CASE WHEN line_id % {BAD_SEARCH} = 13 THEN [value, 'bad line'] ELSE [value] END) AS value FROM (
   SELECT d.doc_id AS line_id,
          concat_ws(' ',
            strftime(e.ts, '%H:%M:%S'),
@@ -241,8 +263,9 @@ SQL_SEARCH_LINES = f"""
                 THEN regexp_replace(p.url, '^[a-z]+://', '')
                 ELSE 'www.' || regexp_replace(p.url, '^[a-z]+://', '') END) AS value
   FROM documents d
-  LEFT JOIN (SELECT event_id, ts, user_id, {SQL_K} AS k FROM events) e ON d.doc_id = e.event_id
-  LEFT JOIN pages p ON d.doc_id = p.page_id
+  LEFT JOIN (SELECT event_id, ts, user_id, {SQL_K} AS k FROM events) e
+    ON d.doc_id % (SELECT count(*) FROM events) = e.event_id
+  LEFT JOIN pages p ON d.doc_id % (SELECT count(*) FROM pages) = p.page_id) lines
 """
 
 
@@ -252,26 +275,28 @@ SQL_SEARCH_LINES = f"""
 
 
 def behaviour_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All-string CSV-like rows: UserID, ItemID, CategoryID, BehaviorType, TimeStamp."""
+    """All-string CSV-like rows: UserID, ItemID, CategoryID, BehaviorType, TimeStamp,
+    one per event; one in BAD_BEHAVIOUR has no real time stamp."""
     e = load(spark, sf_dir, "events")
     k = prop_k()
     mapping = F.create_map(*[F.lit(x) for kv in BEHAVIOUR_OF_EVENT.items() for x in kv])
-    return (e.where(F.col("event_type").isin(list(BEHAVIOUR_OF_EVENT)))
-             .select(F.col("user_id").cast("string").alias("UserID"),
-                     k.cast("string").alias("ItemID"),
-                     (k % 10).cast("string").alias("CategoryID"),
-                     mapping[F.col("event_type")].alias("BehaviorType"),
-                     F.concat(F.lit("t"), F.unix_timestamp("ts").cast("string")).alias("TimeStamp")))
+    return e.select(F.col("user_id").cast("string").alias("UserID"),
+                    k.cast("string").alias("ItemID"),
+                    (k % 10).cast("string").alias("CategoryID"),
+                    mapping[F.col("event_type")].alias("BehaviorType"),
+                    F.when(F.col("event_id") % BAD_BEHAVIOUR == 3, F.lit("n/a")).otherwise(
+                        F.concat(F.lit("t"), F.unix_timestamp("ts").cast("string"))).alias("TimeStamp"))
 
 
 SQL_BEHAVIOUR_RAW = f"""
   SELECT CAST(user_id AS VARCHAR) AS UserID,
          CAST({SQL_K} AS VARCHAR) AS ItemID,
          CAST({SQL_K} % 10 AS VARCHAR) AS CategoryID,
-         CASE event_type WHEN 'view' THEN 'pv' WHEN 'signup' THEN 'cart'
+         CASE event_type WHEN 'view' THEN 'pv' WHEN 'click' THEN 'pv' WHEN 'signup' THEN 'cart'
                          WHEN 'error' THEN 'fav' WHEN 'purchase' THEN 'buy' END AS BehaviorType,
-         't' || CAST(CAST(floor(epoch(ts)) AS BIGINT) AS VARCHAR) AS TimeStamp
-  FROM events WHERE event_type IN ('view', 'signup', 'error', 'purchase')
+         CASE WHEN event_id % {BAD_BEHAVIOUR} = 3 THEN 'n/a'
+              ELSE 't' || CAST(CAST(floor(epoch(ts)) AS BIGINT) AS VARCHAR) END AS TimeStamp
+  FROM events
 """
 
 

@@ -42,7 +42,7 @@ def read_user_visit_actions(spark: SparkSession, path: str, sep: str = "_") -> D
         g["session_id"].alias("session_id"),
         g["page_id"].try_cast("bigint").alias("page_id"),
         _line_id().alias("action_id"),
-        F.to_timestamp(g["action_time"]).alias("action_time"),
+        F.try_to_timestamp(g["action_time"]).alias("action_time"),
         _nullify(g["search_keyword"], "null", "").alias("search_keyword"),
         _nullify(g["click_category_id"], "-1").try_cast("bigint").alias("click_category_id"),
         _nullify(g["click_product_id"], "-1").try_cast("bigint").alias("click_product_id"),

@@ -6,8 +6,6 @@ Parquet reader, so callers just select what they need.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,23 +25,6 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-# Loaded table handles per (path, modification time) and session: re-reading a
-# Parquet footer and listing files costs ~80 ms per load and queries load
-# several tables.  Only local paths are memoised, and a changed file (new
-# modification time) is read again.
-_LOADED: dict[tuple, tuple[SparkSession, DataFrame]] = {}
-
-
-def _local_mtime(path: str) -> float | None:
-    p = path[len("file:"):] if path.startswith("file:") else path
-    if "://" in p:
-        return None
-    try:
-        return os.stat(p).st_mtime
-    except OSError:
-        return None
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table; timestamp columns come back as (UTC) ``timestamp``.
 
@@ -52,15 +33,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     cast keeps the wall-clock value.
     """
     pin_utc(spark)
-    path = table_path(sf_dir, name)
-    mtime = _local_mtime(path)
-    hit = _LOADED.get((path, mtime)) if mtime is not None else None
-    if hit is not None and hit[0] is spark:  # same live session object
-        return hit[1]
-    df = _read(spark, path)
-    if mtime is not None:
-        _LOADED[(path, mtime)] = (spark, df)
-    return df
+    return _read(spark, table_path(sf_dir, name))
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:

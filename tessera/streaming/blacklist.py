@@ -1,4 +1,4 @@
-"""Ad-click black list as a keyed stateful stream.
+"""Ad-click black list as a stream of DataFrame batches.
 
 Rule, per micro-batch, for every user not black-listed when the batch
 starts: count the batch's clicks per (day, ad).  A (day, ad) count of at
@@ -7,152 +7,86 @@ count; otherwise it is added, and a running count reaching ``threshold``
 black-lists the user.  The whole batch is judged with the flag as it was at
 the batch start.  Rows of users already black-listed are dropped.
 
-State lives in the state store, keyed by user: a flag and a map
-(day, ad) -> running count.  The processor emits the new running count of
-every (day, ad) it changed and one ``black`` row when the user is listed.
-Clicks are pre-counted per (user, day, ad) in every input partition before
-the shuffle; a batch's rows for one user then arrive as several pandas
-chunks of such partial counts, summed first, so memory holds only one row
-per (day, ad).
+The tables live in files, written per batch id under one folder:
+
+* ``counts/batch_id=N/dt=D``: all running counts of the days that batch N
+  touched; a day's newest batch holds its current counts,
+* ``black/batch_id=N``: the users that batch N listed,
+* ``late/batch_id=N``: the newest click time so far and the clicks dropped.
+
+A batch reads what earlier batches wrote (and only the days it touches) and
+overwrites its own folders, so a retried batch replaces its own output.
+Everything is joins and partial aggregates: a hot user's clicks are counted
+in every task before the shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 # Fixed value: clicks per (day, user, ad) that black-list a user.
 THRESHOLD = 30
 
-OUTPUT_SCHEMA = "kind string, userid long, dt string, adid long, count long"
-
-
-_DAY_MS = 86_400_000
-
-
-def _day_end_ms(day: str) -> int:
-    """Epoch ms of the end of a ``yyyy-MM-dd`` UTC day."""
-    import datetime as _dt
-    d = _dt.datetime.strptime(day, "%Y-%m-%d").replace(tzinfo=_dt.timezone.utc)
-    return int(d.timestamp() * 1000) + _DAY_MS
-
-
-class BlackListProcessor(StatefulProcessor):
-    """``lateness_ms``: when set (event-time mode), a day's counts leave the
-    state once the watermark is ``lateness_ms`` past the day's end; rows of
-    that day are older than the watermark by then, so the counts are final
-    (and already emitted).  The black-list flag itself never expires."""
-
-    def __init__(self, threshold: int = THRESHOLD, lateness_ms: int | None = None):
-        self.threshold = threshold
-        self.lateness_ms = lateness_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.flag = handle.getValueState("black", "black boolean")
-        self.counts = handle.getMapState("counts", "dt string, adid long", "count long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        user = int(key[0])
-        flag = self.flag.get()  # None when unset (one state call)
-        listed = flag is not None and bool(flag[0])
-        batch = None
-        for chunk in rows:  # consume every chunk even when the user is listed
-            if listed or chunk.empty:
-                continue
-            part = chunk.groupby(["day", "ad"], sort=False)["n"].sum()
-            batch = part if batch is None else batch.add(part, fill_value=0)
-        if listed or batch is None:
-            return
-        out = []
-        black = False
-        for (day, ad), n in batch.items():
-            n = int(n)
-            if n >= self.threshold:
-                black = True
-                continue
-            k = (str(day), int(ad))
-            cur = self.counts.getValue(k)  # None when the key is new (one state call)
-            old = int(cur[0]) if cur is not None else 0
-            if cur is None and self.lateness_ms is not None:
-                # one timer per user and day (registering it again is a no-op)
-                self.handle.registerTimer(_day_end_ms(k[0]) + self.lateness_ms)
-            new = old + n
-            self.counts.updateValue(k, (new,))
-            out.append(("count", user, str(day), int(ad), new))
-            if new >= self.threshold:
-                black = True
-        if black:
-            self.flag.update((True,))
-            out.append(("black", user, None, None, None))
-        if out:
-            df = pd.DataFrame(out, columns=["kind", "userid", "dt", "adid", "count"])
-            for c in ("userid", "adid", "count"):
-                df[c] = df[c].astype("Int64")  # nullable: the 'black' row has no ad
-            yield df
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """Drop the counts of days that can no longer change."""
-        cutoff = expiredTimerInfo.getExpiryTimeInMs() - (self.lateness_ms or 0)
-        for k in list(self.counts.keys()):
-            if _day_end_ms(k[0]) <= cutoff:
-                self.counts.removeKey(k)
-        return iter(())
-
-    def close(self) -> None:
-        pass
-
-
-def _combine(batches):
-    """Map-side combine inside one input partition: one (user, day, ad, n)
-    row per key instead of one row per click (memory: distinct keys)."""
-    import pyarrow as pa
-    keys = ["user", "day", "ad"]
-    parts = []
-    for b in batches:
-        if b.num_rows:
-            t = pa.Table.from_batches([b]).group_by(keys).aggregate([("user", "count"), ("ts", "max")])
-            # select by the generated names: the column order differs across pyarrow versions
-            parts.append(t.select([*keys, "user_count", "ts_max"]).rename_columns([*keys, "n", "ts"]))
-    if parts:
-        t = pa.concat_tables(parts).group_by(keys).aggregate([("n", "sum"), ("ts", "max")])
-        t = t.select([*keys, "n_sum", "ts_max"]).rename_columns([*keys, "n", "ts"])
-        t = t.cast(pa.schema([("user", pa.int64()), ("day", pa.string()), ("ad", pa.int64()),
-                              ("n", pa.int64()), ("ts", t.schema.field("ts").type)]))
-        yield from t.to_batches()
-
-
-def blacklist_stream(clicks: DataFrame, threshold: int = THRESHOLD, lateness: str | None = "1 day") -> DataFrame:
-    """clicks: stream with (ts, user, day, ad).  Output rows per OUTPUT_SCHEMA.
-
-    Clicks are pre-counted per (user, day, ad) inside every input partition
-    (a stateless Arrow step) before the shuffle by user, so a user with a
-    huge share of the clicks ships one row per (day, ad) and task.
-
-    With ``lateness`` (default one day) the stream runs in event time: a
-    watermark of that delay drops clicks older than it, and each day's
-    counts leave the state ``lateness`` after the day ended, so the state
-    holds the active days only.  ``None`` keeps every day forever."""
-    pre = clicks.select("ts", "user", "day", "ad").mapInArrow(
-        _combine, "user long, day string, ad long, n long, ts timestamp")
-    if lateness is None:
-        return (pre.groupBy("user")
-                   .transformWithStateInPandas(BlackListProcessor(threshold), OUTPUT_SCHEMA, "Update", "None"))
-    lateness_ms = _interval_ms(lateness)
-    return (pre.withWatermark("ts", lateness).groupBy("user")
-               .transformWithStateInPandas(BlackListProcessor(threshold, lateness_ms), OUTPUT_SCHEMA,
-                                           "Update", "EventTime"))
-
-
-def _interval_ms(text: str) -> int:
-    """``"1 day"`` / ``"6 hours"`` / ``"30 minutes"`` -> milliseconds."""
-    n, unit = text.split()
-    scale = {"second": 1_000, "minute": 60_000, "hour": 3_600_000, "day": _DAY_MS}[unit.rstrip("s")]
-    return int(n) * scale
+COUNTS = "userid long, adid long, count long, batch_id int, dt string"
+BLACK = "userid long, batch_id int"
+LATE = "newest timestamp, dropped long, batch_id int"
+
+
+def _table(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
+    """The batches' rows under ``path`` (those before a batch id); empty if none was written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], schema)
+    df = spark.read.schema(schema).parquet(path)
+    return df if before is None else df.where(F.col("batch_id") < before)
+
+
+def _current(counts: DataFrame) -> DataFrame:
+    """Each day's counts as its newest batch wrote them."""
+    newest = counts.groupBy("dt").agg(F.max("batch_id").alias("batch_id"))
+    return counts.join(newest, ["dt", "batch_id"]).select("dt", "userid", "adid", "count")
+
+
+def blacklist_sink(out: str, threshold: int = THRESHOLD, lateness: str | None = None
+                   ) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function over clicks (ts, user, day, ad).
+
+    By default every click counts, however late.  With ``lateness`` (an
+    interval) clicks older than the newest click of the earlier batches by
+    more than that are dropped, and their number is kept in ``late``."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+
+        def save(rows: DataFrame, name: str, *by: str) -> None:
+            rows.write.mode("overwrite").partitionBy(*by).parquet(f"{out}/{name}/batch_id={batch_id}")
+
+        clicks = df.select("ts", "user", "day", "ad")
+        if lateness is not None:
+            newest = _table(spark, f"{out}/late", LATE, batch_id).agg(F.max("newest").alias("newest")).first()["newest"]
+            late = F.lit(False) if newest is None else F.col("ts") < F.lit(newest) - F.expr(f"INTERVAL {lateness}")
+            save(clicks.agg(F.greatest(F.max("ts"), F.lit(newest).cast("timestamp")).alias("newest"),
+                            F.count_if(late).alias("dropped")), "late")
+            clicks = clicks.where(~late)
+        black = _table(spark, f"{out}/black", BLACK, batch_id).select("userid")
+        live = (clicks.groupBy(F.col("day").alias("dt"), F.col("user").alias("userid"), F.col("ad").alias("adid"))
+                .agg(F.count(F.lit(1)).alias("count")).join(black, "userid", "left_anti").persist())
+        try:
+            added = live.where(F.col("count") < threshold).select("dt", "userid", "adid", "count")
+            days = added.select("dt").distinct()
+            before = _current(_table(spark, f"{out}/counts", COUNTS, batch_id)).join(days, "dt", "left_semi")
+            save(before.unionByName(added).groupBy("dt", "userid", "adid").agg(F.sum("count").alias("count")),
+                 "counts", "dt")
+            mine = _table(spark, f"{out}/counts", COUNTS).where(F.col("batch_id") == batch_id)
+            over = live.where(F.col("count") >= threshold).select("userid").unionByName(
+                mine.where(F.col("count") >= threshold).select("userid"))
+            save(over.distinct().join(black, "userid", "left_anti"), "black")
+        finally:
+            live.unpersist()
+    return write
 
 
 def sql_blacklist(clicks_with_batch: str, threshold: int = THRESHOLD) -> dict[str, str]:
@@ -175,13 +109,15 @@ def sql_blacklist(clicks_with_batch: str, threshold: int = THRESHOLD) -> dict[st
     return {"bc": bc, "cum": cum, "trig": trig, "counts": counts}
 
 
-def final_tables(log: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(user_ad_count, black_list) from the processor's output log."""
-    from tessera.streaming.replay import latest
-    cnt = latest(log.where(F.col("kind") == "count").select("dt", "userid", "adid", "count", "batch_id"),
-                 ["dt", "userid", "adid"])
-    black = log.where(F.col("kind") == "black").select("userid").distinct()
-    return cnt, black
+def final_tables(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
+    """(user_ad_count, black_list) as the batches written so far leave them."""
+    return (_current(_table(spark, f"{out}/counts", COUNTS)),
+            _table(spark, f"{out}/black", BLACK).select("userid").distinct())
+
+
+def dropped_clicks(spark: SparkSession, out: str) -> int:
+    """Clicks that ``lateness`` has dropped so far."""
+    return _table(spark, f"{out}/late", LATE).agg(F.coalesce(F.sum("dropped"), F.lit(0))).first()[0]
 
 
 def blacklist_batch(clicks: DataFrame, batch_col: str = "batch",

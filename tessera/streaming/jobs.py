@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tessera.streaming import blacklist as bl
 from tessera.streaming import operators as so
-from tessera.streaming.replay import batch_sink, latest, session_conf, window_bounds
+from tessera.streaming.replay import batch_sink, latest, window_bounds
 
 # Batch interval, chart bucket / window / slide of the original jobs.
 TRIGGER = "3 seconds"
@@ -31,26 +31,24 @@ def _start(df: DataFrame, mode: str, out: str, checkpoint: str, trigger: dict |
 
 
 def start_blacklist(lines: DataFrame, out: str, checkpoint: str, threshold: int = bl.THRESHOLD,
-                    trigger: dict | None = None) -> StreamingQuery:
-    """Black list + per (day, user, ad) counts (keyed state by user)."""
-    spark = lines.sparkSession
-    so.use_rocksdb(spark)
+                    trigger: dict | None = None, lateness: str | None = None) -> StreamingQuery:
+    """Black list + per (day, user, ad) counts.  Every click counts unless
+    ``lateness`` is given (see ``blacklist.blacklist_sink``)."""
     clicks = so.parse_clicks(lines)
-    # day-eviction timers fire with the next data batch: no extra empty batches
-    with session_conf(spark, "spark.sql.streaming.noDataMicroBatches.enabled", "false"):
-        return _start(bl.blacklist_stream(clicks, threshold), "update", out, checkpoint, trigger)
+    w = clicks.writeStream.foreachBatch(bl.blacklist_sink(out, threshold, lateness)).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"processingTime": TRIGGER})).start()
 
 
 def blacklist_tables(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
     """(user_ad_count, black_list) as of the last finished batch."""
-    return bl.final_tables(spark.read.parquet(out))
+    return bl.final_tables(spark, out)
 
 
-def start_area_city_counts(lines: DataFrame, out: str, checkpoint: str,
-                           trigger: dict | None = None) -> StreamingQuery:
-    """Running clicks per (day, area, city, ad)."""
-    clicks = so.parse_clicks(lines)
-    return _start(so.running_count(clicks, ["day", "area", "city", "ad"]), "update", out, checkpoint, trigger)
+def start_area_city_counts(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
+                           lateness: str | None = None) -> StreamingQuery:
+    """Running clicks per (day, area, city, ad); ``lateness`` bounds the state."""
+    counts = so.running_count(so.parse_clicks(lines), ["day", "area", "city", "ad"], ts="ts", lateness=lateness)
+    return _start(counts, "update", out, checkpoint, trigger)
 
 
 def area_city_table(spark: SparkSession, out: str) -> DataFrame:

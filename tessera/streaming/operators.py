@@ -9,31 +9,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keyed stateful processors need the RocksDB state store."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-
-
 def parse_clicks(lines: DataFrame, col: str = "value") -> DataFrame:
-    """``epoch_ms area city user ad`` text -> typed columns (+ ts, day)."""
-    f = F.split(F.col(col), " ")
-    p = lines.select(f.getItem(0).try_cast("bigint").alias("ts_ms"), f.getItem(1).alias("area"),
-                     f.getItem(2).alias("city"), f.getItem(3).try_cast("bigint").alias("user"),
-                     f.getItem(4).try_cast("bigint").alias("ad"))
+    """``epoch_ms area city user ad`` text -> typed columns (+ ts, day).
+
+    Messages with another number of fields, or without a real time, user or
+    ad, are dropped; they never end the job."""
+    f = lines.select(F.split(F.col(col), " ").alias("f")).where(F.size("f") == 5)
+    part = lambda i: F.get("f", F.lit(i))
+    p = f.select(part(0).try_cast("bigint").alias("ts_ms"), part(1).alias("area"), part(2).alias("city"),
+                 part(3).try_cast("bigint").alias("user"), part(4).try_cast("bigint").alias("ad"))
+    p = p.where("ts_ms is not null and user is not null and ad is not null")
     ts = F.timestamp_millis("ts_ms")
     return p.withColumn("ts", ts).withColumn("day", F.date_format(ts, "yyyy-MM-dd"))
 
 
-def running_count(stream: DataFrame, keys: Sequence[str], alias: str = "n") -> DataFrame:
+def running_count(stream: DataFrame, keys: Sequence[str], alias: str = "n", ts: str | None = None,
+                  lateness: str | None = None) -> DataFrame:
     """``updateStateByKey`` running count: a streaming aggregation whose
-    state store keeps one row per key (emit in update mode)."""
-    return stream.groupBy(*keys).agg(F.count(F.lit(1)).alias(alias))
+    state store keeps one row per key (emit in update mode).
+
+    Counts keyed by the day of ``ts`` can give ``lateness``: a day's state
+    then goes that long after the day's end, and later rows are dropped (the
+    query's progress counts them).  Without it every key stays for ever."""
+    if lateness is None:
+        return stream.groupBy(*keys).agg(F.count(F.lit(1)).alias(alias))
+    day = F.window(ts, "1 day").alias("__day")
+    return stream.withWatermark(ts, lateness).groupBy(day, *keys).agg(F.count(F.lit(1)).alias(alias)).drop("__day")
 
 
 def windowed_count(stream: DataFrame, ts: str, length: str, slide: str | None, keys: Sequence[str],

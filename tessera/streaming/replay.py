@@ -1,8 +1,8 @@
 """File-drop replay of a table as a stream, and idempotent batch sinks.
 
-``Replay`` cuts an input into numbered batches (by event time), drops the
-files of batch b into the source folder and restarts the streaming query
-from its checkpoint with ``trigger(availableNow=True)``: every restart is
+``Replay`` writes an input once, cut into numbered batches, moves the files
+of batch b into the source folder and restarts the streaming query from its
+checkpoint with ``trigger(availableNow=True)``: every restart is
 exactly one micro-batch over exactly one input batch, and every restart is
 a resume from the checkpoint (offsets, commits and state store).
 
@@ -41,15 +41,6 @@ def sql_batches(ts_col: str, n: int, table: str) -> str:
             f"((SELECT max(epoch_us({ts_col})) - min(epoch_us({ts_col})) FROM {table}) + 1) AS INTEGER)")
 
 
-def state_partitions(spark: SparkSession, rows: int, rows_per_partition: int = 1_000_000) -> int:
-    """Partitions for a stream's state: by input size, but never fewer than
-    the cores available (every core busy) nor more than the session's
-    shuffle partitions."""
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    floor = spark.sparkContext.defaultParallelism
-    return max(1, min(cap, max(floor, rows // rows_per_partition + 1)))
-
-
 @contextmanager
 def session_conf(spark: SparkSession, key: str, value: str):
     """Temporarily set a SQL conf (streaming settings are read when a query starts)."""
@@ -75,6 +66,7 @@ class Replay:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = work_dir(spark, "stream", name)
+        self.staged = self.root + "/staged"
         self.src = self.root + "/src"
         self.ckpt = self.root + "/checkpoint"
         self.out = self.root + "/out"
@@ -82,20 +74,38 @@ class Replay:
     def stream(self, schema) -> DataFrame:
         return self.spark.readStream.schema(schema).parquet(self.src + "/*")
 
-    def run(self, source: DataFrame, batch_col: str, n_batches: int,
-            build: Callable[[DataFrame], DataStreamWriter], rows_per_partition: int = 1_000_000) -> None:
-        """Write batch b, then (re)start the query until it has consumed it.
+    def stage(self, source: DataFrame, batch_col: str) -> list[int]:
+        """Write the source once, one folder per batch; rows without a batch go to batch 0."""
+        feed = source.withColumn("__feed", F.coalesce(F.col(batch_col).cast("int"), F.lit(0)))
+        feed.write.partitionBy("__feed").parquet(self.staged)
+        found = self.fs.listStatus(self._path(self.staged))
+        return sorted(int(s.getPath().getName().split("=")[1]) for s in found
+                      if s.getPath().getName().startswith("__feed="))
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(name)
+
+    @property
+    def fs(self):
+        return self._path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def feed(self, batch: int) -> None:
+        """Move a staged batch into the watched folder (a rename, no copy)."""
+        self.fs.mkdirs(self._path(self.src))
+        if not self.fs.rename(self._path(f"{self.staged}/__feed={batch}"), self._path(f"{self.src}/part{batch:05d}")):
+            raise RuntimeError(f"batch {batch} could not be moved to {self.src}")
+
+    def run(self, source: DataFrame, batch_col: str, build: Callable[[DataFrame], DataStreamWriter],
+            state_partitions: int | None = None) -> None:
+        """Feed batch after batch, (re)starting the query until it has consumed each.
 
         The state-store partition count of a stream is fixed by its first
-        start (the checkpoint keeps it); it is sized here from the input
-        (about ``rows_per_partition`` rows each, at most the session's
-        shuffle partitions) instead of blindly taking the session value.
-        """
-        schema = source.schema
-        parts = state_partitions(self.spark, source.count(), rows_per_partition)
-        for b in range(n_batches):
-            source.where(F.col(batch_col) == b).write.mode("overwrite").parquet(f"{self.src}/part{b:05d}")
-            writer = build(self.stream(schema)).option("checkpointLocation", self.ckpt)
+        start (the checkpoint keeps it): ``state_partitions``, by default one
+        per core of the cluster."""
+        parts = state_partitions or self.spark.sparkContext.defaultParallelism
+        for b in self.stage(source, batch_col):
+            self.feed(b)
+            writer = build(self.stream(source.schema)).option("checkpointLocation", self.ckpt)
             with shuffle_partitions(self.spark, parts):
                 q = writer.trigger(availableNow=True).start()
                 q.awaitTermination()
@@ -142,40 +152,3 @@ def _arrow_fs(target: str):
     if "://" in target:
         return pafs.FileSystem.from_uri(target)
     return pafs.LocalFileSystem(), target
-
-
-def per_partition_sink(out: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch sink with one output stream per task (the
-    connection-per-partition pattern).  Each task writes its Arrow batches
-    to ``out/batch_id=N/part-P.parquet`` through pyarrow's filesystem layer
-    (local, HDFS or object stores): written under an attempt-specific hidden
-    name, then moved into place, so a retry replaces the same file."""
-
-    def write(df: DataFrame, batch_id: int) -> None:
-        target = f"{out}/batch_id={batch_id}"
-
-        def task(batches):
-            import pyarrow as pa
-            import pyarrow.parquet as pq
-            from pyspark import TaskContext
-            ctx = TaskContext.get()
-            part, attempt = ctx.partitionId(), ctx.attemptNumber()
-            filesystem, root = _arrow_fs(target)
-            filesystem.create_dir(root, recursive=True)
-            # each attempt writes its own hidden file and then moves it into
-            # place, so a retried or speculative attempt never interleaves
-            tmp = f"{root}/_attempt-{part:05d}-{attempt}.parquet"
-            n = 0
-            writer = None
-            for b in batches:
-                if writer is None:
-                    writer = pq.ParquetWriter(tmp, b.schema, filesystem=filesystem)
-                writer.write_batch(b)
-                n += b.num_rows
-            if writer is not None:
-                writer.close()
-                filesystem.move(tmp, f"{root}/part-{part:05d}.parquet")
-            yield pa.RecordBatch.from_pydict({"rows": [n]})
-
-        df.mapInArrow(task, "rows long").agg(F.sum("rows")).collect()  # one small row back
-    return write

@@ -2,17 +2,14 @@
 
 * ``file_drop_stream``: files appearing in a folder (the replay harness and
   queue-of-batches source).
+* ``table_stream``: the files of a table, so many per trigger.
 * ``kafka_stream``: Kafka topic values as text; needs the Kafka connector on
   the classpath (not installed here).
-* ``TableFeed``: a custom Python streaming data source.  Its offsets are
-  pieces (Parquet row groups) of a table; each micro-batch plans one input
-  partition per piece and executors read their pieces as Arrow batches.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 
 def file_drop_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
@@ -23,71 +20,18 @@ def file_drop_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet
     return r.load(path)
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str = "latest") -> DataFrame:
+def table_stream(spark: SparkSession, folder: str, name: str, schema, max_files_per_trigger: int = 16) -> DataFrame:
+    """The Parquet table ``name`` in ``folder`` (one file, or a folder of files) as a
+    stream of its files, oldest first."""
+    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).option("recursiveFileLookup", "true")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        return r.parquet(f"{folder}/{name}")
+    return r.option("pathGlobFilter", name).parquet(folder)
+
+
+def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str = "latest", **options) -> DataFrame:
     """Message values of a topic as a ``value`` string column."""
     return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-            .option("subscribe", topic).option("startingOffsets", starting).load()
+            .option("subscribe", topic).option("startingOffsets", starting).options(**options).load()
             .selectExpr("CAST(value AS STRING) AS value"))
-
-
-class _Piece(InputPartition):
-    def __init__(self, path: str, row_group: int, columns: list[str]):
-        self.path, self.row_group, self.columns = path, row_group, columns
-
-
-def _pieces(path: str) -> list[tuple[str, int]]:
-    """(file, row group) pairs of a Parquet file or folder, from metadata only."""
-    import glob
-    import os
-
-    import pyarrow.parquet as pq
-    files = [path] if os.path.isfile(path) else sorted(glob.glob(os.path.join(path, "**", "*.parquet"),
-                                                                 recursive=True))
-    out = []
-    for f in files:
-        for rg in range(pq.ParquetFile(f).metadata.num_row_groups):
-            out.append((f, rg))
-    return out
-
-
-class _TableFeedReader(DataSourceStreamReader):
-    def __init__(self, schema, options):
-        self.path = options["path"]
-        self.columns = [f.name for f in schema.fields]
-        self.pieces = _pieces(self.path)
-
-    def initialOffset(self) -> dict:
-        return {"piece": 0}
-
-    def latestOffset(self) -> dict:
-        return {"piece": len(self.pieces)}
-
-    def partitions(self, start: dict, end: dict):
-        return [_Piece(f, rg, self.columns) for f, rg in self.pieces[start["piece"]:end["piece"]]]
-
-    def read(self, partition: _Piece):
-        import pyarrow.parquet as pq
-        table = pq.ParquetFile(partition.path).read_row_group(partition.row_group, columns=partition.columns)
-        yield from table.to_batches()
-
-    def commit(self, end: dict) -> None:
-        pass
-
-
-class TableFeed(DataSource):
-    """``spark.readStream.format("table_feed").schema(...).option("path", ...)``"""
-
-    @classmethod
-    def name(cls) -> str:
-        return "table_feed"
-
-    def schema(self) -> str:
-        raise ValueError("table_feed needs an explicit schema")
-
-    def streamReader(self, schema):
-        return _TableFeedReader(schema, self.options)
-
-
-def table_feed(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    spark.dataSource.register(TableFeed)
-    return spark.readStream.format("table_feed").schema(schema).option("path", path).load()

@@ -24,7 +24,7 @@ def test_slices_of_five_in_three(spark):
 
 def test_fold_with_zero_per_slice_and_merge(spark):
     df = lay.slice_assign(_seq(spark, [1, 2, 3, 4]), ["pos"], 2)
-    assert ag.aggregate_with_zero(df, "v", "slice", 2, 10).first()["result"] == 40
+    assert ag.aggregate_with_zero(df, "v", 2, 10).first()["result"] == 40
 
 
 def test_max_per_slice_then_sum(spark):

@@ -135,3 +135,59 @@ def test_hot_join_key_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_search_and_behaviour_views_keep_every_row(spark):
+    """The search records hold all characters of all texts (blanks became "+")."""
+    from tessera.functions.text import WHITESPACE, strip_brackets
+    from tessera.plans.analyses import parse_search
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    want = docs.agg(F.sum(F.length(strip_brackets(F.regexp_replace("text", WHITESPACE, "+"))))).first()[0]
+    got = parse_search(fx.search_lines(spark, SF_MID))
+    assert got.agg(F.sum(F.length("query_words"))).first()[0] == want and got.count() == docs.count()
+    assert fx.search_lines(spark, SF_MID).count() > docs.count()  # malformed lines on top
+    events = spark.read.parquet(f"{SF_MID}/events.parquet").count()
+    assert fx.behaviour_raw(spark, SF_MID).count() == events
+    assert fx.behaviour_raw(spark, SF_MID).where("BehaviorType is null").count() == 0
+
+
+def test_load_sees_appended_files(spark):
+    from tessera.session import work_dir
+    from tessera.sources.tables import load
+    base = work_dir(spark, "append")
+    spark.range(10).withColumn("p", F.lit(1)).write.partitionBy("p").parquet(base + "/t.parquet")
+    assert load(spark, base, "t").count() == 10
+    spark.range(5).withColumn("p", F.lit(1)).write.mode("append").partitionBy("p").parquet(base + "/t.parquet")
+    assert load(spark, base, "t").count() == 15
+
+
+def test_work_dir_needs_the_setting_off_local(monkeypatch):
+    from types import SimpleNamespace
+
+    from tessera import session
+    monkeypatch.setattr(session, "_configured_checkpoint_dir", lambda s: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.work_dir(SimpleNamespace(sparkContext=SimpleNamespace(master="spark://host:7077")))
+
+
+def test_range_count_follows_size_not_splits(spark):
+    df = spark.range(0, 1000)
+    assert lay.range_count(df.repartition(50)) == lay.range_count(df) == spark.sparkContext.defaultParallelism
+
+
+def test_next_in_group_with_null_keys(spark):
+    df = spark.range(0, 60).select(F.when(F.col("id") % 3 > 0, F.lit("s")).alias("g"),
+                                   F.timestamp_seconds(F.col("id")).alias("ts"), "id", (F.col("id") * 2).alias("v"))
+    w = Window.partitionBy("g").orderBy("ts", "id")
+    want = rows(df.withColumn("nxt", F.lead("v").over(w)), "id", "nxt")
+    for ranges in (1, 7, 20):
+        got = next_in_group(df, ["g"], "ts", "id", "v", "nxt", n_ranges=ranges)
+        assert rows(got, "id", "nxt") == want
+
+
+@pytest.mark.parametrize("name", ["join_left", "join_right"])
+def test_outer_joins_can_split_a_hot_key(spark, name):
+    """The pairs come from an inner join and the rest from an anti join: no
+    outer join, whose optional side could not be split."""
+    plan = _explain(queries()[name](spark, SF_MID)).split("\n\n")[0]
+    assert "LeftOuter" not in plan and "RightOuter" not in plan

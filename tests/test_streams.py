@@ -31,9 +31,8 @@ def _brute_blacklist(clicks: pd.DataFrame, threshold: int):
 def test_blacklist_feedback_low_threshold(spark):
     """Threshold 3 makes users get listed, so the feedback path is exercised."""
     threshold = 3
-    log = qs._blacklist_log(spark, SF_MID, "bl-test", threshold)
-    cnt, black = bl.final_tables(log)
-    clicks = qs._clicks(spark, SF_MID).select("batch", "day", "user", "ad").toPandas()
+    cnt, black = qs._blacklist(spark, SF_MID, "bl-test", threshold)
+    clicks = qs._shuffled_clicks(spark, SF_MID).select("batch", "day", "user", "ad").toPandas()
     exp_black, exp_counts = _brute_blacklist(clicks, threshold)
     assert exp_black, "fixture should list somebody at threshold 3"
     assert {r[0] for r in black.collect()} == exp_black
@@ -42,7 +41,7 @@ def test_blacklist_feedback_low_threshold(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF_MID}/events.parquet')")
     parts = bl.sql_blacklist("clicks", threshold)
-    ctes = {"clicks": qs._SQL_CLICKS, **parts}
+    ctes = {"clicks": qs._SQL_SHUFFLED, **parts}
     sql = "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items())
     sql_black = {r[0] for r in con.execute(sql + ' SELECT DISTINCT "user" FROM trig').fetchall()}
     assert sql_black == exp_black
@@ -70,7 +69,7 @@ def test_watermark_drops_late_events(spark):
                (1, "2024-01-01 10:08:00", "a")]
     df = spark.createDataFrame(rows_in, "batch int, ts string, k string").withColumn("ts", F.col("ts").cast("timestamp"))
     rp = Replay(spark, "late")
-    rp.run(df, "batch", 2, lambda s: s.transform(
+    rp.run(df, "batch", lambda s: s.transform(
         lambda x: so.windowed_count(x, "ts", "6 minutes", None, ["k"], "6 minutes")
         .select(*window_bounds(), "k", "n")).writeStream.outputMode("update").foreachBatch(rp.batch_sink()))
     got = rows(latest(rp.read_out(), ["window_start", "window_end", "k"]), "window_start", "n")
@@ -81,7 +80,7 @@ def test_processing_time_windows_conserve_counts(spark):
     from tessera.streaming import operators as so
     df = spark.range(0, 300).select((F.col("id") % 3).cast("int").alias("batch"), (F.col("id") % 5).alias("k"))
     rp = Replay(spark, "ptime")
-    rp.run(df, "batch", 3, lambda s: so.processing_time_count(s, "6 seconds", None, ["k"])
+    rp.run(df, "batch", lambda s: so.processing_time_count(s, "6 seconds", None, ["k"])
            .select(F.col("window.start").cast("string").alias("ws"), "k", "n")
            .writeStream.outputMode("update").foreachBatch(rp.batch_sink()))
     out = latest(rp.read_out(), ["ws", "k"])
@@ -119,12 +118,8 @@ def test_blacklist_random_inputs_stream_brute_and_sql_agree(spark, seed):
         "ts", F.to_timestamp(F.concat("day", F.lit(" 12:00:00"))))
     threshold = 8
     rp = Replay(spark, f"bl-rand-{seed}")
-    from tessera.streaming import operators as so
-    so.use_rocksdb(spark)
-    # batches here mix days in any order, so run without event-time eviction
-    rp.run(clicks, "batch", 4, lambda s: bl.blacklist_stream(s, threshold, lateness=None)
-           .writeStream.outputMode("update").foreachBatch(rp.batch_sink()))
-    cnt, black = bl.final_tables(rp.read_out())
+    rp.run(clicks, "batch", lambda s: s.writeStream.foreachBatch(bl.blacklist_sink(rp.out, threshold)))
+    cnt, black = bl.final_tables(spark, rp.out)
     exp_black, exp_counts = _brute_blacklist(pd.DataFrame(data, columns=["batch", "day", "user", "ad"]), threshold)
     assert exp_black and len(exp_black) < 4, "inputs should list some users but not all"
     assert {r[0] for r in black.collect()} == exp_black
@@ -140,9 +135,8 @@ def test_blacklist_random_inputs_stream_brute_and_sql_agree(spark, seed):
 
 def test_blacklist_batch_form_equals_stream(spark):
     threshold = 3
-    log = qs._blacklist_log(spark, SF_MID, "bl-batch-vs-stream", threshold)
-    s_cnt, s_black = bl.final_tables(log)
-    b_cnt, b_black = bl.blacklist_batch(qs._clicks(spark, SF_MID), "batch", threshold)
+    s_cnt, s_black = qs._blacklist(spark, SF_MID, "bl-batch-vs-stream", threshold)
+    b_cnt, b_black = bl.blacklist_batch(qs._shuffled_clicks(spark, SF_MID), "batch", threshold)
     assert rows(b_black) == rows(s_black) and rows(b_black)
     assert rows(b_cnt, "dt", "userid", "adid", "count") == rows(s_cnt, "dt", "userid", "adid", "count")
 
@@ -172,22 +166,94 @@ def test_ad_jobs_on_message_files(spark):
     assert charts and all(c["chart"].startswith('[{"xtime":') for c in charts)
 
 
-def test_blacklist_state_keeps_only_recent_days(spark):
-    """Day counts leave the state once the watermark has passed the day by
-    the lateness; read back with the state data source."""
+def test_registered_black_list_fires_in_one_batch_and_over_several(spark):
+    """At the real threshold: one user reaches it in the first batch, another only over several."""
+    clicks = qs._shuffled_clicks(spark, SF_MID)
+    per_batch = clicks.groupBy("batch", "day", "user", "ad").count().groupBy("user").agg(F.max("count").alias("n"))
+    most = {r["user"]: r["n"] for r in per_batch.collect()}
+    listed = {r[0] for r in qs.q_ad_blacklist(spark, SF_MID).collect()}
+    assert any(most[u] >= bl.THRESHOLD for u in listed) and any(most[u] < bl.THRESHOLD for u in listed)
+    assert len(listed) < len(most)
+
+
+LATE = [(0, "2024-01-01 10:00:00", 1, 20), (0, "2024-01-06 10:00:00", 2, 1), (1, "2024-01-01 11:00:00", 1, 15),
+        (1, "2024-01-06 11:00:00", 2, 1)]
+
+
+def _late_clicks(spark):
+    rows_in = [(b, t, u, 1) for b, t, u, n in LATE for _ in range(n)]
+    return spark.createDataFrame(rows_in, "batch int, ts string, user long, ad long").withColumn(
+        "ts", F.col("ts").cast("timestamp")).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+
+
+def test_late_clicks_count_by_default(spark):
+    """A day's clicks that come after clicks of a much later day still list the user."""
+    rp = Replay(spark, "late-default")
+    rp.run(_late_clicks(spark), "batch", lambda s: s.writeStream.foreachBatch(bl.blacklist_sink(rp.out)))
+    cnt, black = bl.final_tables(spark, rp.out)
+    b_cnt, b_black = bl.blacklist_batch(_late_clicks(spark))
+    assert rows(black) == rows(b_black) == [(1,)] and bl.dropped_clicks(spark, rp.out) == 0
+    assert rows(cnt, "dt", "userid", "adid", "count") == rows(b_cnt, "dt", "userid", "adid", "count")
+
+
+def test_lateness_drops_and_counts(spark):
+    rp = Replay(spark, "late-drop")
+    rp.run(_late_clicks(spark), "batch", lambda s: s.writeStream.foreachBatch(bl.blacklist_sink(rp.out, lateness="1 day")))
+    cnt, black = bl.final_tables(spark, rp.out)
+    assert black.count() == 0 and bl.dropped_clicks(spark, rp.out) == 15
+    assert rows(cnt, "dt", "userid", "count") == [("2024-01-01", 1, 20), ("2024-01-06", 2, 2)]
+
+
+def test_retried_black_list_batch_replaces_its_output(spark):
+    rp = Replay(spark, "bl-retry")
+    sink = bl.blacklist_sink(rp.out, 8)
+    first, second = (_late_clicks(spark).where(f"batch = {b}") for b in (0, 1))
+    sink(first.repartition(4), 0)
+    sink(first.repartition(2), 0)
+    sink(second.repartition(3), 1)
+    once = [rows(t) for t in bl.final_tables(spark, rp.out)]
+    sink(second.coalesce(1), 1)
+    assert [rows(t) for t in bl.final_tables(spark, rp.out)] == once
+
+
+def test_batch_sink_retry_with_other_partitions(spark):
+    rp = Replay(spark, "sink-retry")
+    df = spark.range(100)
+    rp.batch_sink()(df.repartition(4), 0)
+    rp.batch_sink()(df.repartition(2), 0)
+    assert rows(rp.read_out().select("id")) == [(i,) for i in range(100)]
+
+
+def test_bad_messages_do_not_end_the_stream(spark):
+    from tessera.session import work_dir
+    from tessera.streaming import jobs
+    from tessera.streaming.sources import file_drop_stream
+    base = work_dir(spark, "bad-messages")
+    good = "1704103200000 area1 city1 7 1"
+    for n, lines in enumerate((["short message", "", "x area city 1 1", "1 a b y 1", "1 a b 1 z", good], [good])):
+        spark.createDataFrame([(m,) for m in lines], "value string").coalesce(1).write.mode("append").text(f"{base}/in{n}")
+        q = jobs.start_area_city_counts(file_drop_stream(spark, base + "/in*", "value string", "text"),
+                                        base + "/out", base + "/ck", trigger={"availableNow": True})
+        q.awaitTermination()
+        assert q.exception() is None
+    assert rows(jobs.area_city_table(spark, base + "/out"), "area", "city", "ad", "n") == [("area1", "city1", 1, 2)]
+
+
+def test_day_counts_leave_the_state_with_lateness(spark):
     from tessera.streaming import operators as so
-    from tessera.streaming.replay import session_conf
-    so.use_rocksdb(spark)
-    rp = Replay(spark, "state-evict")
     clicks = qs._clicks(spark, SF_MID)
-    with session_conf(spark, "spark.sql.streaming.noDataMicroBatches.enabled", "false"):
-        rp.run(clicks, "batch", 3, lambda s: bl.blacklist_stream(s, 30, lateness="1 day")
-               .writeStream.outputMode("update").foreachBatch(rp.batch_sink()))
-    state = spark.read.format("statestore").option("stateVarName", "counts").load(rp.ckpt)
-    kept = sorted(r[0] for r in state.select("user_map_key.dt").distinct().collect())
-    all_days = sorted(r[0] for r in clicks.select("day").distinct().collect())
-    assert kept and kept == all_days[-len(kept):]          # a suffix: only the latest days
-    assert len(kept) < len(all_days) // 2                   # the older days were evicted
+    rp = Replay(spark, "day-state")
+    rp.run(clicks, "batch", lambda s: so.running_count(s, ["day", "ad"], ts="ts", lateness="2 days")
+           .writeStream.outputMode("update").foreachBatch(rp.batch_sink()))
+    assert rows(latest(rp.read_out(), ["day", "ad"]), "day", "ad", "n") == rows(clicks.groupBy("day", "ad").count())
+    kept = spark.read.format("statestore").load(rp.ckpt).select("key.day").distinct().count()
+    assert kept < clicks.select("day").distinct().count() // 2
+
+
+def test_hot_users_of_the_stream_join_are_salted_only(spark):
+    some = qs.q_st_batch_join.__wrapped__ if hasattr(qs.q_st_batch_join, "__wrapped__") else qs.q_st_batch_join
+    want = rows(some(spark, "/root/testdata/sf0.001", share=1.0))
+    assert want and rows(some(spark, "/root/testdata/sf0.001", share=0.05)) == want
 
 
 def test_queue_of_files_one_per_trigger(spark):
@@ -206,24 +272,3 @@ def test_queue_of_files_one_per_trigger(spark):
     q.awaitTermination()
     got = rows(spark.read.parquet(sink_dir), "batch_id", "f", "count")
     assert len({b for b, _, _ in got}) == 3 and sorted((f, c) for _, f, c in got) == [(0, 1), (1, 2), (2, 3)]
-
-
-def test_table_feed_reads_every_row_group_once(spark):
-    import os
-
-    import pyarrow as pa
-    import pyarrow.parquet as pq
-    from tessera.session import work_dir
-    from tessera.streaming.sources import _pieces, table_feed
-    base = work_dir(spark, "feed").replace("file:", "")
-    os.makedirs(base, exist_ok=True)
-    pq.write_table(pa.table({"id": list(range(1000)), "k": [i % 7 for i in range(1000)]}),
-                   base + "/t.parquet", row_group_size=100)
-    assert len(_pieces(base + "/t.parquet")) == 10
-    out = base + "/out"
-    q = (table_feed(spark, base + "/t.parquet", "id long, k long").writeStream
-         .foreachBatch(lambda df, i: df.write.mode("append").parquet(out))
-         .option("checkpointLocation", base + "/ck").trigger(availableNow=True).start())
-    q.awaitTermination()
-    back = spark.read.parquet(out)
-    assert back.count() == 1000 and back.select("id").distinct().count() == 1000
