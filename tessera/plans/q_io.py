@@ -23,6 +23,15 @@ def _name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
 
+def _read_and_drop(spark, name: str, sql: str | None = None):
+    """The table's rows (or a query on it), resolved now; the catalog entry goes, the
+    files at its own location stay until the work folder is cleared."""
+    out = spark.sql(sql) if sql else spark.table(name)
+    out.schema  # resolve before the name goes
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 # ---------------------------------------------------------------- text
 
 
@@ -152,7 +161,7 @@ def q_sink_create_table(spark, sf_dir):
     name = _name("cust")
     io.create_table(spark, name, "id BIGINT, name STRING, balance DOUBLE", work_dir(spark, name), "parquet")
     io.append_to_table(Tables(spark, sf_dir).customer.select("c_custkey", "c_name", "c_acctbal"), name)
-    return spark.table(name)
+    return _read_and_drop(spark, name)
 
 
 @register("sink_load_data", fx.with_views("SELECT * FROM behaviour_raw", "behaviour_raw"))
@@ -164,7 +173,7 @@ def q_sink_load_data(spark, sf_dir):
     cols = "UserID STRING, ItemID STRING, CategoryID STRING, BehaviorType STRING, TimeStamp STRING"
     io.create_table(spark, name, cols, work_dir(spark, name), "parquet")
     io.load_into_table(spark, name, src, cols, "csv", "\t")
-    return spark.table(name)
+    return _read_and_drop(spark, name)
 
 
 @register("sink_hive_append", """
@@ -178,7 +187,7 @@ def q_sink_hive_append(spark, sf_dir):
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_orderstatus")
     io.append_to_table(o, name)
     io.append_to_table(o.where(F.col("o_orderstatus") == "F"), name)
-    return spark.table(name)
+    return _read_and_drop(spark, name)
 
 
 @register("src_hive", "SELECT l_returnflag, CAST(count(*) AS BIGINT) AS n FROM lineitem GROUP BY 1")
@@ -188,7 +197,7 @@ def q_src_hive(spark, sf_dir):
     loc = work_dir(spark, name)
     Tables(spark, sf_dir).lineitem.select("l_returnflag", "l_quantity").write.parquet(loc)
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{loc}'")
-    return spark.sql(f"SELECT l_returnflag, count(*) AS n FROM {name} GROUP BY l_returnflag")
+    return _read_and_drop(spark, name, f"SELECT l_returnflag, count(*) AS n FROM {name} GROUP BY l_returnflag")
 
 
 @register("sink_dynamic_partition", """
@@ -200,11 +209,14 @@ def q_src_hive(spark, sf_dir):
 def q_sink_dynamic_partition(spark, sf_dir):
     """Year-partitioned table; a second write replaces only the years it holds."""
     name = _name("orders_by_year")
-    io.create_table(spark, name, "o_orderkey BIGINT, o_totalprice DOUBLE, year INT", work_dir(spark, name),
-                    "parquet", partitioned_by=["year"])
+    loc = work_dir(spark, name)
+    io.create_table(spark, name, "o_orderkey BIGINT, o_totalprice DOUBLE, year INT", loc, "parquet",
+                    partitioned_by=["year"])
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_totalprice",
                                             F.year("o_orderdate").cast("int").alias("year"))
     io.append_to_table(o, name)
     late = o.where(F.col("year") >= 1997).withColumn("o_totalprice", F.col("o_totalprice") * 2)
     io.overwrite_partitions(late, name)
-    return spark.table(name)
+    out = spark.read.schema(spark.table(name).schema).parquet(loc)  # its partitions are folders
+    spark.sql(f"DROP TABLE {name}")
+    return out
