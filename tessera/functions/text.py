@@ -43,15 +43,6 @@ def strip_brackets(c) -> Column:
     return F.regexp_replace(_c(c), SQUARE_BRACKETS, "")
 
 
-def tokens(c) -> Column:
-    """Lower-case word tokens of a text: runs of letters/digits.
-
-    Stands in for the dictionary segmenter of the original job; it works on
-    the whole text, never a prefix.
-    """
-    return F.filter(F.split(F.lower(_c(c)), NON_WORD), lambda t: t != "")
-
-
 def explode_tokens(df: DataFrame, col: str, alias: str = "word", keep=(),
                    tokenizer: Callable[[Column], Column] | None = None) -> DataFrame:
     """One row per token.  ``tokenizer`` maps the text column to an array of

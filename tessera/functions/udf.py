@@ -34,6 +34,14 @@ def avg_long_udaf(values: pd.Series) -> int:
     return int(v.sum()) // len(v) if len(v) else None
 
 
+@F.pandas_udf(T.LongType())
+def merge_avg_long(sums: pd.Series, counts: pd.Series) -> int:
+    """Merge step of the long average: partial (sum, count) buffers of a group, of
+    which there must be a bounded number, to one truncated average."""
+    n = int(counts.sum())
+    return int(sums.sum()) // n if n else None
+
+
 def register_all(spark: SparkSession) -> None:
     """Make the UDFs callable from SQL text."""
     spark.udf.register("prefixName", prefix_name_udf)

@@ -78,10 +78,6 @@ def slice_assign(df: DataFrame, order: Sequence[str | Column], p: int, alias: st
     return ix.withColumn(alias, slice_of(F.col(index_alias), F.col("__n"), p)).drop("__n")
 
 
-def partition_by_hash(df: DataFrame, n: int, *keys: str) -> DataFrame:
-    return df.repartition(n, *keys)
-
-
 def partition_by_id(df: DataFrame, n: int, pid: Column) -> DataFrame:
     """Custom partitioner: rows go to the partition given by ``pid``."""
     return df.repartitionById(n, pid)

@@ -16,15 +16,6 @@ from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------- projections
 
-def map_expr(df: DataFrame, fn: Callable[[Column], Column], col: str, alias: str | None = None) -> DataFrame:
-    """``rdd.map(f)`` for a column expression ``f``."""
-    return df.select(fn(F.col(col)).alias(alias or col))
-
-
-def project_field(df: DataFrame, col: str, sep: str, index: int, alias: str) -> DataFrame:
-    """Positional field ``index`` of a delimited line (``split(...)(i)``)."""
-    return df.select(F.split(F.col(col), sep).getItem(index).alias(alias))
-
 
 def rename_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.toDF(*names)
@@ -35,11 +26,6 @@ def flat_map_split(df: DataFrame, col: str, sep: str, alias: str, keep: Sequence
     return df.select(*keep, F.explode(F.split(F.col(col), sep)).alias(alias))
 
 
-def flat_map_mixed(df: DataFrame, list_col: str, scalar_col: str, alias: str) -> DataFrame:
-    """Rows holding either a list or a scalar -> one row per element."""
-    return df.select(F.explode(F.coalesce(F.col(list_col), F.array(F.col(scalar_col)))).alias(alias))
-
-
 def map_values(df: DataFrame, value: str, fn: Callable[[Column], Column], keep: Sequence[str]) -> DataFrame:
     """Transform the value column, keep the key columns."""
     return df.select(*keep, fn(F.col(value)).alias(value))
@@ -60,9 +46,6 @@ def drop_columns(df: DataFrame, *cols: str) -> DataFrame:
 
 # ---------------------------------------------------------------- filters
 
-def filter_prefix(df: DataFrame, col: str, prefix: str) -> DataFrame:
-    return df.where(F.col(col).startswith(prefix))
-
 
 def filter_contains(df: DataFrame, col: str, needle: str) -> DataFrame:
     return df.where(F.col(col).contains(F.lit(needle)))
@@ -156,12 +139,6 @@ def cogroup_long(left: DataFrame, right: DataFrame, key: str, value: str) -> Dat
     return l.unionByName(r).groupBy(key, "side", value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def collect_sorted(df: DataFrame, keys: Sequence[str], value: str, alias: str) -> DataFrame:
-    """Sorted array of values per group.  Only for groups with a proven
-    small bound (e.g. a top-n output); unbounded groups stay long."""
-    return df.groupBy(*keys).agg(F.sort_array(F.collect_list(value)).alias(alias))
-
-
 # ---------------------------------------------------------------- set operations
 
 def union_all(a: DataFrame, b: DataFrame) -> DataFrame:

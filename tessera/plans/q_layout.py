@@ -63,13 +63,15 @@ _SEGMENT_PARTITION = ("CASE c_mktsegment WHEN 'BUILDING' THEN 0 WHEN 'AUTOMOBILE
 
 @register("partition_by_custom", f"SELECT c_custkey, CAST({_SEGMENT_PARTITION} AS BIGINT) AS part FROM customer")
 def q_partition_by_custom(spark, sf_dir):
-    """Custom partitioner (two named keys, everything else in a third
-    partition); ``part`` is the partition each row actually landed in."""
+    """Custom partitioner (two named keys, everything else in a third part);
+    ``part`` is where each row actually landed.  A part is spread over several
+    partitions by a hash of the row's key, so a large part is not one task."""
     c = Tables(spark, sf_dir).customer.select("c_custkey", "c_mktsegment")
-    pid = (F.when(F.col("c_mktsegment") == "BUILDING", 0)
-            .when(F.col("c_mktsegment") == "AUTOMOBILE", 1).otherwise(2))
-    placed = lay.partition_by_id(c, 3, pid)
-    return placed.select("c_custkey", F.spark_partition_id().cast("bigint").alias("part"))
+    part = (F.when(F.col("c_mktsegment") == "BUILDING", 0)
+             .when(F.col("c_mktsegment") == "AUTOMOBILE", 1).otherwise(2))
+    salts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 3)
+    placed = lay.partition_by_id(c, 3 * salts, part * salts + F.pmod(F.hash("c_custkey"), F.lit(salts)))
+    return placed.select("c_custkey", F.floor(F.spark_partition_id() / salts).cast("bigint").alias("part"))
 
 
 @register("persist_reuse", """
@@ -208,21 +210,17 @@ def q_udf_date_part(spark, sf_dir):
 
 
 @register("udaf_avg_long", """
-  SELECT o_orderpriority, CAST(sum(o_custkey) // count(o_custkey) AS BIGINT) AS avg_cust,
-         CAST(sum(o_custkey) // count(o_custkey) AS BIGINT) AS avg_cust_sql
-  FROM orders GROUP BY 1
+  SELECT o_orderpriority, CAST(sum(o_custkey) // count(o_custkey) AS BIGINT) AS avg_cust FROM orders GROUP BY 1
 """)
 def q_udaf_avg_long(spark, sf_dir):
-    """(total, count) average with long division, as DataFrame and as SQL
-    text.  Both keep the partial aggregation; the grouped-agg pandas form
-    (``functions.udf.avg_long_udaf``) would ship each whole group to one
-    Python worker, so it is only the registration surface (see tests)."""
+    """(total, count) average with long division by a user-defined aggregate.
+
+    A grouped pandas aggregate has no partial phase, so built-in sums make at
+    most 64 (total, count) buffers per group first; the aggregate merges those."""
     o = Tables(spark, sf_dir).orders
-    builtin = o.groupBy("o_orderpriority").agg(F.expr("sum(o_custkey) div count(o_custkey)").alias("avg_cust"))
-    o.createOrReplaceTempView("tessera_orders")
-    sql = spark.sql("SELECT o_orderpriority, sum(o_custkey) div count(o_custkey) AS avg_cust_sql "
-                    "FROM tessera_orders GROUP BY o_orderpriority")
-    return builtin.join(sql, "o_orderpriority")
+    buffers = o.groupBy("o_orderpriority", F.pmod(F.hash("o_orderkey"), F.lit(64)).alias("part")).agg(
+        F.sum("o_custkey").alias("total"), F.count("o_custkey").alias("n"))
+    return buffers.groupBy("o_orderpriority").agg(fu.merge_avg_long("total", "n").alias("avg_cust"))
 
 
 # ------------------------------------------------------------------ wide-column cells

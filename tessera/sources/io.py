@@ -62,9 +62,12 @@ def read_jdbc(spark: SparkSession, url: str, table: str, user: str | None = None
     return r.load()
 
 
-def read_sequence(spark: SparkSession, path: str, names: Sequence[str] = ("key", "value")) -> DataFrame:
-    """Hadoop SequenceFile of (key, value) pairs -> DataFrame."""
-    return spark.sparkContext.sequenceFile(path).toDF(list(names))
+def read_sequence(spark: SparkSession, path: str, schema: str = "key long, value string") -> DataFrame:
+    """Hadoop SequenceFile of (key, value) pairs -> DataFrame.
+
+    Interop for small data: the format has no DataFrame reader, so rows pass
+    through Python one by one."""
+    return spark.createDataFrame(spark.sparkContext.sequenceFile(path), schema)
 
 
 def read_objects(spark: SparkSession, path: str) -> DataFrame:
@@ -122,7 +125,7 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", batchs
 
 
 def write_sequence(df: DataFrame, path: str, key: str, value: str) -> None:
-    """(key, value) pairs as a Hadoop SequenceFile."""
+    """(key, value) pairs as a Hadoop SequenceFile (interop for small data, as above)."""
     df.select(key, value).rdd.map(tuple).saveAsSequenceFile(path)
 
 
