@@ -4,7 +4,7 @@ Equal vectors form one class first.  The classes are dealt to shards by a hash;
 builds the shard's graph and writes it to the shared folder.  Blocks of classes then
 query every shard.  In each (shard, block) a sample of AUDIT queries is compared with
 exact products; while fewer than RECALL of its links are found, all beams are widened,
-in the end to exact products.  Candidates count only if their cosine, in doubles, is
+WIDENINGS times at most; then exact products take their place.  Candidates count only if their cosine, in doubles, is
 ``least`` or more.  Links leave a cell as counts and as a spanning forest, and the
 components are joined over the shared folder.
 
@@ -31,6 +31,7 @@ BLOCK = 8192               # queries of a block
 BEAM = 32
 AUDIT = 512
 RECALL = 0.995
+WIDENINGS = 2
 MARGIN = 1e-4              # single precision: candidates this far below are verified too
 
 
@@ -62,16 +63,15 @@ GRAPH = ("dim int, shard int, reps binary, copies binary, vectors binary, links
 
 def audited_links(graph: Graph, queries: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
     """(query, node) pairs at ``least`` or more; the beam widens until the audit passes."""
-    beam = BEAM
     sample = np.unique(np.linspace(0, len(queries) - 1, min(AUDIT, len(queries))).astype(int))
     r, c = graph.exact(queries, sample, least)
     n = len(graph.vectors)
     truth = r * n + c
-    while True:
+    for beam in (BEAM << k for k in range(WIDENINGS + 1)):
         q, node = graph.near(queries, least, beam)
-        if beam * 4 >= n or np.isin(truth, q * n + node).sum() >= RECALL * len(truth):
+        if np.isin(truth, q * n + node).sum() >= RECALL * len(truth):
             return q, node
-        beam *= 2
+    return graph.exact(queries, np.arange(len(queries)), least)
 
 
 def linked(embeddings: DataFrame, least: float = LEAST) -> DataFrame:

@@ -54,8 +54,28 @@ class Graph:
                 upto = min(sizes[layer], known + min(BATCH, max(16, known)))
                 graph._insert(layer, known, upto)
                 known = upto
+            graph._reach(layer, sizes[layer + 1] if layer + 1 < len(sizes) else 1)
         return graph
 
+    def _reach(self, layer: int, entries: int) -> None:
+        """Nodes that no path from the first ``entries`` nodes reaches get a link from the
+        nearest one reached, in the place of its last link."""
+        links = self.links[layer]
+        for _ in range(4):
+            reached, front = np.zeros(len(links), bool), np.arange(min(entries, len(links)))
+            while len(front):
+                reached[front] = True
+                near = np.unique(links[front])
+                near = near[near >= 0]
+                front = near[~reached[near]]
+            lost, known = np.flatnonzero(~reached), np.flatnonzero(reached)
+            if not len(lost):
+                break
+            for lo in range(0, len(lost), BATCH):
+                some = lost[lo: lo + BATCH]
+                best = known[(self.vectors[some] @ self.vectors[known].T).argmax(axis=1)]
+                links[best, -1] = some
+
     def _exact(self, layer: int, n: int) -> None:
         """Links of the layer's first n nodes among themselves, by blocks of exact products."""
         wide = min(BUILD_BEAM, n - 1)
