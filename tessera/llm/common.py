@@ -6,10 +6,12 @@ so a lost executor costs only its own tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +47,36 @@ def slices(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
         yield lo, n
 
 
+TEXT_BYTES = 4 << 20       # text that a task holds as Python objects at a time
+
+
+def _small(batches: Iterable[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        column = batch.column(text % batch.num_columns)
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+        for lo, hi in slices(sizes, TEXT_BYTES):
+            yield batch.slice(lo, hi - lo)
+
+
+def _release() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable, text: int | None = None) -> Callable:
+    """``run`` for mapInArrow with bounded memory: its batches hold about TEXT_BYTES of
+    the column numbered ``text`` (or one row), and what the task has freed goes back to
+    the system at its end, since Spark keeps the worker for other stages."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches if text is None else _small(batches, text))
+        finally:
+            _release()
+    return wrapped
+
+
 def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest index reachable from each of ``n`` nodes over the links a[i]-b[i]."""
     label = np.arange(n)

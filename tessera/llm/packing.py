@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import slices, stored
+from tessera.llm.common import lean, slices, stored
 from tessera.llm.words import encoder, vocabulary
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
@@ -129,7 +129,7 @@ def token_counts(docs: DataFrame, vocab: str = VOCABULARY) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.int64())], ["doc_id", "n_tokens"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        count, "doc_id long, n_tokens long")
+        lean(count, 1), "doc_id long, n_tokens long")
 
 
 def documents(docs: DataFrame, capacities: Sequence[int] = CAPACITIES) -> DataFrame:

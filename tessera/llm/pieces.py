@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import slices
+from tessera.llm.common import lean, slices
 from tessera.llm.words import vocabulary
 
 MODEL = "piece_bpe_32k.model"
@@ -194,7 +194,7 @@ def _run(docs: DataFrame, model: str, schema: str, make) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), *map(pa.array, cols)], names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, schema)
+        lean(run, 1), schema)
 
 
 def encoded(docs: DataFrame, model: str = MODEL) -> DataFrame:
@@ -211,7 +211,7 @@ def decoded(tokens: DataFrame, model: str = MODEL) -> DataFrame:
             texts = [enc.library.decode(i or []) for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return tokens.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(run, "doc_id long, text string")
+    return tokens.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(lean(run), "doc_id long, text string")
 
 
 def digests(docs: DataFrame, model: str = MODEL) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stored
+from tessera.llm.common import lean, stored
 
 BITS = 18
 MAX_TRAINING = 6000        # documented bound of the training sample
@@ -103,10 +103,10 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, bound: int = MAX_T
 
     sample = stored(docs.select("doc_id", F.col("text").cast("string").alias("text"))
                     .join(F.broadcast(chosen), "doc_id")  # at most ``bound`` rows
-                    .mapInArrow(extract, "doc_id long, label double, ids binary, vals binary"), "quality-sample")
+                    .mapInArrow(lean(extract, 1), "doc_id long, label double, ids binary, vals binary"), "quality-sample")
     # repeated documents: one row each, so the sample keeps its bound
     sample = sample.dropDuplicates(["doc_id"]).repartition(1).sortWithinPartitions("doc_id")
-    got = sample.mapInArrow(train, "weights binary").collect()
+    got = sample.mapInArrow(lean(train), "weights binary").collect()
     return np.frombuffer(got[0].weights) if got else np.zeros((1 << bits) + 1)
 
 
@@ -124,7 +124,7 @@ def score(docs: DataFrame, weights: np.ndarray, column: str = "score") -> DataFr
                                              [*batch.schema.names[:-1], column])
 
     inputs = docs.select("*", F.col("text").cast("string").alias(column))
-    return inputs.mapInArrow(dot, docs.select("*", F.lit(0.0).alias(column)).schema)
+    return inputs.mapInArrow(lean(dot, -1), docs.select("*", F.lit(0.0).alias(column)).schema)
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:

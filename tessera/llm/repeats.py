@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import slices, stored, text_bytes
+from tessera.llm.common import lean, slices, stored, text_bytes
 
 MATCH = 200
 GRAM = 100                 # anchor window; every match holds MATCH - GRAM + 1 of them
@@ -319,8 +319,8 @@ def _repeated_anchors(docs: DataFrame, buckets: int) -> DataFrame:
             rows += [(None, value[i].tobytes(), int(total[i])) for i in np.flatnonzero(total > HOT)]
             yield _batch(rows, kinds)
 
-    return (_source(docs).mapInArrow(ask, PACKED).repartition(buckets // PER_PARTITION, "bucket").sortWithinPartitions("bucket")
-            .mapInArrow(answer, "key long, anchors binary, count long"))
+    return (_source(docs).mapInArrow(lean(ask), PACKED).repartition(buckets // PER_PARTITION, "bucket").sortWithinPartitions("bucket")
+            .mapInArrow(lean(answer), "key long, anchors binary, count long"))
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -336,7 +336,7 @@ def _rows(docs: DataFrame) -> DataFrame:
                 [pa.array(keys), batch.column(0), pa.array([press.compress(t) for t in raw], pa.binary())],
                 ["key", "doc", "text"])
 
-    return _source(docs).mapInArrow(run, "key long, doc long, text binary")
+    return _source(docs).mapInArrow(lean(run, 1), "key long, doc long, text binary")
 
 
 STRETCHES = "bucket int, anchors binary, sizes binary, body binary, refs binary"
@@ -407,8 +407,8 @@ def _warm_spans(found: DataFrame, hot: set[int], buckets: int) -> DataFrame:
             out["stop"] = places["start"][which] + spans["stop"][pick]
             yield _batch(_by_key(places["key"][which], out), {"key": pa.int64(), "spans": pa.binary()})
 
-    return (found.mapInArrow(send, STRETCHES).repartition(buckets // PER_PARTITION, "bucket").sortWithinPartitions("bucket")
-            .mapInArrow(solve, "key long, spans binary"))
+    return (found.mapInArrow(lean(send, 1), STRETCHES).repartition(buckets // PER_PARTITION, "bucket").sortWithinPartitions("bucket")
+            .mapInArrow(lean(solve), "key long, spans binary"))
 
 
 TEXT_SPAN = np.dtype([("text", "<i8"), ("start", "<i8"), ("stop", "<i8")])
@@ -467,8 +467,8 @@ def _hot_spans(found: DataFrame, hot: set[int], buckets: int) -> DataFrame:
             out["stop"] = refs["start"][np.r_[new[1:], len(refs)] - 1] + MATCH if len(new) else 0
             yield _batch(_by_key(refs["key"][new], out), {"key": pa.int64(), "spans": pa.binary()})
 
-    return (found.mapInArrow(send, PACKED).repartition(buckets // PER_PARTITION, "bucket").sortWithinPartitions("bucket")
-            .mapInArrow(solve, "key long, spans binary"))
+    return (found.mapInArrow(lean(send, 1), PACKED).repartition(buckets // PER_PARTITION, "bucket").sortWithinPartitions("bucket")
+            .mapInArrow(lean(solve), "key long, spans binary"))
 
 
 HOT_LIST = 10_000_000      # proven bound of the list of hot anchors that every task gets
@@ -524,7 +524,7 @@ def removals(docs: DataFrame) -> DataFrame:
             yield _batch(rows, kinds)
 
     return _rows(docs).join(repeat_spans(docs), "key", "left").select("doc", "text", "spans").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        lean(run, 1), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def _whole_characters(raw: bytes, spans: np.ndarray) -> np.ndarray:
@@ -568,10 +568,10 @@ def cleaned(docs: DataFrame, text: str = "text", size: str = "n_chars") -> DataF
             columns[names.index(text)] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names[:-1])
 
-    keyed = carried.mapInArrow(tag, docs.select("*", F.lit(0).cast("long").alias(mark)).schema)
+    keyed = carried.mapInArrow(lean(tag, -1), docs.select("*", F.lit(0).cast("long").alias(mark)).schema)
     joined = keyed.join(repeat_spans(source).withColumnRenamed("key", mark).withColumnRenamed("spans", "__repeat_spans"),
                         mark, "left").drop(mark).select(*docs.columns, "__repeat_spans")
-    out = joined.mapInArrow(cut, docs.schema)
+    out = joined.mapInArrow(lean(cut, docs.columns.index(text)), docs.schema)
     if size in docs.columns:
         out = out.withColumn(size, F.char_length(text).cast(docs.schema[size].dataType))
     return out

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import components, local_components, star_edges, stored, text_bytes
+from tessera.llm.common import components, lean, star_edges, stored, text_bytes
 
 SHINGLE = 3
 RADIUS = 2
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, column: str = "fp") ->
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fps)], [*batch.schema.names[:-1], column])
 
     return docs.select("*", F.col("text").cast("string").alias(column)).mapInArrow(
-        run, docs.select("*", F.lit(0).cast("long").alias(column)).schema)
+        lean(run, -1), docs.select("*", F.lit(0).cast("long").alias(column)).schema)
 
 
 # ------------------------------------------------------------------ bit-sliced comparison
@@ -177,7 +177,7 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
         yield run(held)
 
     return (cells.repartition("key", "cell").sortWithinPartitions("key", "cell", "fp")
-            .mapInArrow(compare, "a long, b long"))
+            .mapInArrow(lean(compare), "a long, b long"))
 
 
 def classes(printed: DataFrame, radius: int = RADIUS) -> DataFrame:

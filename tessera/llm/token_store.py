@@ -21,10 +21,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import slices
+from tessera.llm.common import lean, slices
 from tessera.llm.words import encoder, vocabulary
 from tessera.session import work_dir
 
@@ -70,7 +70,7 @@ def _sample(docs: DataFrame, vocab: str, end_id: int) -> list[bytes]:
 
     chosen = (docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
               .limit(SAMPLE_DOCS))
-    return sorted(bytes(r.ids) for r in chosen.mapInArrow(cut, "ids binary").collect())
+    return sorted(bytes(r.ids) for r in chosen.mapInArrow(lean(cut, 1), "ids binary").collect())
 
 
 def write(docs: DataFrame, path: str, vocab: str = VOCABULARY, end_id: int = 1) -> None:
@@ -119,7 +119,7 @@ def write(docs: DataFrame, path: str, vocab: str = VOCABULARY, end_id: int = 1)
 
     # the random second key splits a doc_id that many rows share
     (docs.withColumn("tie", F.rand(1)).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-     .select("doc_id", "text").mapInArrow(blocks, BLOCK_SCHEMA).write.parquet(f"{path}/blocks"))
+     .select("doc_id", "text").mapInArrow(lean(blocks, 1), BLOCK_SCHEMA).write.parquet(f"{path}/blocks"))
 
 
 ARROW_BLOCK = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("dict_hash", pa.string()), ("width", pa.int32()),
@@ -159,7 +159,6 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """
     digest, raw = _dictionary(spark, path)
     blocks = spark.read.parquet(f"{path}/blocks")
-    from pyspark.sql import Window
     parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     base = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
 
@@ -177,7 +176,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     # one row per part: bounded by the shuffle partitions of the write
     return blocks.join(F.broadcast(base), "part").mapInArrow(
-        documents, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
+        lean(documents), "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
 
 
 def read_document(spark: SparkSession, path: str, doc_id: int) -> list[list[int]]:

@@ -13,7 +13,7 @@ import re
 import unicodedata
 from array import array
 
-MEMO_WORDS = 600_000       # words kept per worker
+MEMO_WORDS = 300_000       # words kept per worker
 MEMO_CHARS = 64            # longer ones are not kept
 LATIN_END = "Ͱ"       # below it, lower-casing depends on the single character only
 
