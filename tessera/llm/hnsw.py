@@ -9,6 +9,7 @@ UPPER_LINKS = 16
 LAYER = 16                 # a layer holds one in so many nodes of the layer below
 BUILD_BEAM = 64
 BATCH = 256                # queries, or new nodes, that move in step
+HELD = 4                   # lists that should hold a node at least
 WIDTH = 4                  # nodes a beam opens at a time
 
 
@@ -58,10 +59,17 @@ class Graph:
         return graph
 
     def _reach(self, layer: int, entries: int) -> None:
-        """Nodes that no path from the first ``entries`` nodes reaches get a link from the
-        nearest one reached, in the place of its last link."""
+        """Make every node easy to reach: a node that few lists hold, or that no path from the
+        first ``entries`` nodes reaches, goes into the lists of its nearest nodes (of the
+        nearest node reached), in free places or that of a link whose node many lists hold."""
         links = self.links[layer]
         for _ in range(4):
+            held = np.bincount(links[links >= 0], minlength=len(links))
+            rare = np.flatnonzero(held < HELD)
+            for u in rare.tolist():
+                for v in links[u, :HELD][links[u, :HELD] >= 0].tolist():
+                    if u not in links[v]:
+                        self._put(links, held, u, v)
             reached, front = np.zeros(len(links), bool), np.arange(min(entries, len(links)))
             while len(front):
                 reached[front] = True
@@ -69,12 +77,22 @@ class Graph:
                 near = near[near >= 0]
                 front = near[~reached[near]]
             lost, known = np.flatnonzero(~reached), np.flatnonzero(reached)
-            if not len(lost):
-                break
             for lo in range(0, len(lost), BATCH):
                 some = lost[lo: lo + BATCH]
                 best = known[(self.vectors[some] @ self.vectors[known].T).argmax(axis=1)]
-                links[best, -1] = some
+                for u, v in zip(some.tolist(), best.tolist()):
+                    self._put(links, held, u, v)
+            if not len(rare) and not len(lost):
+                break
+
+    @staticmethod
+    def _put(links: np.ndarray, held: np.ndarray, node: int, into: int) -> None:
+        row = links[into]
+        place = int(np.where(row < 0, 1 << 30, held[np.maximum(row, 0)]).argmax())
+        if row[place] >= 0:
+            held[row[place]] -= 1
+        row[place] = node
+        held[node] += 1
 
     def _exact(self, layer: int, n: int) -> None:
         """Links of the layer's first n nodes among themselves, by blocks of exact products."""
