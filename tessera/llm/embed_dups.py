@@ -1,12 +1,16 @@
 """Embedding near-duplicates by small-world graphs, one per shard, each asked by all vectors.
 
 Equal vectors form one class first.  The classes are dealt to shards by a hash; a task
-builds the shard's graph and writes it to the shared folder.  Blocks of classes then
-query every shard.  In each (shard, block) a sample of AUDIT queries is compared with
-exact products; while fewer than RECALL of its links are found, all beams are widened,
-WIDENINGS times at most; then exact products take their place.  Candidates count only if their cosine, in doubles, is
-``least`` or more.  Links leave a cell as counts and as a spanning forest, and the
-components are joined over the shared folder.
+builds the shard's graph, audits it and writes it to the shared folder.  The audit
+compares queries of a sample of all classes with exact products, the match of a query
+with itself left out, until it has seen LEAST_LINKS links of sparse queries (fewer than
+SPARSE links in the shard), and as many of the other ones if there are any.  Recall is
+the mean over the queries, taken apart for both kinds; while either is below RECALL, the
+beam is widened, WIDENINGS times at most.  A shard that fails then, or whose sample holds
+too few links, uses exact products.  Blocks of classes then query every shard with its
+beam.  Candidates count only if their cosine, in doubles, is ``least`` or more.  Links
+leave a cell as counts and as a spanning forest, and the components are joined over the
+shared folder.
 
 A vector that is null, empty, zero, or holds a null or non-finite component has no link
 and is its own component, as is one with a null vec_id (whose component is null).
@@ -22,14 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import components, star_edges, stored
-from tessera.llm.hnsw import Graph
+from tessera.llm.hnsw import BATCH, Graph
 
 LEAST = 0.9
 SHARDS = 8                 # shards at least
 SHARD_NUMBERS = 4 << 20    # components of the vectors of one shard, at most about
 BLOCK = 8192               # queries of a block
 BEAM = 32
-AUDIT = 512
+POOL_NUMBERS = 2 << 20     # components of the sample of queries that audits a shard, at most about
+LEAST_LINKS = 1000         # links that an audit compares at least
+SPARSE = BEAM // 2         # links from which on a query's beam is doubled
 RECALL = 0.995
 WIDENINGS = 2
 MARGIN = 1e-4              # single precision: candidates this far below are verified too
@@ -46,32 +52,73 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
-def _build(t: pa.Table) -> pa.Table:
-    t = t.sort_by([("deal", "ascending"), ("rep", "ascending")])
-    vectors = unit(_matrix(t, "v"))
-    graph = Graph.build(vectors.astype(np.float32))
-    row = {"dim": t["dim"][0].as_py(), "shard": t["shard"][0].as_py(), "reps": t["rep"].to_numpy().tobytes(),
-           "copies": t["n"].to_numpy().tobytes(), "vectors": vectors.tobytes(),
-           "links": [x.tobytes() for x in graph.links], "wide": [x.shape[1] for x in graph.links]}
-    return pa.Table.from_pylist([row], schema=pa.schema([
-        ("dim", pa.int32()), ("shard", pa.int32()), ("reps", pa.binary()), ("copies", pa.binary()),
-        ("vectors", pa.binary()), ("links", pa.list_(pa.binary())), ("wide", pa.list_(pa.int32()))]))
-
-
-GRAPH = ("dim int, shard int, reps binary, copies binary, vectors binary, links array<binary>, wide array<int>")
-
-
-def audited_links(graph: Graph, queries: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """(query, node) pairs at ``least`` or more; the beam widens until the audit passes."""
-    sample = np.unique(np.linspace(0, len(queries) - 1, min(AUDIT, len(queries))).astype(int))
-    r, c = graph.exact(queries, sample, least)
+def _build(t: pa.Table, pool: pa.Table, least: float) -> pa.Table:
+    """The shard's graph and the beam of its audit by the ``pool`` of queries."""
+    t, pool = t.sort_by([("deal", "ascending"), ("node", "ascending")]), pool.sort_by([("deal", "ascending"), ("node", "ascending")])
+    rows = []
+    if t.num_rows:
+        vectors, nodes = unit(_matrix(t, "v")), t["node"].to_numpy()
+        graph = Graph.build(vectors.astype(np.float32))
+        asked = unit(_matrix(pool, "v")).astype(np.float32) if pool.num_rows else graph.vectors[:0]
+        rows = [{"dim": t["dim"][0].as_py(), "shard": t["shard"][0].as_py(), "nodes": nodes.tobytes(),
+                 "copies": t["n"].to_numpy().tobytes(), "vectors": vectors.tobytes(),
+                 "links": [x.tobytes() for x in graph.links], "wide": [x.shape[1] for x in graph.links],
+                 "beam": audited_beam(graph, asked, least, pool["node"].to_numpy(), nodes)}]
+    return pa.Table.from_pylist(rows, schema=pa.schema([
+        ("dim", pa.int32()), ("shard", pa.int32()), ("nodes", pa.binary()), ("copies", pa.binary()),
+        ("vectors", pa.binary()), ("links", pa.list_(pa.binary())), ("wide", pa.list_(pa.int32())), ("beam", pa.int32())]))
+
+
+GRAPH = ("dim int, shard int, nodes binary, copies binary, vectors binary, links array<binary>, wide array<int>, beam int")
+
+
+def audit_sample(graph: Graph, queries: np.ndarray, least: float, own: np.ndarray, nodes: np.ndarray
+                 ) -> list[tuple[np.ndarray, np.ndarray]] | None:
+    """(query, node) of the links of sparse queries and of the others; None: too few."""
+    seen, kept = [0, 0], [([], []), ([], [])]
+    for lo in range(0, len(queries), BATCH):
+        q, node = graph.exact(queries, np.arange(lo, min(lo + BATCH, len(queries))), least)
+        other = own[q] != nodes[node]
+        q, node = q[other], node[other]
+        sparse = np.bincount(q, minlength=len(queries))[q] < SPARSE
+        for kind, some in enumerate((sparse, ~sparse)):
+            if not kind or seen[kind] < LEAST_LINKS:  # a cluster's links are many, some will do
+                kept[kind][0].append(q[some])
+                kept[kind][1].append(node[some])
+                seen[kind] += int(some.sum())
+        if seen[0] >= LEAST_LINKS and (not seen[1] or seen[1] >= LEAST_LINKS):
+            return [(np.concatenate(a), np.concatenate(b)) for a, b in kept]
+    return None
+
+
+def query_recall(q: np.ndarray, node: np.ndarray, found: np.ndarray, n: int) -> float:
+    """Mean over the queries of the share of their links (q, node) that is among ``found``, numbers q * n + node."""
+    if not len(q):
+        return 1.0
+    _, row = np.unique(q, return_inverse=True)
+    return float((np.bincount(row, np.isin(q * n + node, found)) / np.bincount(row)).mean())
+
+
+def audited_beam(graph: Graph, queries: np.ndarray, least: float, own: np.ndarray, nodes: np.ndarray) -> int:
+    """The least beam whose recall passes, 0 for exact products; ``own`` and ``nodes`` name queries and nodes."""
     n = len(graph.vectors)
-    truth = r * n + c
+    truth = audit_sample(graph, queries, least, own, nodes) if BEAM * 4 < n else None
+    if truth is None:
+        return 0
+    some = np.unique(np.concatenate([q for q, _ in truth]))
     for beam in (BEAM << k for k in range(WIDENINGS + 1)):
-        q, node = graph.near(queries, least, beam)
-        if np.isin(truth, q * n + node).sum() >= RECALL * len(truth):
-            return q, node
-    return graph.exact(queries, np.arange(len(queries)), least)
+        q, node = graph.near(queries[some], least, beam)
+        found = some[q] * n + node
+        if all(query_recall(q, node, found, n) >= RECALL for q, node in truth):
+            return beam
+    return 0
+
+
+def audited_links(graph: Graph, queries: np.ndarray, least: float, beam: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(query, node) pairs at ``least`` or more by the beam of an audit, here of these queries if none is given."""
+    if beam is None:
+        beam = audited_beam(graph, queries, least, np.full(len(queries), -1), np.arange(len(graph.vectors)))
+    return graph.near(queries, least, beam) if beam else graph.exact(queries, np.arange(len(queries)), least)
 
 
 def linked(embeddings: DataFrame, least: float = LEAST) -> DataFrame:
@@ -91,10 +138,18 @@ def linked(embeddings: DataFrame, least: float = LEAST) -> DataFrame:
     blocks = max(1, -(-size["rows"] // BLOCK))
     # equal names of different reps cannot be: a rep is the class's least vec_id, made unique by its name
     named = classes.withColumn("deal", F.xxhash64("h1", "h2", F.lit(3))).withColumn(
-        "shard", F.pmod("deal", F.lit(shards)).cast("int"))
-    graphs = stored(named.select("dim", "shard", "deal", "rep", "n", "v").groupBy("dim", "shard").applyInArrow(_build, GRAPH),
-                    "graphs")
-    asked = named.select("dim", "rep", "n", "v", F.pmod(F.xxhash64("h1", "h2", F.lit(4)), F.lit(blocks)).cast("int").alias("block")
+        "shard", F.pmod("deal", F.lit(shards)).cast("int")).withColumn("node", F.col("rep"))
+    # the audit's sample: the classes whose number by a hash is below their share
+    share = int(2**20 * min(1.0, POOL_NUMBERS / max(1, size["numbers"] or 0)))
+    pool = (named.where(F.pmod(F.xxhash64("h1", "h2", F.lit(5)), F.lit(2**20)) < share).select("dim", "deal", "node", "v")
+            .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
+
+    def build(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _build(left, right, least - MARGIN)
+
+    graphs = stored(named.select("dim", "shard", "deal", "node", "n", "v").groupBy("dim", "shard")
+                    .cogroup(pool.groupBy("dim", "shard")).applyInArrow(build, GRAPH), "graphs")
+    asked = named.select("dim", "node", "n", "v", F.pmod(F.xxhash64("h1", "h2", F.lit(4)), F.lit(blocks)).cast("int").alias("block")
                          ).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     cells = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
@@ -102,19 +157,19 @@ def linked(embeddings: DataFrame, least: float = LEAST) -> DataFrame:
         out = {"kind": [], "a": [], "b": []}
         if left.num_rows and right.num_rows:
             g = left.to_pylist()[0]
-            reps, copies = np.frombuffer(g["reps"], "<i8"), np.frombuffer(g["copies"], "<i8")
-            vectors = np.frombuffer(g["vectors"]).reshape(len(reps), -1)
+            nodes, copies = np.frombuffer(g["nodes"], "<i8"), np.frombuffer(g["copies"], "<i8")
+            vectors = np.frombuffer(g["vectors"]).reshape(len(nodes), -1)
             graph = Graph(vectors.astype(np.float32), [np.frombuffer(x, np.int32).reshape(-1, w)
                                                        for x, w in zip(g["links"], g["wide"])])
-            queries, own = unit(_matrix(right, "v")), right["rep"].to_numpy()
-            q, node = audited_links(graph, queries.astype(np.float32), least - MARGIN)
+            queries, own = unit(_matrix(right, "v")), right["node"].to_numpy()
+            q, node = audited_links(graph, queries.astype(np.float32), least - MARGIN, g["beam"])
             true = np.concatenate([np.einsum("ij,ij->i", queries[q[i: i + 65536]], vectors[node[i: i + 65536]]) >= least
                                    for i in range(0, len(q), 65536)] or [np.zeros(0, bool)])
-            true &= own[q] != reps[node]
+            true &= own[q] != nodes[node]
             q, node = q[true], node[true]
             count = np.bincount(q, copies[node].astype(float), len(own)).astype(np.int64)
             some = np.flatnonzero(count)
-            ids, place = np.unique(np.concatenate([own[q], reps[node]]), return_inverse=True)
+            ids, place = np.unique(np.concatenate([own[q], nodes[node]]), return_inverse=True)
             a, b = star_edges(ids, place[: len(q)], place[len(q):])
             out = {"kind": np.r_[np.zeros(len(some), int), np.ones(len(a), int)],
                    "a": np.r_[own[some], a], "b": np.r_[count[some], b]}

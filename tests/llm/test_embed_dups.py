@@ -61,6 +61,44 @@ def test_audit_widens_the_beam():
     assert got == set(zip(*(v.tolist() for v in lame.exact(x, np.arange(600), 0.9))))
 
 
+def cluster_and_pairs(cluster, pairs, dim=32, seed=5):
+    """Unit vectors in random order: a hot cluster and scattered pairs; and which ones are of pairs."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(cluster + 2 * pairs, dim))
+    x[:cluster] = x[0] + 0.05 * rng.normal(size=(cluster, dim))
+    x[cluster + pairs:] = x[cluster: cluster + pairs] + 0.05 * rng.normal(size=(pairs, dim))
+    order = rng.permutation(len(x))
+    return (x / np.linalg.norm(x, axis=1, keepdims=True))[order].astype(np.float32), order >= cluster
+
+
+def test_audit_sees_lost_pairs_beside_a_hot_cluster():
+    x, paired = cluster_and_pairs(800, 600)
+    n = len(x)
+    hot = np.flatnonzero(~paired)
+    links = np.full((n, 32), -1, np.int32)       # a ring of the cluster, no way to any pair
+    for i, u in enumerate(hot):
+        links[u] = hot[(i + 1 + np.arange(32)) % len(hot)]
+    links[0] = hot[:32]
+    lame = hnsw.Graph(x, [links])
+    q, node = lame.near(x, 0.9, 128)
+    truth = set(zip(*(v.tolist() for v in lame.exact(x, np.arange(n), 0.9))))
+    assert 0.995 * len(truth) <= len(set(zip(q.tolist(), node.tolist())) & truth) < len(truth)  # pooled, all looks well
+    assert set(zip(*(v.tolist() for v in embed_dups.audited_links(lame, x, 0.9)))) == truth
+    names = np.arange(n)
+    assert embed_dups.audit_sample(lame, x, 0.9, names, names) is not None
+    assert embed_dups.audited_beam(lame, x, 0.9, names, names) == 0
+    assert embed_dups.audited_beam(hnsw.Graph.build(x), x, 0.9, names, names) > 0
+
+
+def test_audit_leaves_out_self_matches():
+    x, _ = cluster_and_pairs(2, 30)
+    singles = np.random.default_rng(6).normal(size=(2000, 32)).astype(np.float32)
+    x = np.concatenate([x, singles / np.linalg.norm(singles, axis=1, keepdims=True)])
+    graph, names = hnsw.Graph.build(x), np.arange(len(x))
+    assert embed_dups.audit_sample(graph, x, 0.9, names, names) is None      # 62 links only
+    assert embed_dups.audited_beam(graph, x, 0.9, names, names) == 0
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     ids = [1, 2, 3, 4, 5, 6, 7, 8, None, 10, 10]
