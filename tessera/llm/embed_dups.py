@@ -14,7 +14,8 @@ shared folder.
 
 A vector that is null, empty, zero, or holds a null or non-finite component has no link
 and is its own component, as is one with a null vec_id (whose component is null).
-Vectors of different lengths never link.  Repeated rows link to each other like copies.
+Vectors of different lengths never link.  Repeated rows link to each other like copies;
+rows of one vec_id with different vectors are rows like any other.
 An empty table gives no row.
 """
 
@@ -132,13 +133,13 @@ def linked(embeddings: DataFrame, least: float = LEAST) -> DataFrame:
     members = rows.select("vec_id", "good", "h1", "h2")
     classes = stored(rows.where("good").groupBy("h1", "h2").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("v").alias("v"))
-        .select("h1", "h2", "rep", "n", F.size("v").alias("dim"), "v"), "vector-classes")
+        .select("h1", "h2", "rep", "n", F.size("v").alias("dim"), "v",
+                F.monotonically_increasing_id().alias("node")), "vector-classes")  # a number, fixed by being stored
     size = classes.agg(F.count("*").alias("rows"), F.sum("dim").alias("numbers")).first()
     shards = max(SHARDS, -(-(size["numbers"] or 0) // SHARD_NUMBERS))
     blocks = max(1, -(-size["rows"] // BLOCK))
-    # equal names of different reps cannot be: a rep is the class's least vec_id, made unique by its name
     named = classes.withColumn("deal", F.xxhash64("h1", "h2", F.lit(3))).withColumn(
-        "shard", F.pmod("deal", F.lit(shards)).cast("int")).withColumn("node", F.col("rep"))
+        "shard", F.pmod("deal", F.lit(shards)).cast("int"))
     # the audit's sample: the classes whose number by a hash is below their share
     share = int(2**20 * min(1.0, POOL_NUMBERS / max(1, size["numbers"] or 0)))
     pool = (named.where(F.pmod(F.xxhash64("h1", "h2", F.lit(5)), F.lit(2**20)) < share).select("dim", "deal", "node", "v")
@@ -178,12 +179,14 @@ def linked(embeddings: DataFrame, least: float = LEAST) -> DataFrame:
 
     cell = ["dim", "shard", "block"]
     found = stored(cells.groupBy(*cell).cogroup(asked.groupBy(*cell)).applyInArrow(ask, "kind int, a long, b long"), "cells")
-    counts = found.where("kind = 0").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("others"))
-    groups = components(found.where("kind = 1").select("a", "b"), "embedding").withColumnRenamed("node", "rep")
-    known = (classes.select("h1", "h2", "rep", "n").join(counts, "rep", "left").join(groups, "rep", "left")
-             .select("h1", "h2", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("links"),
-                     F.coalesce("root", "rep").alias("root"), F.lit(True).alias("good")))
+    counts = found.where("kind = 0").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("others"))
+    groups = components(found.where("kind = 1").select("a", "b"), "embedding")
+    # classes are linked by number, since one vec_id may stand with several vectors; a component's name comes last
+    known = (classes.select("h1", "h2", "rep", "n", "node").join(counts, "node", "left").join(groups, "node", "left")
+             .select("h1", "h2", "rep", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("links"),
+                     F.coalesce("root", "node").alias("root"), F.lit(True).alias("good")))
+    known = known.join(known.groupBy("root").agg(F.min("rep").alias("component")), "root").drop("root", "rep")
     return members.join(known, ["h1", "h2", "good"], "left").select(
         "vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("root", "vec_id").alias("component_id")).withColumn(
+        F.coalesce("component", "vec_id").alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

@@ -112,6 +112,15 @@ def test_odd_vectors(spark):
     assert all(v == [(0, k, True)] for k, v in got.items()) and len(got) == 6
 
 
+def test_one_id_with_different_vectors(spark):
+    ids = [5, 5, 7, 5, 3, 9, 2]
+    vectors = [[1, 0, 0], [1, 0.1, 0], [1, 0.2, 0], [0, 0, 1], [0, 0.1, 1], [0, 1, 0], [0, 0, 2]]
+    degree, label = brute(vectors)
+    least = [min(i for i, x in zip(ids, label) if x == own) for own in label]
+    got = embed_dups.linked(table(spark, ids, vectors)).collect()
+    assert sorted(map(tuple, got)) == sorted((i, int(d), c, i == c) for i, d, c in zip(ids, degree, least))
+
+
 def test_empty_table(spark):
     assert embed_dups.linked(table(spark, [], [])).collect() == []
 
