@@ -121,6 +121,26 @@ def test_one_id_with_different_vectors(spark):
     assert sorted(map(tuple, got)) == sorted((i, int(d), c, i == c) for i, d, c in zip(ids, degree, least))
 
 
+def test_pairs_beside_a_hot_cluster_by_graph_alone(spark, monkeypatch, capsys):
+    import pyarrow as pa
+
+    def by_graph(graph, queries, least, beam):  # inside the test, so that workers get it too
+        nothing = np.zeros(0, int)
+        graph.exact = lambda *any: (nothing, nothing)
+        return graph.near(queries, least, 32)
+
+    monkeypatch.setattr(embed_dups, "SHARDS", 2)
+    monkeypatch.setattr(embed_dups, "audited_links", by_graph)
+    x, paired = cluster_and_pairs(1500, 1500)
+    rows = pa.table({"vec_id": np.arange(len(x)), "embedding": pa.array(list(x), pa.list_(pa.float32()))})
+    got = {r.vec_id: r.n_links for r in embed_dups.linked(spark.createDataFrame(rows.to_pandas())).collect()}
+    truth, _ = brute(x)
+    recall = sum(got[i] for i in np.flatnonzero(paired)) / truth[paired].sum()
+    with capsys.disabled():
+        print(f" recall over scattered pairs, graph alone: {recall:.4f} of {truth[paired].sum()} ", end="")
+    assert recall >= embed_dups.RECALL and all(got[i] <= truth[i] for i in range(len(x)))
+
+
 def test_empty_table(spark):
     assert embed_dups.linked(table(spark, [], [])).collect() == []
 
