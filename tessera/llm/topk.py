@@ -8,10 +8,12 @@ side to growing depths.  For each candidate the known terms, plus the worst (bes
 that an unread list can still give, bound its score from below (above).  Candidates whose
 upper bound is below the k-th best lower bound are out for good; reading stops when the
 rest are few, and their scores are resolved exactly.  Only a block's k best per query
-leave it, and the blocks' lists are merged by query.
+leave it, and the blocks' lists are merged by query.  Rows too large for the bounds (in
+doubles) or for 64-bit sums are scored for themselves, the latter in Python integers.
 
 Ties go to the smaller vec_id.  A vector that is null, or holds a null or non-finite
-component or one beyond LARGEST in size, takes no part, nor does a null vec_id.  Vectors
+component, takes no part, nor does a null vec_id.  A score beyond a long ranks by its
+exact value and is given as null.  Vectors
 of different lengths are not compared.  A query never meets rows of its own vec_id.  A
 repeated row counts once for each time it stands there.  An empty table gives no row.
 """
@@ -31,18 +33,32 @@ EVERY = 50
 BLOCK = 8192               # candidates of a block
 QUERIES = 512              # queries of a block
 BATCH = 64                 # queries that read side by side
-LARGEST = 1 << 26          # integer components beyond this could overflow a long score
+WHOLE = 2.0**45            # doubles of this size or more are whole numbers, also 1/256 of them
 FEW = 1 / 16               # share of the candidates that is resolved directly
 DEPTHS = (0.25, 0.5, 0.75)
 
 
-def integers(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
-    """(vec_id, dim, ints) of the vectors that take part."""
-    scaled = F.transform("embedding", lambda x: F.floor(F.when(
-        F.abs(x.cast("double")) * scale <= LARGEST, x.cast("double") * scale)).cast("int"))
-    return (embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("ints"))
-            .where("vec_id is not null and ints is not null").where(F.forall("ints", lambda x: x.isNotNull()))
-            .select("vec_id", F.size("ints").alias("dim"), "ints"))
+def cut(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
+    """(vec_id, dim, v) of the vectors that take part, v being floor(scale x) / scale: exact in a double."""
+    def down(x):
+        x = x.cast("double")
+        return F.when(F.abs(x) < WHOLE, F.floor(x * scale) / F.lit(float(scale))).when(F.abs(x) < float("inf"), x)
+
+    return (embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", down).alias("v"))
+            .where("vec_id is not null and v is not null").where(F.forall("v", lambda x: x.isNotNull()))
+            .select("vec_id", F.size("v").alias("dim"), "v"))
+
+
+def python_integers(v: np.ndarray, scale: int = SCALE) -> np.ndarray:
+    """scale * v as Python integers of any size."""
+    return np.array([int(x) * scale if abs(x) >= WHOLE else int(x * scale) for x in v.ravel().tolist()], object).reshape(v.shape)
+
+
+def sortable(score: int) -> bytes:
+    """Bytes in the order of the integers."""
+    size = (score.bit_length() + 7) // 8
+    raw = size.to_bytes(2, "big") + abs(score).to_bytes(size, "big")
+    return b"\1" + raw if score >= 0 else b"\0" + bytes(255 - x for x in raw)
 
 
 def bounded_search(queries: np.ndarray, block: np.ndarray, k: int, skip: np.ndarray) -> list[np.ndarray]:
@@ -77,35 +93,47 @@ def bounded_search(queries: np.ndarray, block: np.ndarray, k: int, skip: np.ndar
 
 def block_topk(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, block: np.ndarray, k: int
                ) -> Iterator[tuple[int, int, int]]:
-    """(query id, vec_id, score) of the block's k best for each query."""
+    """(query id, vec_id, score) of the block's k best for each query; vectors as in ``cut``."""
+    dim = block.shape[1]
+    with np.errstate(over="ignore"):                     # beyond doubles is large, too
+        size, asked = (np.abs(x).max(axis=1, initial=0) * float(SCALE) for x in (block, queries))
+    order = np.argsort(asked, kind="stable")             # large queries stay among themselves
+    query_ids, queries, asked = query_ids[order], queries[order], asked[order]
     for lo in range(0, len(queries), BATCH):
         some, names = queries[lo: lo + BATCH], query_ids[lo: lo + BATCH]
+        top = asked[lo: lo + BATCH].max()
+        with np.errstate(over="ignore", invalid="ignore"):
+            most = np.where(np.maximum(size, top) < 2.0**62, dim * top * size, np.inf)
+        small, long = (most < 2.0**53) & (np.maximum(size, top) < 2.0**53), most < 2.0**62
+        fit, middle, huge = np.flatnonzero(small), np.flatnonzero(long & ~small), np.flatnonzero(~long)
         skip = names[:, None] == ids[None, :]
-        if block.shape[1] * float(np.abs(some).max(initial=0)) * float(np.abs(block).max(initial=0)) < 2.0**53:
-            left = bounded_search(some.astype(float), block.astype(float), k, skip)
-        else:  # bounds in doubles would not be exact: nothing is proven out
-            left = [np.flatnonzero(~skip[q]) for q in range(len(some))]
-        for q, rows in enumerate(left):
-            score = block[rows] @ some[q]                # exact, in 64-bit integers
-            for i in np.lexsort((ids[rows], -score))[:k].tolist():
-                yield int(names[q]), int(ids[rows[i]]), int(score[i])
+        near = bounded_search(some * SCALE, block[fit] * SCALE, k, skip[:, fit]) if len(fit) else [fit] * len(some)
+        whole, exact = (python_integers(some), python_integers(block[huge])) if len(huge) else (None, None)
+        for q in range(len(some)):
+            rows = np.concatenate([fit[near[q]], middle[~skip[q, middle]]])
+            score = ((block[rows] * SCALE).astype(np.int64) @ (some[q] * SCALE).astype(np.int64)).tolist() if len(rows) else []
+            left = np.flatnonzero(~skip[q, huge])
+            if len(left):
+                score += (exact[left] @ whole[q]).tolist()
+            best = sorted(zip([-x for x in score], ids[np.concatenate([rows, huge[left]])].tolist()))[:k]
+            for minus, i in best:
+                yield int(names[q]), i, -minus
 
 
 def top_k(embeddings: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     """(query_id, rank, vec_id, score); queries are the rows whose vec_id is divisible by ``every``."""
-    ints = integers(embeddings)
-    n = ints.count()
+    rows = cut(embeddings)
+    n = rows.count()
     blocks, parts = max(1, -(-n // BLOCK)), max(1, -(-n // (every * QUERIES)))
-    chosen = ints.where(F.col("vec_id") % every == 0).distinct()  # a repeated query asks once
-    right = ints.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int")).withColumn(
+    chosen = rows.where(F.col("vec_id") % every == 0).distinct()  # a repeated query asks once
+    right = rows.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int")).withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     left = chosen.withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(parts)).cast("int")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     cell = ["dim", "block", "part"]
 
     def matrix(t: pa.Table, dim: int) -> np.ndarray:
-        flat = t["ints"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        return flat.astype(np.int64).reshape(t.num_rows, dim)
+        return t["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, dim)
 
     def solve(queries: pa.Table, candidates: pa.Table) -> pa.Table:
         rows: list[tuple[int, int, int]] = []
@@ -114,10 +142,12 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
             rows = list(block_topk(queries["vec_id"].to_numpy(), matrix(queries, dim),
                                    candidates["vec_id"].to_numpy(), matrix(candidates, dim), k))
         cols = list(zip(*rows)) or [(), (), ()]
-        return pa.table([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
+        scores = [x if -2**63 <= x < 2**63 else None for x in cols[2]]
+        return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(scores, pa.int64()),
+                         pa.array(map(sortable, cols[2]), pa.binary())], names=["query_id", "vec_id", "score", "place"])
 
     found = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(
-        solve, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        solve, "query_id long, vec_id long, score long, place binary")
+    best = Window.partitionBy("query_id").orderBy(F.desc("place"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
