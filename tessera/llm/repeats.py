@@ -361,8 +361,9 @@ def _cut(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes, int, int, int]]:
             yield key, raw, v, lo, hi
 
 
-def _warm_spans(found: DataFrame, hot: set[int], buckets: int) -> DataFrame:
-    """(key, spans) of the maximal repeats among the stretches of the anchors that are not hot."""
+def _warm_spans(found: DataFrame, hot: set[int], buckets: int, groups: bool = False) -> DataFrame:
+    """(key, spans) of the maximal repeats among the stretches of the anchors that are not hot;
+    as ``groups`` a row (repeat, length, key, start) for each occurrence of each of them."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at: dict[int, tuple[dict[bytes, int], list, list]] = {}
@@ -395,6 +396,9 @@ def _warm_spans(found: DataFrame, hot: set[int], buckets: int) -> DataFrame:
                 some["text"] = np.array(numbers, np.int64)[some["text"]]
                 refs.append(some)
             places = np.concatenate(refs)
+            if groups:
+                yield from _occurrences(list(known), np.array(values, np.uint64), places)
+                continue
             spans = _stretch_spans(list(known), np.array(values, np.uint64),
                                    np.bincount(places["text"], minlength=len(known)) > 1)
             # spans of each distinct stretch, moved to every place where it stands
@@ -408,7 +412,43 @@ def _warm_spans(found: DataFrame, hot: set[int], buckets: int) -> DataFrame:
             yield _batch(_by_key(places["key"][which], out), {"key": pa.int64(), "spans": pa.binary()})
 
     return (found.mapInArrow(lean(send, 1), STRETCHES).repartition(buckets // PER_PARTITION, "bucket").sortWithinPartitions("bucket")
-            .mapInArrow(lean(solve), "key long, spans binary"))
+            .mapInArrow(lean(solve), GROUPS if groups else "key long, spans binary"))
+
+
+GROUPS = "repeat string, length long, key long, start long"
+GROUP_ROWS = 1 << 16       # rows of a batch of occurrences, at most about
+
+
+def _occurrences(texts: list[bytes], values: np.ndarray, places: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """GROUPS rows of the stretches' maximal repeats, at every place of a stretch."""
+    from xxhash import xxh3_128_hexdigest
+
+    often = np.bincount(places["text"], minlength=len(texts))      # rows that are alike count each
+    places = np.unique(places)
+    low = np.searchsorted(places["text"], np.arange(len(texts)))
+    count = np.diff(np.r_[low, len(places)])
+    order = np.argsort(values, kind="stable")
+    runs = np.split(order, np.flatnonzero(values[order][1:] != values[order][:-1]) + 1)
+
+    def rows(size: int, text: np.ndarray, start: np.ndarray) -> Iterator[pa.RecordBatch]:
+        name = xxh3_128_hexdigest(texts[text[0]][start[0]: start[0] + size])
+        for lo, hi in slices(count[text].tolist(), GROUP_ROWS):
+            many, first = count[text[lo:hi]], low[text[lo:hi]]
+            pick = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first, many)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(pick)), pa.array(np.full(len(pick), size, np.int64)),
+                 pa.array(places["key"][pick].view(np.int64)), pa.array(places["start"][pick] + np.repeat(start[lo:hi], many))],
+                ["repeat", "length", "key", "start"])
+
+    for lo, hi in slices((sum(len(texts[i]) for i in r.tolist()) for r in runs if len(r)), ARRAY_BYTES):
+        some = np.concatenate(runs[lo:hi])
+        whole = set(some[often[some] > 1].tolist())      # stretches that stand twice
+        for size, text, start in maximal_repeats([texts[i] for i in some.tolist()]).groups():
+            text = some[text]
+            whole -= {i for i, at in zip(text.tolist(), start.tolist()) if at == 0 and len(texts[i]) == size}
+            yield from rows(size, text, start)
+        for i in sorted(whole):                          # and nowhere else, inside another
+            yield from rows(len(texts[i]), np.array([i]), np.zeros(1, np.int64))
 
 
 TEXT_SPAN = np.dtype([("text", "<i8"), ("start", "<i8"), ("stop", "<i8")])
@@ -474,8 +514,8 @@ def _hot_spans(found: DataFrame, hot: set[int], buckets: int) -> DataFrame:
 HOT_LIST = 10_000_000      # proven bound of the list of hot anchors that every task gets
 
 
-def repeat_spans(docs: DataFrame) -> DataFrame:
-    """(key, spans): of each row with a repeat, the covered byte ranges, as a list of packed parts."""
+def _found(docs: DataFrame) -> tuple[DataFrame, set[int], int]:
+    """(key, text, anchors) of the rows with anchors that occur again; the hot anchors; buckets."""
     spark = docs.sparkSession
     buckets = PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     again = stored(_repeated_anchors(docs, buckets), "anchors")
@@ -483,6 +523,29 @@ def repeat_spans(docs: DataFrame) -> DataFrame:
            again.where("key is null").orderBy(F.desc("count"), "anchors").limit(HOT_LIST).collect()}
     hits = again.where("key is not null").groupBy("key").agg(F.collect_list("anchors").alias("anchors"))
     found = _rows(docs).select("key", "text").join(hits, "key").select("key", "text", "anchors")
+    return found, hot, buckets
+
+
+def repeat_groups(docs: DataFrame) -> DataFrame:
+    """(repeat, length, key, start): each maximal repeat among the stretches of an anchor, by the
+    128-bit hash of its bytes, with all its occurrences; ``key`` is that of ``keyed`` rows.
+
+    A repeat longer than a stretch comes as overlapping pieces, whose union is exact.  The
+    strings of anchors with more than HOT occurrences are not in it.  Rows that are alike
+    share a key: they count as occurrences each, but stand here once.
+    """
+    found, hot, buckets = _found(docs)
+    return _warm_spans(found, hot, buckets, groups=True)
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(key, doc) of every row."""
+    return _rows(docs).select("key", "doc")
+
+
+def repeat_spans(docs: DataFrame) -> DataFrame:
+    """(key, spans): of each row with a repeat, the covered byte ranges, as a list of packed parts."""
+    found, hot, buckets = _found(docs)
     spans = _warm_spans(found, hot, buckets)
     if hot:
         spans = stored(spans, "warm").union(_hot_spans(found, hot, buckets))

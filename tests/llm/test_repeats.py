@@ -87,6 +87,35 @@ def test_removals_equal_brute_force(spark, monkeypatch, hot):
     assert sorted(str(tuple(r)) for r in got.collect()) == brute_rows(ids, texts)
 
 
+def test_groups_hold_all_occurrences_and_cover_the_spans(spark):
+    texts = passages(4)
+    docs = documents(spark, texts).localCheckpoint()
+    raw = {r.key: (texts[r.doc] or "").encode() for r in repeats.keyed(docs).collect()}
+    assert len(raw) == len(texts)                                   # one key a row here
+    groups = {}
+    for r in repeats.repeat_groups(docs).collect():
+        groups.setdefault((r.repeat, r.length), []).append((r.key, r.start))
+    mask = {k: np.zeros(len(t), bool) for k, t in raw.items()}
+    for (_, size), places in groups.items():
+        (k, at), *_ = places
+        string = raw[k][at: at + size]
+        assert size >= 200 and sorted(places) == sorted(
+            (k, i) for k, t in raw.items() for i in range(len(t) - size + 1) if t[i: i + size] == string)
+        assert len(places) > 1
+        for k, at in places:
+            mask[k][at: at + size] = True
+    for (k, t), want in zip(raw.items(), covered(list(raw.values()), 200)):
+        assert (mask[k] == want).all()
+
+
+def test_groups_of_rows_that_are_alike(spark):
+    text = "".join(random.Random(9).choice("abcdefgh") for _ in range(250))
+    docs = documents(spark, [text, text, "short"], [1, 1, 2])
+    got = repeats.repeat_groups(docs).collect()
+    assert {r.key for r in got} == {r.key for r in repeats.keyed(docs).collect() if r.doc == 1}
+    assert set().union(*(range(r.start, r.start + r.length) for r in got)) == set(range(250))
+
+
 def test_cleaned_keeps_rows_columns_and_characters(spark):
     shared = "é" * 150 + "passage " * 20
     texts = ["ab" + shared + "ü", "ac" + shared + "ä", None, "", "short"]
