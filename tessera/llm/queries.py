@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import (
-    embed_dups, packing, pieces, quality, rendezvous, repeats, simhash, token_store, topk, url_rules,
+    embed_dups, packing, pieces, quality, rendezvous, repeats, simhash, token_store, topk, url_rules, va_clusters,
 )
 from tessera.llm.common import table
 
@@ -61,9 +61,13 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.removals(table(spark, sf_dir, "documents"))
 
 
+def op12_va_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va_clusters.clustered(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_store, op2_hnsw, op3_rendezvous_shards, op4_quality, op5_best_fit, op6_no_random_access, op7_simhash,
-    op8_url_rules, op9_pieces, op10_suffix_array)}
+    op8_url_rules, op9_pieces, op10_suffix_array, op12_va_clusters)}
 
 
 def _fits(host: str, path: str) -> str:
@@ -74,6 +78,7 @@ def _fits(host: str, path: str) -> str:
 _BY_LENGTH = sorted(URL_RULES, key=lambda r: (-r[0].count("."), -len(r[1])))
 
 ORACLE: dict[str, str] = {
+    "op12_va_clusters": va_clusters.sql(),
     "op6_no_random_access": f"""
   WITH good AS (
     SELECT vec_id, [floor({topk.SCALE} * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
