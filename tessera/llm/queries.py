@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import (
-    embed_dups, packing, pieces, quality, rendezvous, repeats, resample, simhash, token_store, topk, url_rules,
-    va_clusters,
+    embed_dups, packing, pieces, pii, quality, rendezvous, repeats, resample, simhash, token_store, topk,
+    url_rules, va_clusters,
 )
 from tessera.llm.common import table
 
@@ -62,6 +62,10 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.removals(table(spark, sf_dir, "documents"))
 
 
+def op11_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detected(table(spark, sf_dir, "documents"))
+
+
 def op12_va_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va_clusters.clustered(table(spark, sf_dir, "embeddings"))
 
@@ -72,8 +76,8 @@ def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_store, op2_hnsw, op3_rendezvous_shards, op4_quality, op5_best_fit, op6_no_random_access, op7_simhash,
-    op8_url_rules, op9_pieces, op10_suffix_array, op12_va_clusters,
-    op13_resample)}
+    op8_url_rules, op9_pieces, op10_suffix_array, op11_weak_labels,
+    op12_va_clusters, op13_resample)}
 
 
 def _fits(host: str, path: str) -> str:
