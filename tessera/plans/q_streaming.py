@@ -14,7 +14,9 @@ from tessera.plans.registry import register
 from tessera.sources import fixtures as fx
 from tessera.sources.tables import Tables
 from tessera.streaming import blacklist as bl
+from tessera.streaming import click_state, panes
 from tessera.streaming import operators as so
+from tessera.streaming.keyed_log import KeyedLog
 from tessera.streaming.replay import (Replay, assign_batches, latest, shuffle_partitions, sql_batches,
                                      window_bounds)
 
@@ -37,6 +39,11 @@ def _update_sink(rp: Replay, stream_df):
     return stream_df.writeStream.outputMode("update").foreachBatch(rp.batch_sink())
 
 
+def _log_sink(log: KeyedLog, stream_df):
+    """Changed rows as deltas of a keyed log, merged into snapshots as batches go by."""
+    return stream_df.writeStream.outputMode("update").foreachBatch(log.sink())
+
+
 def _append_sink(rp: Replay, stream_df):
     return stream_df.writeStream.outputMode("append").foreachBatch(rp.batch_sink())
 
@@ -133,10 +140,11 @@ def q_st_running_state(spark, sf_dir):
     docs = spread(Tables(spark, sf_dir).documents.select(
         (F.col("doc_id") % N_BATCHES).cast("int").alias("batch"), "text"))
     rp = Replay(spark, "running")
+    log = KeyedLog(spark, rp.out, ["word"], "word string, n long")
     rp.run(docs, "batch",
-           lambda s: _update_sink(rp, so.running_count(
+           lambda s: _log_sink(log, so.running_count(
                s.select(F.explode(F.split("text", " ")).alias("word")), ["word"])))
-    return latest(rp.read_out(), ["word"])
+    return log.read()
 
 
 @register("st_resume", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
@@ -170,9 +178,11 @@ _SQL_AREA_CITY = """
 
 def _area_city(spark, sf_dir, name):
     rp = Replay(spark, name)
+    keys = ["day", "area", "city", "ad"]
+    log = KeyedLog(spark, rp.out, keys, "day string, area string, city string, ad long, n long")
     rp.run(_clicks(spark, sf_dir), "batch",
-           lambda s: _update_sink(rp, so.running_count(s, ["day", "area", "city", "ad"], ts="ts", lateness="2 days")))
-    return latest(rp.read_out(), ["day", "area", "city", "ad"])
+           lambda s: _log_sink(log, so.running_count(s, keys, ts="ts", lateness="2 days")))
+    return log.read()
 
 
 @register("st_upsert_add", fx.with_views(_SQL_AREA_CITY, "ad_clicks"))
@@ -220,9 +230,10 @@ def q_st_keyed_cells(spark, sf_dir):
                      tx.last_segment(F.regexp_replace("path", "/+$", ""))).alias("row_key"), "batch")
         counts = hits.groupBy("row_key").agg(F.count(F.lit(1)).alias("n"),
                                              F.max("batch").cast("bigint").alias("version"))
-        return _update_sink(rp, counts)
+        return _log_sink(cells, counts)
+    cells = KeyedLog(spark, rp.out, ["row_key"], "row_key string, n long, version long")
     rp.run(assign_batches(log, "t", N_BATCHES), "batch", build)
-    cur = latest(rp.read_out(), ["row_key"])
+    cur = cells.read()
     return cur.select("row_key", F.lit("info").alias("family"), F.lit("click").alias("qualifier"),
                       "version", F.col("n").cast("string").alias("value"))
 
@@ -251,14 +262,36 @@ def q_st_window_tumbling(spark, sf_dir):
     return latest(rp.read_out(), ["window_start", "window_end", "event_type"])
 
 
-@register("st_window_sliding", f"WITH e AS (SELECT * FROM events) {_sql_windows(540, 180, 'event_type', 'e')}")
+#: Windows with events, and once the empty one behind them if the watermark has passed it.
+_SQL_SLIDING = f"""
+  WITH e AS (SELECT * FROM events),
+  w AS ({_sql_windows(540, 180, 'event_type', 'e')}),
+  seen AS (SELECT max(epoch_us(ts)) // 180000000 * 180000000 - 540000000 AS passed FROM events),
+  gone AS (
+    SELECT strftime(CAST(window_start AS TIMESTAMP) + INTERVAL 3 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_start,
+           strftime(CAST(window_end AS TIMESTAMP) + INTERVAL 3 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end,
+           event_type, CAST(0 AS BIGINT) AS n
+    FROM w, seen WHERE epoch_us(CAST(window_end AS TIMESTAMP) + INTERVAL 270 SECOND) <= passed)
+  SELECT * FROM w UNION ALL
+  SELECT * FROM gone WHERE (window_start, event_type) NOT IN (SELECT (window_start, event_type) FROM w)
+"""
+
+
+@register("st_window_sliding", _SQL_SLIDING)
 def q_st_window_sliding(spark, sf_dir):
+    """Counts of 9 minutes every 3 minutes, by panes that enter and leave; a key that falls
+    to zero is emitted once."""
     rp = Replay(spark, "sliding")
-    rp.run(_events(spark, sf_dir), "batch",
-           lambda s: _update_sink(rp, so.windowed_count(s, "ts", "9 minutes", "3 minutes", ["event_type"],
-                                                        "9 minutes")
-                                  .select(*window_bounds(), "event_type", "n")))
-    return latest(rp.read_out(), ["window_start", "window_end", "event_type"])
+    log = KeyedLog(spark, rp.out, ["window_start", "window_end", "event_type"],
+                   "window_start string, window_end string, event_type string, n long")
+
+    def build(s):
+        counts = panes.sliding_counts(s, "ts", 540, 180, ["event_type"], "9 minutes")
+        text = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("window_start", "window_end")]
+        return counts.select(*text, "event_type", "n").writeStream.outputMode("update").foreachBatch(log.sink())
+    with panes.keyed_state(spark):
+        rp.run(_events(spark, sf_dir), "batch", build)
+    return log.read()
 
 
 _SQL_ADCLICK = f"""
@@ -361,9 +394,12 @@ _SQL_SHUFFLED = f"SELECT *, CAST(event_id % {N_BATCHES} AS INTEGER) AS batch FRO
 def _blacklist(spark, sf_dir, name, threshold=bl.THRESHOLD):
     """(user_ad_count, black_list) after the last batch."""
     rp = Replay(spark, name)
-    rp.run(_shuffled_clicks(spark, sf_dir), "batch",
-           lambda s: s.writeStream.foreachBatch(bl.blacklist_sink(rp.out, threshold)))
-    return bl.final_tables(spark, rp.out)
+    with panes.keyed_state(spark):
+        rp.run(_shuffled_clicks(spark, sf_dir), "batch",
+               lambda s: click_state.judged(s, threshold).writeStream.outputMode("update").foreachBatch(
+                   click_state.sink(spark, rp.out)))
+    counts, black = click_state.tables(spark, rp.out)
+    return counts.read(), black.read()
 
 
 def _sql_bl(final: str) -> str:

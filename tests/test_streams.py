@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF_MID, rows
 from tessera.plans import q_streaming as qs
 from tessera.streaming import blacklist as bl
-from tessera.streaming.replay import Replay, latest
+from tessera.streaming.replay import Replay, latest, shuffle_partitions
 
 
 def _brute_blacklist(clicks: pd.DataFrame, threshold: int):
@@ -272,3 +272,95 @@ def test_queue_of_files_one_per_trigger(spark):
     q.awaitTermination()
     got = rows(spark.read.parquet(sink_dir), "batch_id", "f", "count")
     assert len({b for b, _, _ in got}) == 3 and sorted((f, c) for _, f, c in got) == [(0, 1), (1, 2), (2, 3)]
+
+
+def _brute_sliding(rows_in, length, slide):
+    """Counts of every window with events, by looking at all of them."""
+    out = {}
+    for t, k in rows_in:
+        for j in range(length // slide):
+            key = ((t // slide - j) * slide, k)
+            out[key] = out.get(key, 0) + 1
+    return out
+
+
+def test_panes_sum_to_sliding_windows_and_zeros_come_once(spark):
+    import random
+    from tessera.streaming import panes
+    rnd = random.Random(3)
+    data = [(b, 900_000 + b * 2000 + rnd.choice([rnd.randrange(200), 700 + rnd.randrange(60), 1500]), rnd.choice("aab")) for b in range(3) for _ in range(40)]
+    df = spark.createDataFrame(data, "batch int, t long, k string").withColumn("ts", F.timestamp_seconds("t"))
+    rp = Replay(spark, "panes")
+    with panes.keyed_state(spark):
+        rp.run(df, "batch", lambda s: panes.sliding_counts(s, "ts", 90, 30, ["k"], "90 seconds")
+               .writeStream.outputMode("update").foreachBatch(rp.batch_sink()), state_partitions=2)
+    log = rp.read_out().select(F.unix_seconds("window_start").alias("w"), "k", "n", "batch_id").collect()
+    want = _brute_sliding([(t, k) for _, t, k in data], 90, 30)
+    current = {}
+    for r in sorted(log, key=lambda r: r.batch_id):
+        current[r.w, r.k] = r.n
+    assert {x: n for x, n in current.items() if n} == want
+    zeros = [(r.w, r.k) for r in log if r.n == 0]
+    passed = max(t for _, t, _ in data) // 30 * 30 - 90
+    assert sorted(zeros) == sorted((w + 30, k) for w, k in want if (w + 30, k) not in want and w + 30 + 90 + 15 <= passed)
+    held = spark.read.format("statestore").option("stateVarName", "panes").load(rp.ckpt)
+    oldest = min(r.block for r in held.select("user_map_key.block").collect())
+    assert oldest * panes.BLOCK * 30 > 904_000 - panes.BLOCK * 30, "panes behind the watermark have left"
+
+
+def test_an_event_changes_one_pane_and_each_slide_two():
+    from tessera.streaming.panes import slide_totals
+    import random
+    rnd = random.Random(1)
+    counts = {rnd.randrange(60): rnd.randrange(1, 9) for _ in range(25)}
+    got = dict(slide_totals(counts, list(counts), 7))
+    assert got == {s: sum(counts.get(s + j, 0) for j in range(7)) for p in counts for s in range(p - 6, p + 1)}
+
+
+def test_late_rows_change_open_windows_only(spark):
+    from tessera.streaming import panes
+    at = 900_000
+    rows_in = [(0, at, "a"), (0, at + 600, "a"), (1, at + 10, "a"), (1, at + 590, "a"), (1, at + 700, "a")]  # at + 10 is behind the watermark
+    df = spark.createDataFrame(rows_in, "batch int, t long, k string").withColumn("ts", F.timestamp_seconds("t"))
+    rp = Replay(spark, "panes-late")
+    with panes.keyed_state(spark):
+        rp.run(df, "batch", lambda s: panes.sliding_counts(s, "ts", 90, 30, ["k"], "90 seconds")
+               .writeStream.outputMode("update").foreachBatch(rp.batch_sink()), state_partitions=1)
+    cur = latest(rp.read_out(), ["window_start", "window_end", "k"]).where("n > 0")
+    got = {r.w: r.n for r in cur.select(F.unix_seconds("window_start").alias("w"), "n").collect()}
+    assert got == {w: n for (w, _), n in _brute_sliding([(t, k) for b, t, k in rows_in if (b, t) != (1, at + 10)], 90, 30).items()}
+
+
+def test_black_list_state_frees_listed_users_and_reads_no_history(spark):
+    from tessera.streaming import click_state, panes
+    clicks = qs._shuffled_clicks(spark, "/root/testdata/sf0.001")
+    rp = Replay(spark, "bl-state")
+    with panes.keyed_state(spark):
+        rp.run(clicks, "batch", lambda s: click_state.judged(s, 3).writeStream.outputMode("update").foreachBatch(
+            click_state.sink(spark, rp.out, 2)), state_partitions=2)
+    counts, black = click_state.tables(spark, rp.out, 2)
+    listed = {r[0] for r in black.read().collect()}
+    exp_black, exp_counts = _brute_blacklist(clicks.select("batch", "day", "user", "ad").toPandas(), 3)
+    assert listed == exp_black and {(r["dt"], r["userid"], r["adid"]): r["count"] for r in counts.read().collect()} == exp_counts
+    held = spark.read.format("statestore").option("stateVarName", "counts").load(rp.ckpt).select("key.*").distinct()
+    assert not listed & {r[0] for r in held.collect()}
+    from tessera.streaming.click_state import click_counts
+    sent = click_counts(clicks.where("user = 1").coalesce(2)).count()
+    assert sent <= 2 * clicks.where("user = 1").select("day", "ad").distinct().count()
+
+
+def test_black_list_state_with_ttl_keeps_the_tables(spark):
+    import datetime
+    from tessera.streaming import click_state, panes
+    clicks = _late_clicks(spark)
+    rp = Replay(spark, "bl-ttl")
+    for b in rp.stage(clicks, "batch"):  # a query on the clock has no last batch: one trigger each
+        rp.feed(b)
+        stream = click_state.judged(rp.stream(clicks.schema), ttl=datetime.timedelta(days=30))
+        with panes.keyed_state(spark), shuffle_partitions(spark, 1):
+            stream.writeStream.outputMode("update").foreachBatch(click_state.sink(spark, rp.out)).option(
+                "checkpointLocation", rp.ckpt).trigger(once=True).start().awaitTermination(60)
+    counts, black = click_state.tables(spark, rp.out)
+    b_cnt, b_black = bl.blacklist_batch(clicks)
+    assert rows(black.read()) == rows(b_black) == [(1,)]
+    assert rows(counts.read(), "dt", "userid", "adid", "count") == rows(b_cnt, "dt", "userid", "adid", "count")
