@@ -8,6 +8,7 @@ bound, e.g. the output of a ``limit``).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -98,6 +99,47 @@ def sample_rows(df: DataFrame, with_replacement: bool, fraction: float, seed: in
     return df.sample(withReplacement=with_replacement, fraction=fraction, seed=seed)
 
 
+def uniform_draw(keys: Sequence[str], seed: int) -> Column:
+    """A number in [0, 1) with 52 bits, drawn from the MD5 of ``seed:key|key...``.
+
+    It depends on the key and the seed alone, not on partitions, order or engine.  A null
+    key is an empty text."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), text)), 1, 13)
+    return F.conv(digits, 16, 10).cast("bigint").cast("double") / float(1 << 52)
+
+
+def poisson_steps(mean: float) -> list[float]:
+    """P(count <= 0), P(count <= 1), ...: a draw u stands for as many copies as steps lie at or below it."""
+    steps, term, total = [], math.exp(-mean), 0.0
+    for k in range(1, 10_000):
+        total += term
+        if total >= 1 or (k > mean and term < 2.0**-53):
+            break
+        steps.append(total)
+        term *= mean / k
+    return steps
+
+
+def sample_by_key(df: DataFrame, keys: Sequence[str], fraction: float, seed: int, with_replacement: bool = False,
+                  copies: str = "copies") -> DataFrame:
+    """Bernoulli or Poisson sample whose draws belong to the rows' keys.
+
+    Without replacement a row stays if its draw is below ``fraction``; with replacement it
+    stands for a Poisson number of copies of that mean.  The number goes to the column
+    ``copies`` (1 without replacement) instead of repeating the row.  Rows that share a key
+    share its draw: name columns that tell rows apart.  A filter and a projection, nothing
+    is exchanged, and a rerun of a lost task draws the same rows."""
+    draw = uniform_draw(keys, seed)
+    if not with_replacement:
+        return df.where(draw < fraction).withColumn(copies, F.lit(1).cast("bigint"))
+    u = "__draw"
+    count = F.lit(0)
+    for step in poisson_steps(fraction):
+        count = count + F.when(F.col(u) >= step, 1).otherwise(0)
+    return df.withColumn(u, draw).withColumn(copies, count.cast("bigint")).where(F.col(copies) > 0).drop(u)
+
+
 # ---------------------------------------------------------------- joins
 
 def join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:

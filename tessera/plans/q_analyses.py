@@ -446,17 +446,21 @@ def q_redundant_columns(spark, sf_dir):
 
 
 @register("q_drop_redundant", _review_sql("""
-  SELECT record_id, create_time, apply_time, shop_name FROM reviews
-  WHERE (SELECT sum(CASE WHEN split_part(apply_time, ' ', 1) = split_part(create_time, ' ', 1)
-                          AND split_part(created_at, ' ', 1) = split_part(updated_at, ' ', 1)
-                     THEN 1 ELSE 0 END) > count(*) * 0.5 FROM reviews)
+  , decision AS (
+    SELECT sum(CASE WHEN split_part(apply_time, ' ', 1) = split_part(create_time, ' ', 1)
+                     AND split_part(created_at, ' ', 1) = split_part(updated_at, ' ', 1)
+                THEN 1 ELSE 0 END) > count(*) * 0.5 AS redundant FROM reviews)
+  SELECT record_id, create_time, apply_time, shop_name,
+         CASE WHEN NOT coalesce(redundant, FALSE) THEN created_at END AS created_at,
+         CASE WHEN NOT coalesce(redundant, FALSE) THEN updated_at END AS updated_at FROM reviews, decision
 """))
 def q_drop_redundant(spark, sf_dir):
-    """The records after the conditional drop of a redundant column pair (share 0.5)."""
+    """The records after the conditional drop of a redundant column pair (share 0.5).
+
+    A dropped pair shows as nulls, so that the result has one schema."""
     kept = an.drop_if_redundant(fx.reviews(spark, sf_dir), share=0.5)
-    if {"created_at", "updated_at"} & set(kept.columns):  # not redundant: the twin is empty then
-        kept = kept.limit(0)
-    return kept.select("record_id", "create_time", "apply_time", "shop_name")
+    pair = [F.col(c) if c in kept.columns else F.lit(None).cast("string").alias(c) for c in ("created_at", "updated_at")]
+    return kept.select("record_id", "create_time", "apply_time", "shop_name", *pair)
 
 
 _SQL_MINUTES = ("CAST(floor((epoch(date_trunc('minute', strptime(apply_time, '%Y-%m-%d %H:%M:%S'))) - "

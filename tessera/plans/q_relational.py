@@ -240,10 +240,24 @@ def q_drop_sparse_rows(spark, sf_dir):
     return rel.drop_sparse_rows(fx.reviews(spark, sf_dir), 3).select("record_id")
 
 
-@register("sample_rows")
+_SAMPLE_SEED, _SAMPLE_SHARE, _SAMPLE_MEAN = 7, 0.1, 0.5
+_SQL_DRAW = (f"CAST('0x' || substr(md5('{_SAMPLE_SEED}:' || l_orderkey || '|' || l_linenumber), 1, 13) AS BIGINT) "
+             f"/ CAST({1 << 52} AS DOUBLE)")
+_SQL_COPIES = " + ".join(f"CAST(u >= {step!r}::DOUBLE AS BIGINT)" for step in rel.poisson_steps(_SAMPLE_MEAN))
+
+
+@register("sample_rows", f"""
+  WITH drawn AS (SELECT l_orderkey, l_linenumber, {_SQL_DRAW} AS u FROM lineitem)
+  SELECT 'bernoulli' AS kind, l_orderkey, l_linenumber, CAST(1 AS BIGINT) AS copies FROM drawn WHERE u < {_SAMPLE_SHARE}
+  UNION ALL
+  SELECT 'poisson', l_orderkey, l_linenumber, {_SQL_COPIES} AS copies FROM drawn WHERE {_SQL_COPIES} > 0
+""")
 def q_sample_rows(spark, sf_dir):
-    # rows-only check: Bernoulli sample is seeded but engine-specific
-    return rel.sample_rows(Tables(spark, sf_dir).lineitem.select("l_orderkey"), False, 0.1, 7)
+    """A Bernoulli and a Poisson sample, drawn from digests of the rows' keys."""
+    rows = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber")
+    keys = ["l_orderkey", "l_linenumber"]
+    return rel.sample_by_key(rows, keys, _SAMPLE_SHARE, _SAMPLE_SEED).select(F.lit("bernoulli").alias("kind"), "*").unionByName(
+        rel.sample_by_key(rows, keys, _SAMPLE_MEAN, _SAMPLE_SEED, True).select(F.lit("poisson").alias("kind"), "*"))
 
 
 # ------------------------------------------------------------------ §2.5 joins

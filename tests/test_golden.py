@@ -106,10 +106,12 @@ def test_numeric_sort_of_text_keys(spark):
 
 
 def test_custom_partitioner(spark):
-    df = spark.createDataFrame([("gold",), ("lead",), ("tin",), ("gold",)], "metal string")
-    pid = F.when(F.col("metal") == "gold", 0).when(F.col("metal") == "tin", 1).otherwise(2)
-    placed = lay.partition_by_id(df, 3, pid).select("metal", F.spark_partition_id().alias("p"))
-    assert dict(rows(placed)) == {"gold": 0, "lead": 2, "tin": 1}
+    """Even numbers to part 3, odd ones by their size to 0 or 1, rows without a number to 2."""
+    df = spark.createDataFrame([(n,) for n in [12, None, 7, 101, 4, 4, 33, 8, 255]], "n int")
+    pid = F.when(F.col("n").isNull(), 2).when(F.col("n") % 2 == 0, 3).when(F.col("n") < 50, 0).otherwise(1)
+    placed = lay.partition_by_id(df, 5, pid).select("n", F.spark_partition_id().alias("p"))
+    got = {p: sorted((r.n for r in placed.collect() if r.p == p), key=str) for p in range(5)}
+    assert got == {0: [33, 7], 1: [101, 255], 2: [None], 3: [12, 4, 4, 8], 4: []}
 
 
 def test_except_incremental_keeps_null_years(spark):

@@ -191,3 +191,43 @@ def test_outer_joins_can_split_a_hot_key(spark, name):
     outer join, whose optional side could not be split."""
     plan = _explain(queries()[name](spark, SF_MID)).split("\n\n")[0]
     assert "LeftOuter" not in plan and "RightOuter" not in plan
+
+
+def test_next_in_group_exchanges_the_data_once(spark):
+    """One range exchange; stitching moves one row per range (a broadcast)."""
+    df = spark.range(0, 4000).select((F.col("id") % 7).alias("g"), F.timestamp_seconds("id").alias("ts"), "id", F.col("id").alias("v"))
+    plan = next_in_group(df, ["g"], "ts", "id", "v", "nxt", n_ranges=5)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 1
+    time_plan = next_in_group(df, ["g"], "ts", "id", "v", "nxt", split="time")._jdf.queryExecution().optimizedPlan().toString()
+    assert "coalesce(" not in time_plan  # a null-safe join on the bare keys would exchange the big side again
+
+
+@pytest.mark.parametrize("split", ["range", "time"])
+def test_next_in_group_with_null_keys_values_and_short_ranges(spark, split):
+    rows_in = [(g, x, i * 60, i, v) for i, (g, x, v) in enumerate(
+        [(None, 1.0, "a"), (None, 1.0, None), ("p", float("nan"), "b"), ("p", float("nan"), "c"), ("p", None, "d"),
+         (None, None, "e"), ("q", 0.0, "f"), (None, 1.0, "g"), ("p", None, "h")] * 4)]
+    df = spark.createDataFrame(rows_in, "g string, x double, t long, id long, v string").withColumn("ts", F.timestamp_seconds("t"))
+    w = Window.partitionBy("g", "x").orderBy("ts", "id")
+    want = {r["id"]: r["n"] for r in df.withColumn("n", F.lead("v").over(w)).collect()}
+    for n in (1, 4, 40):
+        got = next_in_group(df, ["g", "x"], "ts", "id", "v", "n", split=split, bucket_seconds=300, n_ranges=n)
+        assert {r["id"]: r["n"] for r in got.collect()} == want
+    assert next_in_group(df.limit(0), ["g"], "ts", "id", "v", "n", split=split).collect() == []
+
+
+def test_key_draws_do_not_depend_on_partitions(spark):
+    import hashlib
+    from tessera.operators import relational as rel
+    df = spark.range(20_000).select("id", (F.col("id") % 3).alias("part"))
+    some = [rows(rel.sample_by_key(df.repartition(n), ["id", "part"], 0.2, 5)) for n in (1, 7)]
+    assert some[0] == some[1] and abs(len(some[0]) - 4000) < 4 * 57
+    u = {i: int(hashlib.md5(f"5:{i}|{i % 3}".encode()).hexdigest()[:13], 16) / 2**52 for i in range(20_000)}
+    assert [r[0] for r in some[0]] == [i for i in range(20_000) if u[i] < 0.2]
+    many = rel.sample_by_key(df, ["id", "part"], 1.5, 5, with_replacement=True)
+    got = {r.id: r.copies for r in many.collect()}
+    assert abs(sum(got.values()) - 30_000) < 4 * 174
+    steps = rel.poisson_steps(1.5)
+    assert got == {i: n for i in u if (n := sum(u[i] >= s for s in steps))}
+    other = rel.sample_by_key(df, ["id", "part"], 0.2, 6)
+    assert abs(other.join(rel.sample_by_key(df, ["id", "part"], 0.2, 5), "id").count() - 800) < 200
