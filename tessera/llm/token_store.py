@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import lean, slices
+from tessera.llm.common import lean, slices, stored
 from tessera.llm.words import encoder, vocabulary
 from tessera.session import work_dir
 
@@ -68,8 +68,10 @@ def _sample(docs: DataFrame, vocab: str, end_id: int) -> list[bytes]:
                 out.append(raw[at: at + SAMPLE_IDS * enc.width])
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
 
-    chosen = (docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
-              .limit(SAMPLE_DOCS))
+    # the ids first, without the texts; then one text per id, its least by hash
+    picked = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    chosen = docs.join(F.broadcast(picked), docs["doc_id"].eqNullSafe(picked["doc_id"]), "left_semi").groupBy("doc_id").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"))
     return sorted(bytes(r.ids) for r in chosen.mapInArrow(lean(cut, 1), "ids binary").collect())
 
 
@@ -83,43 +85,53 @@ def write(docs: DataFrame, path: str, vocab: str = VOCABULARY, end_id: int = 1)
     spark.createDataFrame([(digest, bytearray(raw))], "dict_hash string, dictionary binary") \
         .coalesce(1).write.parquet(f"{path}/dictionary")
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(raw)
         press = zstd.ZstdCompressor(level=3, dict_data=codec) if codec else zstd.ZstdCompressor(level=3)
         enc = encoder(vocabulary(vocab))
         end = end_id.to_bytes(enc.width, "little")
+        for batch in batches:
+            texts, counts, out = batch.column(1).to_pylist(), [], []
+            for lo, hi in slices((len(t or "") for t in texts), SLICE_CHARS):
+                for body in enc.encode(texts[lo:hi]):
+                    counts.append(len(body) // enc.width + 1)
+                    out.append(press.compress(body + end))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(out, pa.binary())], ["doc_id", "count", "frame"])
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = encoder(vocabulary(vocab)).width
         part, seq, before = TaskContext.get().partitionId(), 0, 0
-        ids, counts, ends, frames, size = [], [], [], [], 0
+        ids, counts, ends, held, size = [], [], [], [], 0
 
         def flush():
             total = sum(counts)
             known = [i for i in ids if i is not None]
-            row = {"part": part, "seq": seq, "dict_hash": digest, "width": enc.width, "start_in_part": before,
+            row = {"part": part, "seq": seq, "dict_hash": digest, "width": width, "start_in_part": before,
                    "n_tokens": total, "first_doc": min(known, default=None), "last_doc": max(known, default=None),
-                   "doc_ids": list(ids), "counts": list(counts), "ends": list(ends), "payload": b"".join(frames)}
+                   "doc_ids": list(ids), "counts": list(counts), "ends": list(ends), "payload": b"".join(held)}
             return pa.RecordBatch.from_pylist([row], schema=ARROW_BLOCK), total
 
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in slices((len(t or "") for t in texts), SLICE_CHARS):
-                for key, body in zip(keys[lo:hi], enc.encode(texts[lo:hi])):
-                    frame = press.compress(body + end)
-                    size += len(frame)
-                    ids.append(key)
-                    counts.append(len(body) // enc.width + 1)
-                    ends.append(size)
-                    frames.append(frame)
-                    if size >= BLOCK_BYTES:
-                        out, total = flush()
-                        yield out
-                        seq, before, size = seq + 1, before + total, 0
-                        ids, counts, ends, frames = [], [], [], []
+            for key, count, frame in zip(*(c.to_pylist() for c in batch.columns)):
+                size += len(frame)
+                ids.append(key)
+                counts.append(count)
+                ends.append(size)
+                held.append(frame)
+                if size >= BLOCK_BYTES:
+                    out, total = flush()
+                    yield out
+                    seq, before, size = seq + 1, before + total, 0
+                    ids, counts, ends, held = [], [], [], []
         if ids:
             yield flush()[0]
 
+    # encoded once and stored, so that neither the range's bounds nor the shuffle touch the texts
+    packed = stored(docs.mapInArrow(lean(frames, 1), "doc_id long, count long, frame binary"), "token-frames")
     # the random second key splits a doc_id that many rows share
-    (docs.withColumn("tie", F.rand(1)).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-     .select("doc_id", "text").mapInArrow(lean(blocks, 1), BLOCK_SCHEMA).write.parquet(f"{path}/blocks"))
+    (packed.withColumn("tie", F.rand(1)).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+     .select("doc_id", "count", "frame").mapInArrow(lean(blocks), BLOCK_SCHEMA).write.parquet(f"{path}/blocks"))
 
 
 ARROW_BLOCK = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("dict_hash", pa.string()), ("width", pa.int32()),
@@ -151,8 +163,9 @@ def _frames(digest: str, raw: bytes, row: dict, want: int | None = None) -> Iter
         lo, before = hi, before + count
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, ids) of every stored document, ids as uint32 bytes.
+def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32, ids) of every stored document, ids as uint32 bytes
+    (left out on demand: they would cross from Python even where nobody selects them).
 
     ``start`` counts the ids of all documents before; the running sum of the blocks is
     taken per part, then over the parts (one row per written part).
@@ -168,15 +181,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 out = []
                 for key, before, ids in _frames(digest, raw, row):
                     four = ids.astype("<u4").tobytes()
-                    out.append((key, row["base"] + row["start_in_part"] + before, len(ids), zlib.crc32(four), four))
-                cols = list(zip(*out))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                                 ["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
+                    out.append((key, row["base"] + row["start_in_part"] + before, len(ids), zlib.crc32(four), four if with_ids else b""))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())[: 5 if with_ids else 4]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
+    names = ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: 5 if with_ids else 4]
+    schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids binary" if with_ids else "")
     # one row per part: bounded by the shuffle partitions of the write
-    return blocks.join(F.broadcast(base), "part").mapInArrow(
-        lean(documents), "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
+    return blocks.join(F.broadcast(base), "part").mapInArrow(lean(documents), schema)
 
 
 def read_document(spark: SparkSession, path: str, doc_id: int) -> list[list[int]]:
@@ -190,4 +202,4 @@ def read_document(spark: SparkSession, path: str, doc_id: int) -> list[list[int]
 def store_and_read(docs: DataFrame, vocab: str = VOCABULARY, end_id: int = 1) -> DataFrame:
     path = work_dir(docs.sparkSession, "token-store")
     write(docs, path, vocab, end_id)
-    return read(docs.sparkSession, path)
+    return read(docs.sparkSession, path, with_ids=False)

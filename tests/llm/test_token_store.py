@@ -71,3 +71,12 @@ def test_query_against_the_library(spark, library):
         assert (got[r.doc_id].start, got[r.doc_id].n_tokens) == (start, len(ids))
         assert got[r.doc_id].ids_crc32 == zlib.crc32(array("I", ids).tobytes())
         start += len(ids)
+
+
+def test_the_dictionarys_sample_takes_one_text_per_id(spark, monkeypatch):
+    """The sample is picked by ids alone; copies and partitions do not change it."""
+    monkeypatch.setattr(token_store, "SAMPLE_DOCS", 5)
+    texts = [f"text number {i} " * (i % 5 + 1) for i in range(40)]
+    docs = documents(spark, texts + ["another text of the same id"] * 30, list(range(40)) + [3] * 30)
+    got = [token_store._sample(d, token_store.VOCABULARY, 1) for d in (docs.repartition(3), docs.union(docs).coalesce(1))]
+    assert got[0] == got[1] and len(got[0]) == 5
