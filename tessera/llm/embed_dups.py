@@ -1,14 +1,15 @@
 """Embedding near-duplicates by small-world graphs, one per shard, each asked by all vectors.
 
 Equal vectors form one class first.  The classes are dealt to shards by a hash; a task
-builds the shard's graph, audits it and writes it to the shared folder.  The audit
-compares queries of a sample of all classes with exact products, the match of a query
-with itself left out, until it has seen LEAST_LINKS links of sparse queries (fewer than
-SPARSE links in the shard), and as many of the other ones if there are any.  Recall is
-the mean over the queries, taken apart for both kinds; while either is below RECALL, the
-beam is widened, WIDENINGS times at most.  A shard that fails then, or whose sample holds
-too few links, uses exact products.  Blocks of classes then query every shard with its
-beam.  Candidates count only if their cosine, in doubles, is ``least`` or more.  Links
+builds the shard's graph, audits it and writes it to the shared folder.  The audit asks a
+sample of all classes for their NEAREST nearest nodes, whatever their distance, and for their
+links, and compares both with exact products; the match of a query with itself is left out.
+Link recall is the mean over the queries, taken apart for those with fewer than SPARSE links
+in the shard and for the others.  While a recall is too low the beam is widened, WIDENINGS
+times at most; a shard that fails then uses exact products.  Blocks of classes then query
+every shard with its beam, some hundred at a time, and each slice of queries is reduced to
+counts and a forest at once.  Candidates count only if their cosine, in doubles, is ``least``
+or more.  Links
 leave a cell as counts and as a spanning forest, and the components are joined over the
 shared folder.
 
@@ -21,6 +22,8 @@ An empty table gives no row.
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,16 +32,20 @@ from pyspark.sql import functions as F
 from tessera.llm.common import components, star_edges, stored
 from tessera.llm.hnsw import BATCH, Graph
 
+LOG = logging.getLogger(__name__)
 LEAST = 0.9
 SHARDS = 8                 # shards at least
 SHARD_NUMBERS = 4 << 20    # components of the vectors of one shard, at most about
 BLOCK = 8192               # queries of a block
-BEAM = 32
+BEAM = 64
 POOL_NUMBERS = 2 << 20     # components of the sample of queries that audits a shard, at most about
-LEAST_LINKS = 1000         # links that an audit compares at least
+AUDITED = 512              # queries of an audit that are asked for their nearest nodes
+NEAREST, NEAREST_RECALL = 10, 0.85
+LEAST_LINKS = 1000         # links of a kind that an audit compares, if the sample has them
 SPARSE = BEAM // 2         # links from which on a query's beam is doubled
-RECALL = 0.995
+RECALL = 0.995             # of links; one lost link alone does not fail an audit
 WIDENINGS = 2
+SLICE = 512                # queries whose links a task holds at a time
 MARGIN = 1e-4              # single precision: candidates this far below are verified too
 
 
@@ -74,9 +81,9 @@ GRAPH = ("dim int, shard int, nodes binary, copies binary, vectors binary, links
 
 
 def audit_sample(graph: Graph, queries: np.ndarray, least: float, own: np.ndarray, nodes: np.ndarray
-                 ) -> list[tuple[np.ndarray, np.ndarray]] | None:
-    """(query, node) of the links of sparse queries and of the others; None: too few."""
-    seen, kept = [0, 0], [([], []), ([], [])]
+                 ) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(query, node) of links of sparse queries and of the others, LEAST_LINKS each if there are so many."""
+    seen, kept = [0, 0], [([np.zeros(0, int)], [np.zeros(0, int)]), ([np.zeros(0, int)], [np.zeros(0, int)])]
     for lo in range(0, len(queries), BATCH):
         q, node = graph.exact(queries, np.arange(lo, min(lo + BATCH, len(queries))), least)
         other = own[q] != nodes[node]
@@ -88,8 +95,8 @@ def audit_sample(graph: Graph, queries: np.ndarray, least: float, own: np.ndarra
                 kept[kind][1].append(node[some])
                 seen[kind] += int(some.sum())
         if seen[0] >= LEAST_LINKS and (not seen[1] or seen[1] >= LEAST_LINKS):
-            return [(np.concatenate(a), np.concatenate(b)) for a, b in kept]
-    return None
+            break
+    return [(np.concatenate(a), np.concatenate(b)) for a, b in kept]
 
 
 def query_recall(q: np.ndarray, node: np.ndarray, found: np.ndarray, n: int) -> float:
@@ -100,17 +107,36 @@ def query_recall(q: np.ndarray, node: np.ndarray, found: np.ndarray, n: int) ->
     return float((np.bincount(row, np.isin(q * n + node, found)) / np.bincount(row)).mean())
 
 
+def nearest_recall(graph: Graph, queries: np.ndarray, own: np.ndarray, nodes: np.ndarray, beam: int) -> float:
+    """Share of the queries' NEAREST nearest other nodes that a beam holds."""
+    got = graph.beam(queries, graph.descend(queries), 0, beam)[0]
+    hits = total = 0
+    for lo in range(0, len(queries), BATCH):
+        sim = queries[lo: lo + BATCH] @ graph.vectors.T
+        sim[own[lo: lo + BATCH, None] == nodes[None, :]] = -3
+        few = min(NEAREST, sim.shape[1] - 1)
+        for row, sims in enumerate(sim):
+            # ties at the edge: any node as near as the last one counts
+            edge = np.partition(sims, -few)[-few]
+            held = got[lo + row]
+            hits += min(few, int((sims[held[held >= 0]] >= edge).sum()))
+            total += few
+    return hits / total if total else 1.0
+
+
 def audited_beam(graph: Graph, queries: np.ndarray, least: float, own: np.ndarray, nodes: np.ndarray) -> int:
     """The least beam whose recall passes, 0 for exact products; ``own`` and ``nodes`` name queries and nodes."""
     n = len(graph.vectors)
-    truth = audit_sample(graph, queries, least, own, nodes) if BEAM * 4 < n else None
-    if truth is None:
+    if BEAM * 4 >= n or not len(queries):
         return 0
+    truth = audit_sample(graph, queries, least, own, nodes)
     some = np.unique(np.concatenate([q for q, _ in truth]))
     for beam in (BEAM << k for k in range(WIDENINGS + 1)):
-        q, node = graph.near(queries[some], least, beam)
+        if nearest_recall(graph, queries[:AUDITED], own[:AUDITED], nodes, beam) < NEAREST_RECALL:
+            continue
+        q, node = graph.near(queries[some], least, beam) if len(some) else (some, some)
         found = some[q] * n + node
-        if all(query_recall(q, node, found, n) >= RECALL for q, node in truth):
+        if all(query_recall(q, node, found, n) >= RECALL or (~np.isin(q * n + node, found)).sum() <= 1 for q, node in truth):
             return beam
     return 0
 
@@ -150,6 +176,8 @@ def linked(embeddings: DataFrame, least: float = LEAST) -> DataFrame:
 
     graphs = stored(named.select("dim", "shard", "deal", "node", "n", "v").groupBy("dim", "shard")
                     .cogroup(pool.groupBy("dim", "shard")).applyInArrow(build, GRAPH), "graphs")
+    by_graph = graphs.agg(F.count("*").alias("all"), F.count_if(F.col("beam") > 0).alias("graph")).first()
+    LOG.info("%d of %d shards are searched by their graph", by_graph.graph, by_graph["all"])
     asked = named.select("dim", "node", "n", "v", F.pmod(F.xxhash64("h1", "h2", F.lit(4)), F.lit(blocks)).cast("int").alias("block")
                          ).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     cells = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -163,15 +191,20 @@ def linked(embeddings: DataFrame, least: float = LEAST) -> DataFrame:
             graph = Graph(vectors.astype(np.float32), [np.frombuffer(x, np.int32).reshape(-1, w)
                                                        for x, w in zip(g["links"], g["wide"])])
             queries, own = unit(_matrix(right, "v")), right["node"].to_numpy()
-            q, node = audited_links(graph, queries.astype(np.float32), least - MARGIN, g["beam"])
-            true = np.concatenate([np.einsum("ij,ij->i", queries[q[i: i + 65536]], vectors[node[i: i + 65536]]) >= least
-                                   for i in range(0, len(q), 65536)] or [np.zeros(0, bool)])
-            true &= own[q] != nodes[node]
-            q, node = q[true], node[true]
-            count = np.bincount(q, copies[node].astype(float), len(own)).astype(np.int64)
+            single, count = queries.astype(np.float32), np.zeros(len(own), np.int64)
+            a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            for lo in range(0, len(own), SLICE):
+                q, node = audited_links(graph, single[lo: lo + SLICE], least - MARGIN, g["beam"])
+                q = q + lo
+                true = np.concatenate([np.einsum("ij,ij->i", queries[q[i: i + 65536]], vectors[node[i: i + 65536]]) >= least
+                                       for i in range(0, len(q), 65536)] or [np.zeros(0, bool)])
+                true &= own[q] != nodes[node]
+                q, node = q[true], node[true]
+                np.add.at(count, q, copies[node])
+                # a forest of the links so far
+                ids, place = np.unique(np.concatenate([a, own[q], b, nodes[node]]), return_inverse=True)
+                a, b = star_edges(ids, *np.split(place, 2))
             some = np.flatnonzero(count)
-            ids, place = np.unique(np.concatenate([own[q], nodes[node]]), return_inverse=True)
-            a, b = star_edges(ids, place[: len(q)], place[len(q):])
             out = {"kind": np.r_[np.zeros(len(some), int), np.ones(len(a), int)],
                    "a": np.r_[own[some], a], "b": np.r_[count[some], b]}
         return pa.table({"kind": pa.array(out["kind"], pa.int32()), "a": pa.array(out["a"], pa.int64()),

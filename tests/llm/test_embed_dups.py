@@ -95,8 +95,22 @@ def test_audit_leaves_out_self_matches():
     singles = np.random.default_rng(6).normal(size=(2000, 32)).astype(np.float32)
     x = np.concatenate([x, singles / np.linalg.norm(singles, axis=1, keepdims=True)])
     graph, names = hnsw.Graph.build(x), np.arange(len(x))
-    assert embed_dups.audit_sample(graph, x, 0.9, names, names) is None      # 62 links only
-    assert embed_dups.audited_beam(graph, x, 0.9, names, names) == 0
+    assert sum(len(q) for q, _ in embed_dups.audit_sample(graph, x, 0.9, names, names)) == 62
+    blind = hnsw.Graph(x, [np.full((len(x), 4), -1, np.int32)])
+    blind.beam = lambda queries, entry, layer, wide: (np.tile(names[: len(queries), None], (1, wide)), None)  # finds itself only
+    assert embed_dups.nearest_recall(blind, x[:500], names[:500], names, 64) == 0
+
+
+def test_few_or_no_links_keep_the_graph_in_use(spark, caplog):
+    """The audit judges by the nearest nodes, which every shard has."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6000, 16)).astype(np.float32)
+    x[3000:3200] = x[:200] + 0.03 * rng.normal(size=(200, 16)).astype(np.float32)
+    with caplog.at_level("INFO", logger="tessera.llm.embed_dups"):
+        got = {r.vec_id: r.n_links for r in embed_dups.linked(table(spark, range(6000), x)).collect()}
+    assert "8 of 8 shards are searched by their graph" in caplog.text
+    truth, _ = brute(x)
+    assert all(got[i] <= truth[i] for i in got) and sum(got.values()) >= 0.99 * truth.sum() > 0
 
 
 def test_odd_vectors(spark):
