@@ -75,7 +75,7 @@ def q_st_word_count(spark, sf_dir):
   SELECT batch, count(*) AS n, round(sum(value), 4) AS value_sum FROM ({_SQL_EVENTS}) e GROUP BY batch
 """)
 def q_st_queue_source(spark, sf_dir):
-    """A queue of prepared batches consumed one per trigger."""
+    """A queue of prepared batches consumed one per trigger, in one run of the query."""
     rp = Replay(spark, "queue")
     sink = rp.batch_sink()
 
@@ -83,7 +83,7 @@ def q_st_queue_source(spark, sf_dir):
         sink(df.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("value_sum")),
              batch_id)
 
-    rp.run(_events(spark, sf_dir), "batch", lambda s: s.writeStream.foreachBatch(per_batch))
+    rp.run_queue(_events(spark, sf_dir), "batch", per_batch)
     return rp.read_out().drop("batch_id")
 
 

@@ -14,12 +14,13 @@ the current table (newest row per key).
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
 from tessera.session import work_dir
 
@@ -60,6 +61,55 @@ def shuffle_partitions(spark: SparkSession, n: int):
     return session_conf(spark, "spark.sql.shuffle.partitions", str(n))
 
 
+class BatchListener(StreamingQueryListener):
+    """Numbers of starts and of micro-batches with input that a query went through."""
+
+    def __init__(self):
+        self.starts, self.batches, self._events, self._id = 0, [], [], None
+        self._ended, self._lock = threading.Event(), threading.Lock()
+        self._stop, self._most = None, None
+
+    def watch(self, query_id: str, stop: Callable[[], None], most: int | None = None) -> None:
+        with self._lock:  # events that came before the id was known
+            self._id, self._stop, self._most = query_id, stop, most
+            held, self._events = self._events, []
+        for kind, of, batch in held:
+            self._take(kind, of, batch)
+
+    def _take(self, kind: str, of: str, batch: int | None = None) -> None:
+        with self._lock:
+            if self._id is None:
+                self._events.append((kind, of, batch))
+                return
+        if of != self._id:
+            return
+        if kind == "start":
+            self.starts += 1
+        elif kind == "batch":
+            self.batches.append(batch)
+            if self._most is not None and len(self.batches) == self._most:
+                threading.Thread(target=self._stop, daemon=True).start()  # not from the listener's own thread
+        else:
+            self._ended.set()
+
+    def onQueryStarted(self, event):  # noqa: N802
+        self._take("start", str(event.id))
+
+    def onQueryProgress(self, event):  # noqa: N802
+        if event.progress.numInputRows:
+            self._take("batch", str(event.progress.id), event.progress.batchId)
+
+    def onQueryIdle(self, event):  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event):  # noqa: N802
+        self._take("end", str(event.id))
+
+    def wait_until_ended(self, seconds: float = 60.0) -> None:
+        """Events come behind the run on a thread of their own."""
+        self._ended.wait(seconds)
+
+
 class Replay:
     """Feed ``source`` (with an int batch column) through a streaming query."""
 
@@ -112,6 +162,42 @@ class Replay:
             if q.exception() is not None:  # pragma: no cover - surfaced to caller
                 raise RuntimeError(str(q.exception()))
 
+    def run_queue(self, source: DataFrame, batch_col: str, each: Callable[[DataFrame, int], None],
+                  max_batches: int | None = None) -> BatchListener:
+        """Hand a queue of prepared batches to ``each(rows, batch_id)``, one per trigger, in one run.
+
+        The queue holds one small file per batch that names its folder, and the stream takes
+        one file per trigger, so a batch may hold any number of files and is read in
+        parallel.  The query starts once; a restart goes on behind the last finished batch
+        (``max_batches`` stops it early).  Returns the listener that saw the run's batches."""
+        queue = self.root + "/queue"
+        for b in self.stage(source, batch_col):
+            name = self._path(f"{queue}/{b:08d}.txt")
+            if not self.fs.exists(name):
+                stream = self.fs.create(name)
+                stream.write(f"{self.staged}/__feed={b}\n".encode())
+                stream.close()
+        return self.take_queue(source.schema, each, max_batches)
+
+    def take_queue(self, schema, each: Callable[[DataFrame, int], None], max_batches: int | None = None) -> BatchListener:
+        """Start the queue's query (again)."""
+        def per_batch(names: DataFrame, batch_id: int) -> None:
+            folders = [r.value for r in names.collect()]  # one name per trigger
+            if folders:
+                each(self.spark.read.schema(schema).parquet(*folders), batch_id)
+
+        seen = BatchListener()
+        self.spark.streams.addListener(seen)
+        try:
+            stream = self.spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(self.root + "/queue")
+            q = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", self.ckpt).trigger(availableNow=True).start()
+            seen.watch(str(q.id), q.stop, max_batches)
+            q.awaitTermination()
+            seen.wait_until_ended()
+        finally:
+            self.spark.streams.removeListener(seen)
+        return seen
+
     # ------------------------------------------------------------------ sinks
 
     def batch_sink(self) -> Callable[[DataFrame, int], None]:

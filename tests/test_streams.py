@@ -364,3 +364,21 @@ def test_black_list_state_with_ttl_keeps_the_tables(spark):
     b_cnt, b_black = bl.blacklist_batch(clicks)
     assert rows(black.read()) == rows(b_black) == [(1,)]
     assert rows(counts.read(), "dt", "userid", "adid", "count") == rows(b_cnt, "dt", "userid", "adid", "count")
+
+
+def test_a_queue_is_one_run_of_many_batches(spark):
+    df = spark.range(0, 60).select((F.col("id") % 6).cast("int").alias("batch"), "id")
+    rp = Replay(spark, "queue-run")
+    got = {}
+    seen = rp.run_queue(df.repartition(4), "batch", lambda rows_, i: got.setdefault(i, rows(rows_.select("batch").distinct())))
+    assert seen.starts == 1 and seen.batches == list(range(6))
+    assert got == {i: [(i,)] for i in range(6)}
+
+
+def test_a_queue_goes_on_behind_the_last_finished_batch(spark):
+    df = spark.range(0, 40).select((F.col("id") % 4).cast("int").alias("batch"), "id")
+    rp = Replay(spark, "queue-again")
+    sink = rp.batch_sink()
+    rp.run_queue(df, "batch", sink, max_batches=2)
+    rp.take_queue(df.schema, sink)
+    assert rows(rp.read_out().select("id")) == [(i,) for i in range(40)]
