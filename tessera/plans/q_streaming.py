@@ -14,7 +14,7 @@ from tessera.plans.registry import register
 from tessera.sources import fixtures as fx
 from tessera.sources.tables import Tables
 from tessera.streaming import blacklist as bl
-from tessera.streaming import click_state, panes
+from tessera.streaming import click_state, panes, salted_join
 from tessera.streaming import operators as so
 from tessera.streaming.keyed_log import KeyedLog
 from tessera.streaming.replay import (Replay, assign_batches, latest, shuffle_partitions, sql_batches,
@@ -347,35 +347,13 @@ def q_ad_last_minute(spark, sf_dir):
   WHERE c.event_type = 'click' AND p.event_type = 'purchase'
 """)
 def q_st_batch_join(spark, sf_dir, salts: int = 8, share: float = 0.05):
-    """Clicks and purchases of a user in the same hour window (inner
-    stream-stream join with watermarks on both sides).
-
-    Users with more than ``share`` of the clicks (1/share of them at most)
-    are salted: each of their clicks carries ``pmod(hash(id), salts)`` and
-    their purchases are copied once per salt, so every pair still meets
-    exactly once while a hot user's clicks spread over ``salts`` tasks."""
-    clicks = Tables(spark, sf_dir).events.where(F.col("event_type") == "click")
-    hot = [r.user_id for r in clicks.groupBy("user_id").count().where(
-        F.col("count") > clicks.agg(F.count("*")).scalar() * share).collect()]
+    """Clicks and purchases of a user in the same hour window (inner stream-stream join with
+    watermarks on both sides).  Users that earlier batches have shown to be hot are salted
+    (``salted_join``); nothing is read ahead of the stream."""
     rp = Replay(spark, "join")
-
-    def build(s):
-        def side(kind, id_alias):
-            x = s.where(F.col("event_type") == kind).withWatermark("ts", "1 hour")
-            return x.select(F.col("user_id").alias(f"{id_alias}_user"), F.col("event_id").alias(id_alias),
-                            F.window("ts", "1 hour").alias(f"{id_alias}_w"))
-        c = side("click", "click_id").withColumn("click_salt", F.when(
-            F.col("click_id_user").isin(hot), F.pmod(F.hash("click_id"), F.lit(salts))).otherwise(0))
-        p = side("purchase", "purchase_id").withColumn("purchase_salt", F.explode(F.when(
-            F.col("purchase_id_user").isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-        j = c.join(p, (F.col("click_id_user") == F.col("purchase_id_user")) &
-                   (F.col("click_id_w") == F.col("purchase_id_w")) &
-                   (F.col("click_salt") == F.col("purchase_salt")))
-        out = j.select(F.col("click_id_user").alias("user_id"),
-                       F.date_format(F.col("click_id_w").start, "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                       "click_id", "purchase_id")
-        return _append_sink(rp, out)
-    rp.run(_events(spark, sf_dir), "batch", build)
+    router = salted_join.Router(spark, rp.root + "/router", salts, share)
+    rp.run(_events(spark, sf_dir), "batch", lambda s: s.writeStream.foreachBatch(router.route),
+           after=lambda: rp.drain(_append_sink(rp, salted_join.pairs(router.stream())), "pairs"))
     return rp.read_out().drop("batch_id")
 
 

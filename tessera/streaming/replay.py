@@ -146,8 +146,9 @@ class Replay:
             raise RuntimeError(f"batch {batch} could not be moved to {self.src}")
 
     def run(self, source: DataFrame, batch_col: str, build: Callable[[DataFrame], DataStreamWriter],
-            state_partitions: int | None = None) -> None:
-        """Feed batch after batch, (re)starting the query until it has consumed each.
+            state_partitions: int | None = None, after: Callable[[], None] | None = None) -> None:
+        """Feed batch after batch, (re)starting the query until it has consumed each; ``after``
+        runs behind every batch (a query that follows this one).
 
         The state-store partition count of a stream is fixed by its first
         start (the checkpoint keeps it): ``state_partitions``, by default one
@@ -161,6 +162,13 @@ class Replay:
                 q.awaitTermination()
             if q.exception() is not None:  # pragma: no cover - surfaced to caller
                 raise RuntimeError(str(q.exception()))
+            if after is not None:
+                after()
+
+    def drain(self, writer: DataStreamWriter, name: str, state_partitions: int | None = None) -> None:
+        """Let a following query, with a checkpoint of its own, take all that is there."""
+        with shuffle_partitions(self.spark, state_partitions or self.spark.sparkContext.defaultParallelism):
+            writer.option("checkpointLocation", f"{self.ckpt}-{name}").trigger(availableNow=True).start().awaitTermination()
 
     def run_queue(self, source: DataFrame, batch_col: str, each: Callable[[DataFrame, int], None],
                   max_batches: int | None = None) -> BatchListener:

@@ -256,6 +256,53 @@ def test_hot_users_of_the_stream_join_are_salted_only(spark):
     assert want and rows(some(spark, "/root/testdata/sf0.001", share=0.05)) == want
 
 
+def test_user_that_turns_hot_in_mid_stream_keeps_all_pairs(spark):
+    """Batches of an hour and a half, so windows span batches; user 7 is hot from batch 1 to 4."""
+    import datetime as dt
+    import random
+    from tessera.streaming import salted_join as sj
+    rnd, t0, data = random.Random(5), dt.datetime(2024, 3, 1), []
+    for b in range(7):
+        users = [7] * 30 * (1 <= b <= 4) + [rnd.randrange(100, 140) for _ in range(40)]
+        for u in users + [7, None]:
+            for kind in ("click", "click", "purchase", "view"):
+                data.append((u, len(data), kind, t0 + dt.timedelta(minutes=90 * b + rnd.randrange(90)), b))
+    df = spark.createDataFrame(data, "user_id long, event_id long, event_type string, ts timestamp, batch int")
+    rp = Replay(spark, "turns-hot")
+    router = sj.Router(spark, rp.root + "/router", 4, 0.2)
+
+    def twice(rows_in, batch_id):  # a retry after the batch was published changes nothing
+        router.route(rows_in, batch_id)
+        router.route(rows_in, batch_id)
+    rp.run(df, "batch", lambda s: s.writeStream.foreachBatch(twice), after=lambda: rp.drain(
+        sj.pairs(router.stream()).writeStream.outputMode("append").foreachBatch(rp.batch_sink()), "pairs"))
+    hour = [(u, t.replace(minute=0), kind, i) for u, i, kind, t, _ in data if u is not None]
+    want = sorted((u, str(w), i, j) for u, w, k, i in hour if k == "click"
+                  for v, x, m, j in hour if m == "purchase" and (u, w) == (v, x))
+    assert rows(rp.read_out(), "user_id", "window_start", "click_id", "purchase_id") == want
+    routed = spark.read.parquet(router.path + "/salted/*")
+    salted = routed.where("salt > 0").select("user_id", F.hour("ts").alias("h")).distinct().collect()
+    assert {r.user_id for r in salted} == {7} and {3, 4, 5, 6} <= {r.h for r in salted} and 10 not in {r.h for r in salted}
+    assert routed.where("event_type = 'click'").groupBy("event_id").count().where("count > 1").count() == 0
+    # the summary stays bounded: the counters, open entries and those not yet behind the watermark
+    assert router.summary(6).count() <= 2 * router.capacity + 1
+
+
+def test_summary_misses_no_hot_user_however_many_users_come(spark):
+    from tessera.streaming import salted_join as sj
+    from tessera.session import work_dir
+    router = sj.Router(spark, work_dir(spark, "many-users"), 4, 0.1, decay=1.0)
+    for b in range(3):
+        df = spark.range(3000).select(
+            F.when(F.col("id") % 8 == 0, F.lit(5)).otherwise(F.col("id") + 10_000 * (b + 1)).alias("user_id"),
+            F.col("id").alias("event_id"), F.lit("click").alias("event_type"),
+            F.timestamp_seconds(F.lit(1_700_000_000 + 3600 * b)).alias("ts"))
+        router.route(df, b)
+        kept = router.summary(b)
+        assert kept.count() <= router.capacity + 2
+        assert [r.user_id for r in kept.where("start_us is not null and end_us is null").collect()] == [5]
+
+
 def test_queue_of_files_one_per_trigger(spark):
     """Queue semantics: with maxFilesPerTrigger=1 each dropped file is its own micro-batch."""
     from tessera.session import work_dir
