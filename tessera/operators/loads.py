@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import work_dir
+
 SLICES = 64                # folders of a load
 PER_BLOCK = 20             # rows per block of 256 bits: about 1 % false hits
 WORDS = ("w0", "w1", "w2", "w3")
@@ -109,7 +111,10 @@ class LoadedSet:
 
     def _written(self, rows: DataFrame) -> list[dict]:
         folder = f"loads/{uuid.uuid4().hex[:12]}"
-        rows.withColumn("__slice", self._slice()).repartition("__slice").write.partitionBy("__slice").parquet(f"{self.path}/{folder}/rows")
+        # a slice is written by several tasks where there are more tasks than slices
+        spread = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // SLICES)
+        (rows.withColumn("__slice", self._slice()).repartition("__slice", F.pmod(self._hash(4), F.lit(spread)))
+         .write.partitionBy("__slice").parquet(f"{self.path}/{folder}/rows"))
         load = {"folder": folder, "blocks": 1, "mark": None}
         stored = self._read([load])
         top = F.max(F.col(self.mark)).cast("string") if self.mark else F.lit(None).cast("string")
@@ -145,7 +150,8 @@ class LoadedSet:
             ask = F.lit(True)
             if load["mark"] is not None:  # rows above the high-water mark are new without a probe
                 ask = ~F.coalesce(F.col(self.mark) > F.lit(load["mark"]).cast(self.schema[self.mark].dataType), F.lit(False))
-            key = F.when(ask & ~F.col("__hit"), self._block(load["blocks"]))
+            # rows that need no probe get keys of their own below 0, spread like the others
+            key = F.when(ask & ~F.col("__hit"), self._block(load["blocks"])).otherwise(-1 - self._block(1 << 40))
             met = out.withColumn("__key", key).join(words, F.col("__key") == F.col("__block"), "left")
             inside = reduce(Column.__and__, [
                 F.col(f"__{w}").bitwiseAND(bits) == bits for w, bits in zip(WORDS, self._bits())])
@@ -154,7 +160,6 @@ class LoadedSet:
 
     def new_rows(self, rows: DataFrame) -> DataFrame:
         """Distinct rows that were never loaded (``EXCEPT``)."""
-        from tessera.session import work_dir
         loads = self.loads()
         rows = rows.select(*self.columns).distinct()
         if not loads:

@@ -11,7 +11,9 @@ from tessera.functions import timefmt as tf
 from tessera.functions import udf as fu
 from tessera.operators import cells as cl
 from tessera.operators import layout as lay
+from tessera.operators.cell_store import CellStore
 from tessera.plans.registry import register
+from tessera.session import work_dir
 from tessera.sources import fixtures as fx
 from tessera.sources.tables import Tables
 
@@ -252,13 +254,17 @@ _SQL_LATEST = f"""
 """
 
 
-def _all_cells(spark, sf_dir):
-    return cl.put(_cells(spark, sf_dir, "click"), _cells(spark, sf_dir, "view"))
+def _store(spark, sf_dir):
+    """Click and view cells, stored as two sorted runs."""
+    store = CellStore(spark, work_dir(spark, "cells"))
+    for kind in ("click", "view"):
+        store.put(_cells(spark, sf_dir, kind))
+    return store
 
 
 @register("cell_upsert", _SQL_LATEST)
 def q_cell_upsert(spark, sf_dir):
-    return cl.latest(_all_cells(spark, sf_dir))
+    return _store(spark, sf_dir).scan()
 
 
 @register("cell_versions", f"""
@@ -267,14 +273,14 @@ def q_cell_upsert(spark, sf_dir):
     FROM ({_SQL_CELLS}) c) r WHERE rn <= 2
 """)
 def q_cell_versions(spark, sf_dir):
-    return cl.versions(_all_cells(spark, sf_dir), 2)
+    return _store(spark, sf_dir).versions(2)
 
 
 @register("cell_scan_range", f"""
   SELECT * FROM ({_SQL_LATEST}) l WHERE row_key >= '2024-01-10' AND row_key < '2024-01-20'
 """)
 def q_cell_scan_range(spark, sf_dir):
-    return cl.scan_range(_all_cells(spark, sf_dir), "2024-01-10", "2024-01-20", "info", "click")
+    return _store(spark, sf_dir).scan("2024-01-10", "2024-01-20", "info", "click")
 
 
 @register("cell_delete", f"""
@@ -282,10 +288,11 @@ def q_cell_scan_range(spark, sf_dir):
   WHERE NOT ends_with(row_key, '_3') AND NOT (starts_with(row_key, '2024-01-05') AND qualifier = 'click')
 """)
 def q_cell_delete(spark, sf_dir):
-    cells = _all_cells(spark, sf_dir)
-    keys = cells.select("row_key").distinct()
+    store = _store(spark, sf_dir)
+    keys = store.scan().select("row_key").distinct()
     whole = keys.where(F.col("row_key").endswith("_3")).select(
         "row_key", F.lit(None).cast("string").alias("family"), F.lit(None).cast("string").alias("qualifier"))
     single = keys.where(F.col("row_key").startswith("2024-01-05")).select(
         "row_key", F.lit("info").alias("family"), F.lit("click").alias("qualifier"))
-    return cl.delete(cells, whole.unionByName(single))
+    store.delete(whole.unionByName(single))
+    return store.visible(None, None)

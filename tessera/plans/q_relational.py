@@ -15,8 +15,10 @@ from tessera.operators import aggregates as ag
 from tessera.operators import layout as lay
 from tessera.operators import relational as rel
 from tessera.operators import topk
+from tessera.operators.loads import LoadedSet
 from tessera.operators.windows import next_in_group
 from tessera.plans.registry import register
+from tessera.session import work_dir
 from tessera.sources import fixtures as fx
 from tessera.sources.tables import Tables, spread
 
@@ -647,10 +649,13 @@ def q_set_distinct(spark, sf_dir):
                                  ELSE year(o_orderdate) END AS year FROM orders) WHERE year < 1996
 """)
 def q_set_except_incremental(spark, sf_dir):
+    """New rows against those loaded before, by key filter and high-water mark."""
     o = Tables(spark, sf_dir).orders.select(
         "o_orderkey", F.when(F.col("o_orderkey") % 11 == 0, F.lit(None)).otherwise(F.year("o_orderdate"))
         .cast("bigint").alias("year"))
-    return rel.except_distinct(o, o.where(F.col("year") < 1996))
+    loaded = LoadedSet(spark, work_dir(spark, "loaded"), o.schema, mark="year")
+    loaded.load(o.where(F.col("year") < 1996))
+    return loaded.new_rows(o)
 
 
 @register("win_rank_top3", """

@@ -120,6 +120,62 @@ def test_except_incremental_keeps_null_years(spark):
     assert got == [("q",), ("r",), ("s",)]
 
 
+def test_loaded_set_gives_except_of_all_loads(spark):
+    from tessera.operators.loads import LoadedSet
+    from tessera.session import work_dir
+    schema = "name string, year long, price double"
+    store = LoadedSet(spark, work_dir(spark, "loaded"), schema, mark="year", every=2)
+    nan, all_rows = float("nan"), spark.createDataFrame([], schema)
+    first = spark.createDataFrame([("a", 1990, 1.0), (None, 1991, None), ("c", None, nan), ("c", None, nan)], schema)
+    assert rows(store.new_rows(first).groupBy().count()) == [(3,)]
+    for turn in range(4):  # more loads than are kept apart
+        batch = spark.range(400).selectExpr(f"concat('n', id + {turn * 200}) name", f"1992 + {turn} year", "0D price").union(first)
+        new = store.new_rows(batch)
+        assert new.exceptAll(batch.subtract(all_rows)).count() == 0
+        assert new.count() == batch.subtract(all_rows).count() == (403 if turn == 0 else 400)
+        assert store.new_rows(batch.union(batch)).count() == new.count()
+        store.load(new)
+        all_rows = all_rows.union(batch).distinct()
+        assert store.read().exceptAll(all_rows).count() == 0 and store.read().count() == all_rows.count()
+        assert store.new_rows(batch).count() == 0
+    assert len(store.loads()) <= 2
+
+
+def test_certain_misses_read_no_loaded_row(spark):
+    from tessera.operators.loads import LoadedSet
+    from tessera.session import work_dir
+    store = LoadedSet(spark, work_dir(spark, "loaded"), "id long, year long", mark="year")
+    store.load(spark.range(20_000).selectExpr("id", "1990 + id % 5 year"))
+    later = spark.range(500).selectExpr("id", "1995L year")
+    out = store.new_rows(later)
+    assert out.count() == 500 and not [f for f in out.inputFiles() if "/loads/" in f]
+    misses = spark.range(30_000, 50_000).selectExpr("id", "1992L year")
+    hits = store.possible(misses).where("__hit").count()
+    assert hits < 600 and store.new_rows(misses).count() == 20_000   # about 1 % of false hits, all resolved
+    plan = store.possible(misses)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    one = store.new_rows(spark.createDataFrame([(7, 1992), (7, None)], "id long, year long"))
+    assert rows(one, "id", "year") == [(7, None)]
+    slices = {f.split("__slice=")[1].split("/")[0] for f in one.inputFiles() if "__slice=" in f}
+    assert rows(one) and len(slices) <= 64
+
+
+def test_load_that_dies_is_not_seen(spark, monkeypatch):
+    from tessera.operators.loads import LoadedSet
+    from tessera.session import work_dir
+    store = LoadedSet(spark, work_dir(spark, "loaded"), "id long")
+    store.load(spark.range(10))
+    monkeypatch.setattr(store, "_publish", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+    try:
+        store.load(spark.range(20))
+    except OSError:
+        pass
+    again = LoadedSet(spark, store.path, "id long")
+    assert rows(again.new_rows(spark.range(12))) == [(10,), (11,)]
+    again.load(again.new_rows(spark.range(12)))
+    assert again.read().count() == 12
+
+
 def test_floor_to_ten_seconds(spark):
     from tessera.functions import timefmt as tf
     df = spark.createDataFrame([(55_000,), (49_000,), (32_000,)], "ms long")
