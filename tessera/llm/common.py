@@ -30,6 +30,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+SPAN = 1 << 16             # copies of one row that a task expands together
+
+
+def counted(df: DataFrame, *cols: str) -> DataFrame:
+    """The distinct rows of ``cols`` with their number of ``copies``, in parts of at most SPAN."""
+    whole = df.groupBy(*cols).agg(F.count("*").alias("__all"))
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__all") - 1) / SPAN).cast("long"))).alias("part")
+    return (whole.select(*cols, "__all", part)
+            .withColumn("copies", F.least(F.lit(SPAN).cast("long"), F.col("__all") - F.col("part") * SPAN)).drop("__all"))
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """UTF-8 bytes of a string column; null becomes empty."""
     return [b if b is not None else b"" for b in column.cast(pa.binary()).to_pylist()]

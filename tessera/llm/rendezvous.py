@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stored
+from tessera.llm.common import counted, stored
 
 SLOT_GROUPS = 256          # pieces of a shard that are numbered side by side
 
@@ -41,20 +41,21 @@ def numbered(df: DataFrame, key: str, weights: Sequence[float], grown: Sequence[
              carry: Sequence[str]) -> DataFrame:
     """Rows of (key, carry...) with shard, grown_shard and a gapless slot within the shard.
 
-    Equal rows are counted first and expanded last, so a repeated row weighs no more
-    than one.  A shard is numbered in SLOT_GROUPS pieces by hash; the pieces' sizes
+    Equal rows are counted first and expanded last, in parts of bounded size that are
+    numbered apart, so a row that repeats very often is spread over its shard's pieces and
+    its slots need not follow each other.  A shard is numbered in SLOT_GROUPS pieces by hash; the pieces' sizes
     (shards x SLOT_GROUPS rows) give each piece its first slot.
     """
     cols = [key, *carry]
     rows = stored(
-        df.groupBy(*cols).agg(F.count("*").alias("copies"))
+        counted(df, *cols)
         .withColumn("shard", winner(F.col(key), weights))
         .withColumn("grown_shard", winner(F.col(key), grown))
-        .withColumn("piece", F.pmod(F.xxhash64(F.lit(7), *cols), F.lit(SLOT_GROUPS)).cast("int")), "shards")
+        .withColumn("piece", F.pmod(F.xxhash64(F.lit(7), "part", *cols), F.lit(SLOT_GROUPS)).cast("int")), "shards")
     sizes = rows.groupBy("shard", "piece").agg(F.sum("copies").alias("n"))
     first = sizes.select("shard", "piece", (F.sum("n").over(
         Window.partitionBy("shard").orderBy("piece")) - F.col("n")).alias("first"))
-    inside = Window.partitionBy("shard", "piece").orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("shard", "piece").orderBy(*cols, "part").rowsBetween(Window.unboundedPreceding, 0)
     placed = (rows.withColumn("until", F.sum("copies").over(inside))
               .join(F.broadcast(first), ["shard", "piece"])  # at most shards x SLOT_GROUPS rows
               .withColumn("from", F.col("first") + F.col("until") - F.col("copies")))

@@ -62,3 +62,14 @@ def test_plan_has_no_python(spark):
 
 def test_empty_table(spark):
     assert rendezvous.documents_by_key(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_row_that_repeats_very_often_is_expanded_in_parts(spark, monkeypatch):
+    from tessera.llm import common
+    monkeypatch.setattr(common, "SPAN", 7)
+    docs = documents(spark, ["same"] * 1000 + ["x"] * 7 + ["y"] * 8 + ["z"], [42] * 1000 + [1] * 7 + [2] * 8 + [3])
+    parts = common.counted(docs, "doc_id").collect()
+    assert max(r.copies for r in parts) == 7 and len([r for r in parts if r.doc_id == 42]) == 143
+    got = rendezvous.documents_by_key(docs).collect()
+    check(got)
+    assert Counter(r.doc_id for r in got) == {42: 1000, 1: 7, 2: 8, 3: 1}
