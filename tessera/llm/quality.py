@@ -6,7 +6,8 @@ their counts, scaled to length 1.  Scoring is a sparse dot product and a sigmoid
 
 The model is fitted on at most MAX_TRAINING labelled documents, chosen by a hash of
 doc_id among the labelled ones outside the held-out fold.  Labels that are null are
-left out; a doc_id with several labels takes their mean, 1 from 0.5 on.  With no usable
+left out; a doc_id with several labels takes their mean, 1 from 0.5 on, and one with
+several texts is learned by the text of least hash.  With no usable
 label every weight is 0 and every score 0.5.  Null and empty texts have no feature and
 get the bias's score.  Rows with a null doc_id are scored and count as held out.  The
 input's other columns are never read.
@@ -87,9 +88,9 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, bound: int = MAX_T
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [features(t, bits) for t in batch.column(1).to_pylist()]
+            got = [features(t, bits) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array([i.astype("<i4").tobytes() for i, _ in got], pa.binary()),
+                [batch.column(0), batch.column(1), pa.array([i.astype("<i4").tobytes() for i, _ in got], pa.binary()),
                  pa.array([v.astype("<f8").tobytes() for _, v in got], pa.binary())], ["doc_id", "label", "ids", "vals"])
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,11 +102,13 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, bound: int = MAX_T
                 model.learn(np.frombuffer(r["ids"], "<i4"), np.frombuffer(r["vals"], "<f8"), r["label"])
         yield pa.RecordBatch.from_arrays([pa.array([model.weights().tobytes()], pa.binary())], ["weights"])
 
-    sample = stored(docs.select("doc_id", F.col("text").cast("string").alias("text"))
-                    .join(F.broadcast(chosen), "doc_id")  # at most ``bound`` rows
-                    .mapInArrow(lean(extract, 1), "doc_id long, label double, ids binary, vals binary"), "quality-sample")
-    # repeated documents: one row each, so the sample keeps its bound
-    sample = sample.dropDuplicates(["doc_id"]).repartition(1).sortWithinPartitions("doc_id")
+    # repeated documents: one row each, the same in every partitioning, so the sample keeps its bound
+    one = (docs.select("doc_id", F.col("text").cast("string").alias("text"))
+           .join(F.broadcast(chosen), "doc_id")  # at most ``bound`` rows
+           .groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least")))
+    sample = stored(one.select("doc_id", "label", "least.text")
+                    .mapInArrow(lean(extract, 2), "doc_id long, label double, ids binary, vals binary"), "quality-sample")
+    sample = sample.repartition(1).sortWithinPartitions("doc_id")
     got = sample.mapInArrow(lean(train), "weights binary").collect()
     return np.frombuffer(got[0].weights) if got else np.zeros((1 << bits) + 1)
 

@@ -50,3 +50,38 @@ def test_updates_separate_two_words():
     w = model.weights()
     score = {t: quality.sigmoid(float(w[i] @ v)) for t in ("clean text", "junk junk") for i, v in [quality.features(t)]}
     assert score["clean text"] > 0.8 and score["junk junk"] < 0.2
+
+
+def test_several_texts_of_a_doc_id_are_learned_alike_in_every_partitioning(spark):
+    docs = documents(spark, [f"w{n % 50} v{n} u{n * 7 % 13}" for n in range(400)], [n % 100 for n in range(400)])
+    labels = spark.createDataFrame([(n, n % 2, 0) for n in range(100)], LABELS)
+    one, *more = [quality.fit(docs.repartition(k), labels) for k in (1, 3, 8)]
+    assert one.any() and all(np.array_equal(one, w) for w in more)
+
+
+def test_query_against_plain_updates(spark):
+    """The query's scores, by an independent dictionary-based run of the same updates."""
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.001/labels.parquet").collect()}
+    order = sorted(i for i in labels if i in docs and labels[i] is not None and zlib.crc32(str(i).encode()) % 5)
+    vectors = {i: dict(zip(*(a.tolist() for a in quality.features(t)))) for i, t in docs.items()}
+    z, n = {}, {}
+
+    def weight(k):
+        if abs(z.get(k, 0.0)) <= quality.L1:
+            return 0.0
+        sign = 1.0 if z[k] > 0 else -1.0
+        return (sign * quality.L1 - z[k]) / ((quality.BETA + n[k] ** 0.5) / quality.ALPHA + quality.L2)
+
+    def chance(x):
+        return 1 / (1 + np.exp(-sum(weight(k) * v for k, v in x.items())))
+    for turn in range(quality.PASSES):
+        for at in np.random.default_rng(turn).permutation(len(order)):
+            x = vectors[order[at]]
+            error = chance(x) - labels[order[at]]
+            for k, w, v in [(k, weight(k), v) for k, v in x.items()]:
+                g = error * v
+                z[k] = z.get(k, 0.0) + g - ((n.get(k, 0.0) + g * g) ** 0.5 - n.get(k, 0.0) ** 0.5) / quality.ALPHA * w
+                n[k] = n.get(k, 0.0) + g * g
+    got = queries.QUERIES["op4_quality"](spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == len(docs) and all(abs(r.score - chance(vectors[r.doc_id])) < 1e-6 for r in got)
