@@ -6,7 +6,8 @@ key.  Pages are cut into ranges of the sorted keys (a key that many pages share
 too, by a hash of the page); a rule goes to every range its interval meets.  Each range
 is swept in key order with a stack of the rules' hosts that hold the current key; the
 innermost host with a rule whose path the page's path starts with decides, and there the
-longest path.  Equal rules: block wins.
+longest path.  Equal rules: block wins.  Equal pages are counted first and expanded last, in
+parts of bounded size.
 
 Rules without a host or a verdict are ignored; a null path is empty.  A null url, or one
 without "://", has an empty host and path and no rule.  Pages without a rule get
@@ -23,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import counted, stored
+
 DEFAULT = "allow"
 SAMPLE_PER_RANGE = 32      # keys looked at per range, for the cuts only
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -79,11 +82,15 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFr
     """(page_id, host, path, rule, verdict) of every page; ``rules(host, path, verdict)``."""
     spark = pages.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    points = split_url(pages).select(
+    points = stored(counted(split_url(pages).select(F.col("page_id").cast("long").alias("page_id"), "host", "path"),
+                            "page_id", "host", "path").select(
         # the tie after the host's key cuts a host that many pages share
-        F.concat(_host_key(F.col("host")), F.lit("\u0001"), F.hex(F.xxhash64("page_id", "path"))).alias("key"),
-        F.col("page_id").cast("long").alias("page_id"), "host", "path")
-    sample = sorted(r.key for r in points.select("key").orderBy(F.xxhash64("key")).limit(ranges * SAMPLE_PER_RANGE).collect())
+        F.concat(_host_key(F.col("host")), F.lit("\u0001"), F.hex(F.xxhash64("page_id", "path", "part"))).alias("key"),
+        "page_id", "host", "path", "copies"), "points")
+    # a sample of about SAMPLE_PER_RANGE keys per range, by a threshold on a hash of the (distinct) keys
+    share = min(1.0, ranges * SAMPLE_PER_RANGE / max(1, points.count()))
+    chosen = F.pmod(F.xxhash64(F.lit(11), "key"), F.lit(1 << 30)) < int(share * (1 << 30))
+    sample = sorted(r.key for r in points.where(chosen).select("key").collect())
     cuts = sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)}) if sample else []
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,25 +113,28 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFr
               .select("key", "path", F.concat("host", "path").alias("rule"), "verdict"))
     rule_rows = opened.mapInArrow(spread, "reach int, key string, path string, rule string, verdict string").select(
         "reach", "key", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("page_id"),
-        F.lit(None).cast("string").alias("host"), "path", "rule", "verdict")
-    page_rows = points.mapInArrow(place, "reach int, key string, page_id long, host string, path string").select(
+        F.lit(None).cast("string").alias("host"), "path", "rule", "verdict", F.lit(0).cast("long").alias("copies"))
+    page_rows = points.mapInArrow(place, "reach int, key string, page_id long, host string, path string, copies long").select(
         "reach", "key", F.lit(1).alias("kind"), "page_id", "host", "path",
-        F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict"))
+        F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict"), "copies")
 
     def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, state = None, Sweep()
         for batch in batches:
             out = []
-            for reach, key, kind, page_id, host, path, rule, verdict in zip(*(c.to_pylist() for c in batch.columns)):
+            for reach, key, kind, page_id, host, path, rule, verdict, copies in zip(*(c.to_pylist() for c in batch.columns)):
                 if reach != at:
                     at, state = reach, Sweep()
                 if kind == 0:
                     state.open(key, path, rule, verdict)
                 else:
-                    out.append((page_id, host, path, *(state.judge(key, path) or (None, default))))
-            cols = list(zip(*out)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *(pa.array(c, pa.string()) for c in cols[1:])],
-                                             ["page_id", "host", "path", "rule", "verdict"])
-
-    return (rule_rows.union(page_rows).repartition(ranges, "reach").sortWithinPartitions("reach", "key", "kind")
-            .mapInArrow(sweep, "page_id long, host string, path string, rule string, verdict string"))
+                    out.append((page_id, host, path, *(state.judge(key, path) or (None, default)), copies))
+            cols = list(zip(*out)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *(pa.array(c, pa.string()) for c in cols[1:5]),
+                                              pa.array(cols[5], pa.int64())],
+                                             ["page_id", "host", "path", "rule", "verdict", "copies"])
+
+    swept = (rule_rows.union(page_rows).repartitionById(ranges, F.col("reach")).sortWithinPartitions("reach", "key", "kind")
+             .mapInArrow(sweep, "page_id long, host string, path string, rule string, verdict string, copies long"))
+    # equal pages stand again as often as they came, at most SPAN of them at a place
+    return swept.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("__copy", "copies")

@@ -62,3 +62,25 @@ def test_query_against_brute_force(spark):
     got = sorted(queries.QUERIES["op8_url_rules"](spark, SF).collect())
     urls = sorted(spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url").collect())
     assert [tuple(r) for r in got] == [(u.page_id, *brute(u.url, queries.URL_RULES)) for u in urls]
+
+
+def test_repeated_pages_and_even_ranges(spark, monkeypatch):
+    """A page that stands very often is split into parts; ranges hold about the same number of pages."""
+    from tessera.llm import common
+    monkeypatch.setattr(common, "SPAN", 50)
+    rules = spark.createDataFrame(queries.URL_RULES, "host string, path string, verdict string")
+    rows_in = [(7, "http://hot.org/es/a")] * 2000 + [(n, f"http://h{n % 9}.example.org/es/{n}") for n in range(100, 4100)]
+    table = spark.createDataFrame(rows_in, "page_id long, url string")
+    got = url_rules.judged(table, rules).collect()
+    assert sorted((r.page_id, r.rule) for r in got) == sorted(
+        (i, "org/" if i == 7 else "example.org/es/") for i, _ in rows_in)
+    from pyspark.sql import functions as F
+    sizes = [r["count"] for r in url_rules.judged(table, rules).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 4 * 6000 / 8
+
+
+def test_clashing_columns(spark):
+    from helpers import clashing
+    rules = spark.createDataFrame(queries.URL_RULES, "host string, path string, verdict string")
+    table = clashing(pages(spark, ["http://org/a"])).selectExpr("*", "1 host", "2 path", "3 rule", "4 reach", "5 copies")
+    assert [r.rule for r in url_rules.judged(table, rules).collect()] == ["org/"]
