@@ -51,7 +51,8 @@ class CharacterMap:
         if not self.trie:
             return None
         node, found = self._offset(self.trie[0]), None
-        for length, byte in enumerate(raw[at: at + 64], 1):
+        for length in range(1, len(raw) - at + 1):
+            byte = raw[at + length - 1]
             node ^= byte
             if node >= len(self.trie):
                 break

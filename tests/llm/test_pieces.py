@@ -76,3 +76,23 @@ def test_query_against_the_library(spark, encoder):
         want.append((r.doc_id, len(ids), sha(" ".join(map(str, ids))), sha(encoder.library.decode(ids))))
     got = queries.QUERIES["op9_pieces"](spark, SF).drop("spans_crc32").collect()
     assert sorted(map(tuple, got)) == want
+
+
+def _chain(key: bytes) -> bytes:
+    """A compiled map of the one rule key -> "!": the children of the n-th node lie in block n + 1."""
+    units, node = {0: 0x100 << 10}, 0x100
+    for n, byte in enumerate(key):
+        at, following = node ^ byte, 0x100 * (n + 2)
+        units[at] = byte | (at ^ following) << 10 | (0x100 if n == len(key) - 1 else 0)
+        node = following
+    units[node] = 0x80000000  # the replacement starts at 0
+    blob = b"".join(units.get(i, 0xFF).to_bytes(4, "little") for i in range(node + 1))
+    return len(blob).to_bytes(4, "little") + blob + b"!\0"
+
+
+@pytest.mark.parametrize("length", [3, 64, 65, 200])
+def test_long_keys_of_a_character_map_are_found(length):
+    key = bytes(65 + i % 26 for i in range(length))
+    rules = pieces.CharacterMap(_chain(key))
+    assert rules.longest(b"__" + key + b"x", 2) == (b"!", length)
+    assert rules.longest(key[:-1], 0) is None and rules.longest(b"", 0) is None
