@@ -2,7 +2,8 @@
 
 Whole texts never meet in one place.  Every 200-byte string holds 101 windows of 100
 bytes, and the window of least hash (the leftmost of them) is its anchor; equal strings
-have equal anchors.  Steps, all over the whole input:
+have equal anchors.  Rows that are alike (doc_id and text) are one row with a number of
+copies from the start; all its strings occur again.  Steps, all over the whole input:
 
 1. anchors of every text; a shuffle by anchor hash finds those that occur twice
    (anchors a map task sees twice are counted there first, so a hot one costs a row);
@@ -12,10 +13,11 @@ have equal anchors.  Steps, all over the whole input:
    ranks), scans it with a stack for the intervals of common prefixes of 200 bytes or
    more and keeps those whose occurrences differ in the byte to their left: the maximal
    repeats, each with all its occurrences;
-4. their byte ranges go back to the texts, keyed by a hash of the row.
+4. their byte ranges go back to the texts, keyed by a 128-bit hash of the row.
 
-Anchors with more than HOT occurrences would gather in one bucket; their 200-byte strings
-are instead counted by 128-bit hash, spread by that hash and pre-aggregated per task.
+Anchors with more than HOT occurrences would gather in one bucket; a join tells which they
+are, and their 200-byte strings are instead counted by 128-bit hash, spread by that hash and
+pre-aggregated per task.
 
 Null texts count as empty.  Matches never cross rows; repeated rows count as two
 occurrences.  Rows with a null doc_id take part like any other.  An empty table gives no
@@ -33,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import SPAN as COPIES
 from tessera.llm.common import lean, slices, stored, text_bytes
 
 MATCH = 200
@@ -213,10 +216,10 @@ def maximal_repeats(texts: list[bytes], least: int = MATCH) -> Repeats:
 
 # ------------------------------------------------------------------ the distributed steps
 
-def _key(doc_id: int | None, raw: bytes) -> int:
-    """A key of the row; rows that are alike share it, and share every answer."""
-    from xxhash import xxh3_64_intdigest
-    return xxh3_64_intdigest(raw, 0 if doc_id is None else (2 * doc_id + 1) & 0xFFFFFFFFFFFFFFFF)
+def _key(doc_id: int | None, raw: bytes) -> bytes:
+    """A 128-bit key of the row; rows that are alike share it, and share every answer."""
+    from xxhash import xxh3_128_digest
+    return xxh3_128_digest(raw, 0 if doc_id is None else (2 * doc_id + 1) & 0xFFFFFFFFFFFFFFFF)
 
 
 def _source(docs: DataFrame) -> DataFrame:
@@ -225,7 +228,8 @@ def _source(docs: DataFrame) -> DataFrame:
 
 PACKED = "bucket int, kind int, id binary, ref binary"
 ONCE, KNOWN, COUNT = 0, 1, 2
-ID = np.dtype([("a", "<u8"), ("b", "<u8")])
+ID = np.dtype([("a", "<u8"), ("b", "<u8")])             # 128-bit hash of a string or a row
+REF = np.dtype([("a", "<u8"), ("b", "<u8"), ("start", "<i8")])
 
 
 def _packed(ids: np.ndarray, refs: np.ndarray, buckets: int) -> list[tuple[int, int, bytes, bytes]]:
@@ -237,9 +241,8 @@ def _packed(ids: np.ndarray, refs: np.ndarray, buckets: int) -> list[tuple[int,
     _, where, inverse, count = np.unique(ids, return_index=True, return_inverse=True, return_counts=True)
     once = count[inverse] == 1
     lead = ids["a"] if ids.dtype == ID else ids
-    ref = refs["key"] if refs.dtype.names else refs
     out, many = [], where[count > 1]
-    for kind, i, r, by in ((ONCE, ids[once], refs[once], lead[once]), (KNOWN, ids[~once], refs[~once], ref[~once]),
+    for kind, i, r, by in ((ONCE, ids[once], refs[once], lead[once]), (KNOWN, ids[~once], refs[~once], refs["a"][~once]),
                            (COUNT, ids[many], count[count > 1].astype("<u8"), lead[many])):
         bucket = (by.astype(np.uint64) >> np.uint64(7)) % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
@@ -274,8 +277,9 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield held
 
 
-def _repeated(t: pa.Table, id_kind, ref_kind) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, refs) of a bucket's occurrences of repeated ids; then (id, count) of those ids."""
+def _repeated(t: pa.Table, id_kind, ref_kind) -> tuple[np.ndarray, ...]:
+    """Occurrences of a bucket's repeated ids: (ids, refs, totals) of those its own slice saw once, (ids, refs)
+    of those known to repeat; then (id, total) of the ids that are counted here."""
     def part(kind: int, column: str, dtype) -> np.ndarray:
         return np.frombuffer(b"".join(t[column].filter(pa.array(t["kind"].to_numpy() == kind)).to_pylist()), dtype)
 
@@ -283,65 +287,118 @@ def _repeated(t: pa.Table, id_kind, ref_kind) -> tuple[np.ndarray, np.ndarray, n
     told, times = part(COUNT, "id", id_kind), part(COUNT, "ref", "<u8")
     value, inverse = np.unique(np.concatenate([ids, told]), return_inverse=True)
     total = np.bincount(inverse, np.concatenate([np.ones(len(ids)), times.astype(float)]), len(value))
-    again = total[inverse[: len(ids)]] > 1
-    return (np.concatenate([ids[again], part(KNOWN, "id", id_kind)]),
-            np.concatenate([refs[again], part(KNOWN, "ref", ref_kind)]), value[total > 1], total[total > 1])
+    all_of = total[inverse[: len(ids)]]
+    again = all_of > 1
+    return (ids[again], refs[again], all_of[again], part(KNOWN, "id", id_kind), part(KNOWN, "ref", ref_kind),
+            value[total > 1], total[total > 1])
 
 
-def _by_key(keys: np.ndarray, values: np.ndarray) -> list[tuple[int, bytes]]:
+def _by_key(keys: np.ndarray, values: np.ndarray) -> list[tuple[bytes, bytes]]:
     """(key, its values packed)."""
-    order = np.argsort(keys, kind="stable")
+    order = np.lexsort((keys["b"], keys["a"]))
     keys, values = keys[order], values[order]
-    cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-    return [(int(k[0].astype(np.int64)), v.tobytes()) for k, v in zip(np.split(keys, cuts), np.split(values, cuts)) if len(k)]
-
-
-def _repeated_anchors(docs: DataFrame, buckets: int) -> DataFrame:
-    """(key, anchors, count): of each row the anchors that occur again, packed, by bucket;
-    and with a null key each anchor with more than HOT occurrences."""
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), text_bytes(batch.column(1))
-            for lo, hi in slices((len(t) for t in texts), SLICE_BYTES):
-                found = []
-                for t in texts[lo:hi]:
-                    value, _, _, periodic = anchors(np.frombuffer(t, np.uint8))
-                    found.append(np.concatenate([value, value[periodic]]))  # counts as a repeat
-                keys = np.array([_key(i, t) for i, t in zip(ids[lo:hi], texts[lo:hi])], np.uint64)
-                yield _batch(_packed(np.concatenate(found), np.repeat(keys, [len(f) for f in found]), buckets),
-                             PACKED_KINDS)
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = {"key": pa.int64(), "anchors": pa.binary(), "count": pa.int64()}
-        for t in _buckets(batches):
-            ids, keys, value, total = _repeated(t, "<u8", "<u8")
-            rows = [(k, v, None) for k, v in _by_key(keys, ids)]
-            rows += [(None, value[i].tobytes(), int(total[i])) for i in np.flatnonzero(total > HOT)]
-            yield _batch(rows, kinds)
-
-    return (_source(docs).mapInArrow(lean(ask), PACKED).repartition(buckets // PER_PARTITION, "bucket").sortWithinPartitions("bucket")
-            .mapInArrow(lean(answer), "key long, anchors binary, count long"))
+    cuts = np.flatnonzero((keys["a"][1:] != keys["a"][:-1]) | (keys["b"][1:] != keys["b"][:-1])) + 1
+    edges = [0, *cuts.tolist(), len(keys)]
+    names = keys[["a", "b"]].astype(ID)
+    return [(names[lo].tobytes(), values[lo:hi].tobytes()) for lo, hi in zip(edges, edges[1:]) if hi > lo]
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """(key, doc, text) with the text compressed for the way."""
+    """(key, text, doc) with the text compressed for the way."""
     import zstandard as zstd
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstd.ZstdCompressor(level=1)
         for batch in batches:
             raw = text_bytes(batch.column(1))
-            keys = np.array([_key(i, t) for i, t in zip(batch.column(0).to_pylist(), raw)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), batch.column(0), pa.array([press.compress(t) for t in raw], pa.binary())],
-                ["key", "doc", "text"])
+                [pa.array([_key(i, t) for i, t in zip(batch.column(0).to_pylist(), raw)], pa.binary()),
+                 pa.array([press.compress(t) for t in raw], pa.binary()), batch.column(0)], ["key", "text", "doc"])
+
+    return _source(docs).mapInArrow(lean(run, 1), "key binary, text binary, doc long")
 
-    return _source(docs).mapInArrow(lean(run, 1), "key long, doc long, text binary")
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(key, doc) of every row; the key as 32 hex digits, as in ``repeat_groups``."""
+    return _keys(docs).select(F.lower(F.hex("key")).alias("key"), "doc")
 
 
-STRETCHES = "bucket int, anchors binary, sizes binary, body binary, refs binary"
-REF = np.dtype([("key", "<u8"), ("start", "<i8")])
-PLACE = np.dtype([("text", "<i8"), ("key", "<u8"), ("start", "<i8")])
+def _keys(docs: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [_key(i, t) for i, t in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)))]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), batch.column(0)], ["key", "doc"])
+
+    return _source(docs).mapInArrow(lean(run, 1), "key binary, doc long")
+
+
+def _distinct(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """(key, text, doc, copies): one row for all that are alike; and whether any are.
+
+    Only keys are counted; texts move only where rows are alike, and leave in the first
+    task that sees two of them.
+    """
+    alike = stored(_keys(docs).groupBy("key").agg(F.count("*").alias("copies")).where("copies > 1"), "alike")
+    rows = _rows(docs)
+    if alike.isEmpty():
+        return rows.withColumn("copies", F.lit(1).cast("long")), False
+    many = stored(rows.join(alike, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"), F.first("doc").alias("doc"))
+                  .join(alike, "key"), "copied")
+    return rows.join(alike, "key", "left_anti").withColumn("copies", F.lit(1).cast("long")).unionByName(many), True
+
+
+def _repeated_anchors(rows: DataFrame, buckets: int) -> DataFrame:
+    """(key, anchors, hot): of each row the anchors that occur again, packed, by bucket, where it is
+    not known yet if they are hot with a null; and with a null key each hot anchor."""
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, copies = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            texts = list(_plain(batch.column(1)))
+            for lo, hi in slices((len(t) for t in texts), SLICE_BYTES):
+                found = []
+                for t, n in zip(texts[lo:hi], copies[lo:hi]):
+                    value, _, _, periodic = anchors(np.frombuffer(t, np.uint8))
+                    found.append(np.concatenate([value, value if n > 1 else value[periodic]]))  # counts as a repeat
+                refs = np.repeat(np.frombuffer(b"".join(keys[lo:hi]), ID), [len(f) for f in found])
+                yield _batch(_packed(np.concatenate(found), refs, buckets), PACKED_KINDS)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = {"key": pa.binary(), "anchors": pa.binary(), "hot": pa.bool_()}
+        for t in _buckets(batches):
+            ids, keys, total, known, known_keys, value, count = _repeated(t, "<u8", ID)
+            hot = total > HOT
+            rows = [(k, v, False) for k, v in _by_key(keys[~hot], ids[~hot])]
+            rows += [(k, v, True) for k, v in _by_key(keys[hot], ids[hot])]
+            rows += [(k, v, None) for k, v in _by_key(known_keys, known)]
+            rows += [(None, v.tobytes(), True) for v in value[count > HOT]]
+            yield _batch(rows, kinds)
+
+    return (rows.select("key", "text", "copies").mapInArrow(lean(ask, 1), PACKED)
+            .repartition(buckets // PER_PARTITION, "bucket").sortWithinPartitions("bucket")
+            .mapInArrow(lean(answer), "key binary, anchors binary, hot boolean"))
+
+
+def _found(rows: DataFrame, buckets: int) -> DataFrame:
+    """(key, text, copies, warm, hot) of the rows with anchors that occur again, by their kind."""
+    again = stored(_repeated_anchors(rows, buckets), "anchors")
+    hot = stored(again.where("key is null").select(F.col("anchors").alias("anchor")), "hot")
+    told = again.where("key is not null")
+    if hot.isEmpty():
+        told = told.withColumn("hot", F.lit(False))
+    else:
+        one = told.where("hot is null").select("key", F.explode(F.expr(
+            "transform(sequence(1, length(anchors), 8), i -> substring(anchors, i, 8))")).alias("anchor"))
+        judged = one.join(hot.withColumn("hot", F.lit(True)), "anchor", "left").select(
+            "key", F.col("anchor").alias("anchors"), F.coalesce("hot", F.lit(False)).alias("hot"))
+        told = told.where("hot is not null").union(judged)
+    hits = told.groupBy("key").agg(F.collect_list(F.when(~F.col("hot"), F.col("anchors"))).alias("warm"),
+                                   F.collect_list(F.when(F.col("hot"), F.col("anchors"))).alias("hot"))
+    return rows.select("key", "text", "copies").join(hits, "key").select("key", "text", "copies", "warm", "hot")
+
+
+STRETCHES = "bucket int, kind int, id binary, ref binary, sizes binary, body binary"
+STRETCH = 3                # the kind of rows that hold stretches; the others hold hot strings
+PLACE = np.dtype([("text", "<i8"), ("a", "<u8"), ("b", "<u8"), ("start", "<i8"), ("times", "<i8")])
 SPAN = np.dtype([("start", "<i8"), ("stop", "<i8")])
 
 
@@ -351,80 +408,141 @@ def _plain(column) -> Iterator[bytes]:
     return (unpress.decompress(t) for t in column.to_pylist())
 
 
-def _cut(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes, int, int, int]]:
-    """(key, text, anchor, first start, last start) of the batch's repeated anchors."""
-    for key, raw, packs in zip(batch.column(0).to_numpy().view(np.uint64).tolist(), _plain(batch.column(1)),
-                               batch.column(2).to_pylist()):
+def _cut(batch: pa.RecordBatch) -> Iterator[tuple[bytes, int, bytes, bool, int, int, int]]:
+    """(key, 1 or 2 for more copies, text, hot, anchor, first start, last start) of the batch's repeated anchors."""
+    for key, raw, copies, warm, hot in zip(batch.column(0).to_pylist(), _plain(batch.column(1)),
+                                           *(batch.column(n).to_pylist() for n in (2, 3, 4))):
         value, first, last, _ = anchors(np.frombuffer(raw, np.uint8))
-        ok = np.flatnonzero(np.isin(value, np.frombuffer(b"".join(packs), "<u8")))
-        for v, lo, hi in zip(value[ok].tolist(), first[ok].tolist(), last[ok].tolist()):
-            yield key, raw, v, lo, hi
+        for flag, packs in ((False, warm), (True, hot)):
+            ok = np.flatnonzero(np.isin(value, np.frombuffer(b"".join(packs), "<u8")))
+            for v, lo, hi in zip(value[ok].tolist(), first[ok].tolist(), last[ok].tolist()):
+                yield key, min(copies, 2), raw, flag, v, lo, hi
 
 
-def _warm_spans(found: DataFrame, hot: set[int], buckets: int, groups: bool = False) -> DataFrame:
-    """(key, spans) of the maximal repeats among the stretches of the anchors that are not hot;
-    as ``groups`` a row (repeat, length, key, start) for each occurrence of each of them."""
+def _solved(found: DataFrame, buckets: int, groups: bool = False) -> DataFrame:
+    """(key, spans) of the repeats; as ``groups`` a row (repeat, length, key, start) for each occurrence of each.
+
+    Stretches of warm anchors meet in the anchor's bucket, hashes of hot strings in buckets of their own.
+    """
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_128_digest
+        kinds = {"bucket": pa.int32(), "kind": pa.int32()} | dict.fromkeys(("id", "ref", "sizes", "body"), pa.binary())
+
+        def strings(ids: list[bytes], refs: list[tuple[bytes, int]]) -> pa.RecordBatch:
+            places = np.zeros(len(refs), REF)
+            keys = np.frombuffer(b"".join(k for k, _ in refs), ID)
+            places["a"], places["b"], places["start"] = keys["a"], keys["b"], [p for _, p in refs]
+            return _batch([(buckets + b, kind, i, r, None, None) for b, kind, i, r in
+                           _packed(np.frombuffer(b"".join(ids), ID), places, buckets)], kinds)
+
+        ids, refs = [], []
         for batch in batches:
             at: dict[int, tuple[dict[bytes, int], list, list]] = {}
-            for key, raw, v, lo, hi in _cut(batch):
-                if v in hot:
+            for key, times, raw, hot, v, lo, hi in _cut(batch):
+                if hot:
+                    for p in range(lo, hi + 1):
+                        ids += [xxh3_128_digest(raw[p: p + MATCH])] * times
+                        refs += [(key, p)] * times
+                    if len(ids) > 500_000:
+                        yield strings(ids, refs)
+                        ids, refs = [], []
                     continue
-                known, values, refs = at.setdefault((v >> 7) % buckets, ({}, [], []))
+                known, values, places = at.setdefault((v >> 7) % buckets, ({}, [], []))
                 text = raw[lo: hi + MATCH]
                 number = known.setdefault(text, len(known))
                 if number == len(values):
                     values.append(v)
-                refs.append((number, key, lo))
-            rows = [(b, np.array(values, "<u8").tobytes(), np.array([len(x) for x in known], "<i8").tobytes(),
-                     b"".join(known), np.array(refs, PLACE).tobytes()) for b, (known, values, refs) in at.items()]
-            yield _batch(rows, {"bucket": pa.int32()} | dict.fromkeys(("anchors", "sizes", "body", "refs"), pa.binary()))
+                places.append((number, *np.frombuffer(key, "<u8").tolist(), lo, times))
+            yield _batch([(b, STRETCH, np.array(values, "<u8").tobytes(), np.array(places, PLACE).tobytes(),
+                           np.array([len(x) for x in known], "<i8").tobytes(), b"".join(known))
+                          for b, (known, values, places) in at.items()], kinds)
+        yield strings(ids, refs)
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _buckets(batches):
-            known: dict[bytes, int] = {}
-            values, refs = [], []
-            for row in t.to_pylist():
-                stops = np.cumsum(np.frombuffer(row["sizes"], "<i8")).tolist()
-                numbers = []
-                for v, lo, hi in zip(np.frombuffer(row["anchors"], "<u8").tolist(), [0, *stops], stops):
-                    text = row["body"][lo:hi]
-                    numbers.append(known.setdefault(text, len(known)))
-                    if numbers[-1] == len(values):
-                        values.append(v)
-                some = np.frombuffer(row["refs"], PLACE).copy()
-                some["text"] = np.array(numbers, np.int64)[some["text"]]
-                refs.append(some)
-            places = np.concatenate(refs)
-            if groups:
-                yield from _occurrences(list(known), np.array(values, np.uint64), places)
-                continue
-            spans = _stretch_spans(list(known), np.array(values, np.uint64),
-                                   np.bincount(places["text"], minlength=len(known)) > 1)
-            # spans of each distinct stretch, moved to every place where it stands
-            spans = spans[np.argsort(spans["text"], kind="stable")]
-            lo, hi = (np.searchsorted(spans["text"], places["text"], side) for side in ("left", "right"))
-            which = np.repeat(np.arange(len(places)), hi - lo)
-            pick = np.arange(len(which)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
-            out = np.zeros(len(which), SPAN)
-            out["start"] = places["start"][which] + spans["start"][pick]
-            out["stop"] = places["start"][which] + spans["stop"][pick]
-            yield _batch(_by_key(places["key"][which], out), {"key": pa.int64(), "spans": pa.binary()})
+            if t["kind"][0].as_py() != STRETCH:
+                ids, refs, _, known, known_refs, _, _ = _repeated(t, ID, REF)
+                ids, refs = np.concatenate([ids, known]), np.concatenate([refs, known_refs])
+                yield from (_hot_occurrences if groups else _hot_ranges)(ids, refs)
+            else:
+                texts, values, places = _joined(t)
+                yield from (_occurrences if groups else _ranges)(texts, values, places)
 
     return (found.mapInArrow(lean(send, 1), STRETCHES).repartition(buckets // PER_PARTITION, "bucket").sortWithinPartitions("bucket")
-            .mapInArrow(lean(solve), GROUPS if groups else "key long, spans binary"))
+            .mapInArrow(lean(solve), GROUPS if groups else "key binary, spans binary"))
+
+
+def _joined(t: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct stretches of a bucket, their anchors, and the places where they stand."""
+    known: dict[bytes, int] = {}
+    values, places = [], []
+    for row in t.to_pylist():
+        stops = np.cumsum(np.frombuffer(row["sizes"], "<i8")).tolist()
+        numbers = []
+        for v, lo, hi in zip(np.frombuffer(row["id"], "<u8").tolist(), [0, *stops], stops):
+            text = row["body"][lo:hi]
+            numbers.append(known.setdefault(text, len(known)))
+            if numbers[-1] == len(values):
+                values.append(v)
+        some = np.frombuffer(row["ref"], PLACE).copy()
+        some["text"] = np.array(numbers, np.int64)[some["text"]]
+        places.append(some)
+    return list(known), np.array(values, np.uint64), np.concatenate(places)
+
+
+SPAN_KINDS = {"key": pa.binary(), "spans": pa.binary()}
+
+
+def _ranges(texts: list[bytes], values: np.ndarray, places: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(key, spans): the ranges of each distinct stretch, moved to every place where it stands."""
+    spans = _stretch_spans(texts, values, np.bincount(places["text"], places["times"], len(texts)) > 1)
+    spans = spans[np.argsort(spans["text"], kind="stable")]
+    lo, hi = (np.searchsorted(spans["text"], places["text"], side) for side in ("left", "right"))
+    which = np.repeat(np.arange(len(places)), hi - lo)
+    pick = np.arange(len(which)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
+    out = np.zeros(len(which), SPAN)
+    out["start"] = places["start"][which] + spans["start"][pick]
+    out["stop"] = places["start"][which] + spans["stop"][pick]
+    yield _batch(_by_key(places[which], out), SPAN_KINDS)
+
+
+def _hot_ranges(ids: np.ndarray, refs: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(key, spans): neighbouring repeated strings of a row become one range."""
+    refs = refs[np.lexsort((refs["start"], refs["b"], refs["a"]))]
+    same = (refs["a"][1:] == refs["a"][:-1]) & (refs["b"][1:] == refs["b"][:-1])
+    new = np.flatnonzero(np.r_[True, ~same | (refs["start"][1:] > refs["start"][:-1] + MATCH)]) if len(refs) else np.zeros(0, int)
+    out = np.zeros(len(new), SPAN)
+    if len(new):
+        out["start"] = refs["start"][new]
+        out["stop"] = refs["start"][np.r_[new[1:], len(refs)] - 1] + MATCH
+    yield _batch(_by_key(refs[new], out), SPAN_KINDS)
+
+
+GROUPS = "repeat string, length long, key string, start long"
+GROUP_ROWS = 1 << 16       # rows of a batch of occurrences, at most about
 
 
-GROUPS = "repeat string, length long, key long, start long"
-GROUP_ROWS = 1 << 16       # rows of a batch of occurrences, at most about
+def _hex(keys: np.ndarray) -> pa.Array:
+    raw = keys[["a", "b"]].astype(ID).tobytes().hex()
+    return pa.array([raw[i: i + 32] for i in range(0, len(raw), 32)], pa.string())
+
+
+def _hot_occurrences(ids: np.ndarray, refs: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """GROUPS rows of the repeated strings of hot anchors, at every place."""
+    first = np.unique(refs, return_index=True)[1]            # rows with copies sent each place twice
+    for lo in range(0, len(first), GROUP_ROWS):
+        some = first[lo: lo + GROUP_ROWS]
+        yield pa.RecordBatch.from_arrays(
+            [_hex(ids[some]), pa.array(np.full(len(some), MATCH, np.int64)), _hex(refs[some]), pa.array(refs["start"][some])],
+            ["repeat", "length", "key", "start"])
 
 
 def _occurrences(texts: list[bytes], values: np.ndarray, places: np.ndarray) -> Iterator[pa.RecordBatch]:
     """GROUPS rows of the stretches' maximal repeats, at every place of a stretch."""
     from xxhash import xxh3_128_hexdigest
 
-    often = np.bincount(places["text"], minlength=len(texts))      # rows that are alike count each
-    places = np.unique(places)
+    often = np.bincount(places["text"], places["times"], len(texts))   # rows that are alike count each
+    places = places[np.argsort(places["text"], kind="stable")]
     low = np.searchsorted(places["text"], np.arange(len(texts)))
     count = np.diff(np.r_[low, len(places)])
     order = np.argsort(values, kind="stable")
@@ -437,7 +555,7 @@ def _occurrences(texts: list[bytes], values: np.ndarray, places: np.ndarray) ->
             pick = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first, many)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name] * len(pick)), pa.array(np.full(len(pick), size, np.int64)),
-                 pa.array(places["key"][pick].view(np.int64)), pa.array(places["start"][pick] + np.repeat(start[lo:hi], many))],
+                 _hex(places[pick]), pa.array(places["start"][pick] + np.repeat(start[lo:hi], many))],
                 ["repeat", "length", "key", "start"])
 
     for lo, hi in slices((sum(len(texts[i]) for i in r.tolist()) for r in runs if len(r)), ARRAY_BYTES):
@@ -474,82 +592,26 @@ def _stretch_spans(texts: list[bytes], values: np.ndarray, repeated: np.ndarray)
     return np.concatenate(out)
 
 
-def _hot_spans(found: DataFrame, hot: set[int], buckets: int) -> DataFrame:
-    """(key, spans) of the repeated strings of the hot anchors, counted by 128-bit hash."""
-    from xxhash import xxh3_128_digest
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(ids: list[bytes], refs: list[tuple[int, int]]) -> pa.RecordBatch:
-            return _batch(_packed(np.frombuffer(b"".join(ids), ID), np.array(refs, REF), buckets), PACKED_KINDS)
-
-        ids, refs = [], []
-        for batch in batches:
-            for key, raw, v, lo, hi in _cut(batch):
-                if v not in hot:
-                    continue
-                for p in range(lo, hi + 1):
-                    ids.append(xxh3_128_digest(raw[p: p + MATCH]))
-                    refs.append((key, p))
-                if len(ids) > 500_000:
-                    yield rows(ids, refs)
-                    ids, refs = [], []
-        yield rows(ids, refs)
-
-    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _buckets(batches):
-            _, refs, _, _ = _repeated(t, ID, REF)
-            refs = np.sort(np.unique(refs), order=["key", "start"])
-            # neighbouring strings of a row become one range
-            new = np.flatnonzero(np.r_[True, (refs["key"][1:] != refs["key"][:-1])
-                                       | (refs["start"][1:] > refs["start"][:-1] + MATCH)]) if len(refs) else np.zeros(0, int)
-            out = np.zeros(len(new), SPAN)
-            out["start"] = refs["start"][new]
-            out["stop"] = refs["start"][np.r_[new[1:], len(refs)] - 1] + MATCH if len(new) else 0
-            yield _batch(_by_key(refs["key"][new], out), {"key": pa.int64(), "spans": pa.binary()})
-
-    return (found.mapInArrow(lean(send, 1), PACKED).repartition(buckets // PER_PARTITION, "bucket").sortWithinPartitions("bucket")
-            .mapInArrow(lean(solve), "key long, spans binary"))
-
-
-HOT_LIST = 10_000_000      # proven bound of the list of hot anchors that every task gets
-
-
-def _found(docs: DataFrame) -> tuple[DataFrame, set[int], int]:
-    """(key, text, anchors) of the rows with anchors that occur again; the hot anchors; buckets."""
-    spark = docs.sparkSession
-    buckets = PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    again = stored(_repeated_anchors(docs, buckets), "anchors")
-    hot = {int.from_bytes(r.anchors, "little") for r in
-           again.where("key is null").orderBy(F.desc("count"), "anchors").limit(HOT_LIST).collect()}
-    hits = again.where("key is not null").groupBy("key").agg(F.collect_list("anchors").alias("anchors"))
-    found = _rows(docs).select("key", "text").join(hits, "key").select("key", "text", "anchors")
-    return found, hot, buckets
+def _bucket_number(docs: DataFrame) -> int:
+    return PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def repeat_groups(docs: DataFrame) -> DataFrame:
     """(repeat, length, key, start): each maximal repeat among the stretches of an anchor, by the
     128-bit hash of its bytes, with all its occurrences; ``key`` is that of ``keyed`` rows.
 
-    A repeat longer than a stretch comes as overlapping pieces, whose union is exact.  The
-    strings of anchors with more than HOT occurrences are not in it.  Rows that are alike
+    A repeat longer than a stretch comes as overlapping pieces, and the repeated strings of anchors
+    with more than HOT occurrences as pieces of MATCH bytes; the union is exact.  Rows that are alike
     share a key: they count as occurrences each, but stand here once.
     """
-    found, hot, buckets = _found(docs)
-    return _warm_spans(found, hot, buckets, groups=True)
-
-
-def keyed(docs: DataFrame) -> DataFrame:
-    """(key, doc) of every row."""
-    return _rows(docs).select("key", "doc")
+    buckets = _bucket_number(docs)
+    return _solved(_found(_distinct(docs)[0], buckets), buckets, groups=True)
 
 
-def repeat_spans(docs: DataFrame) -> DataFrame:
-    """(key, spans): of each row with a repeat, the covered byte ranges, as a list of packed parts."""
-    found, hot, buckets = _found(docs)
-    spans = _warm_spans(found, hot, buckets)
-    if hot:
-        spans = stored(spans, "warm").union(_hot_spans(found, hot, buckets))
-    return stored(spans, "spans").groupBy("key").agg(F.collect_list("spans").alias("spans"))
+def repeat_spans(rows: DataFrame) -> DataFrame:
+    """(key, spans): of each of the ``_distinct`` rows with a repeat, the covered byte ranges, as packed parts."""
+    buckets = _bucket_number(rows)
+    return stored(_solved(_found(rows, buckets), buckets), "spans").groupBy("key").agg(F.collect_list("spans").alias("spans"))
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
@@ -577,17 +639,24 @@ def removals(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(),
-                 "kept_sha256": pa.string()}
+                 "kept_sha256": pa.string(), "copies": pa.int64()}
         for batch in batches:
             rows = []
-            for doc, raw, parts in zip(batch.column(0).to_pylist(), _plain(batch.column(1)), batch.column(2).to_pylist()):
+            for doc, raw, parts, copies in zip(batch.column(0).to_pylist(), _plain(batch.column(1)),
+                                               *(batch.column(n).to_pylist() for n in (2, 3))):
                 spans = _spans(parts)
                 kept = _kept(raw, spans)
-                rows.append((doc, len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
+                rows.append((doc, len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), copies))
             yield _batch(rows, kinds)
 
-    return _rows(docs).join(repeat_spans(docs), "key", "left").select("doc", "text", "spans").mapInArrow(
-        lean(run, 1), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    rows, alike = _distinct(docs)
+    out = rows.join(repeat_spans(rows), "key", "left").select("doc", "text", "spans", "copies").mapInArrow(
+        lean(run, 1), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, copies long")
+    if alike:  # every copy again, in parts that any task may expand
+        part = F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES).cast("long"))
+        out = out.withColumn("part", F.explode(part)).repartition("doc_id", "kept_sha256", "part").withColumn(
+            "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(COPIES).cast("long"), F.col("copies") - F.col("part") * COPIES))))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def _whole_characters(raw: bytes, spans: np.ndarray) -> np.ndarray:
@@ -617,8 +686,8 @@ def cleaned(docs: DataFrame, text: str = "text", size: str = "n_chars") -> DataF
         for batch in batches:
             n = batch.num_columns
             raw = text_bytes(batch.column(n - 1))
-            keys = np.array([_key(i, t) for i, t in zip(batch.column(n - 2).to_pylist(), raw)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: n - 2], pa.array(keys)], [*batch.schema.names[: n - 2], mark])
+            keys = pa.array([_key(i, t) for i, t in zip(batch.column(n - 2).to_pylist(), raw)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: n - 2], keys], [*batch.schema.names[: n - 2], mark])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -631,8 +700,8 @@ def cleaned(docs: DataFrame, text: str = "text", size: str = "n_chars") -> DataF
             columns[names.index(text)] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names[:-1])
 
-    keyed = carried.mapInArrow(lean(tag, -1), docs.select("*", F.lit(0).cast("long").alias(mark)).schema)
-    joined = keyed.join(repeat_spans(source).withColumnRenamed("key", mark).withColumnRenamed("spans", "__repeat_spans"),
+    keyed = carried.mapInArrow(lean(tag, -1), docs.select("*", F.lit(b"").alias(mark)).schema)
+    joined = keyed.join(repeat_spans(_distinct(source)[0]).withColumnRenamed("key", mark).withColumnRenamed("spans", "__repeat_spans"),
                         mark, "left").drop(mark).select(*docs.columns, "__repeat_spans")
     out = joined.mapInArrow(lean(cut, docs.columns.index(text)), docs.schema)
     if size in docs.columns:

@@ -205,7 +205,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     that sees two of them.
     """
     mark = "__simhash_fp"
-    printed = fingerprints(docs, shingle, mark)
+    printed = stored(fingerprints(docs, shingle, mark), "printed")
     groups = classes(printed.select(F.col(mark).alias("fp")), radius)
     keyed = printed.join(groups.withColumnRenamed("fp", mark).withColumnRenamed("root", "__simhash_root"), mark, "left")
     kept = keyed.groupBy(F.coalesce("__simhash_root", mark).alias("__group")).agg(F.min_by(

@@ -87,9 +87,11 @@ def test_removals_equal_brute_force(spark, monkeypatch, hot):
     assert sorted(str(tuple(r)) for r in got.collect()) == brute_rows(ids, texts)
 
 
-def test_groups_hold_all_occurrences_and_cover_the_spans(spark):
+@pytest.mark.parametrize("hot", [4096, 3])
+def test_groups_hold_all_occurrences_and_cover_the_spans(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT", hot)
     texts = passages(4)
-    docs = documents(spark, texts).localCheckpoint()
+    docs = documents(spark, texts)
     raw = {r.key: (texts[r.doc] or "").encode() for r in repeats.keyed(docs).collect()}
     assert len(raw) == len(texts)                                   # one key a row here
     groups = {}
@@ -116,6 +118,41 @@ def test_groups_of_rows_that_are_alike(spark):
     assert set().union(*(range(r.start, r.start + r.length) for r in got)) == set(range(250))
 
 
+def test_groups_of_rows_that_are_alike_with_hot_anchors(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT", 1)
+    test_groups_of_rows_that_are_alike(spark)
+
+
+@pytest.mark.parametrize("hot", [4096, 50, 1])
+def test_rows_that_are_alike_equal_brute_force(spark, monkeypatch, hot):
+    """One row holds a third of the table, with a null doc_id; others repeat in twos and threes."""
+    monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "COPIES", 7)
+    rng = random.Random(11)
+    def prose(n):
+        return "".join(rng.choice("abcdefgh é") for _ in range(n))
+    shared = prose(260)
+    rows = [(None, prose(50) + shared + prose(400))] * 60 + [(k // 2, prose(30) + shared + prose(k)) for k in range(60)]
+    rows += [(7, None), (7, ""), (7, "short"), (7, "short"), (7, prose(199))] + [rows[70]] * 2 + [rows[80], (None, rows[0][1] + "!")]
+    ids, texts = [list(c) for c in zip(*rows)]
+    docs = clashing(documents(spark, texts, ids)).repartition(5)
+    got = repeats.removals(docs)
+    assert sorted(str(tuple(r)) for r in got.collect()) == brute_rows(ids, texts)
+    cut = repeats.cleaned(docs)
+    assert cut.columns == docs.columns and cut.count() == len(rows)
+    assert cut.where("length(text) > 0 and doc_id is null").count() == 1        # what follows the copies' text
+
+
+def test_each_copy_of_a_row_costs_no_more_than_a_number(spark):
+    """The anchors of 20,000 equal rows are sent once."""
+    text = "".join(random.Random(3).choice("abcdefgh ") for _ in range(2_889))
+    docs = spark.range(20_000).selectExpr("cast(null as long) doc_id", f"'{text}' text")
+    rows, alike = repeats._distinct(docs)
+    assert alike and [(r.doc, r.copies) for r in rows.select("doc", "copies").collect()] == [(None, 20_000)]
+    got = repeats.removals(docs).groupBy("n_bytes", "n_removed", "n_spans").count().collect()
+    assert [tuple(r) for r in got] == [(2_889, 2_889, 1, 20_000)]
+
+
 def test_cleaned_keeps_rows_columns_and_characters(spark):
     shared = "é" * 150 + "passage " * 20
     texts = ["ab" + shared + "ü", "ac" + shared + "ä", None, "", "short"]
