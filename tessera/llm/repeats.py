@@ -232,24 +232,30 @@ ID = np.dtype([("a", "<u8"), ("b", "<u8")])             # 128-bit hash of a stri
 REF = np.dtype([("a", "<u8"), ("b", "<u8"), ("start", "<i8")])
 
 
+PACKET = 1 << 16           # occurrences of ids known to repeat that travel as one row
+
+
 def _packed(ids: np.ndarray, refs: np.ndarray, buckets: int) -> list[tuple[int, int, bytes, bytes]]:
     """Occurrences (id, ref) of one slice, packed by bucket.
 
     ids seen once in the slice go to the id's bucket; those seen more often are known to
-    repeat: their occurrences are dealt out by ref, and one count goes to the id's bucket.
+    repeat: one count goes to the id's bucket, their occurrences need not meet any others
+    and travel in packets, in the order of the texts.
     """
     _, where, inverse, count = np.unique(ids, return_index=True, return_inverse=True, return_counts=True)
     once = count[inverse] == 1
     lead = ids["a"] if ids.dtype == ID else ids
     out, many = [], where[count > 1]
-    for kind, i, r, by in ((ONCE, ids[once], refs[once], lead[once]), (KNOWN, ids[~once], refs[~once], refs["a"][~once]),
+    for kind, i, r, by in ((ONCE, ids[once], refs[once], lead[once]),
                            (COUNT, ids[many], count[count > 1].astype("<u8"), lead[many])):
         bucket = (by.astype(np.uint64) >> np.uint64(7)) % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(bucket[order][1:] != bucket[order][:-1]) + 1
         out += [(int(bucket[some[0]]), kind, i[some].tobytes(), r[some].tobytes())
                 for some in np.split(order, cuts) if len(some)]
-    return out
+    ids, refs = ids[~once], refs[~once]
+    return out + [((int(refs["a"][lo]) >> 7) % buckets, KNOWN, ids[lo: lo + PACKET].tobytes(), refs[lo: lo + PACKET].tobytes())
+                  for lo in range(0, len(ids), PACKET)]
 
 
 def _batch(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
@@ -433,7 +439,7 @@ def _solved(found: DataFrame, buckets: int, groups: bool = False) -> DataFrame:
             keys = np.frombuffer(b"".join(k for k, _ in refs), ID)
             places["a"], places["b"], places["start"] = keys["a"], keys["b"], [p for _, p in refs]
             return _batch([(buckets + b, kind, i, r, None, None) for b, kind, i, r in
-                           _packed(np.frombuffer(b"".join(ids), ID), places, buckets)], kinds)
+                           _packed(np.frombuffer(b"".join(ids), ID), places, buckets // PER_PARTITION)], kinds)
 
         ids, refs = [], []
         for batch in batches:
