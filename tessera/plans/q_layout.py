@@ -120,8 +120,10 @@ FLAG_NAMES = [("R", "returned"), ("A", "accepted"), ("N", "none")]
     ON l_returnflag = flag GROUP BY 1
 """)
 def q_src_collection(spark, sf_dir):
-    """A collection of the driver program made into a table and joined."""
-    flags = spark.createDataFrame(FLAG_NAMES, "flag string, flag_name string")
+    """A collection of the driver program made into a table and joined.  It comes from the
+    driver's memory and has no size of its own for the planner: it is broadcast, so that the
+    rows of a flag are not exchanged and sorted in one task."""
+    flags = F.broadcast(spark.createDataFrame(FLAG_NAMES, "flag string, flag_name string"))
     li = Tables(spark, sf_dir).lineitem.select("l_returnflag", "l_quantity")
     return (li.join(flags, li.l_returnflag == flags.flag).groupBy("flag_name")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").cast("bigint").alias("quantity")))

@@ -193,6 +193,17 @@ def test_outer_joins_can_split_a_hot_key(spark, name):
     assert "LeftOuter" not in plan and "RightOuter" not in plan
 
 
+def test_src_collection_broadcasts_the_collection(spark, tmp_path):
+    """A flag's rows are counted where they are read, not exchanged to one task and sorted there."""
+    flags = [None, "N", "N", "R", "X", "A", "N", "A", None]
+    spark.createDataFrame([(i, f, 10.0 + i) for i, f in enumerate(flags)],
+                          "l_orderkey long, l_returnflag string, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    df = queries()["src_collection"](spark, str(tmp_path))
+    plan = _explain(df).split("\n\n")[0]
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("Exchange") == 2
+    assert rows(df) == [("accepted", 2, 32), ("none", 3, 39), ("returned", 1, 13)]
+
+
 def test_next_in_group_exchanges_the_data_once(spark):
     """One range exchange; stitching moves one row per range (a broadcast)."""
     df = spark.range(0, 4000).select((F.col("id") % 7).alias("g"), F.timestamp_seconds("id").alias("ts"), "id", F.col("id").alias("v"))
