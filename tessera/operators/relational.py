@@ -210,12 +210,15 @@ def except_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.subtract(b)
 
 
-def outer_join_split(kept: DataFrame, other: DataFrame, on: Column) -> DataFrame:
-    """``kept LEFT JOIN other ON on``, as an inner join and the rows of ``kept``
-    without a match.
+def outer_join_split(kept: DataFrame, other: DataFrame, kept_key: str, other_key: str) -> DataFrame:
+    """``kept LEFT JOIN other ON kept_key = other_key``, as an inner join and the rows of
+    ``kept`` without a match.
 
     An outer join may not split a hot key on its optional side; the inner
     join may split either side, so a key that many rows of ``other`` share
-    is spread over several tasks (AQE skew join)."""
-    alone = kept.join(other, on, "left_anti")
-    return kept.join(other, on).unionByName(alone, allowMissingColumns=True)
+    is spread over several tasks (AQE skew join).  The rows without a match
+    meet the distinct keys of ``other``, made small in every task, instead of
+    its rows, which a join on the key would sort."""
+    keys = other.select(other_key).distinct()
+    alone = kept.join(keys, kept[kept_key] == keys[other_key], "left_anti")
+    return kept.join(other, kept[kept_key] == other[other_key]).unionByName(alone, allowMissingColumns=True)

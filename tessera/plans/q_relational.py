@@ -278,7 +278,7 @@ def q_join_inner(spark, sf_dir):
 def q_join_left(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return rel.outer_join_split(t.customer.select("c_custkey"), t.orders.select("o_orderkey", "o_custkey"),
-                                F.col("o_custkey") == F.col("c_custkey")).select("c_custkey", "o_orderkey")
+                                "c_custkey", "o_custkey").select("c_custkey", "o_orderkey")
 
 
 @register("join_right", """
@@ -288,8 +288,8 @@ def q_join_left(spark, sf_dir):
 def q_join_right(spark, sf_dir):
     t = Tables(spark, sf_dir)
     l = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_suppkey").distinct()
-    return rel.outer_join_split(t.supplier.select("s_suppkey"), l,
-                                F.col("l_suppkey") == F.col("s_suppkey")).select("o_orderkey", "s_suppkey")
+    return rel.outer_join_split(t.supplier.select("s_suppkey"), l, "s_suppkey", "l_suppkey").select(
+        "o_orderkey", "s_suppkey")
 
 
 @register("join_cogroup", """
