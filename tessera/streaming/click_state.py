@@ -1,15 +1,19 @@
 """The ad-click black list with one state per user.
 
 The rule is that of ``blacklist``: a user's clicks of a batch are judged with the flag as it
-was when the batch began.  Clicks are counted per (user, day, ad) inside their task, so that
-a hot user is a few rows; the state of a user is a flag and a map of running counts, which
-goes once the user is listed.  A batch touches the state of its own users only, so its cost
-does not depend on the batches before it.  Changed counts and newly listed users go out as
-rows; ``tables`` keeps them as keyed logs, whose readers take a snapshot and later deltas.
+was when the batch began.  Clicks are counted per (user, day, ad) inside their task, and a
+user's counts travel as one row of a task, there and back, so that a hot user is a few rows;
+the state of a user is a flag and a map of running counts, which goes once the user is
+listed.  The counts of a month and of ADS ads side by side share an
+entry of the map, since each entry is a call: a user's batch reads and writes the entries of
+its own months, and an entry has a bounded size.  A batch touches the state of its own users
+only, so its cost does not depend on the batches before it.  Changed counts and newly listed
+users go out as rows; ``tables`` keeps them as keyed logs, whose readers take a snapshot and
+later deltas.
 
 ``ttl`` (a duration; processing time) lets the running count of a (day, ad) go that long
 after its last click, which bounds the state of users who are never listed; the result
-tables keep it.
+tables keep it.  Each (day, ad) then has an entry, and with it a time, of its own.
 """
 
 from __future__ import annotations
@@ -17,68 +21,84 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tessera.streaming.blacklist import THRESHOLD
 from tessera.streaming.keyed_log import EVERY, KeyedLog
+from tessera.streaming.panes import counted
 
-COUNTED = "user long, day string, ad long, n long"
-CHANGES = "dt string, userid long, adid long, count long, listed boolean"
+COUNTED = "user long, day array<string>, ad array<long>, n array<long>"
+JUDGED = "userid long, dt array<string>, adid array<long>, count array<long>"
 COUNTS = "dt string, userid long, adid long, count long"
 BLACK = "userid long"
+MONTH = len("yyyy-MM")
+ADS = 64                   # ads of an entry of the state
 
 
 class UserClicks(StatefulProcessor):
-    """Input rows (user, day, ad, n); output rows of CHANGES, ``listed`` ones without a count."""
+    """Input rows of COUNTED; output rows of JUDGED: the changed counts, and a null day if the user gets listed."""
 
     def __init__(self, threshold: int, ttl_ms: int | None = None):
         self.threshold, self.ttl_ms = threshold, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.listed = handle.getValueState("listed", "listed boolean")
-        self.counts = handle.getMapState("counts", "day string, ad long", "n long", self.ttl_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        batch: dict[tuple, int] = {}
-        for part in rows:  # the tasks' partial counts
-            for day, ad, n in zip(part["day"], part["ad"], part["n"]):
-                batch[day, int(ad)] = batch.get((day, int(ad)), 0) + int(n)
+        self.counts = handle.getMapState("counts", "block string", "day array<string>, ad array<long>, n array<long>",
+                                         self.ttl_ms)
+
+    def _block(self, day: str, ad: int) -> str:
+        return f"{day[:MONTH]}/{ad // ADS}" if self.ttl_ms is None else f"{day}/{ad}"
+
+    def _held(self, block: str) -> dict[tuple, int]:
+        if not self.counts.containsKey((block,)):
+            return {}
+        days, ads, ns = self.counts.getValue((block,))
+        return {(day, int(ad)): int(n) for day, ad, n in zip(days, ads, ns)}
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        batch: dict[str, dict[tuple, int]] = {}
+        for row in rows:  # the tasks' partial counts
+            for day, ad, n in zip(row.day, row.ad, row.n):
+                new = batch.setdefault(self._block(day, ad), {})
+                new[day, ad] = new.get((day, ad), 0) + n
         if self.listed.exists():
             return
-        out, over = [], False
-        for (day, ad), n in batch.items():
-            if n < self.threshold:
-                n += int(self.counts.getValue((day, ad))[0]) if self.counts.containsKey((day, ad)) else 0
-                self.counts.updateValue((day, ad), (n,))
-                out.append((day, key[0], ad, n, False))
-            over |= n >= self.threshold
+        out, over, blocks = [], False, {}
+        for block, new in batch.items():
+            added = {at: n for at, n in new.items() if n < self.threshold}
+            over |= len(added) < len(new)
+            if added:
+                held = blocks[block] = self._held(block)
+                for at, n in added.items():
+                    held[at] = n = n + held.get(at, 0)
+                    out.append((*at, n))
+                    over |= n >= self.threshold
         if over:
             self.listed.update((True,))
             self.counts.clear()  # a listed user's clicks count no more
-            out.append((None, key[0], None, None, True))
-        made = pd.DataFrame(out, columns=["dt", "userid", "adid", "count", "listed"])
-        yield made.astype({"userid": "int64", "adid": "Int64", "count": "Int64"})
+            out.append((None, None, None))
+        else:
+            for block, held in blocks.items():
+                self.counts.updateValue((block,), ([d for d, _ in held], [a for _, a in held], list(held.values())))
+        days, ads, ns = (list(column) for column in zip(*out))
+        yield Row(userid=key[0], dt=days, adid=ads, count=ns)
 
     def close(self) -> None:
         pass
 
 
 def click_counts(clicks: DataFrame) -> DataFrame:
-    """Clicks (user, day, ad) counted per task; rows without a user, day or ad count nowhere."""
-    names = ["user", "day", "ad"]
+    """Clicks (user, day, ad) counted per task, a row per user; rows without a user, day or ad count nowhere."""
+    names = ["day", "ad", "n"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            part = pa.Table.from_batches([batch]).append_column("n", pa.array([1] * batch.num_rows, pa.int64()))
-            both = part if held is None else pa.concat_tables([held, part])
-            held = both.group_by(names).aggregate([("n", "sum")]).select([*names, "n_sum"]).rename_columns([*names, "n"])
-        if held is not None:
-            yield from held.to_batches()
+        parts = list(counted(batches, ["user", "day", "ad"]))
+        if parts:
+            users = pa.Table.from_batches(parts).group_by("user", use_threads=False).aggregate([(c, "list") for c in names])
+            yield from users.select(["user", *(f"{c}_list" for c in names)]).rename_columns(["user", *names]).to_batches()
 
     rows = clicks.where("user is not null and day is not null and ad is not null")
     return rows.select(F.col("user").cast("long").alias("user"), F.col("day").cast("string").alias("day"),
@@ -86,10 +106,13 @@ def click_counts(clicks: DataFrame) -> DataFrame:
 
 
 def judged(clicks: DataFrame, threshold: int = THRESHOLD, ttl: datetime.timedelta | None = None) -> DataFrame:
-    """Rows of CHANGES from a stream of clicks, in update mode.  Start the query inside ``panes.keyed_state``."""
+    """Rows (dt, userid, adid, count, listed) from a stream of clicks, in update mode; ``listed``
+    ones have no count.  Start the query inside ``panes.keyed_state``."""
     ms = None if ttl is None else int(ttl.total_seconds() * 1000)
-    return click_counts(clicks).groupBy("user").transformWithStateInPandas(
-        UserClicks(threshold, ms), CHANGES, "Update", "None" if ms is None else "ProcessingTime")
+    changes = click_counts(clicks).groupBy("user").transformWithState(
+        UserClicks(threshold, ms), JUDGED, "Update", "None" if ms is None else "ProcessingTime")
+    return changes.select("userid", F.inline(F.arrays_zip("dt", "adid", "count"))).select(
+        "dt", "userid", "adid", "count", F.col("dt").isNull().alias("listed"))
 
 
 def tables(spark: SparkSession, out: str, every: int = EVERY) -> tuple[KeyedLog, KeyedLog]:
@@ -99,7 +122,7 @@ def tables(spark: SparkSession, out: str, every: int = EVERY) -> tuple[KeyedLog,
 
 
 def sink(spark: SparkSession, out: str, every: int = EVERY) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function over rows of CHANGES."""
+    """foreachBatch function over the rows of ``judged``."""
     counts, black = tables(spark, out, every)
 
     def write(rows: DataFrame, batch_id: int) -> None:

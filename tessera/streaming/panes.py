@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tessera.streaming.replay import session_conf
 
 BLOCK = 32                 # panes of an entry of the state
+MERGE_ROWS = 1 << 16       # rows that a task holds before it counts them, at least
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -111,6 +112,28 @@ class PaneWindows(StatefulProcessor):
         pass
 
 
+def counted(batches: Iterator[pa.RecordBatch], names: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """(names..., n): the rows of a task counted per key.
+
+    Rows are merged into the counts once there are as many of them as counts, so that the
+    counts so far are not gone through again for every batch of rows."""
+    held, fresh, waiting = None, [], 0
+
+    def merged() -> pa.Table:
+        both = pa.concat_tables([*([] if held is None else [held]), *fresh])
+        return both.group_by(names).aggregate([("n", "sum")]).select([*names, "n_sum"]).rename_columns([*names, "n"])
+
+    for batch in batches:
+        fresh.append(pa.Table.from_batches([batch]).append_column("n", pa.array([1] * batch.num_rows, pa.int64())))
+        waiting += batch.num_rows
+        if waiting >= max(MERGE_ROWS, 0 if held is None else held.num_rows):
+            held, fresh, waiting = merged(), [], 0
+    if fresh:
+        held = merged()
+    if held is not None:
+        yield from held.to_batches()
+
+
 def pane_counts(stream: DataFrame, ts: str, slide: str, keys: Sequence[str]) -> DataFrame:
     """(keys..., pane, n): events counted per task, so that a hot key is a few rows."""
     pane = F.window(F.col(ts), slide).start.alias("pane")
@@ -118,15 +141,7 @@ def pane_counts(stream: DataFrame, ts: str, slide: str, keys: Sequence[str]) ->
     names = [*keys, "pane"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            part = pa.Table.from_batches([batch]).append_column("n", pa.array([1] * batch.num_rows, pa.int64()))
-            both = part if held is None else pa.concat_tables([held, part])
-            summed = both.group_by(names).aggregate([("n", "sum")])
-            held = summed.rename_columns([*summed.column_names[:-1], "n"] if summed.column_names[-1] == "n_sum"
-                                         else ["n" if c == "n_sum" else c for c in summed.column_names]).select([*names, "n"])
-        if held is not None:
-            yield from held.to_batches()
+        yield from counted(batches, names)
 
     return rows.mapInArrow(count, T.StructType([*rows.schema.fields, T.StructField("n", T.LongType())]))
 

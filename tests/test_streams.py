@@ -429,3 +429,36 @@ def test_a_queue_goes_on_behind_the_last_finished_batch(spark):
     rp.run_queue(df, "batch", sink, max_batches=2)
     rp.take_queue(df.schema, sink)
     assert rows(rp.read_out().select("id")) == [(i,) for i in range(40)]
+
+
+def test_black_list_counts_of_a_month_share_an_entry(spark):
+    """A user's batch reads and writes one entry of the state per month and ADS ads, whatever the days and ads."""
+    from tessera.streaming import click_state, panes
+    data = [(b, f"2024-0{m}-{d:02d}", u, ad) for b in range(3) for u in (7, 8) for m in (1, 2) for d in (1, 2, 9)
+            for ad in (1, 2, 63, 64, -1) for _ in range(1 + (u == 8 and b == 1 and ad == 2) * 6)]
+    clicks = spark.createDataFrame(data, "batch int, day string, user long, ad long").repartition(5)
+    rp = Replay(spark, "bl-blocks")
+    with panes.keyed_state(spark):
+        rp.run(clicks, "batch", lambda s: click_state.judged(s, 6).writeStream.outputMode("update").foreachBatch(
+            click_state.sink(spark, rp.out)), state_partitions=2)
+    counts, black = click_state.tables(spark, rp.out)
+    exp_black, exp_counts = _brute_blacklist(pd.DataFrame(data, columns=["batch", "day", "user", "ad"]), 6)
+    assert {r[0] for r in black.read().collect()} == exp_black == {8}
+    assert {(r["dt"], r["userid"], r["adid"]): r["count"] for r in counts.read().collect()} == exp_counts
+    held = spark.read.format("statestore").option("stateVarName", "counts").load(rp.ckpt).select("key.user", "user_map_key.*")
+    assert rows(held) == [(7, f"2024-0{m}/{block}") for m in (1, 2) for block in (-1, 0, 1)]
+
+
+def test_counts_of_a_task_are_merged_in_a_bounded_number_of_passes(monkeypatch):
+    """Batches of rows are merged into the counts so far only once there are as many rows as counts."""
+    import pyarrow as pa
+    from tessera.streaming import panes
+    monkeypatch.setattr(panes, "MERGE_ROWS", 4)
+    seen, concat = [], pa.concat_tables
+    monkeypatch.setattr(panes.pa, "concat_tables", lambda t, **k: (lambda out: seen.append(out.num_rows) or out)(concat(t, **k)))
+    keys = [(i * 7) % 150 for i in range(600)]
+    batches = [pa.RecordBatch.from_pydict({"k": keys[i: i + 3], "d": ["x"] * 3}) for i in range(0, 600, 3)]
+    got = pa.Table.from_batches(list(panes.counted(iter(batches), ["k", "d"]))).to_pylist()
+    assert sorted((r["k"], r["d"], r["n"]) for r in got) == [(k, "x", 4) for k in range(150)]
+    assert sum(seen) <= 3 * 600
+    assert list(panes.counted(iter([]), ["k"])) == []
