@@ -373,7 +373,7 @@ def _blacklist(spark, sf_dir, name, threshold=bl.THRESHOLD):
     """(user_ad_count, black_list) after the last batch."""
     rp = Replay(spark, name)
     with panes.keyed_state(spark):
-        rp.run(_shuffled_clicks(spark, sf_dir), "batch",
+        rp.run(_shuffled_clicks(spark, sf_dir).select("batch", "day", "user", "ad"), "batch",
                lambda s: click_state.judged(s, threshold).writeStream.outputMode("update").foreachBatch(
                    click_state.sink(spark, rp.out)))
     counts, black = click_state.tables(spark, rp.out)

@@ -462,3 +462,77 @@ def test_counts_of_a_task_are_merged_in_a_bounded_number_of_passes(monkeypatch):
     assert sorted((r["k"], r["d"], r["n"]) for r in got) == [(k, "x", 4) for k in range(150)]
     assert sum(seen) <= 3 * 600
     assert list(panes.counted(iter([]), ["k"])) == []
+
+
+def test_black_list_calls_of_a_user_with_counts_leave_out_the_flag():
+    """An entry takes a read and a write behind one that was there, else a look first; it is one text."""
+    import json
+    from pyspark.sql import Row
+    from tessera.streaming.click_state import UserClicks
+    calls, held, listed = [], {}, []
+
+    class Map:
+        def containsKey(self, key):  # noqa: N802
+            calls.append("look")
+            return key in held
+
+        def getValue(self, key):  # noqa: N802
+            calls.append("read")
+            return held.get(key)
+
+        def updateValue(self, key, value):  # noqa: N802
+            calls.append("write")
+            held[key] = value
+
+        def clear(self):
+            held.clear()
+
+    class Flag:
+        def exists(self):
+            calls.append("flag")
+            return bool(listed)
+
+        def update(self, value):
+            listed.append(value)
+
+    class Handle:
+        def getValueState(self, *a):  # noqa: N802
+            return Flag()
+
+        def getMapState(self, *a):  # noqa: N802
+            return Map()
+
+    user = UserClicks(5)
+    user.init(Handle())
+
+    def batch(*parts):
+        calls.clear()
+        return [(json.loads(r.counts), r.listed) for r in user.handleInputRows((7,), iter(Row(counts=json.dumps(p)) for p in parts), None)]
+
+    days = {f"2024-01-0{d}/{ad}": 1 for d in (1, 2) for ad in (1, 2, 3)}
+    assert batch(days) == [(days, False)] and calls == ["look", "flag", "write"]
+    assert batch({"2024-01-01/1": 1}, {"2024-01-01/1": 1, "2024-01-09/2": 1}) == [({"2024-01-01/1": 3, "2024-01-09/2": 1}, False)]
+    assert calls == ["look", "read", "write"]
+    assert {k: json.loads(v[0]) for k, v in held.items()} == {("2024-01/0",): days | {"2024-01-01/1": 3, "2024-01-09/2": 1}}
+    assert batch({"2024-01-09/2": 1}) == [({"2024-01-09/2": 2}, False)] and calls == ["read", "write"]
+    assert batch({"2024-01-02/1": 5, "2024-01-02/2": 1, "2024-02-02/2": 4}) == [({"2024-01-02/2": 2, "2024-02-02/2": 4}, True)]
+    assert calls == ["read", "read"]  # the second was not there
+    assert not held and listed
+    assert batch({"2024-01-02/1": 1, "2024-02-02/1": 1}) == [] and calls == ["look", "flag"]
+
+
+def test_black_list_days_of_any_text(spark):
+    """Days may hold the characters that part or quote the counts' texts; ads may be negative."""
+    from tessera.streaming import click_state, panes
+    days = ["2024/01/03", '2024-01-03 "a"', "", "{\\", "é, ü", "2024-01-03"]
+    data = [(b, day, u, ad) for b in range(2) for day in days for u in (1, 2) for ad in (-3, 0, 70)
+            for _ in range(1 + 3 * (u == 2 and b == 1 and day == days[0] and ad == 70))]
+    clicks = spark.createDataFrame([*data, (0, None, 1, 1), (0, "x", None, 1), (0, "x", 1, None)], "batch int, day string, user long, ad long")
+    rp = Replay(spark, "bl-texts")
+    with panes.keyed_state(spark):
+        rp.run(clicks, "batch", lambda s: click_state.judged(s, 4).writeStream.outputMode("update").foreachBatch(
+            click_state.sink(spark, rp.out)), state_partitions=2)
+    counts, black = click_state.tables(spark, rp.out)
+    exp_black, exp_counts = _brute_blacklist(pd.DataFrame(data, columns=["batch", "day", "user", "ad"]), 4)
+    assert {r[0] for r in black.read().collect()} == exp_black == {2}
+    assert {(r["dt"], r["userid"], r["adid"]): r["count"] for r in counts.read().collect()} == exp_counts
