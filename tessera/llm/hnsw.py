@@ -9,29 +9,56 @@ UPPER_LINKS = 16
 LAYER = 16                 # a layer holds one in so many nodes of the layer below
 BUILD_BEAM = 64
 BATCH = 256                # queries, or new nodes, that move in step
+PRODUCTS = 1 << 21         # similarities that exact products hold at a time
 HELD = 4                   # lists that should hold a node at least
 WIDTH = 4                  # nodes a beam opens at a time
 
 
+def layers(n: int) -> list[int]:
+    """Nodes on the layers of a graph of n, from the ground up."""
+    sizes = [n]
+    while sizes[-1] > 4 * LAYER:
+        sizes.append(-(-sizes[-1] // LAYER))
+    return sizes
+
+
+def rows_held(n: int) -> int:
+    """Rows of n products each that are held at a time."""
+    return max(1, min(BATCH, PRODUCTS // max(1, n)))
+
+
 def select(sim: np.ndarray, node: np.ndarray, vectors: np.ndarray, most: int) -> np.ndarray:
     """Up to ``most`` of each row's candidates (-1: none): nearest first, a candidate being
     kept if it is nearer to the row than to any kept before; the nearest others then fill
     half of the places, so that some stay free for links out of a dense group."""
+    out = np.full((len(node), most), -1, np.int32)
+    for lo in range(0, len(node), BATCH):
+        out[lo: lo + BATCH] = _select(sim[lo: lo + BATCH], node[lo: lo + BATCH], vectors, most)
+    return out
+
+
+def _select(sim: np.ndarray, node: np.ndarray, vectors: np.ndarray, most: int) -> np.ndarray:
     order = np.argsort(-sim, axis=1, kind="stable")
     sim, node = np.take_along_axis(sim, order, 1), np.take_along_axis(node, order, 1)
     some = vectors[np.maximum(node, 0)]
     among = some @ some.transpose(0, 2, 1)
     rows, wide = node.shape
-    kept = np.zeros((rows, wide), bool)
-    for j in range(wide):
-        nearer = (kept[:, :j] & (among[:, j, :j] > sim[:, j: j + 1])).any(axis=1)
-        kept[:, j] = (node[:, j] >= 0) & ~nearer & (kept[:, :j].sum(axis=1) < most)
+    kept, free, row = np.zeros((rows, wide), bool), node >= 0, np.arange(rows)
+    for _ in range(min(most, wide)):
+        # the nearest candidate left is kept, those nearer to it than to the row are not
+        pick = free.argmax(axis=1)
+        any_left = free[row, pick]
+        if not any_left.any():
+            break
+        kept[row, pick] |= any_left
+        free &= among[row, pick] <= sim
+        free[row, pick] = False
     room = np.maximum(0, most // 2 - kept.sum(axis=1, keepdims=True))
     spare = (node >= 0) & ~kept
     kept |= spare & (np.cumsum(spare, axis=1) <= room)
     place = np.argsort(~kept, axis=1, kind="stable")[:, :most]
     out = np.where(np.take_along_axis(kept, place, 1), np.take_along_axis(node, place, 1), -1)
-    return np.pad(out, ((0, 0), (0, most - out.shape[1])), constant_values=-1).astype(np.int32)
+    return np.pad(out, ((0, 0), (0, most - out.shape[1])), constant_values=-1)
 
 
 class Graph:
@@ -44,9 +71,7 @@ class Graph:
     def build(cls, vectors: np.ndarray) -> Graph:
         """Rows must come in random order: the first ones make the upper layers."""
         n = len(vectors)
-        sizes = [n]
-        while sizes[-1] > 4 * LAYER:
-            sizes.append(-(-sizes[-1] // LAYER))
+        sizes = layers(n)
         graph = cls(vectors, [np.full((s, LINKS if l == 0 else UPPER_LINKS), -1, np.int32) for l, s in enumerate(sizes)])
         for layer in reversed(range(len(sizes))):
             known = sizes[layer + 1] if layer + 1 < len(sizes) else min(n, sizes[layer])
@@ -76,10 +101,13 @@ class Graph:
                 near = np.unique(links[front])
                 near = near[near >= 0]
                 front = near[~reached[near]]
-            lost, known = np.flatnonzero(~reached), np.flatnonzero(reached)
-            for lo in range(0, len(lost), BATCH):
-                some = lost[lo: lo + BATCH]
-                best = known[(self.vectors[some] @ self.vectors[known].T).argmax(axis=1)]
+            lost = np.flatnonzero(~reached)
+            step = rows_held(len(links))
+            for lo in range(0, len(lost), step):
+                some = lost[lo: lo + step]
+                sim = self.vectors[some] @ self.vectors[: len(links)].T
+                sim[:, lost] = -2
+                best = sim.argmax(axis=1)
                 for u, v in zip(some.tolist(), best.tolist()):
                     self._put(links, held, u, v)
             if not len(rare) and not len(lost):
@@ -136,11 +164,15 @@ class Graph:
         nodes, row = np.unique(target, return_inverse=True)
         fresh = np.full((len(nodes), most), -1, np.int32)
         fresh[row, turn] = source
+        order = np.argsort(np.bincount(row), kind="stable")  # lists of like lengths together
+        nodes, fresh = nodes[order], fresh[order]
         for lo in range(0, len(nodes), BATCH):
             at = nodes[lo: lo + BATCH]
             every = np.sort(np.concatenate([links[at], fresh[lo: lo + BATCH]], axis=1), axis=1)
             every[:, 1:][every[:, 1:] == every[:, :-1]] = -1  # links that are there already
-            sim = np.einsum("ijk,ik->ij", self.vectors[np.maximum(every, 0)], self.vectors[at])
+            every.sort(axis=1)
+            every = every[:, min((every < 0).sum(axis=1).min(), every.shape[1] - 1):]
+            sim = (self.vectors[np.maximum(every, 0)] @ self.vectors[at][:, :, None])[:, :, 0]
             links[at] = select(np.where(every >= 0, sim, -2), every, self.vectors, most)
 
     def descend(self, queries: np.ndarray, layer: int = 0) -> np.ndarray:
@@ -215,8 +247,9 @@ class Graph:
 
     def exact(self, queries: np.ndarray, which: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
         rows, cols = [np.zeros(0, int)], [np.zeros(0, int)]
-        for lo in range(0, len(which), BATCH):
-            r, c = np.nonzero(queries[which[lo: lo + BATCH]] @ self.vectors.T >= least)
+        step = rows_held(len(self.vectors))
+        for lo in range(0, len(which), step):
+            r, c = np.nonzero(queries[which[lo: lo + step]] @ self.vectors.T >= least)
             rows.append(which[lo + r])
             cols.append(c)
         return np.concatenate(rows), np.concatenate(cols)

@@ -126,6 +126,67 @@ def test_a_larger_table_has_fewer_shards(spark, monkeypatch, caplog):
     assert all(got[i] <= truth[i] for i in got) and sum(got.values()) >= 0.99 * truth.sum() > 0
 
 
+def test_no_row_holds_a_whole_graph(spark, monkeypatch):
+    """Graphs travel a row a node, and blocks grow with the table, so that an executor holds one graph and no copies."""
+    seen = {}
+
+    def stored(df, name, store=embed_dups.stored):
+        seen[name] = store(df, name)
+        return seen[name]
+
+    monkeypatch.setattr(embed_dups, "stored", stored)
+    monkeypatch.setattr(embed_dups, "BLOCK", 10)
+    x = clustered(600, 4, seed=3)
+    got = sorted(embed_dups.linked(table(spark, range(600), x)).collect())
+    degree, label = brute(x)
+    assert [(r.n_links, r.component_id) for r in got] == list(zip(degree.tolist(), label.tolist()))
+    graphs = seen["graphs"]
+    assert graphs.count() == 600 and "binary" not in str(graphs.dtypes)
+    assert dict(graphs.dtypes)["v"] == "array<float>"  # as the table has it: doubles would be twice the bytes
+    copies = -(-embed_dups.CELLS * spark.sparkContext.defaultParallelism // embed_dups.SHARDS)
+    assert copies < 60 and seen["cells"].inputFiles() and len(seen["cells"].inputFiles()) <= copies * embed_dups.SHARDS
+
+
+def test_double_vectors_stay_doubles(spark):
+    from pyspark.sql import functions as F
+    x = clustered(300, 3, seed=2).astype(float)
+    rows = table(spark, range(300), x).select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    rows = rows.withColumn("embedding", F.transform("embedding", lambda v: v * 1e200))  # beyond single precision
+    degree, label = brute(x)
+    got = sorted(embed_dups.linked(rows).collect())
+    assert [(r.n_links, r.component_id) for r in got] == list(zip(degree.tolist(), label.tolist()))
+
+
+def test_a_graph_is_the_same_after_its_rows(monkeypatch):
+    import pyarrow as pa
+    rng = np.random.default_rng(12)
+    raw = rng.normal(size=(1500, 8)).astype(np.float32)
+    nodes, copies = rng.permutation(1500).astype(np.int64), np.arange(1500)
+    graph = hnsw.Graph.build(embed_dups.unit(raw).astype(np.float32))
+    batches = list(embed_dups._graph_rows((8, 3), [(nodes, copies, raw)], [(nodes[:400], copies[:400], raw[:400])], 0.9))
+    whole = pa.Table.from_batches(batches)
+    shard = embed_dups.Shard(whole["total"][0].as_py(), whole["beam"][0].as_py())
+    for (dim, number), batch in embed_dups.runs(whole.to_batches(max_chunksize=70), ["dim", "shard"]):
+        assert (dim, number) == (8, 3)
+        shard.add(batch)
+    again = shard.ready()
+    assert len(graph.links) == 3 and all(np.array_equal(a, b) for a, b in zip(graph.links, again.links))
+    assert np.array_equal(graph.vectors, again.vectors) and np.array_equal(shard.nodes, nodes) and np.array_equal(shard.copies, copies)
+    assert np.array_equal(shard.rows.double(nodes), embed_dups.unit(raw)[nodes]) and shard.beam > 0
+
+
+def test_exact_products_and_audits_hold_few_at_a_time(monkeypatch):
+    """Of a shard that is one cluster, neither all products of a batch nor all its links are held."""
+    x, _ = cluster_and_pairs(3000, 1)
+    graph, names = hnsw.Graph(x, [np.full((len(x), 4), -1, np.int32)]), np.arange(len(x))
+    whole = graph.exact(x, names, 0.9)
+    monkeypatch.setattr(hnsw, "PRODUCTS", 30_000)
+    monkeypatch.setattr(embed_dups, "PAIRS", 50_000)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, graph.exact(x, names, 0.9)))
+    sparse, dense = embed_dups.audit_sample(graph, x, 0.9, names, names)
+    assert embed_dups.LEAST_LINKS <= len(dense[0]) <= 80_000 and len(sparse[0]) == 2
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     ids = [1, 2, 3, 4, 5, 6, 7, 8, None, 10, 10]
